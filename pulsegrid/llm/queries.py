@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, packing, quality, secrets, sharding, url_filter
+from . import decontaminate, exact_dedup, line_dedup, packing, quality, secrets, sharding, substring_dedup, url_filter
 from .common import stored, table
 
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
@@ -27,6 +27,11 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, listed).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     measured = stored(quality.document_statistics(docs))
@@ -36,6 +41,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+    n_removed = F.col("n_bytes") - F.octet_length("kept")
+    return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = [r.kind for r in secrets.BASE_RULES]
@@ -65,7 +76,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_url_filter, op5_quality, op7_secrets, op8_exact_dedup, op9_packing, op10_decontamination)}
+    return {f.__name__: f for f in (op1_sharding, op2_url_filter, op3_line_dedup, op5_quality, op6_substring_dedup, op7_secrets, op8_exact_dedup, op9_packing, op10_decontamination)}
 
 
 _RULES_SQL = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_filter.RULES)
@@ -85,6 +96,29 @@ SELECT page_id, host, path, rule,
        coalesce(rule_verdict, CASE WHEN regexp_matches(host, '{LISTED_HOSTS}') THEN 'block' ELSE 'allow' END) AS verdict FROM fit
 """
 
+OP3_SQL = """
+WITH lines AS (
+  SELECT doc_id, n, line, regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+') AS w
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS n FROM documents)
+), keyed AS (SELECT doc_id, n, line, w, array_to_string(w, ' ') AS said FROM lines WHERE len(w) > 0
+), firsts AS (SELECT said, any_value(w) AS w, min((doc_id, n)) AS place, count(*) AS c FROM keyed GROUP BY said
+), cut AS (
+  SELECT said, place, len(w) AS k, p, md5(array_to_string(w[1 : p - 1] || w[p + 1 :], ' ')) AS rest
+  FROM (SELECT said, place, w, unnest(range(1, len(w) + 1)) AS p FROM firsts WHERE len(w) >= 7)
+), substituted AS (
+  SELECT said FROM (SELECT said, place, min(place) OVER (PARTITION BY p, k, rest) AS least FROM cut WHERE k >= 8) WHERE place > least
+), inserted AS (
+  SELECT c.said AS longer, c.place AS longer_at, f.said AS shorter, f.place AS shorter_at FROM cut c JOIN firsts f ON c.rest = md5(f.said) WHERE c.k >= 8
+), near AS (
+  SELECT said FROM substituted UNION SELECT longer FROM inserted WHERE shorter_at < longer_at UNION SELECT shorter FROM inserted WHERE longer_at < shorter_at
+), gone AS (
+  SELECT doc_id, n FROM keyed k JOIN firsts f USING (said) WHERE (k.doc_id, k.n) <> f.place OR k.said IN (SELECT said FROM near)
+)
+SELECT l.doc_id, count(*) FILTER (len(w) > 0) AS n_lines, count(g.n) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY l.n) FILTER (g.n IS NULL), '')) AS kept_sha256
+FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.n = g.n GROUP BY l.doc_id
+"""
+
 OP8_SQL = """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept,
        sha256(coalesce(text, '')) AS text_sha256
@@ -113,4 +147,4 @@ FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": OP2_SQL, "op8_exact_dedup": OP8_SQL, "op10_decontamination": OP10_SQL}
+    return {"op2_url_filter": OP2_SQL, "op3_line_dedup": OP3_SQL, "op8_exact_dedup": OP8_SQL, "op10_decontamination": OP10_SQL}
