@@ -185,3 +185,16 @@ def score_quality(measured: DataFrame, model: Model, score_col: str = "score") -
         return pd.Series(calibrated(held.value, _matrix(stats)))
 
     return measured.withColumn(score_col, score("stats")).drop("stats")
+
+
+def keep_quality(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows whose text scores ``threshold`` or more, in place, without a shuffle."""
+    require(docs, text_col)
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            if len(pdf):
+                yield pdf[calibrated(held.value, np.array([statistics(t) for t in pdf[text_col].tolist()], dtype=np.float32).astype(float)) >= threshold]
+
+    return docs.mapInPandas(keep, docs.schema)

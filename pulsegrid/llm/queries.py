@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, line_dedup, packing, quality, secrets, sharding, substring_dedup, url_filter
+from . import decontaminate, exact_dedup, line_dedup, ngram_join, packing, quality, secrets, sharding, substring_dedup, url_filter
 from .common import stored, table
 
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
@@ -32,6 +32,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     measured = stored(quality.document_statistics(docs))
@@ -76,7 +80,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_url_filter, op3_line_dedup, op5_quality, op6_substring_dedup, op7_secrets, op8_exact_dedup, op9_packing, op10_decontamination)}
+    return {f.__name__: f for f in (op1_sharding, op2_url_filter, op3_line_dedup, op4_ngram_join, op5_quality, op6_substring_dedup, op7_secrets, op8_exact_dedup, op9_packing, op10_decontamination)}
 
 
 _RULES_SQL = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_filter.RULES)
