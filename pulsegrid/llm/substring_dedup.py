@@ -135,20 +135,25 @@ def anchors(docs: DataFrame, threshold: int) -> DataFrame:
 
 def _contexts(docs: DataFrame, edges: DataFrame, threshold: int) -> DataFrame:
     """The bytes around the anchors that are still open."""
-    per_doc = edges.groupBy("doc", "tag").agg(F.collect_list(F.struct("anchor", "place", "alone", "n_contexts")).alias("open"))
+    per_doc = edges.groupBy("doc", "tag").agg(F.collect_list(F.struct("anchor", "place", "alone")).alias("open"))
     same = docs["doc"].eqNullSafe(per_doc["doc"]) & (docs["tag"] == per_doc["tag"])
     reach = Anchors(threshold).reach
+    names = ["anchor", "place", "alone"]
 
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            for doc, tag, text, places in zip(pdf["doc"].astype("Int64").array, pdf["tag"], pdf["text"], pdf["open"], strict=True):
-                raw = text.encode()
-                rows = [(o["anchor"], doc, tag, o["place"], o["alone"], o["n_contexts"], min(o["place"], reach), raw[max(0, o["place"] - reach) : o["place"] + threshold]) for o in places]
-                out = pd.DataFrame(rows, columns=["anchor", "doc", "tag", "place", "alone", "n_contexts", "before", "bytes"])
-                yield out.assign(doc=out["doc"].astype("Int64"))
+        for whole in parts:
+            for at in range(0, len(whole), 1000):
+                pdf = whole.iloc[at : at + 1000]
+                sizes = pdf["place"].map(len).to_numpy(np.int64)
+                out = {n: np.concatenate(pdf[n].to_list()) for n in names}
+                row = np.repeat(np.arange(len(pdf)), sizes)
+                raws = [t.encode() for t in pdf["text"]]
+                cuts = zip(row.tolist(), np.maximum(out["place"] - reach, 0).tolist(), (out["place"] + threshold).tolist(), strict=True)
+                out |= {"doc": pdf["doc"].astype("Int64").array.take(row), "tag": pdf["tag"].to_numpy(np.int64)[row], "before": np.minimum(out["place"], reach), "bytes": [raws[i][a:b] for i, a, b in cuts]}
+                yield pd.DataFrame(out)
 
-    joined = docs.join(per_doc, same).select(docs["doc"], docs["tag"], "text", "open")
-    return joined.mapInPandas(cut, "anchor long, doc long, tag long, place long, alone boolean, n_contexts long, before int, bytes binary")
+    joined = docs.join(per_doc, same).select(docs["doc"], docs["tag"], "text", *[F.col(f"open.{n}").alias(n) for n in names])
+    return joined.mapInPandas(cut, "anchor long, doc long, tag long, place long, alone boolean, before int, bytes binary")
 
 
 class _Matrix:
@@ -160,9 +165,8 @@ class _Matrix:
         width = self.reach + threshold
         self.before = pdf["before"].to_numpy(np.int64)
         self.after = pdf["bytes"].map(len).to_numpy(np.int64) - self.before
-        cells = np.zeros((len(pdf), width), dtype=np.uint8)
-        for i, (b, raw) in enumerate(zip(self.before, pdf["bytes"], strict=True)):
-            cells[i, self.reach - b : self.reach - b + len(raw)] = np.frombuffer(raw, dtype=np.uint8)
+        padded = [(bytes(self.reach - b) + raw).ljust(width, b"\0") for b, raw in zip(self.before.tolist(), pdf["bytes"], strict=True)]
+        cells = np.frombuffer(b"".join(padded), dtype=np.uint8).reshape(len(pdf), width)
         self.up, down = _powers(width + 1)
         self.sums = np.zeros((len(pdf), width + 1), dtype=np.uint64)
         np.cumsum(_BYTE[cells] * down[:width], axis=1, out=self.sums[:, 1:])
@@ -264,13 +268,12 @@ def repeated_spans(docs: DataFrame, threshold: int, most_contexts: int = MOST_CO
     # What is left are contexts of their own, to be sorted with one of each other context.
     mixed = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n_contexts"), F.bool_or(F.col("n") == 1).alias("some")).filter("some and n_contexts > 1")
     edges = contexts.join(mixed.hint("merge"), "anchor").select("anchor", "one.*", (F.col("n") == 1).alias("alone"), "n_contexts")
-    cut = _contexts(docs, edges, threshold)
-    few = _by_task(cut.filter(F.col("n_contexts") <= most_contexts), threshold)
-    # the bound holds for what is left to _by_task; most corpora have nothing beyond
+    few = edges.filter(F.col("n_contexts") <= most_contexts)
+    found = inside.unionByName(_by_task(_contexts(docs, few, threshold), threshold))
     if mixed.filter(F.col("n_contexts") > most_contexts).isEmpty():
-        return inside.unionByName(few)
-    many = _by_window(cut.filter(F.col("n_contexts") > most_contexts), threshold)
-    return inside.unionByName(few).unionByName(many)
+        return found
+    many = stored(_contexts(docs, edges.filter(F.col("n_contexts") > most_contexts), threshold))
+    return found.unionByName(_by_window(many, threshold))
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, most_contexts: int = MOST_CONTEXTS) -> DataFrame:
@@ -289,24 +292,26 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).cast("long").alias("doc"), F.hash(text).cast("long").alias("tag"), text.alias("text"))
     spans = repeated_spans(keyed, threshold, most_contexts)
-    per_doc = spans.groupBy("doc", "tag").agg(F.collect_set(F.struct("start", "end")).alias("found"))
+    per_doc = spans.groupBy("doc", "tag").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("found"))
     same = keyed["doc"].eqNullSafe(per_doc["doc"]) & (keyed["tag"] == per_doc["tag"])
-    joined = keyed.join(per_doc, same, "left").select(keyed["doc"], "text", "found")
+    joined = keyed.join(per_doc, same, "left").select(keyed["doc"], "text", F.col("found.start").alias("starts"), F.col("found.end").alias("ends"))
 
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            merged, kept = [], []
-            for text, found in zip(pdf["text"], pdf["found"], strict=True):
-                raw, runs = text.encode(), []
-                for a, b in sorted((s["start"], s["end"]) for s in (found if found is not None else ())):
-                    if runs and a <= runs[-1][1]:
-                        runs[-1][1] = max(runs[-1][1], b)
-                    else:
-                        runs.append([a, b])
-                edges = [0, *(x for r in runs for x in r), len(raw)]
-                kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
-                merged.append([{"start": a, "end": b} for a, b in runs])
-            yield pd.DataFrame({"doc": pdf["doc"].astype("Int64"), "n_bytes": [len(t.encode()) for t in pdf["text"]], "spans": merged, "kept": kept})
+            merged, kept, n_bytes = [], [], []
+            for text, starts, ends in zip(pdf["text"], pdf["starts"], pdf["ends"], strict=True):
+                raw = text.encode()
+                n_bytes.append(len(raw))
+                if starts is None:
+                    merged.append([])
+                    kept.append(raw)
+                    continue
+                until = np.maximum.accumulate(ends)
+                new = np.flatnonzero(starts[1:] > until[:-1]) + 1
+                a, b = starts[np.concatenate([[0], new])], until[np.concatenate([new - 1, [len(until) - 1]])]
+                merged.append([{"start": x, "end": y} for x, y in zip(a.tolist(), b.tolist(), strict=True)])
+                kept.append(b"".join(raw[x:y] for x, y in zip([0, *b.tolist()], [*a.tolist(), len(raw)], strict=True)))
+            yield pd.DataFrame({"doc": pdf["doc"].astype("Int64"), "n_bytes": n_bytes, "spans": merged, "kept": kept})
 
     out = joined.mapInPandas(cut, "doc long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
     return out.withColumnRenamed("doc", id_col)
