@@ -72,11 +72,11 @@ MAX_FILTER_BITS = 1 << 28
 def bit_filter(keys: DataFrame, key: str):
     """A broadcast bit array that holds every key of a long column.
 
-    16 bits a key, ``MAX_FILTER_BITS`` at most: a fuller filter lets more other
+    32 bits a key, ``MAX_FILTER_BITS`` at most: a fuller filter lets more other
     keys through but never stops one that is in it, so callers use it only to
     leave out work.
     """
-    bits = int(min(max(16 * keys.count(), 1 << 14), MAX_FILTER_BITS)) // 64 * 64
+    bits = int(min(max(32 * keys.count(), 1 << 14), MAX_FILTER_BITS)) // 64 * 64
     at = F.explode(F.array(*_bit_places(F.col(key), bits)))
     words = keys.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("mask")).toPandas()
     out = np.zeros(bits // 64, dtype=np.int64)
@@ -84,14 +84,18 @@ def bit_filter(keys: DataFrame, key: str):
     return keys.sparkSession.sparkContext.broadcast(out)
 
 
+_SHIFTS = (0, 11, 21, 31)
+
+
 def _bit_places(key: Column, bits: int) -> list[Column]:
-    return [F.pmod(key, F.lit(bits)), F.pmod(F.shiftrightunsigned(key, 21), F.lit(bits - 1))]
+    return [F.pmod(F.shiftrightunsigned(key, k), F.lit(bits - k)) for k in _SHIFTS]
 
 
 def in_filter(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Whether ``bit_filter`` may hold each of the keys."""
     bits = len(words) * 64
     out = np.ones(len(keys), dtype=bool)
-    for at in (keys % bits, (keys.view(np.uint64) >> np.uint64(21)).astype(np.int64) % (bits - 1)):
+    for k in _SHIFTS:
+        at = (keys.view(np.uint64) >> np.uint64(k)).astype(np.int64) % (bits - k) if k else keys % bits
         out &= (words[at >> 6] >> (at & 63)) & 1 == 1
     return out

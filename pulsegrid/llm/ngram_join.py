@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -71,59 +70,68 @@ def _class(tokens: np.ndarray) -> int:
     return int(_mixed(np.array([_mixed(tokens, 7).sum(dtype=np.uint64) + _U(len(tokens))]))[0].view(np.int64))
 
 
-def _sets(docs: DataFrame, width: int, emit, schema: str, every_row: bool = False) -> DataFrame:
-    """``emit(batch of (doc, tokens, class))`` over the texts; copies in a task come once."""
+def _sets(docs: DataFrame, width: int, emit, schema: str) -> DataFrame:
+    """``emit(batch of (tokens, class))`` over the texts; copies in a task come once."""
 
     def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, seen = Shingler(width), set()
         for pdf in parts:
             batch = []
-            for row, text in enumerate(pdf["text"].tolist()):
+            for text in pdf["text"].tolist():
                 tokens = shingler.tokens(text)
                 c = _class(tokens)
-                if every_row or (len(tokens) and c not in seen):
+                if len(tokens) and c not in seen:
                     seen.add(c)
-                    batch.append((row, tokens, c))
+                    batch.append((tokens, c))
                 if len(batch) >= 512:
-                    yield emit(batch, pdf)
+                    yield emit(batch)
                     batch = []
             if batch:
-                yield emit(batch, pdf)
+                yield emit(batch)
 
     return docs.mapInPandas(scan, schema)
 
 
-def sketch(docs: DataFrame, width: int) -> np.ndarray:
-    """How often tokens fall in each cell: a frequency order of bounded size over all texts."""
+def measured(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
+    """(doc, class, n) of every text, and how often tokens fall in each cell of a sketch.
+
+    The sketch orders tokens by frequency over all texts in bounded space:
+    4 bytes a cell, whatever the corpus' size.
+    """
     cells = 1 << SKETCH_BITS
 
-    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, seen, total = Shingler(width), set(), np.zeros(cells, dtype=np.int64)
         for pdf in parts:
-            held = []
+            classes, sizes, held = [], [], []
             for text in pdf["text"].tolist():
                 tokens = shingler.tokens(text)
-                if (c := _class(tokens)) not in seen:
+                c = _class(tokens)
+                classes.append(c)
+                sizes.append(len(tokens))
+                if c not in seen:
                     seen.add(c)
                     held.append((tokens >> _U(64 - SKETCH_BITS)).astype(np.int64))
             if held:
                 total += np.bincount(np.concatenate(held), minlength=cells)
-        slot = TaskContext.get().partitionId() % 64
-        blocks = total.reshape(-1, BLOCK)
+            yield pd.DataFrame({"doc": pdf["doc"].astype("Int64"), "class": classes, "n": sizes, "block": -1, "slot": 0, "sums": None})
+        blocks = np.minimum(total, (1 << 32) - 1).astype(np.uint32).reshape(-1, BLOCK)
         some = np.flatnonzero(blocks.any(axis=1))
-        yield pd.DataFrame({"block": some, "slot": slot, "sums": [np.minimum(blocks[i], (1 << 32) - 1).astype(np.uint32).tobytes() for i in some]})
+        slot = TaskContext.get().partitionId() % 64
+        yield pd.DataFrame({"doc": pd.array([None] * len(some), dtype="Int64"), "class": 0, "n": 0, "block": some, "slot": slot, "sums": [blocks[i].tobytes() for i in some]})
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         sums = sum(np.frombuffer(x, dtype=np.uint32).astype(np.int64) for x in pdf["sums"])
         return pd.DataFrame({"block": [pdf["block"].iat[0]], "slot": [0], "sums": [np.minimum(sums, (1 << 32) - 1).astype(np.uint32).tobytes()]})
 
     schema = "block int, slot int, sums binary"
-    parts = docs.mapInPandas(count, schema)
+    both = stored(docs.mapInPandas(scan, f"doc long, class long, n long, {schema}"))
+    parts = both.filter("block >= 0").select("block", "slot", "sums")
     whole = parts.groupBy("block", "slot").applyInPandas(add, schema).groupBy("block").applyInPandas(add, schema)
     out = np.zeros((cells // BLOCK, BLOCK), dtype=np.int64)
-    for r in whole.collect():  # 4 bytes for each cell
+    for r in whole.collect():
         out[r.block] = np.frombuffer(r.sums, dtype=np.uint32)
-    return out.ravel()
+    return both.filter("block < 0").select("doc", "class", "n"), out.ravel()
 
 
 def prefix(tokens: np.ndarray, rarity: np.ndarray, order: int, percent: int) -> np.ndarray:
@@ -145,78 +153,64 @@ def _rarity(counts: np.ndarray) -> np.ndarray:
     return np.minimum(np.floor(4 * np.log2(counts + 1.0)), 255).astype(np.uint64)
 
 
-def prefix_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(order, token, class, n) of the texts that share a prefix token under the first order."""
-    sc = docs.sparkSession.sparkContext
-    held = sc.broadcast(_rarity(sketch(docs, width)))
+def live_rows(docs: DataFrame, rarity: np.ndarray, width: int, percent: int) -> DataFrame:
+    """(token, class, n): prefix tokens under the first order that two classes share at least."""
+    held = docs.sparkSession.sparkContext.broadcast(rarity)
 
-    def first(batch, _) -> pd.DataFrame:
-        parts = [prefix(t, held.value, 0, percent) for _, t, _ in batch]
-        return pd.DataFrame({"token": np.concatenate(parts).view(np.int64), "class": np.repeat([c for *_, c in batch], [len(p) for p in parts])})
+    def first(batch) -> pd.DataFrame:
+        parts = [prefix(t, held.value, 0, percent) for t, _ in batch]
+        return pd.DataFrame({"token": np.concatenate(parts).view(np.int64), "class": np.repeat([c for _, c in batch], [len(p) for p in parts])})
 
     tokens = _sets(docs, width, first, "token long, class long")
-    shared = tokens.groupBy("token").agg(F.min("class").alias("a"), F.max("class").alias("b")).filter("a <> b").select("token")
-    some = bit_filter(stored(shared), "token")
-
-    def orders(batch, _) -> pd.DataFrame:
-        out = []
-        for _, tokens, c in batch:
-            own = prefix(tokens, held.value, 0, percent)
-            own = own[in_filter(some.value, own.view(np.int64))]
-            if len(own):
-                for order in range(ORDERS):
-                    p = own if order == 0 else prefix(tokens, held.value, order, percent)
-                    out.append((np.full(len(p), order), p.view(np.int64), np.full(len(p), c), np.full(len(p), len(tokens))))
-        cols = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [[]] * 4
-        return pd.DataFrame(dict(zip(("order", "token", "class", "n"), cols, strict=True)))
+    shared = stored(tokens.groupBy("token").agg(F.min("class").alias("a"), F.max("class").alias("b")).filter("a <> b").select("token"))
+    some = bit_filter(shared, "token")
 
-    return stored(_sets(docs, width, orders, "order int, token long, class long, n int").distinct())
+    def again(batch) -> pd.DataFrame:
+        parts = [p[in_filter(some.value, p.view(np.int64))] for p in (prefix(t, held.value, 0, percent) for t, _ in batch)]
+        sizes = [len(p) for p in parts]
+        return pd.DataFrame({"token": np.concatenate(parts).view(np.int64), "class": np.repeat([c for _, c in batch], sizes), "n": np.repeat([len(t) for t, _ in batch], sizes)})
 
-
-def live_rows(rows: DataFrame) -> DataFrame:
-    """Rows of tokens that two classes share, of classes that have such tokens under every order."""
-    shared = rows.groupBy("order", "token").agg(F.min("class").alias("a"), F.max("class").alias("b")).filter("a <> b").select("order", "token")
-    live = stored(rows.join(shared, ["order", "token"]))
-    every = live.groupBy("class").agg(F.count_distinct("order").alias("k")).filter(F.col("k") == ORDERS).select("class")
-    return stored(live.join(every, "class"))
+    rows = _sets(docs, width, again, "token long, class long, n int").distinct()
+    return stored(rows.join(shared, "token"))
 
 
 def _fits(a: str, b: str, percent: int) -> str:
     return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
 
 
-def _in_every_order(pairs: DataFrame, live: DataFrame) -> DataFrame:
-    """The pairs (a, b) that share a prefix token under each of the other orders, too."""
-    for order in range(1, ORDERS):
-        own = live.filter(F.col("order") == order).select("token", "class")
-        left = pairs.join(own.withColumnRenamed("class", "a"), "a")
-        pairs = left.join(own.withColumnRenamed("class", "b"), ["b", "token"]).select("a", "b").distinct()
-    return pairs
+def _enough_shared(pairs: DataFrame, live: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that share as many prefix tokens as their similarity needs.
+
+    Beyond the shorter of both prefixes (in the order) a pair has at most the
+    rest of that set in common, so what is missing to the least overlap must
+    lie in the prefixes.
+    """
+    own = live.select("token", "class", "n")
+    left = pairs.join(own.toDF("token", "a", "n"), "a")
+    met = left.join(own.toDF("token", "b", "m"), ["b", "token"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"), F.first("n").alias("n"), F.first("m").alias("m"))
+    least = f"ceil({percent} * (n + m) / {100.0 + percent} - 1e-9)"
+    rest = f"ceil({percent} * greatest(n, m) / 100.0 - 1e-9) - 1"
+    return met.filter(f"common + {rest} >= {least}").select("a", "b")
 
 
-def _to_leaders(live: DataFrame, labels: DataFrame | None, last: bool, percent: int) -> DataFrame:
-    """Pairs of each class with the leader of each of its tokens of the first order.
+def _to_leaders(live: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each class with the first and the last class of each of its tokens.
 
-    One pair for a row, however many classes share a token; classes that have
-    the leader's label already are left out.
+    Two pairs for a row, however many classes share a token.
     """
-    rows = live.filter("order = 0").select("token", "class", "n")
-    rows = _labelled(rows, labels)
-    lead = (F.max if last else F.min)(F.struct("class", "n", "label"))
-    leaders = rows.groupBy("token").agg(lead.alias("lead"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("token", "lead")
-    met = rows.join(leaders.hint("merge"), "token").filter(f"label <> lead.label and {_fits('n', 'lead.n', percent)}")
+    ends = live.groupBy("token").agg(*[f(F.struct("class", "n")).alias(k) for k, f in (("low", F.min), ("high", F.max))])
+    met = live.join(ends.hint("merge"), "token").select("class", "n", F.explode(F.array("low", "high")).alias("lead"))
+    met = met.filter(f"class <> lead.class and {_fits('n', 'lead.n', percent)}")
     return met.select(F.least("class", "lead.class").alias("a"), F.greatest("class", "lead.class").alias("b")).distinct()
 
 
-def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return rows.withColumn("label", F.col("class"))
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
 
 
 def _all_across(live: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Every pair of classes with a common token of the first order and different labels."""
-    rows = _labelled(live.filter("order = 0").select("token", "class", "n"), labels)
+    rows = _labelled(live, labels)
     open_ = rows.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("token")
     rows = stored(rows.join(open_, "token"))
     other = rows.select("token", F.col("class").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"))
@@ -224,57 +218,66 @@ def _all_across(live: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     return met.select("a", "b").distinct()
 
 
-def class_sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
-    """(class, tokens) of the wanted classes."""
-    some = bit_filter(classes, "class")
+def class_sets(docs: DataFrame, rows: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """(class, tokens) of the classes in the pairs, from one document of each."""
+    classes = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    one = rows.join(classes, "class").groupBy("class").agg(F.min("doc").alias("doc"))
+    some = bit_filter(stored(one.select(F.xxhash64("doc").alias("key"))), "key")
 
-    def emit(batch, _) -> pd.DataFrame:
-        keep = in_filter(some.value, np.array([c for *_, c in batch]))
-        kept = [(c, t.tobytes()) for (_, t, c), k in zip(batch, keep, strict=True) if k]
-        return pd.DataFrame(kept, columns=["class", "tokens"])
+    def emit(batch) -> pd.DataFrame:
+        return pd.DataFrame({"class": [c for _, c in batch], "tokens": [t.tobytes() for t, _ in batch]})
 
-    return stored(_sets(docs, width, emit, "class long, tokens binary").dropDuplicates(["class"]))
+    def chosen(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            yield pdf.loc[in_filter(some.value, pdf["key"].to_numpy(np.int64)), ["text"]]
 
+    texts = docs.select("text", F.xxhash64("doc").alias("key")).mapInPandas(chosen, "text string")
+    return stored(_sets(texts, width, emit, "class long, tokens binary").join(classes, "class", "left_semi").dropDuplicates(["class"]))
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose whole sets are similar enough."""
+
+def _verified(pairs: DataFrame, sets: DataFrame, rarity: np.ndarray, percent: int) -> DataFrame:
+    """Pairs that share prefix tokens under every other order, too, and whose whole sets are similar enough."""
+    held = pairs.sparkSession.sparkContext.broadcast(rarity)
+
+    def meet(a: np.ndarray, b: np.ndarray) -> int:
+        both = np.sort(np.concatenate([a, b]))
+        return int((both[1:] == both[:-1]).sum())
 
     def similar(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             good = []
             for x, y in zip(pdf["x"], pdf["y"], strict=True):
                 a, b = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                both = np.sort(np.concatenate([a, b]), kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                good.append(100 * common >= percent * (len(a) + len(b) - common))
+                near = all(meet(prefix(a, held.value, o, percent), prefix(b, held.value, o, percent)) for o in range(1, ORDERS))
+                common = meet(a, b) if near else 0
+                good.append(near and 100 * common >= percent * (len(a) + len(b) - common))
             yield pdf.loc[np.array(good, dtype=bool), ["a", "b"]]
 
     one, two = sets.toDF("a", "x"), sets.toDF("b", "y")
     return stored(pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInPandas(similar, "a long, b long"))
 
 
-def links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(links, labels): verified pairs of classes and (node, label) of the linked classes.
+def links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, links, labels): every text's class and size, verified pairs of classes, and
+    (node, label) of the linked classes.
 
     Enough links are found for the components to be exact: first those with
-    the leaders of tokens, twice, which joins a large group of near copies in
-    as many pairs as it has rows; then every pair that shares a prefix token
-    under all orders and is not yet in one component.
+    the leaders of tokens, which join a large group of near copies in about as
+    many pairs as it has rows; then every pair that shares a prefix token and
+    is not yet in one component.  Pairs are verified if they share enough of
+    their prefixes under the first order and something under each other one.
     """
-    live = live_rows(prefix_rows(docs, width, percent))
-    sets = class_sets(docs, stored(live.select("class").distinct()), width)
-    found, labels, tried = [], None, None
-    for last in (False, True):
-        pairs = _to_leaders(live, labels, last, percent)
-        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(_in_every_order(pairs, live))
-        tried = pairs if tried is None else tried.union(pairs)
-        found.append(_verified(pairs, sets, percent))
-        labels = stored(connected_components(reduce(DataFrame.union, found)))
-    pairs = stored(_in_every_order(_all_across(live, labels, percent).join(tried, ["a", "b"], "left_anti"), live))
-    found.append(_verified(pairs, sets, percent))
-    verified = reduce(DataFrame.union, found)
-    return verified, stored(connected_components(verified))
+    rows, counts = measured(docs, width)
+    rarity = _rarity(counts)
+    live = live_rows(docs, rarity, width, percent)
+    tried = stored(_enough_shared(_to_leaders(live, percent), live, percent))
+    found = _verified(tried, class_sets(docs, rows, tried, width), rarity, percent)
+    labels = stored(connected_components(found))
+    rest = _all_across(live, labels, percent).join(tried, ["a", "b"], "left_anti")
+    rest = stored(_enough_shared(rest, live, percent))
+    more = _verified(rest, class_sets(docs, rows, rest, width), rarity, percent)
+    verified = found.union(more)
+    return rows, verified, stored(connected_components(verified))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -293,12 +296,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         raise ValueError("percent must be 1 to 100")
     keyed = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
 
-    def emit(batch, pdf: pd.DataFrame) -> pd.DataFrame:
-        doc = pdf["doc"].astype("Int64").array.take([row for row, *_ in batch])
-        return pd.DataFrame({"doc": doc, "class": [c for *_, c in batch], "n": [len(t) for _, t, _ in batch]})
-
-    rows = stored(_sets(keyed, width, emit, "doc long, class long, n long", every_row=True))
-    _, labels = links(keyed, width, percent)
+    rows, _, labels = links(keyed, width, percent)
     least = rows.filter("n > 0").groupBy("class").agg(F.min("doc").alias("least"))
     placed = _labelled(least, labels)
     by_label = placed.groupBy("label").agg(F.min("least").alias("component_id"))
