@@ -23,30 +23,37 @@ def _line_id(words: list[bytes]) -> bytes:
     return xxhash.xxh3_128_digest(b" ".join(words))
 
 
-def _half(n: int) -> int:
-    """Words in the ends of a line of n words: the power of two of n/4 to n/2."""
-    return 1 << ((n // 2).bit_length() - 1)
+REGIONS = 4
 
 
-def end_keys(words: list[bytes]) -> list[tuple[int, int, bool]]:
-    """(key, words in it, whether it is the start) of a line's two ends.
+def _bases(n: int) -> dict[int, None]:
+    """Lengths whose cuts a line of n words is given; lines of n and n + 1 words share one."""
+    return dict.fromkeys(m if m < 16 else m // 8 * 8 for m in (n, n - 1))
 
-    Two lines that one edit of a word turns into each other share the start or
-    the end of ``_half`` words; a line whose shorter neighbour has other ends
-    gives those too.
+
+def region_keys(words: list[bytes]) -> list[tuple[int, int, int]]:
+    """(key, from, to): hashes of a line without its words from..to-1.
+
+    A line of about ``base`` words is cut into regions; an edit of one word
+    lies in one of them, and leaves what is before and after it as it was.
     """
     n = len(words)
-    sizes = dict.fromkeys([_half(n), _half(n - 1)])
-    return [(_key(b"e", b" ".join(words[-h:])), h, False) for h in sizes] + [(_key(b"s", b" ".join(words[:h])), h, True) for h in sizes]
+    out = []
+    for base in _bases(n):
+        cuts = [base * r // REGIONS for r in range(REGIONS + 1)]
+        for r in range(REGIONS):
+            after = base - cuts[r + 1]
+            out.append((_key(b"%d %d" % (base, r), b" ".join(words[: cuts[r]]), b" ".join(words[n - after :])), cuts[r], n - after))
+    return out
 
 
-def variants(words: list[bytes], first: int, last: int) -> Iterator[tuple[int, int]]:
-    """(key, role) of the line without one of the words first..last-1.
+def variants(words: list[bytes], places: list[int]) -> Iterator[tuple[int, int]]:
+    """(key, role) of the line without the word at one of the places.
 
     Role 0 names the place of the deletion, so equal keys differ by a
     substitution; role 1 does not, and meets role 2, the line as it is.
     """
-    for p in range(first, last):
+    for p in places:
         rest = b" ".join(words[:p] + words[p + 1 :])
         yield _key(b"p", str(p).encode(), rest), 0
         yield _key(b"d", rest), 1
@@ -70,28 +77,48 @@ def _each_line(pdf: pd.DataFrame) -> Iterator[tuple[int, int, list[bytes]]]:
                 yield row, number, words
 
 
-def _columns(rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    return pd.DataFrame.from_records(rows, columns=names)
+def line_table(docs: DataFrame, min_words: int) -> DataFrame:
+    """(doc, tag, line, id, keys) of every line with words; keys of those long enough for near copies."""
+
+    def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            rows, numbers, ids, keys = [], [], [], []
+            for row, number, words in _each_line(pdf):
+                rows.append(row)
+                numbers.append(number)
+                ids.append(_line_id(words))
+                keys.append([k for k, _, _ in region_keys(words)] if len(words) >= min_words - 1 else None)
+            at = np.array(rows, dtype=np.int64)
+            yield pd.DataFrame({"doc": pdf["doc"].astype("Int64").array.take(at), "tag": pdf["tag"].to_numpy(np.int64)[at], "line": numbers, "id": ids, "keys": keys})
+
+    return stored(docs.mapInPandas(scan, "doc long, tag long, line int, id binary, keys array<long>"))
 
 
 def _scan(docs: DataFrame, emit, schema: str) -> DataFrame:
     """``emit(words)`` gives the rest of the rows for a line, after its place in the corpus."""
-    names = ["doc", "tag", "line", *[f.split()[0] for f in schema.split(", ")]]
+    names = [f.split()[0] for f in schema.split(", ")]
 
     def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            docs_, tags = pdf["doc"].tolist(), pdf["tag"].tolist()
-            out: list[tuple] = []
-            for row, number, words in _each_line(pdf):
-                for x in emit(words):
-                    out.append((docs_[row], tags[row], number, *x))
-                if len(out) > 100_000:
-                    yield _typed(_columns(out, names))
-                    out = []
-            yield _typed(_columns(out, names))
+            rows, numbers, rest = [], [], []
 
-    def _typed(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf.assign(doc=pdf["doc"].astype("Int64"))
+            def table(pdf=pdf) -> pd.DataFrame:
+                at = np.array(rows, dtype=np.int64)
+                out = pd.DataFrame.from_records(rest, columns=names)
+                out.insert(0, "line", numbers)
+                out.insert(0, "tag", pdf["tag"].to_numpy(np.int64)[at])
+                out.insert(0, "doc", pdf["doc"].astype("Int64").array.take(at))
+                return out
+
+            for row, number, words in _each_line(pdf):
+                found = emit(words)
+                rest += found
+                rows += [row] * len(found)
+                numbers += [number] * len(found)
+                if len(rest) > 100_000:
+                    yield table()
+                    rows, numbers, rest = [], [], []
+            yield table()
 
     return docs.mapInPandas(scan, f"doc long, tag long, line int, {schema}")
 
@@ -100,32 +127,22 @@ def _place() -> Column:
     return F.struct("doc", "tag", "line")
 
 
-def near_lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """Line ids that an earlier line is one word edit away from: (id, removed)."""
-
-    def ends(words: list[bytes]) -> Iterator[tuple]:
-        if len(words) >= min_words - 1:
-            held = _line_id(words)
-            for key, _, _ in end_keys(words):
-                yield key, held
-
-    shared = _scan(docs, ends, "key long, id binary").groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a <> b").select("key")
+def near_lines(docs: DataFrame, table: DataFrame, min_words: int) -> DataFrame:
+    """Line ids that an earlier line is one word edit away from."""
+    ends = table.select(F.explode("keys").alias("key"), "id")
+    shared = stored(ends.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a <> b").select("key"))
     shared_keys = bit_filter(shared, "key")
 
-    def neighbours(words: list[bytes]) -> Iterator[tuple]:
-        n = len(words)
-        if n < min_words - 1:
-            return
-        keys = end_keys(words)
-        hit = in_filter(shared_keys.value, np.array([k for k, _, _ in keys]))
-        spans = [(h, n) if start else (0, n - h) for (_, h, start), x in zip(keys, hit.tolist(), strict=True) if x]
-        if not spans:
-            return
+    def neighbours(words: list[bytes]) -> list[tuple]:
+        if len(words) < min_words - 1:
+            return []
+        keys = region_keys(words)
+        hit = in_filter(shared_keys.value, np.array([k for k, _, _ in keys])).tolist()
+        if True not in hit:
+            return []
         held = _line_id(words)
-        first, last = min(a for a, _ in spans), max(b for _, b in spans)
-        for key, role in variants(words, first, last):
-            yield key, role, held
-        yield _key(b"d", b" ".join(words)), 2, held
+        places = sorted({p for (_, a, b), x in zip(keys, hit, strict=True) if x for p in range(a, b)})
+        return [(key, role, held) for key, role in variants(words, places)] + [(_key(b"d", b" ".join(words)), 2, held)]
 
     emitted = _scan(docs, neighbours, "key long, role int, id binary")
     # one row for each line and variant, with the line's earliest place
@@ -138,15 +155,21 @@ def near_lines(docs: DataFrame, min_words: int) -> DataFrame:
     partner = F.when(F.col("role") == 0, F.col("m0")).when(F.col("role") == 1, F.col("m2")).otherwise(F.col("m1"))
     pairs = lines.join(groups, "key").withColumn("p", partner).filter("p.at < at and p.id <> id")
     pairs = stored(pairs.select("id", "at", F.col("p.id").alias("other"), F.col("p.at").alias("other_at")).distinct())
-    wanted = bit_filter(pairs.select(F.explode(F.array("id", "other")).alias("id")).select(F.xxhash64("id").alias("key")), "key")
+    # Only documents that hold the earliest place of a line of a pair are read again.
+    lines_of = pairs.select(F.explode(F.array(F.struct("id", "at"), F.struct(F.col("other").alias("id"), F.col("other_at").alias("at")))).alias("x")).select("x.id", "x.at.doc").distinct()
+    homes = bit_filter(stored(lines_of.select(F.xxhash64("doc").alias("key")).distinct()), "key")
+
+    def chosen(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            yield pdf.loc[in_filter(homes.value, pdf["key"].to_numpy(np.int64)), ["doc", "tag", "text"]]
+
+    some = docs.select("doc", "tag", "text", F.xxhash64("doc").alias("key")).mapInPandas(chosen, "doc long, tag long, text string")
 
-    def texts(words: list[bytes]) -> Iterator[tuple]:
-        if len(words) >= min_words - 1:
-            yield _line_id(words), b" ".join(words)
+    def texts(words: list[bytes]) -> list[tuple]:
+        return [(_line_id(words), b" ".join(words))] if len(words) >= min_words - 1 else []
 
-    said = _scan(docs, texts, "id binary, words binary")
-    said = said.filter(_filtered(said, wanted)).groupBy("id").agg(F.min("words").alias("words"))
-    said = stored(said)
+    said = _scan(some, texts, "id binary, words binary").select("id", "words")
+    said = stored(said.join(lines_of.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]))
     both = pairs.join(said, "id").join(said.select(F.col("id").alias("other"), F.col("words").alias("other_words")), "other")
 
     def verified(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -157,27 +180,17 @@ def near_lines(docs: DataFrame, min_words: int) -> DataFrame:
     return both.select("id", "words", "other_words").mapInPandas(verified, "id binary").distinct()
 
 
-def _filtered(df: DataFrame, held) -> Column:
-    def passes(key: pd.Series) -> pd.Series:
-        return pd.Series(in_filter(held.value, key.to_numpy(np.int64)))
-
-    return F.pandas_udf(passes, "boolean")(F.xxhash64("id"))
-
-
 def repeated_lines(docs: DataFrame, max_edits: int = 1, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc, tag, lines): the numbers of the lines to remove from a document."""
 
-    def ids(words: list[bytes]) -> Iterator[tuple]:
-        yield (_line_id(words),)
-
-    lines = _scan(docs, ids, "id binary")
+    lines = line_table(docs, min_words)
     first = lines.groupBy("id").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n"))
     if max_edits:
-        first = first.join(near_lines(docs, min_words).withColumn("near", F.lit(True)), "id", "left")
+        first = first.join(near_lines(docs, lines, min_words).withColumn("near", F.lit(True)), "id", "left")
     else:
         first = first.withColumn("near", F.lit(None).cast("boolean"))
     judged = first.filter("n > 1 or near").select("id", "first", F.coalesce("near", F.lit(False)).alias("near"))
-    gone = lines.join(judged.hint("merge"), "id").filter(F.col("near") | ~_place().eqNullSafe(F.col("first")))
+    gone = lines.drop("keys").join(judged.hint("merge"), "id").filter(F.col("near") | ~_place().eqNullSafe(F.col("first")))
     return gone.groupBy("doc", "tag").agg(F.collect_set("line").alias("lines"))
 
 
