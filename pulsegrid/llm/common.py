@@ -66,21 +66,22 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-MAX_FILTER_BITS = 1 << 28
+MAX_FILTER_BITS = 1 << 27
 
 
 def bit_filter(keys: DataFrame, key: str):
     """A broadcast bit array that holds every key of a long column.
 
-    32 bits a key, ``MAX_FILTER_BITS`` at most: a fuller filter lets more other
+    16 bits a key, ``MAX_FILTER_BITS`` (16 MB) at most: a fuller filter lets more other
     keys through but never stops one that is in it, so callers use it only to
     leave out work.
     """
-    bits = int(min(max(32 * keys.count(), 1 << 14), MAX_FILTER_BITS)) // 64 * 64
+    bits = int(min(max(16 * keys.count(), 1 << 14), MAX_FILTER_BITS)) // 64 * 64
     at = F.explode(F.array(*_bit_places(F.col(key), bits)))
-    words = keys.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("mask")).toPandas()
+    words = keys.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("mask"))
     out = np.zeros(bits // 64, dtype=np.int64)
-    out[words["word"].to_numpy(np.int64)] = words["mask"].to_numpy(np.int64)
+    for batch in words.toArrow().to_batches():
+        out[batch["word"].to_numpy()] = batch["mask"].to_numpy()
     return keys.sparkSession.sparkContext.broadcast(out)
 
 
@@ -99,3 +100,15 @@ def in_filter(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
         at = (keys.view(np.uint64) >> np.uint64(k)).astype(np.int64) % (bits - k) if k else keys % bits
         out &= (words[at >> 6] >> (at & 63)) & 1 == 1
     return out
+
+
+#: Rows of an Arrow batch: with texts of some KB, a few MB in a Python worker at once.
+BATCH_ROWS = 2_000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df`` itself; the session's Arrow batches get at most ``BATCH_ROWS`` rows from now on."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(key, str(BATCH_ROWS))
+    return df

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_filter, in_filter, require, stored
+from .common import bit_filter, in_filter, require, small_batches, stored
 from .components import connected_components
 
 WIDTH = 5
@@ -145,12 +145,12 @@ def prefix(tokens: np.ndarray, rarity: np.ndarray, order: int, percent: int) ->
     size = n - -(-percent * n // 100) + 1
     if size >= n:
         return tokens
-    rank = (rarity[(tokens >> _U(64 - SKETCH_BITS)).astype(np.int64)] << _U(56)) | (_mixed(tokens, order + 11) >> _U(8))
+    rank = (rarity[(tokens >> _U(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << _U(56)) | (_mixed(tokens, order + 11) >> _U(8))
     return tokens[np.argpartition(rank, size - 1)[:size]]
 
 
 def _rarity(counts: np.ndarray) -> np.ndarray:
-    return np.minimum(np.floor(4 * np.log2(counts + 1.0)), 255).astype(np.uint64)
+    return np.minimum(np.floor(4 * np.log2(counts + 1.0)), 255).astype(np.uint8)
 
 
 def live_rows(docs: DataFrame, rarity: np.ndarray, width: int, percent: int) -> DataFrame:
@@ -294,7 +294,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     require(docs, id_col, text_col)
     if not 0 < percent <= 100:
         raise ValueError("percent must be 1 to 100")
-    keyed = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    keyed = small_batches(docs).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
 
     rows, _, labels = links(keyed, width, percent)
     least = rows.filter("n > 0").groupBy("class").agg(F.min("doc").alias("least"))
