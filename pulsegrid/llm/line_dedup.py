@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -10,17 +11,32 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_filter, in_filter, require, stored
+from .common import bit_filter, in_filter, require, small_batches, stored
 
 MIN_WORDS = 8
 
 
-def _key(*parts: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(b"\0".join(parts)) - (1 << 63)
+def _signed(h: int) -> int:
+    return h - (1 << 63)
 
 
-def _line_id(words: list[bytes]) -> bytes:
-    return xxhash.xxh3_128_digest(b" ".join(words))
+class Line:
+    """The words of a line joined by single spaces, and where each begins."""
+
+    __slots__ = ("said", "at", "n")
+
+    def __init__(self, words: list[bytes]) -> None:
+        self.said = b" ".join(words)
+        self.n = len(words)
+        self.at = [0, *accumulate(len(w) + 1 for w in words)]
+
+    @property
+    def id(self) -> bytes:
+        return xxhash.xxh3_128_digest(self.said)
+
+    def without(self, p: int) -> bytes:
+        """The line less its word p."""
+        return self.said[: self.at[p]] + self.said[self.at[p + 1] :] if p + 1 < self.n else self.said[: max(self.at[p] - 1, 0)]
 
 
 REGIONS = 4
@@ -31,32 +47,40 @@ def _bases(n: int) -> dict[int, None]:
     return dict.fromkeys(m if m < 16 else m // 8 * 8 for m in (n, n - 1))
 
 
-def region_keys(words: list[bytes]) -> list[tuple[int, int, int]]:
+def region_keys(line: Line) -> list[tuple[int, int, int]]:
     """(key, from, to): hashes of a line without its words from..to-1.
 
     A line of about ``base`` words is cut into regions; an edit of one word
     lies in one of them, and leaves what is before and after it as it was.
     """
-    n = len(words)
     out = []
-    for base in _bases(n):
-        cuts = [base * r // REGIONS for r in range(REGIONS + 1)]
+    for base in _bases(line.n):
         for r in range(REGIONS):
-            after = base - cuts[r + 1]
-            out.append((_key(b"%d %d" % (base, r), b" ".join(words[: cuts[r]]), b" ".join(words[n - after :])), cuts[r], n - after))
+            first, last = base * r // REGIONS, line.n - base + base * (r + 1) // REGIONS
+            rest = line.said[: line.at[first]] + b"\0" + line.said[line.at[last] :]
+            out.append((_signed(xxhash.xxh3_64_intdigest(rest, base * REGIONS + r + 1)), first, last))
     return out
 
 
-def variants(words: list[bytes], places: list[int]) -> Iterator[tuple[int, int]]:
-    """(key, role) of the line without the word at one of the places.
+def variants(line: Line, places: list[int]) -> list[int]:
+    """Two keys for each place: of the line without the word there.
 
-    Role 0 names the place of the deletion, so equal keys differ by a
-    substitution; role 1 does not, and meets role 2, the line as it is.
+    The first one names the place, so lines that share it differ by a
+    substitution; the second does not, and meets the key of a whole line.
     """
+    out = []
     for p in places:
-        rest = b" ".join(words[:p] + words[p + 1 :])
-        yield _key(b"p", str(p).encode(), rest), 0
-        yield _key(b"d", rest), 1
+        h = xxhash.xxh3_64_intdigest(line.without(p))
+        out += [_signed(h ^ _place_mark(p)), _signed(h)]
+    return out
+
+
+def _place_mark(p: int) -> int:
+    return (p + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
+
+
+def whole_key(line: Line) -> int:
+    return _signed(xxhash.xxh3_64_intdigest(line.said))
 
 
 def within_one(a: list[bytes], b: list[bytes]) -> bool:
@@ -86,43 +110,15 @@ def line_table(docs: DataFrame, min_words: int) -> DataFrame:
             for row, number, words in _each_line(pdf):
                 rows.append(row)
                 numbers.append(number)
-                ids.append(_line_id(words))
-                keys.append([k for k, _, _ in region_keys(words)] if len(words) >= min_words - 1 else None)
+                line = Line(words)
+                ids.append(line.id)
+                keys.append([k for k, _, _ in region_keys(line)] if line.n >= min_words - 1 else None)
             at = np.array(rows, dtype=np.int64)
             yield pd.DataFrame({"doc": pdf["doc"].astype("Int64").array.take(at), "tag": pdf["tag"].to_numpy(np.int64)[at], "line": numbers, "id": ids, "keys": keys})
 
     return stored(docs.mapInPandas(scan, "doc long, tag long, line int, id binary, keys array<long>"))
 
 
-def _scan(docs: DataFrame, emit, schema: str) -> DataFrame:
-    """``emit(words)`` gives the rest of the rows for a line, after its place in the corpus."""
-    names = [f.split()[0] for f in schema.split(", ")]
-
-    def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            rows, numbers, rest = [], [], []
-
-            def table(pdf=pdf) -> pd.DataFrame:
-                at = np.array(rows, dtype=np.int64)
-                out = pd.DataFrame.from_records(rest, columns=names)
-                out.insert(0, "line", numbers)
-                out.insert(0, "tag", pdf["tag"].to_numpy(np.int64)[at])
-                out.insert(0, "doc", pdf["doc"].astype("Int64").array.take(at))
-                return out
-
-            for row, number, words in _each_line(pdf):
-                found = emit(words)
-                rest += found
-                rows += [row] * len(found)
-                numbers += [number] * len(found)
-                if len(rest) > 100_000:
-                    yield table()
-                    rows, numbers, rest = [], [], []
-            yield table()
-
-    return docs.mapInPandas(scan, f"doc long, tag long, line int, {schema}")
-
-
 def _place() -> Column:
     return F.struct("doc", "tag", "line")
 
@@ -133,18 +129,34 @@ def near_lines(docs: DataFrame, table: DataFrame, min_words: int) -> DataFrame:
     shared = stored(ends.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a <> b").select("key"))
     shared_keys = bit_filter(shared, "key")
 
-    def neighbours(words: list[bytes]) -> list[tuple]:
-        if len(words) < min_words - 1:
-            return []
-        keys = region_keys(words)
-        hit = in_filter(shared_keys.value, np.array([k for k, _, _ in keys])).tolist()
-        if True not in hit:
-            return []
-        held = _line_id(words)
-        places = sorted({p for (_, a, b), x in zip(keys, hit, strict=True) if x for p in range(a, b)})
-        return [(key, role, held) for key, role in variants(words, places)] + [(_key(b"d", b" ".join(words)), 2, held)]
-
-    emitted = _scan(docs, neighbours, "key long, role int, id binary")
+    def neighbours(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in parts:
+            for start in range(0, len(whole), 500):
+                pdf = whole.iloc[start : start + 500]
+                lines, keys = [], []
+                for row, number, words in _each_line(pdf):
+                    if len(words) >= min_words - 1:
+                        line = Line(words)
+                        lines.append((row, number, line, len(keys)))
+                        keys += region_keys(line)
+                hit = in_filter(shared_keys.value, np.array([k for k, _, _ in keys], dtype=np.int64))
+                some = np.concatenate([[0], np.cumsum(hit)]).tolist()
+                rows, numbers, ids, out, sizes = [], [], [], [], []
+                for row, number, line, at in lines:
+                    end = at + REGIONS * len(_bases(line.n))
+                    if some[at] < some[end]:
+                        places = sorted({p for i in range(at, end) if hit[i] for p in range(keys[i][1], keys[i][2])})
+                        out += [whole_key(line), *variants(line, places)]
+                        rows.append(row)
+                        numbers.append(number)
+                        ids.append(line.id)
+                        sizes.append(1 + 2 * len(places))
+                n = np.array(sizes, dtype=np.int64)
+                role = np.arange(len(out)) - np.repeat(np.cumsum(n) - n, n)
+                at = np.repeat(np.array(rows, dtype=np.int64), n)
+                yield pd.DataFrame({"doc": pdf["doc"].astype("Int64").array.take(at), "tag": pdf["tag"].to_numpy(np.int64)[at], "line": np.repeat(np.array(numbers, dtype=np.int64), n), "key": np.array(out, dtype=np.int64), "role": np.where(role == 0, 2, (role - 1) % 2), "id": np.repeat(np.array(ids, dtype=object), n)})
+
+    emitted = docs.mapInPandas(neighbours, "doc long, tag long, line int, key long, role int, id binary")
     # one row for each line and variant, with the line's earliest place
     lines = stored(emitted.groupBy("key", "role", "id").agg(F.min(_place()).alias("at")))
     groups = (
@@ -159,16 +171,13 @@ def near_lines(docs: DataFrame, table: DataFrame, min_words: int) -> DataFrame:
     lines_of = pairs.select(F.explode(F.array(F.struct("id", "at"), F.struct(F.col("other").alias("id"), F.col("other_at").alias("at")))).alias("x")).select("x.id", "x.at.doc").distinct()
     homes = bit_filter(stored(lines_of.select(F.xxhash64("doc").alias("key")).distinct()), "key")
 
-    def chosen(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def texts(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            yield pdf.loc[in_filter(homes.value, pdf["key"].to_numpy(np.int64)), ["doc", "tag", "text"]]
-
-    some = docs.select("doc", "tag", "text", F.xxhash64("doc").alias("key")).mapInPandas(chosen, "doc long, tag long, text string")
-
-    def texts(words: list[bytes]) -> list[tuple]:
-        return [(_line_id(words), b" ".join(words))] if len(words) >= min_words - 1 else []
+            some = pdf[in_filter(homes.value, pdf["key"].to_numpy(np.int64))]
+            lines = [Line(words) for _, _, words in _each_line(some) if len(words) >= min_words - 1]
+            yield pd.DataFrame({"id": [x.id for x in lines], "words": [x.said for x in lines]})
 
-    said = _scan(some, texts, "id binary, words binary").select("id", "words")
+    said = docs.select("text", F.xxhash64("doc").alias("key")).mapInPandas(texts, "id binary, words binary")
     said = stored(said.join(lines_of.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]))
     both = pairs.join(said, "id").join(said.select(F.col("id").alias("other"), F.col("words").alias("other_words")), "other")
 
@@ -213,7 +222,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         raise ValueError("min_words must be 4 or more")
     kept = docs.drop("n_lines", "n_removed")
     tag = F.hash(F.col(text_col)).cast("long")
-    keyed = docs.select(F.col(id_col).cast("long").alias("doc"), tag.alias("tag"), F.col(text_col).alias("text"))
+    keyed = small_batches(docs).select(F.col(id_col).cast("long").alias("doc"), tag.alias("tag"), F.col(text_col).alias("text"))
     gone = repeated_lines(keyed, max_edits, min_words)
     match = kept[id_col].cast("long").eqNullSafe(gone["doc"]) & (tag == gone["tag"])
     joined = kept.join(gone, match, "left").drop("doc", "tag")
