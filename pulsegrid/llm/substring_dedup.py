@@ -9,12 +9,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import require, stored
+from .common import require, small_batches, stored
 
 THRESHOLD = 200
 #: Contexts of one anchor string that a task sorts; beyond, windows are grouped by Spark.
 MOST_CONTEXTS = 20_000
-CHUNK = 1 << 20
+CHUNK = 1 << 19
+#: Contexts that a task turns into rows, or begins to sort, at once.
+SLICE = 5_000
 DIGITS = 4
 
 _RNG = np.random.default_rng(20)
@@ -141,16 +143,19 @@ def _contexts(docs: DataFrame, edges: DataFrame, threshold: int) -> DataFrame:
     names = ["anchor", "place", "alone"]
 
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for whole in parts:
-            for at in range(0, len(whole), 1000):
-                pdf = whole.iloc[at : at + 1000]
-                sizes = pdf["place"].map(len).to_numpy(np.int64)
-                out = {n: np.concatenate(pdf[n].to_list()) for n in names}
-                row = np.repeat(np.arange(len(pdf)), sizes)
-                raws = [t.encode() for t in pdf["text"]]
-                cuts = zip(row.tolist(), np.maximum(out["place"] - reach, 0).tolist(), (out["place"] + threshold).tolist(), strict=True)
-                out |= {"doc": pdf["doc"].astype("Int64").array.take(row), "tag": pdf["tag"].to_numpy(np.int64)[row], "before": np.minimum(out["place"], reach), "bytes": [raws[i][a:b] for i, a, b in cuts]}
-                yield pd.DataFrame(out)
+        for pdf in parts:
+            row = np.repeat(np.arange(len(pdf)), pdf["place"].map(len).to_numpy(np.int64))
+            whole = {n: np.concatenate(pdf[n].to_list()) for n in names}
+            doc, tag, texts = pdf["doc"].astype("Int64").array, pdf["tag"].to_numpy(np.int64), pdf["text"].to_list()
+            last, raw = -1, b""
+            for at in range(0, len(row), SLICE):
+                rows, out = row[at : at + SLICE], {n: v[at : at + SLICE] for n, v in whole.items()}
+                held = []
+                for i, place in zip(rows.tolist(), out["place"].tolist(), strict=True):
+                    if i != last:
+                        last, raw = i, texts[i].encode()
+                    held.append(raw[max(place - reach, 0) : place + threshold])
+                yield pd.DataFrame(out | {"doc": doc.take(rows), "tag": tag[rows], "before": np.minimum(out["place"], reach), "bytes": held})
 
     joined = docs.join(per_doc, same).select(docs["doc"], docs["tag"], "text", *[F.col(f"open.{n}").alias(n) for n in names])
     return joined.mapInPandas(cut, "anchor long, doc long, tag long, place long, alone boolean, before int, bytes binary")
@@ -169,7 +174,9 @@ class _Matrix:
         cells = np.frombuffer(b"".join(padded), dtype=np.uint8).reshape(len(pdf), width)
         self.up, down = _powers(width + 1)
         self.sums = np.zeros((len(pdf), width + 1), dtype=np.uint64)
-        np.cumsum(_BYTE[cells] * down[:width], axis=1, out=self.sums[:, 1:])
+        for at in range(0, len(pdf), 1000):
+            self.sums[at : at + 1000, 1:] = _BYTE[cells[at : at + 1000]] * down[:width]
+        np.cumsum(self.sums, axis=1, out=self.sums)
 
     def valid(self, d: int) -> np.ndarray:
         return np.flatnonzero((self.before >= d) & (self.after >= self.threshold - d))
@@ -223,7 +230,7 @@ def _by_task(contexts: DataFrame, threshold: int) -> DataFrame:
                 if cut is None:
                     held.append(pdf.iloc[at:])
                     size += len(pdf) - at
-                elif size + cut - at >= MOST_CONTEXTS // 2:
+                elif size + cut - at >= SLICE:
                     held.append(pdf.iloc[at:cut])
                     yield _sorted_windows(pd.concat(held, ignore_index=True), threshold)
                     held, size, at = [], 0, int(cut)
@@ -272,7 +279,7 @@ def repeated_spans(docs: DataFrame, threshold: int, most_contexts: int = MOST_CO
     found = inside.unionByName(_by_task(_contexts(docs, few, threshold), threshold))
     if mixed.filter(F.col("n_contexts") > most_contexts).isEmpty():
         return found
-    many = stored(_contexts(docs, edges.filter(F.col("n_contexts") > most_contexts), threshold))
+    many = _contexts(docs, edges.filter(F.col("n_contexts") > most_contexts), threshold)
     return found.unionByName(_by_window(many, threshold))
 
 
@@ -290,7 +297,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     if threshold < 8:
         raise ValueError("threshold must be 8 bytes or more")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(F.col(id_col).cast("long").alias("doc"), F.hash(text).cast("long").alias("tag"), text.alias("text"))
+    keyed = small_batches(docs).select(F.col(id_col).cast("long").alias("doc"), F.hash(text).cast("long").alias("tag"), text.alias("text"))
     spans = repeated_spans(keyed, threshold, most_contexts)
     per_doc = spans.groupBy("doc", "tag").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("found"))
     same = keyed["doc"].eqNullSafe(per_doc["doc"]) & (keyed["tag"] == per_doc["tag"])
