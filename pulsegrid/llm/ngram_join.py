@@ -16,6 +16,8 @@ from .components import connected_components
 WIDTH = 5
 PERCENT = 80
 ORDERS = 3
+#: Rounds of pairs with leaders before all pairs across components.
+LEADER_TURNS = 3
 SKETCH_BITS = 20
 BLOCK = 4096
 
@@ -193,14 +195,17 @@ def _enough_shared(pairs: DataFrame, live: DataFrame, percent: int) -> DataFrame
     return met.filter(f"common + {rest} >= {least}").select("a", "b")
 
 
-def _to_leaders(live: DataFrame, percent: int) -> DataFrame:
-    """Pairs of each class with the first and the last class of each of its tokens.
+def _to_leaders(live: DataFrame, labels: DataFrame | None, turn: int, percent: int) -> DataFrame:
+    """Pairs of each class with two leaders of each of its tokens, by a hash that differs from turn to turn.
 
-    Two pairs for a row, however many classes share a token.
+    Two pairs for a row at most, however many classes share a token; classes
+    that have the leader's label already are left out.
     """
-    ends = live.groupBy("token").agg(*[f(F.struct("class", "n")).alias(k) for k, f in (("low", F.min), ("high", F.max))])
-    met = live.join(ends.hint("merge"), "token").select("class", "n", F.explode(F.array("low", "high")).alias("lead"))
-    met = met.filter(f"class <> lead.class and {_fits('n', 'lead.n', percent)}")
+    rows = live.withColumn("label", F.col("class")) if labels is None else _labelled(live, labels)
+    rank = F.struct(F.xxhash64("class", F.lit(turn)).alias("rank"), "class", "n", "label")
+    ends = rows.groupBy("token").agg(F.min(rank).alias("low"), F.max(rank).alias("high"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
+    met = rows.join(ends.hint("merge"), "token").select("class", "n", "label", F.explode(F.array("low", "high")).alias("lead"))
+    met = met.filter(f"label <> lead.label and {_fits('n', 'lead.n', percent)}")
     return met.select(F.least("class", "lead.class").alias("a"), F.greatest("class", "lead.class").alias("b")).distinct()
 
 
@@ -262,7 +267,7 @@ def links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tuple[
     (node, label) of the linked classes.
 
     Enough links are found for the components to be exact: first those with
-    the leaders of tokens, which join a large group of near copies in about as
+    the leaders of tokens, in a few turns, which join a large group of near copies in about as
     many pairs as it has rows; then every pair that shares a prefix token and
     is not yet in one component.  Pairs are verified if they share enough of
     their prefixes under the first order and something under each other one.
@@ -270,14 +275,16 @@ def links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tuple[
     rows, counts = measured(docs, width)
     rarity = _rarity(counts)
     live = live_rows(docs, rarity, width, percent)
-    tried = stored(_enough_shared(_to_leaders(live, percent), live, percent))
-    found = _verified(tried, class_sets(docs, rows, tried, width), rarity, percent)
-    labels = stored(connected_components(found))
-    rest = _all_across(live, labels, percent).join(tried, ["a", "b"], "left_anti")
-    rest = stored(_enough_shared(rest, live, percent))
-    more = _verified(rest, class_sets(docs, rows, rest, width), rarity, percent)
-    verified = found.union(more)
-    return rows, verified, stored(connected_components(verified))
+    verified = tried = labels = None
+    for turn in range(LEADER_TURNS + 1):
+        pairs = _to_leaders(live, labels, turn, percent) if turn < LEADER_TURNS else _all_across(live, labels, percent)
+        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = stored(_enough_shared(pairs, live, percent))
+        found = _verified(pairs, class_sets(docs, rows, pairs, width), rarity, percent)
+        tried = pairs if tried is None else tried.union(pairs)
+        verified = found if verified is None else verified.union(found)
+        labels = stored(connected_components(verified))
+    return rows, verified, labels
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
