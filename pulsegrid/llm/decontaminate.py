@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import require
+from .common import require, small_batches
 
 #: Fixed pattern: words of a text as given; A-Z counts as a-z.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -124,7 +124,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """
     require(docs, text_col)
     require(benchmark, item_col, item_text_col)
-    docs = docs.drop("n_words", "hits", "items", "spans")
+    docs = small_batches(docs).drop("n_words", "hits", "items", "spans")
     fields = T.StructType(docs.schema.fields + T._parse_datatype_string(ADDED).fields)
     spark = docs.sparkSession
     blocks = list(item_blocks(benchmark, item_col, item_text_col, block_bytes)) or [[]]

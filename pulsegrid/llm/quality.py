@@ -9,10 +9,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import require, stored
+from .common import require, small_batches, stored
 
 STATISTICS = (
     "log_bytes", "log_words", "word_bytes", "upper", "digit", "space", "newline", "stop", "comma", "bang", "bar",
@@ -62,7 +63,7 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             yield pdf.drop(columns=text_col).assign(stats=[np.asarray(statistics(t), dtype=np.float32) for t in pdf[text_col].tolist()])
 
     require(docs, id_col, text_col)
-    return docs.mapInPandas(measure, ", ".join([*kept, "stats array<float>"]))
+    return small_batches(docs).mapInPandas(measure, ", ".join([*kept, "stats array<float>"]))
 
 
 class Model(NamedTuple):
@@ -103,7 +104,7 @@ def _normal_equations(rows: DataFrame, mean: np.ndarray, spread: np.ndarray, see
             b += z.T @ pdf["quality"].to_numpy(float)
             seen += len(pdf)
         if seen:
-            yield pd.DataFrame({"part": [int(abs(b).sum() * 1e6) % 16], "sums": [np.concatenate([a.ravel(), b]).tobytes()]})
+            yield pd.DataFrame({"part": [TaskContext.get().partitionId() % 16], "sums": [np.concatenate([a.ravel(), b]).tobytes()]})
 
     def total(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"sums": [sum(np.frombuffer(x) for x in pdf["sums"]).tobytes()]})
@@ -197,4 +198,4 @@ def keep_quality(docs: DataFrame, model: Model, text_col: str = "text", threshol
             if len(pdf):
                 yield pdf[calibrated(held.value, np.array([statistics(t) for t in pdf[text_col].tolist()], dtype=np.float32).astype(float)) >= threshold]
 
-    return docs.mapInPandas(keep, docs.schema)
+    return small_batches(docs).mapInPandas(keep, docs.schema)

@@ -123,6 +123,21 @@ SELECT l.doc_id, count(*) FILTER (len(w) > 0) AS n_lines, count(g.n) AS n_remove
 FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.n = g.n GROUP BY l.doc_id
 """
 
+OP4_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(w[i : i + 4], ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b USING (s) WHERE a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM common JOIN sizes a ON x = a.doc_id JOIN sizes b ON y = b.doc_id WHERE 100 * c >= 80 * (a.n + b.n - c)
+), near AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, n.y FROM reach r JOIN near n ON r.other = n.x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, min(other) AS component_id FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY ALL
+"""
+
 OP8_SQL = """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept,
        sha256(coalesce(text, '')) AS text_sha256
@@ -151,4 +166,4 @@ FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": OP2_SQL, "op3_line_dedup": OP3_SQL, "op8_exact_dedup": OP8_SQL, "op10_decontamination": OP10_SQL}
+    return {"op2_url_filter": OP2_SQL, "op3_line_dedup": OP3_SQL, "op4_ngram_join": OP4_SQL, "op8_exact_dedup": OP8_SQL, "op10_decontamination": OP10_SQL}

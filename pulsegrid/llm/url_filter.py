@@ -21,7 +21,7 @@ RULES = (
 )
 HASHES = 6
 BITS_PER_KEY = 9
-MAX_BITS = 1 << 30
+MAX_BITS = 1 << 28
 MAX_LEVELS = 24
 
 
@@ -79,9 +79,10 @@ def _level(keys: DataFrame, level: int, bits: int) -> np.ndarray:
                 mask = np.bitwise_or.reduceat(np.uint64(1) << (pos & np.uint64(63)), at)
                 yield pd.DataFrame({"word": word, "mask": mask.view(np.int64)})
 
-    rows = keys.mapInPandas(words, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
+    rows = keys.mapInPandas(words, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask"))
     out = np.zeros(-(-bits // 64), dtype=np.uint64)
-    out[rows["word"].to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64).view(np.uint64)
+    for batch in rows.toArrow().to_batches():
+        out[batch["word"].to_numpy()] = batch["mask"].to_numpy().view(np.uint64)
     return out
 
 
