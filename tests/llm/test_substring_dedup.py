@@ -43,14 +43,12 @@ def test_texts_longer_than_a_chunk(spark, monkeypatch):
     long = "".join(rng.choice(list("abcdefgh"), 5000))
     rows = [(1, long), (2, "x" * 10 + long[1000:1400] + "y"), (3, long[4990:] + long[:400])]
     want = brute(rows, 50)
-    finder = substring_dedup.Anchors(50)
-    whole = [tuple(x.tolist()) for x in zip(*finder.find([long.encode()]), strict=True)][0]
     monkeypatch.setattr(substring_dedup, "CHUNK", 700)
     parts = list(substring_dedup.Anchors(50).find([long.encode()]))
     places = sorted(p for part in parts for p in part[1].tolist())
     monkeypatch.undo()
     everything = sorted(p for part in substring_dedup.Anchors(50).find([long.encode()]) for p in part[1].tolist())
-    assert places == everything and len(whole) == 6
+    assert places == everything and len(places) > 50
     got = substring_dedup.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string"), threshold=50).collect()
     assert sorted((r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], bytes(r.kept)) for r in got) == want
 
