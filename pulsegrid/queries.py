@@ -20,6 +20,7 @@ from .streaming import live
 
 HOUR = 3600
 WINDOW, HORIZONS, STRIDE = 48, (4, 12), 6
+OWN_WINDOW, OWN_HORIZONS, OWN_STRIDE = 240, (20, 60, 120), 4
 KINDS = {"click": "cpu", "view": "memory", "purchase": "network"}
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +64,16 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.drop_incomplete(clean.regular_grid(dense(spark, sf_dir), HOUR))
 
 
+def growing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long series whose number grows with the users: containers of 40 users each."""
+    name = F.concat(F.lit("c"), F.floor(F.regexp_extract("container_name", "([0-9]+)$", 1).cast("long") / 40))
+    return samples(spark, sf_dir).withColumn("container_name", name)
+
+
+def growing_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.drop_incomplete(clean.regular_grid(growing(spark, sf_dir), HOUR))
+
+
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Samples at full hours, so keys repeat."""
     return samples(spark, sf_dir).withColumn(TIME, F.date_trunc("HOUR", TIME).cast("timestamp_ntz"))
@@ -76,11 +87,18 @@ def split_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.temporal_split(small_windows(spark, sf_dir), "window_id")
 
 
+def own_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.sliding_windows(growing_grid(spark, sf_dir), OWN_WINDOW, OWN_HORIZONS, OWN_STRIDE)
+
+
 def naive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions: the last value of each window, for every step."""
-    cut = small_windows(spark, sf_dir)
-    flat = {f"pred_{h}": F.array_repeat(F.element_at("x", -1), h) for h in HORIZONS}
-    return evaluate.pair_steps(cut.withColumns(flat), HORIZONS)
+    return _last_values(small_windows(spark, sf_dir), HORIZONS)
+
+
+def _last_values(cut: DataFrame, horizons: tuple[int, ...]) -> DataFrame:
+    flat = {f"pred_{h}": F.array_repeat(F.element_at("x", -1), h) for h in horizons}
+    return evaluate.pair_steps(cut.withColumns(flat), horizons)
 
 
 WITH = """
@@ -115,6 +133,17 @@ WITH samples AS (
 ), errors AS (SELECT *, y_true - y_pred AS e FROM predictions)
 """
 
+_OVER = "(PARTITION BY metric_name, container_name ORDER BY timestamp)"
+_TARGETS = ", ".join(f"list(value) OVER (s ROWS BETWEEN {OWN_WINDOW} FOLLOWING AND {OWN_WINDOW + h - 1} FOLLOWING) AS y_{h}, lead(timestamp, {OWN_WINDOW + h - 1}) OVER s AS target_end_{h}" for h in OWN_HORIZONS)
+_STEPS = " UNION ALL ".join(f"SELECT metric_name, container_name, window_id, {h} AS horizon, i AS step, y_{h}[i + 1] AS y_true, x[{OWN_WINDOW}] AS y_pred FROM cuts, range(0, {h}) t(i)" for h in OWN_HORIZONS)
+#: The same tables of containers of 40 users each, in windows of the operators' own size.
+WITH_GROWING = WITH[: WITH.index("), cut AS (")].replace("(user_id % 4)", "(user_id // 40)") + f"""), cut AS (
+  SELECT metric_name, container_name, row_no // {OWN_STRIDE} AS window_id, row_no, n_rows, timestamp AS window_start, lead(timestamp, {OWN_WINDOW - 1}) OVER s AS window_end,
+         list(value) OVER (s ROWS BETWEEN CURRENT ROW AND {OWN_WINDOW - 1} FOLLOWING) AS x, {_TARGETS}, lead(timestamp, {OWN_WINDOW}) OVER s AS target_start
+  FROM numbered WINDOW s AS {_OVER}
+), cuts AS (SELECT * FROM cut WHERE row_no % {OWN_STRIDE} = 0 AND row_no + {OWN_WINDOW + max(OWN_HORIZONS)} <= n_rows
+""" + WITH[WITH.index("), parted AS (") : WITH.index("), predictions AS (")] + f"), predictions AS ({_STEPS}), errors AS (SELECT *, y_true - y_pred AS e FROM predictions)\n"
+
 
 def r(*exprs: str, digits: int = 6) -> str:
     """SQL: each 'expression AS name' rounded; + 0.0 turns -0.0 into 0.0."""
@@ -300,6 +329,11 @@ def w4_limited_fill(spark, sf_dir):
     return rounded(clean.regular_grid(dense(spark, sf_dir), HOUR))
 
 
+@query(WITH_GROWING + f"SELECT metric_name, container_name, timestamp, {r('value')} FROM filled")
+def w4_limited_fill_growing(spark, sf_dir):
+    return rounded(clean.regular_grid(growing(spark, sf_dir), HOUR))
+
+
 @query(WITH + f""", clip AS (SELECT metric_name, container_name, avg(value) AS m, stddev_samp(value) AS s FROM grid GROUP BY ALL)
 SELECT metric_name, container_name, timestamp, {r('CASE WHEN s > 0 THEN least(greatest(value, greatest(0, m - 1.5 * s)), m + 1.5 * s) ELSE value END AS value')} FROM grid JOIN clip USING (metric_name, container_name)""")
 def w11_clip_outliers(spark, sf_dir):
@@ -424,6 +458,14 @@ def w7_w9_windows(spark, sf_dir):
     return _rounded_arrays(small_windows(spark, sf_dir), "x", "y_4", "y_12")
 
 
+_OWN_ARRAYS = ", ".join(f"list_transform({c}, lambda v: round(v, 6) + 0.0) AS {c}" for c in ("x", *(f"y_{h}" for h in OWN_HORIZONS)))
+
+
+@query(WITH_GROWING + f"SELECT metric_name, container_name, window_id, window_start, window_end, {', '.join(f'target_start AS target_start_{h}, target_end_{h}' for h in OWN_HORIZONS)}, {_OWN_ARRAYS} FROM cuts")
+def w7_w9_windows_growing(spark, sf_dir):
+    return _rounded_arrays(own_windows(spark, sf_dir), "x", *(f"y_{h}" for h in OWN_HORIZONS))
+
+
 @query(WITH + f"SELECT metric_name, container_name, window_id, window_start, window_end, {_ARRAYS} FROM cuts")
 def m9_window_blocks(spark, sf_dir):
     """The same windows, cut from blocks with a halo."""
@@ -453,6 +495,11 @@ def w12_temporal_split(spark, sf_dir):
     return split_windows(spark, sf_dir).select("metric_name", "container_name", "window_id", "split")
 
 
+@query(WITH_GROWING + "SELECT metric_name, container_name, window_id, split FROM parted")
+def w12_temporal_split_growing(spark, sf_dir):
+    return split.temporal_split(own_windows(spark, sf_dir), "window_id").select("metric_name", "container_name", "window_id", "split")
+
+
 @query(WITH + """SELECT metric_name, container_name, window_id, CASE WHEN p < floor(n * 0.7::DOUBLE) THEN 'train' WHEN p < floor(n * (0.7::DOUBLE + 0.15::DOUBLE)) THEN 'validation' ELSE 'test' END AS split
 FROM (SELECT *, row_number() OVER (ORDER BY metric_name, container_name, window_id) - 1 AS p, count(*) OVER () AS n FROM cuts)""")
 def w12_global_split(spark, sf_dir):
@@ -523,6 +570,11 @@ def a18_scores(spark, sf_dir):
     return rounded(evaluate.score(naive(spark, sf_dir)))
 
 
+@query(WITH_GROWING + f"SELECT metric_name, container_name, horizon, count(*) AS n, {r(*SCORES)} FROM errors GROUP BY ALL")
+def a18_scores_growing(spark, sf_dir):
+    return rounded(evaluate.score(_last_values(own_windows(spark, sf_dir), OWN_HORIZONS)))
+
+
 @query(WITH + f""", moves AS (SELECT metric_name, container_name, horizon, sign(y_true - lag(y_true) OVER s) AS t, sign(y_pred - lag(y_pred) OVER s) AS p FROM predictions WINDOW s AS (PARTITION BY metric_name, container_name, window_id, horizon ORDER BY step))
 SELECT metric_name, container_name, horizon, {r('100 * avg(CASE WHEN t = p THEN 1.0 ELSE 0.0 END) AS directional_accuracy')} FROM moves WHERE t IS NOT NULL GROUP BY ALL""")
 def a19_directional_accuracy(spark, sf_dir):
@@ -629,6 +681,12 @@ def a13_pearson(spark, sf_dir):
     return rounded(correlate.pearson(_aligned(spark, sf_dir)))
 
 
+@query(WITH_GROWING + ALIGN + f"SELECT series_a, series_b, {r('r')} FROM ({_corr('aligned')})")
+def a13_pearson_growing(spark, sf_dir):
+    """The pairs grow with the square of the series, as the matrix does."""
+    return rounded(correlate.pearson(correlate.align(correlate.named_series(clean.resample(growing(spark, sf_dir), HOUR)))))
+
+
 @query(WITH + ALIGN + f"SELECT series_a, series_b, {r('r')} FROM ({_corr('ranks')})")
 def a14_spearman(spark, sf_dir):
     return rounded(correlate.spearman(_aligned(spark, sf_dir)))
@@ -679,35 +737,41 @@ def m1_arima_110(spark, sf_dir):
     return rounded(forecast.forecast_series(grid(spark, sf_dir), 6, (1, 1, 0)))
 
 
+@query(_SQL["m1_arima_110_builtin"].replace(WITH, WITH_GROWING))
+def m1_arima_110_growing(spark, sf_dir):
+    return rounded(forecast.forecast_series(growing_grid(spark, sf_dir), 6, (1, 1, 0)))
+
+
 @query()
 def m1_arima_111(spark, sf_dir):
-    return rounded(forecast.forecast_series(grid(spark, sf_dir), 6))
+    return rounded(forecast.forecast_series(growing_grid(spark, sf_dir), 6))
 
 
 @query()
 def m2_seasonal_arima(spark, sf_dir):
-    return rounded(forecast.forecast_series(grid(spark, sf_dir), 6, (1, 0, 0), (1, 1, 0, 24)))
+    return rounded(forecast.forecast_series(growing_grid(spark, sf_dir), 6, (1, 0, 0), (1, 1, 0, 24)))
 
 
 @query()
 def m3_order_search(spark, sf_dir):
-    return rounded(forecast.search_orders(grid(spark, sf_dir), forecast.order_grid(2, 1, 1)))
+    return rounded(forecast.search_orders(growing_grid(spark, sf_dir), forecast.order_grid(2, 1, 1)))
 
 
 @query()
 def m4_seasonal_trend(spark, sf_dir):
-    return rounded(forecast.forecast_seasonal_trend(grid(spark, sf_dir), 6, HOUR))
+    return rounded(forecast.forecast_seasonal_trend(growing_grid(spark, sf_dir), 6, HOUR))
 
 
 @query()
 def e10_m5_rolling_origin(spark, sf_dir):
     """Scores by horizon of a refit on each test window."""
-    return rounded(pipelines.evaluate_forecasts(split_windows(spark, sf_dir), HORIZONS, (1, 1, 0))[0])
+    data = split.temporal_split(own_windows(spark, sf_dir), "window_id")
+    return rounded(pipelines.evaluate_forecasts(data, OWN_HORIZONS, (1, 1, 0))[0])
 
 
 @query()
 def m6_batch_score(spark, sf_dir):
-    rows = grid(spark, sf_dir)
+    rows = growing_grid(spark, sf_dir)
     q = rows.groupBy("metric_name").agg(F.avg("value").alias("center"), F.stddev_pop("value").alias("scale")).withColumnRenamed("metric_name", "feature")
     models = {"click": forecast.arima, "view": partial(forecast.arima, order=(1, 1, 0)), "purchase": _mean_forecast}
     return rounded(forecast.batch_score(rows, models, q, 6))
@@ -767,15 +831,15 @@ def e2_prepare_container_metrics(spark, sf_dir):
 
 @query()
 def e4_multi_horizon_windows(spark, sf_dir):
-    """All features in windows with two horizons; the arrays' sizes and sums."""
-    out = pipelines.multi_horizon_windows(grid(spark, sf_dir), WINDOW, HORIZONS, STRIDE)
+    """All features in windows with three horizons; the arrays' sizes and sums."""
+    out = pipelines.multi_horizon_windows(growing_grid(spark, sf_dir), OWN_WINDOW, OWN_HORIZONS, OWN_STRIDE)
     total = F.aggregate("x", F.lit(0.0), lambda acc, row: acc + F.aggregate(row, F.lit(0.0), lambda a, v: a + v))
     return out.select(*SERIES, "window_id", "window_start", "window_end", F.size("x").alias("n_rows"), F.size(F.col("x")[0]).alias("n_features"), F.round(total, 3).alias("total"))
 
 
 @query()
 def e5_prepare_training_data(spark, sf_dir):
-    data, _ = pipelines.prepare_training_data(dense(spark, sf_dir), "view", step=HOUR, window=WINDOW, horizons=HORIZONS, stride=STRIDE)
+    data, _ = pipelines.prepare_training_data(growing(spark, sf_dir), "view", step=HOUR, window=OWN_WINDOW, horizons=OWN_HORIZONS, stride=OWN_STRIDE)
     return data.select(*SERIES, "container_no", "window_id", "split", "window_start", "window_end")
 
 
