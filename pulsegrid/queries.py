@@ -754,7 +754,7 @@ def m2_seasonal_arima(spark, sf_dir):
 
 @query()
 def m3_order_search(spark, sf_dir):
-    return rounded(forecast.search_orders(growing_grid(spark, sf_dir), forecast.order_grid(2, 1, 1)))
+    return rounded(forecast.search_orders(growing_grid(spark, sf_dir)))
 
 
 @query()
