@@ -704,6 +704,14 @@ def a15_kendall(spark, sf_dir):
     return rounded(correlate.kendall(_daily(spark, sf_dir)))
 
 
+@query(WITH + ALIGN + f""", exact AS (SELECT series, timestamp, round(value, 9) AS value FROM aligned), p AS (SELECT a.series AS sa, b.series AS sb, a.timestamp AS t, a.value AS x, b.value AS y FROM exact a JOIN exact b USING (timestamp) WHERE a.series < b.series
+), q AS (SELECT p.sa, p.sb, sum(sign(p.x - o.x) * sign(p.y - o.y)) AS s, sum(abs(sign(p.x - o.x))) AS nx, sum(abs(sign(p.y - o.y))) AS ny FROM p JOIN p o ON p.sa = o.sa AND p.sb = o.sb AND p.t < o.t GROUP BY ALL)
+SELECT sa AS series_a, sb AS series_b, {r('s / sqrt(nullif(nx * ny, 0)) AS r')} FROM q""")
+def a15_kendall_hourly(spark, sf_dir):
+    """On the series of a13 and a14; equal means are ties whatever the order of their sums."""
+    return rounded(correlate.kendall(_aligned(spark, sf_dir).withColumn("value", F.round("value", 9))))
+
+
 @query(WITH + ALIGN + f"SELECT series_a, series_b, {r('r')} FROM ({_corr('aligned')}) WHERE abs(r) > 0.08")
 def a16_high_correlations(spark, sf_dir):
     return rounded(correlate.high_correlations(correlate.pearson(_aligned(spark, sf_dir)), 0.08))

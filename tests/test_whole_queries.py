@@ -34,3 +34,15 @@ def test_order_search_tries_all_48_orders(spark, tmp_path):
     assert len(forecast.order_grid()) == 48 and want not in forecast.order_grid(2, 1, 1)
     row = core.queries()["m3_order_search"](spark, events(spark, tmp_path / "t", [(h, 1, "click", v) for h, v in enumerate(y)])).first()
     assert (row.p, row.d, row.q) == want and row.aic == pytest.approx(best[want], abs=1e-5)
+
+
+def test_hourly_kendall_by_brute_force(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    values = {u: rng.integers(0, 9, 100) / 4 for u in (0, 1, 2)}
+    path = events(spark, tmp_path / "t", [(h, u, "click", v[h]) for u, v in values.items() for h in range(100)])
+    got = {(r.series_a, r.series_b): r.r for r in core.queries()["a15_kendall_hourly"](spark, path).collect()}
+    assert set(got) == {("click/c0", "click/c1"), ("click/c0", "click/c2"), ("click/c1", "click/c2")}
+    i, j = np.triu_indices(100, 1)
+    for (a, b), r in got.items():
+        x, y = (np.sign(values[int(n[-1])][i] - values[int(n[-1])][j]) for n in (a, b))
+        assert r == pytest.approx((x * y).sum() / np.sqrt(np.abs(x).sum() * np.abs(y).sum()), abs=1e-6)
