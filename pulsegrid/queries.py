@@ -647,8 +647,8 @@ def a25_bucket_quantile(spark, sf_dir):
 @query()
 def e9_export_metrics(spark, sf_dir):
     """Counters and gauges from range-query results to exported metrics, counted."""
-    names = F.create_map(*[F.lit(x) for p in zip(("click", "view", "purchase"), ("container_cpu_usage_seconds_total", "container_memory_usage_bytes", "container_fs_reads_total"), strict=True) for x in p])
-    raw = _range_queries(spark, sf_dir).withColumn("metric_name", names[F.col("metric_name")]).filter("metric_name is not null")
+    names = F.create_map(*[F.lit(x) for p in zip(("click", "view", "purchase", "signup", "error"), ("container_cpu_usage_seconds_total", "container_memory_usage_bytes", "container_fs_reads_total", "container_network_receive_bytes_total", "container_fs_writes_total"), strict=True) for x in p])
+    raw = _range_queries(spark, sf_dir).withColumn("metric_name", names[F.col("metric_name")])
     return rounded(pipelines.export_metrics(raw, 86_400)).groupBy("metric_name").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("total"))
 
 

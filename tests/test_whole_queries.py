@@ -46,3 +46,12 @@ def test_hourly_kendall_by_brute_force(spark, tmp_path):
     for (a, b), r in got.items():
         x, y = (np.sign(values[int(n[-1])][i] - values[int(n[-1])][j]) for n in (a, b))
         assert r == pytest.approx((x * y).sum() / np.sqrt(np.abs(x).sum() * np.abs(y).sum()), abs=1e-6)
+
+
+def test_export_takes_all_event_types(spark, tmp_path):
+    kinds = ("click", "view", "purchase", "signup", "error")
+    path = events(spark, tmp_path / "t", [(h, 1, kind, 10 * h) for kind in kinds for h in range(5)])
+    got = {r.metric_name: (r.n, r.total) for r in core.queries()["e9_export_metrics"](spark, path).collect()}
+    # a counter's first sample has no rate; the others rise by 10 an hour
+    rate = (4, pytest.approx(4 * 10 / 3600, abs=1e-6))
+    assert got == {"container_memory_usage": (5, 100.0), **{f"container_{k}_rate": rate for k in ("cpu", "fs_reads", "network_receive", "fs_writes")}}
