@@ -66,13 +66,14 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-MAX_FILTER_BITS = 1 << 27
+#: 32 MB, whatever the number of keys.
+MAX_FILTER_BITS = 1 << 28
 
 
 def bit_filter(keys: DataFrame, key: str):
     """A broadcast bit array that holds every key of a long column.
 
-    16 bits a key, ``MAX_FILTER_BITS`` (16 MB) at most: a fuller filter lets more other
+    16 bits a key, ``MAX_FILTER_BITS`` (32 MB) at most: a fuller filter lets more other
     keys through but never stops one that is in it, so callers use it only to
     leave out work.
     """

@@ -6,88 +6,77 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bit_filter, in_filter, require, small_batches, stored
+from .common import bit_filter, in_filter, require, stored
 from .components import connected_components
 
 WIDTH = 5
 PERCENT = 80
 ORDERS = 3
-#: Rounds of pairs with leaders before all pairs across components.
-LEADER_TURNS = 3
 SKETCH_BITS = 20
 BLOCK = 4096
+#: Pairs of one class that meet its set in a task.
+PAIRS_A_TASK = 1_000
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15
-_BYTE = np.random.default_rng(4).integers(0, 1 << 64, 256, dtype=np.uint64)
+_STEP = 0x9E3779B97F4A7C15
 
 
 def _mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
-    x = x + _U((seed * _BASE) & ((1 << 64) - 1))
+    x = x + _U((seed * _STEP) & ((1 << 64) - 1))
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
     return x ^ (x >> _U(31))
 
 
-class Shingler:
-    """64-bit hashes of the distinct shingles of a text, sorted."""
-
-    def __init__(self, width: int) -> None:
-        self.width = width
-        self.up = self.down = np.zeros(0, dtype=np.uint64)
-
-    def _grow(self, n: int) -> None:
-        if len(self.up) < n:
-            size = max(n, 1 << 16)
-            powers = []
-            for b in (_BASE, pow(_BASE, -1, 1 << 64)):
-                p = np.full(size, b, dtype=np.uint64)
-                p[0] = 1
-                powers.append(np.cumprod(p, dtype=np.uint64))
-            self.up, self.down = powers
-
-    def tokens(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode().lower().split()
-        if not words:
-            return np.zeros(0, dtype=np.uint64)
-        joined = b" ".join(words)
-        buf = np.frombuffer(joined, dtype=np.uint8)
-        n = len(buf)
-        self._grow(n + 1)
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[buf] * self.down[:n], out=sums[1:])
-        gaps = np.flatnonzero(buf == 32)
-        starts, ends = np.concatenate([[0], gaps + 1]), np.concatenate([gaps, [n]])
-        w = min(self.width, len(words))
-        a, b = starts[: len(words) - w + 1], ends[w - 1 :]
-        return np.unique(_mixed((sums[b] - sums[a]) * self.up[a]))
-
-
-def _class(tokens: np.ndarray) -> int:
-    """One number for a set, whatever its order."""
-    return int(_mixed(np.array([_mixed(tokens, 7).sum(dtype=np.uint64) + _U(len(tokens))]))[0].view(np.int64))
+def shingles(text: str | None, width: int) -> np.ndarray:
+    """64-bit hashes of the distinct shingles of a text, sorted.
+
+    Each word has its own xxh3 hash, and a shingle mixes those of its words in
+    turn, so hashes follow no algebra of the letters.
+    """
+    words = (text or "").encode().lower().split()
+    if not words:
+        return np.zeros(0, dtype=np.uint64)
+    each = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    w = min(width, len(words))
+    n = len(words) - w + 1
+    out = np.full(n, w, dtype=np.uint64)
+    for k in range(w):
+        out = _mixed(out + each[k : k + n], k + 1)
+    return np.unique(out)
+
+
+def class_of(tokens: np.ndarray) -> bytes:
+    """128 bits that name a set; texts of equal sets are one class."""
+    return xxhash.xxh3_128_digest(tokens.tobytes())
+
+
+def _half(c: bytes) -> int:
+    return int.from_bytes(c[:8], "big", signed=True)
 
 
 def _sets(docs: DataFrame, width: int, emit, schema: str) -> DataFrame:
     """``emit(batch of (tokens, class))`` over the texts; copies in a task come once."""
 
     def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingler, seen = Shingler(width), set()
+        seen: set[bytes] = set()
         for pdf in parts:
-            batch = []
+            batch, held = [], 0
             for text in pdf["text"].tolist():
-                tokens = shingler.tokens(text)
-                c = _class(tokens)
+                tokens = shingles(text, width)
+                c = class_of(tokens)
                 if len(tokens) and c not in seen:
                     seen.add(c)
                     batch.append((tokens, c))
-                if len(batch) >= 512:
+                    held += len(tokens)
+                if held > 400_000:
                     yield emit(batch)
-                    batch = []
+                    batch, held = [], 0
             if batch:
                 yield emit(batch)
 
@@ -103,31 +92,30 @@ def measured(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
     cells = 1 << SKETCH_BITS
 
     def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingler, seen, total = Shingler(width), set(), np.zeros(cells, dtype=np.int64)
+        seen, total = set(), np.zeros(cells, dtype=np.int64)
         for pdf in parts:
-            classes, sizes, held = [], [], []
+            classes, sizes = [], []
             for text in pdf["text"].tolist():
-                tokens = shingler.tokens(text)
-                c = _class(tokens)
+                tokens = shingles(text, width)
+                c = class_of(tokens)
                 classes.append(c)
                 sizes.append(len(tokens))
                 if c not in seen:
                     seen.add(c)
-                    held.append((tokens >> _U(64 - SKETCH_BITS)).astype(np.int64))
-            if held:
-                total += np.bincount(np.concatenate(held), minlength=cells)
+                    # a set has few tokens of one cell
+                    np.add.at(total, (tokens >> _U(64 - SKETCH_BITS)).astype(np.int64), 1)
             yield pd.DataFrame({"doc": pdf["doc"].astype("Int64"), "class": classes, "n": sizes, "block": -1, "slot": 0, "sums": None})
         blocks = np.minimum(total, (1 << 32) - 1).astype(np.uint32).reshape(-1, BLOCK)
         some = np.flatnonzero(blocks.any(axis=1))
         slot = TaskContext.get().partitionId() % 64
-        yield pd.DataFrame({"doc": pd.array([None] * len(some), dtype="Int64"), "class": 0, "n": 0, "block": some, "slot": slot, "sums": [blocks[i].tobytes() for i in some]})
+        yield pd.DataFrame({"doc": pd.array([None] * len(some), dtype="Int64"), "class": None, "n": 0, "block": some, "slot": slot, "sums": [blocks[i].tobytes() for i in some]})
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         sums = sum(np.frombuffer(x, dtype=np.uint32).astype(np.int64) for x in pdf["sums"])
         return pd.DataFrame({"block": [pdf["block"].iat[0]], "slot": [0], "sums": [np.minimum(sums, (1 << 32) - 1).astype(np.uint32).tobytes()]})
 
     schema = "block int, slot int, sums binary"
-    both = stored(docs.mapInPandas(scan, f"doc long, class long, n long, {schema}"))
+    both = stored(docs.mapInPandas(scan, f"doc long, class binary, n long, {schema}"))
     parts = both.filter("block >= 0").select("block", "slot", "sums")
     whole = parts.groupBy("block", "slot").applyInPandas(add, schema).groupBy("block").applyInPandas(add, schema)
     out = np.zeros((cells // BLOCK, BLOCK), dtype=np.int64)
@@ -136,8 +124,12 @@ def measured(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
     return both.filter("block < 0").select("doc", "class", "n"), out.ravel()
 
 
+def _rarity(counts: np.ndarray) -> np.ndarray:
+    return np.minimum(np.floor(4 * np.log2(counts + 1.0)), 255).astype(np.uint8)
+
+
 def prefix(tokens: np.ndarray, rarity: np.ndarray, order: int, percent: int) -> np.ndarray:
-    """The first n - ceil(t n) + 1 tokens of a set of n under an order.
+    """The first n - ceil(t n) + 1 tokens of a set of n under an order, in that order.
 
     An order goes by the frequency class of the token's cell, then by a hash
     that differs from order to order.  Sets at or above the similarity share a
@@ -145,146 +137,184 @@ def prefix(tokens: np.ndarray, rarity: np.ndarray, order: int, percent: int) ->
     """
     n = len(tokens)
     size = n - -(-percent * n // 100) + 1
-    if size >= n:
-        return tokens
     rank = (rarity[(tokens >> _U(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << _U(56)) | (_mixed(tokens, order + 11) >> _U(8))
-    return tokens[np.argpartition(rank, size - 1)[:size]]
+    if size < n:
+        some = np.argpartition(rank, size - 1)[:size]
+        tokens, rank = tokens[some], rank[some]
+    return tokens[np.argsort(rank)]
 
 
-def _rarity(counts: np.ndarray) -> np.ndarray:
-    return np.minimum(np.floor(4 * np.log2(counts + 1.0)), 255).astype(np.uint8)
+def _may_link(n: str, i: str, m: str, j: str, percent: int) -> str:
+    """Sets of n and m whose first common token stands at i and j have min(n - i, m - j) common ones at most."""
+    return f"{100 + percent}L * least({n} - {i}, {m} - {j}) >= {percent}L * ({n} + {m})"
 
 
 def live_rows(docs: DataFrame, rarity: np.ndarray, width: int, percent: int) -> DataFrame:
-    """(token, class, n): prefix tokens under the first order that two classes share at least."""
+    """(token, class, n, i): prefix tokens, and their places, under the first order that two classes share at least."""
     held = docs.sparkSession.sparkContext.broadcast(rarity)
 
     def first(batch) -> pd.DataFrame:
         parts = [prefix(t, held.value, 0, percent) for t, _ in batch]
-        return pd.DataFrame({"token": np.concatenate(parts).view(np.int64), "class": np.repeat([c for _, c in batch], [len(p) for p in parts])})
+        half = np.array([_half(c) for _, c in batch], dtype=np.int64)
+        return pd.DataFrame({"token": np.concatenate(parts).view(np.int64), "half": np.repeat(half, [len(p) for p in parts])})
 
-    tokens = _sets(docs, width, first, "token long, class long")
-    shared = stored(tokens.groupBy("token").agg(F.min("class").alias("a"), F.max("class").alias("b")).filter("a <> b").select("token"))
+    tokens = _sets(docs, width, first, "token long, half long")
+    shared = stored(tokens.groupBy("token").agg(F.min("half").alias("a"), F.max("half").alias("b")).filter("a <> b").select("token"))
     some = bit_filter(shared, "token")
 
     def again(batch) -> pd.DataFrame:
-        parts = [p[in_filter(some.value, p.view(np.int64))] for p in (prefix(t, held.value, 0, percent) for t, _ in batch)]
-        sizes = [len(p) for p in parts]
-        return pd.DataFrame({"token": np.concatenate(parts).view(np.int64), "class": np.repeat([c for _, c in batch], sizes), "n": np.repeat([len(t) for t, _ in batch], sizes)})
-
-    rows = _sets(docs, width, again, "token long, class long, n int").distinct()
-    return stored(rows.join(shared, "token"))
-
-
-def _fits(a: str, b: str, percent: int) -> str:
-    return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
-
-
-def _enough_shared(pairs: DataFrame, live: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that share as many prefix tokens as their similarity needs.
-
-    Beyond the shorter of both prefixes (in the order) a pair has at most the
-    rest of that set in common, so what is missing to the least overlap must
-    lie in the prefixes.
+        tokens, classes, sizes, places, counts = [], [], [], [], []
+        for t, c in batch:
+            p = prefix(t, held.value, 0, percent)
+            at = np.flatnonzero(in_filter(some.value, p.view(np.int64)))
+            tokens.append(p[at].view(np.int64))
+            places.append(at)
+            classes.append(c)
+            sizes.append(len(t))
+            counts.append(len(at))
+        return pd.DataFrame({"token": np.concatenate(tokens), "class": np.repeat(np.array(classes, dtype=object), counts), "n": np.repeat(sizes, counts), "i": np.concatenate(places)})
+
+    rows = _sets(docs, width, again, "token long, class binary, n int, i int").distinct()
+    out = stored(rows.join(shared, "token"))
+    some.destroy()
+    held.destroy()
+    return out
+
+
+def _to_leaders(live: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each class with the leaders of its tokens.
+
+    A token's leader is the class in which it stands first: the one with the
+    fewest rare tokens of its own, hence the middle of a group of near copies.
+    One pair for a row at most, however many classes share a token.
     """
-    own = live.select("token", "class", "n")
-    left = pairs.join(own.toDF("token", "a", "n"), "a")
-    met = left.join(own.toDF("token", "b", "m"), ["b", "token"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"), F.first("n").alias("n"), F.first("m").alias("m"))
-    least = f"ceil({percent} * (n + m) / {100.0 + percent} - 1e-9)"
-    rest = f"ceil({percent} * greatest(n, m) / 100.0 - 1e-9) - 1"
-    return met.filter(f"common + {rest} >= {least}").select("a", "b")
+    lead = F.min(F.struct("i", "class", "n")).alias("lead")
+    met = live.join(live.groupBy("token").agg(lead).hint("merge"), "token")
+    met = met.filter("class <> lead.class and " + _may_link("n", "i", "lead.n", "lead.i", percent))
+    return met.select(F.least("class", "lead.class").alias("a"), F.greatest("class", "lead.class").alias("b")).distinct()
 
 
-def _to_leaders(live: DataFrame, labels: DataFrame | None, turn: int, percent: int) -> DataFrame:
-    """Pairs of each class with two leaders of each of its tokens, by a hash that differs from turn to turn.
+def _across(live: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Every pair of classes of different labels that may link by their places of a common token.
 
-    Two pairs for a row at most, however many classes share a token; classes
-    that have the leader's label already are left out.
+    A pair is made at its first common token and not again while the tokens
+    before are the same: those of one passage make one row.
     """
-    rows = live.withColumn("label", F.col("class")) if labels is None else _labelled(live, labels)
-    rank = F.struct(F.xxhash64("class", F.lit(turn)).alias("rank"), "class", "n", "label")
-    ends = rows.groupBy("token").agg(F.min(rank).alias("low"), F.max(rank).alias("high"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
-    met = rows.join(ends.hint("merge"), "token").select("class", "n", "label", F.explode(F.array("low", "high")).alias("lead"))
-    met = met.filter(f"label <> lead.label and {_fits('n', 'lead.n', percent)}")
-    return met.select(F.least("class", "lead.class").alias("a"), F.greatest("class", "lead.class").alias("b")).distinct()
+    rows = _labelled(live, labels)
+    ends = rows.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("token")
+    last = F.lag("token").over(Window.partitionBy("class").orderBy("i")).alias("before")
+    rows = stored(rows.join(ends, "token").select("token", "class", "n", "i", "label", last))
+    left, right = (rows.toDF("token", *[f"{c}_{side}" for c in rows.columns[1:]]) for side in "ab")
+    met = left.join(right, "token").filter("class_a < class_b and label_a <> label_b and not (before_a <=> before_b and before_a is not null) and " + _may_link("n_a", "i_a", "n_b", "i_b", percent))
+    return met.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
 
 
 def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
 
 
-def _all_across(live: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Every pair of classes with a common token of the first order and different labels."""
-    rows = _labelled(live, labels)
-    open_ = rows.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("token")
-    rows = stored(rows.join(open_, "token"))
-    other = rows.select("token", F.col("class").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"))
-    met = rows.withColumnRenamed("class", "a").join(other, "token").filter(f"a < b and label <> other and {_fits('n', 'm', percent)}")
-    return met.select("a", "b").distinct()
-
+def class_sets(docs: DataFrame, rows: DataFrame, pairs: DataFrame, rarity: np.ndarray, width: int, percent: int) -> DataFrame:
+    """(class, tokens, prefixes) of the classes in the pairs, from one document of each.
 
-def class_sets(docs: DataFrame, rows: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """(class, tokens) of the classes in the pairs, from one document of each."""
-    classes = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    ``prefixes`` are those of the second and later orders, one after the other.
+    """
+    sc = docs.sparkSession.sparkContext
+    classes = stored(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct())
     one = rows.join(classes, "class").groupBy("class").agg(F.min("doc").alias("doc"))
     some = bit_filter(stored(one.select(F.xxhash64("doc").alias("key"))), "key")
+    held = sc.broadcast(rarity)
 
     def emit(batch) -> pd.DataFrame:
-        return pd.DataFrame({"class": [c for _, c in batch], "tokens": [t.tobytes() for t, _ in batch]})
+        firsts = [np.concatenate([prefix(t, held.value, o, percent) for o in range(1, ORDERS)]).tobytes() for t, _ in batch]
+        return pd.DataFrame({"class": [c for _, c in batch], "tokens": [t.tobytes() for t, _ in batch], "prefixes": firsts})
 
     def chosen(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             yield pdf.loc[in_filter(some.value, pdf["key"].to_numpy(np.int64)), ["text"]]
 
     texts = docs.select("text", F.xxhash64("doc").alias("key")).mapInPandas(chosen, "text string")
-    return stored(_sets(texts, width, emit, "class long, tokens binary").join(classes, "class", "left_semi").dropDuplicates(["class"]))
+    sets = _sets(texts, width, emit, "class binary, tokens binary, prefixes binary")
+    out = stored(sets.join(classes, "class", "left_semi").dropDuplicates(["class"]))
+    some.destroy()
+    held.destroy()
+    return out
+
+
+def _beside(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """(a, b, x, y): the pairs with ``column`` of both classes.
+
+    A class of very many pairs meets them in several tasks: its row is copied
+    once for each ``PAIRS_A_TASK`` of them.
+    """
+    for end, other, name in (("a", "b", "x"), ("b", "a", "y")):
+        parts = pairs.groupBy(end).agg(F.ceil(F.count(F.lit(1)) / PAIRS_A_TASK).cast("int").alias("parts"))
+        spread = sets.select(F.col("class").alias(end), F.col(column).alias(name)).join(parts, end).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        pairs = pairs.join(parts, end).withColumn("part", F.pmod(F.xxhash64(other), F.col("parts")).cast("int")).drop("parts").join(spread.drop("parts"), [end, "part"]).drop("part")
+    return pairs.select("a", "b", "x", "y")
+
 
+def _numbers(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, dtype=np.uint64)
 
-def _verified(pairs: DataFrame, sets: DataFrame, rarity: np.ndarray, percent: int) -> DataFrame:
-    """Pairs that share prefix tokens under every other order, too, and whose whole sets are similar enough."""
-    held = pairs.sparkSession.sparkContext.broadcast(rarity)
 
-    def meet(a: np.ndarray, b: np.ndarray) -> int:
-        both = np.sort(np.concatenate([a, b]))
-        return int((both[1:] == both[:-1]).sum())
+def _split(raw: bytes) -> list[np.ndarray]:
+    return np.split(_numbers(raw), ORDERS - 1)
 
-    def similar(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _meet(a: np.ndarray, b: np.ndarray) -> int:
+    both = np.sort(np.concatenate([a, b]))
+    return int((both[1:] == both[:-1]).sum())
+
+
+def _kept(pairs: DataFrame, good) -> DataFrame:
+    """The pairs (a, b) of which ``good(x, y)`` holds."""
+
+    def test(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            good = []
-            for x, y in zip(pdf["x"], pdf["y"], strict=True):
-                a, b = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                near = all(meet(prefix(a, held.value, o, percent), prefix(b, held.value, o, percent)) for o in range(1, ORDERS))
-                common = meet(a, b) if near else 0
-                good.append(near and 100 * common >= percent * (len(a) + len(b) - common))
-            yield pdf.loc[np.array(good, dtype=bool), ["a", "b"]]
-
-    one, two = sets.toDF("a", "x"), sets.toDF("b", "y")
-    return stored(pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInPandas(similar, "a long, b long"))
-
-
-def links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows, links, labels): every text's class and size, verified pairs of classes, and
-    (node, label) of the linked classes.
-
-    Enough links are found for the components to be exact: first those with
-    the leaders of tokens, in a few turns, which join a large group of near copies in about as
-    many pairs as it has rows; then every pair that shares a prefix token and
-    is not yet in one component.  Pairs are verified if they share enough of
-    their prefixes under the first order and something under each other one.
+            yield pdf.loc[np.fromiter(map(good, pdf["x"], pdf["y"]), bool, len(pdf)), ["a", "b"]]
+
+    return stored(pairs.mapInPandas(test, "a binary, b binary"))
+
+
+def linked(docs: DataFrame, rows: DataFrame, pairs: DataFrame, rarity: np.ndarray, width: int, percent: int) -> DataFrame:
+    """The candidate pairs (a, b) that are similar enough.
+
+    Candidates have met under the first order; those whose prefixes under
+    every other order meet, too, are left before whole sets are looked at.
+    """
+
+    def everywhere(x: bytes, y: bytes) -> bool:
+        return all(_meet(p, q) for p, q in zip(_split(x), _split(y), strict=True))
+
+    def similar(x: bytes, y: bytes) -> bool:
+        a, b = _numbers(x), _numbers(y)
+        common = _meet(a, b)
+        return 100 * common >= percent * (len(a) + len(b) - common)
+
+    sets = class_sets(docs, rows, pairs, rarity, width, percent)
+    return _kept(_beside(_kept(_beside(pairs, sets, "prefixes"), everywhere), sets, "tokens"), similar)
+
+
+def links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(rows, labels): every text's class and size, and (node, label) of the linked classes.
+
+    Links enough for exact components are found: first those with the leaders
+    of tokens, which join a large group of near copies in about as many pairs
+    as it has rows; then every pair across components that passes the filters.
+    Links inside a component that has formed already are neither verified nor
+    counted: a group of k near copies can have k * k of them.
     """
     rows, counts = measured(docs, width)
     rarity = _rarity(counts)
     live = live_rows(docs, rarity, width, percent)
-    verified = tried = labels = None
-    for turn in range(LEADER_TURNS + 1):
-        pairs = _to_leaders(live, labels, turn, percent) if turn < LEADER_TURNS else _all_across(live, labels, percent)
-        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(_enough_shared(pairs, live, percent))
-        found = _verified(pairs, class_sets(docs, rows, pairs, width), rarity, percent)
-        tried = pairs if tried is None else tried.union(pairs)
-        verified = found if verified is None else verified.union(found)
-        labels = stored(connected_components(verified))
-    return rows, verified, labels
+    led = stored(_to_leaders(live, percent))
+    found = linked(docs, rows, led, rarity, width, percent)
+    labels = stored(connected_components(found))
+    rest = stored(_across(live, labels, percent).join(led, ["a", "b"], "left_anti"))
+    late = linked(docs, rows, rest, rarity, width, percent)
+    if late.isEmpty():
+        return rows, labels
+    return rows, stored(connected_components(found.union(late)))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -295,19 +325,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     one shingle.  Texts link when ``100 * common >= percent * union``;
     ``component_id`` is the smallest id reachable by links.  Texts without
     words (null, empty, blank) have no set and link with nothing.  Equal sets
-    are one class, so copies add no pairs.  Null ids are never the smallest
-    beside others.  Sets are compared by 64-bit hashes of their shingles.
+    are one class, so copies add no pairs.  Ids are integers; null ids are
+    never the smallest beside others, and a component of null ids only has a
+    null ``component_id``.  Rows that repeat an id are judged by their own
+    texts.  Components are exact; links inside them are not counted.
+    Shingles are compared by 64-bit hashes, sets named by 128-bit ones.
     """
     require(docs, id_col, text_col)
     if not 0 < percent <= 100:
         raise ValueError("percent must be 1 to 100")
-    keyed = small_batches(docs).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    keyed = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    return _components(*links(keyed, width, percent), F.col("doc").alias(id_col))
+
 
-    rows, _, labels = links(keyed, width, percent)
+def _components(rows: DataFrame, labels: DataFrame, *ids: Column) -> DataFrame:
     least = rows.filter("n > 0").groupBy("class").agg(F.min("doc").alias("least"))
     placed = _labelled(least, labels)
     by_label = placed.groupBy("label").agg(F.min("least").alias("component_id"))
     of_class = placed.join(by_label, "label").select("class", "component_id")
     out = rows.join(of_class.hint("merge"), "class", "left")
     component = F.when(F.col("n") == 0, F.col("doc")).otherwise(F.col("component_id"))
-    return out.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return out.select(*ids, F.col("n").alias("n_shingles"), component.alias("component_id"))

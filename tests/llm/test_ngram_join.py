@@ -90,3 +90,30 @@ def test_components(spark):
     got = {r.node: r.label for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(51)} | {100: 100, 200: 100, 150: 100, 101: 100}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_words_that_a_polynomial_hash_confuses_stay_apart(spark):
+    """A Thue-Morse word of two letters and its complement are equal modulo 2**64 in any odd base."""
+    bits = [bin(k).count("1") % 2 for k in range(2048)]
+    rows = [(1, "".join("ab"[b] for b in bits)), (2, "".join("ba"[b] for b in bits)), (3, "ab"), (4, "ba")]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_a_large_group_of_near_copies_with_outliers(spark):
+    """Copies of one text with few to many changed words: most link to it, others to some copies only."""
+    rng = np.random.default_rng(8)
+    base = [f"w{x}" for x in rng.integers(0, 400, 150)]
+    rows = [(10_000, " ".join(base))]
+    for k in range(250):
+        rows.append((k, changed(rng, base, int(rng.integers(1, 7)))))
+    for k in range(60):
+        rows.append((5000 + k, changed(rng, rows[1 + int(rng.integers(250))][1].split(), int(rng.integers(1, 4)))))
+    assert run(spark, rows) == brute(rows)
+    docs = spark.createDataFrame(rows, "doc long, text string")
+    found, counts = ngram_join.measured(docs, 5)
+    rarity = ngram_join._rarity(counts)
+    live = ngram_join.live_rows(docs, rarity, 5, 80)
+    led = ngram_join._to_leaders(live, 80)
+    assert led.count() < 3 * len(rows)
+    labels = connected_components(ngram_join.linked(docs, found, led, rarity, 5, 80))
+    assert ngram_join._across(live, labels, 80).count() < 3 * len(rows)
