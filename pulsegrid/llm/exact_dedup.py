@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import require
@@ -10,43 +10,54 @@ from .common import require
 RUNS = 64
 FAN_IN = 8
 RANGES = 1024
+#: The order of a run.
+KEY = ("range", "run", "digest", "proof", "size")
 
 
-def digest_runs(docs: DataFrame, id_col: str, text_col: str, keep: str, runs: int = RUNS) -> DataFrame:
-    """Level 0: one entry per run and text, counted before it is shuffled."""
+def _best(keep: str, id_: str) -> Column:
+    """An aggregate of structs, so that Spark merges sorted rows; null ids come last."""
+    if keep == "largest":
+        return F.max(F.struct(F.col(id_).isNotNull().alias("known"), F.col(id_).alias("id"))).alias("best")
+    return F.min(F.struct(F.col(id_).isNull().alias("unknown"), F.col(id_).alias("id"))).alias("best")
+
+
+def _merged(entries: DataFrame, keep: str) -> DataFrame:
+    """Runs in digest order with one entry a text: sorted rows merge as they stream by."""
+    return entries.groupBy(*KEY).agg(_best(keep, "id"), F.sum("n").alias("n")).select(*KEY, F.col("best.id").alias("id"), "n")
+
+
+def digest_runs(docs: DataFrame, id_col: str, text_col: str, keep: str, runs: int = RUNS, ranges: int = RANGES) -> DataFrame:
+    """Level 0: the sorted runs of the partitions, copies within a run counted before they are shuffled."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    best = F.max if keep == "largest" else F.min
+    digest = F.xxhash64(text)
     entry = docs.select(
+        F.pmod(digest, F.lit(ranges)).cast("int").alias("range"),
         F.pmod(F.spark_partition_id(), F.lit(runs)).alias("run"),
-        F.xxhash64(text).alias("digest"),
+        digest.alias("digest"),
         F.unhex(F.sha2(text, 256)).alias("proof"),
         F.octet_length(text).alias("size"),
         F.col(id_col).alias("id"),
+        F.lit(1).cast("long").alias("n"),
     )
-    return entry.groupBy("run", "digest", "proof", "size").agg(best("id").alias("id"), F.count(F.lit(1)).alias("n"))
+    return _merged(entry, keep)
 
 
-def merge_runs(runs: DataFrame, keep: str, n_runs: int = RUNS, fan_in: int = FAN_IN, ranges: int = RANGES) -> DataFrame:
-    """Merge the runs in rounds until one run is left for each digest range.
+def merge_runs(runs: DataFrame, keep: str, n_runs: int = RUNS, fan_in: int = FAN_IN) -> DataFrame:
+    """Merge the sorted runs in rounds until one run is left for each digest range.
 
-    In a round, ``fan_in`` neighbouring runs meet: the digest space is cut into
-    ``ranges``, whose pieces meet in different tasks, so no task ever holds a
+    In a round, ``fan_in`` neighbouring runs are exchanged and merged in digest
+    order by a streaming, sort-based aggregate: no hash table, and what does
+    not fit in memory spills as sorted runs.  The digest space is cut into
+    ranges, whose pieces meet in different tasks, so no task ever holds a
     whole run.  A level keeps one entry per digest and proof (SHA-256 and byte
     length tell apart texts that share the short digest) with the best id so
     far, so a group of copies of any size is ``fan_in`` entries at most.
     """
-    best = F.max if keep == "largest" else F.min
-    level = runs.withColumn("range", F.pmod(F.col("digest"), F.lit(ranges)).cast("int"))
-    left = n_runs
+    level, left = runs, n_runs
     while left > 1:
         left = -(-left // fan_in)
-        level = (
-            level.withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
-            .repartition("range", "run")
-            .sortWithinPartitions("range", "run", "digest", "proof")
-            .groupBy("range", "run", "digest", "proof", "size")
-            .agg(best("id").alias("id"), F.sum("n").alias("n"))
-        )
+        met = level.withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
+        level = _merged(met.repartition("range", "run"), keep)
     return level.drop("range", "run")
 
 

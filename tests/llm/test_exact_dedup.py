@@ -1,7 +1,9 @@
 import hashlib
+import re
 
 import pytest
 
+from pulsegrid.llm import exact_dedup as exact_dedup_module
 from pulsegrid.llm.exact_dedup import exact_dedup
 
 SCHEMA = "doc_id long, text string, keep_id string"
@@ -34,3 +36,19 @@ def test_null_ids_repeated_rows_and_no_rows(spark):
     assert run(spark, []) == {}
     with pytest.raises(ValueError):
         exact_dedup(spark.range(1))
+
+
+def test_every_round_merges_sorted_runs(spark):
+    docs = spark.range(100).selectExpr("id as doc_id", "cast(id % 7 as string) as text")
+    runs = exact_dedup_module.digest_runs(docs, "doc_id", "text", "largest")
+    merged = exact_dedup_module.merge_runs(runs, "largest")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    rounds = 2  # 64 runs, eight at a time
+    assert "HashAggregate" not in plan
+    assert len(re.findall(r"\bSort \[range", plan)) >= rounds + 2
+    assert len(re.findall(r"\bSortAggregate\(", plan)) >= 2 * (rounds + 1)
+
+
+def test_null_ids_and_the_smallest_id(spark):
+    got = exact_dedup(spark.createDataFrame([(None, "a", ""), (4, "a", ""), (3, "a", "")], SCHEMA)).collect()
+    assert {(r.doc_id, r.keep_id, r.kept) for r in got} == {(None, 3, False), (4, 3, False), (3, 3, True)}
