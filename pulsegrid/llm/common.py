@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +35,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def row_tag(text: Column) -> Column:
+    """128 bits of the text, which tell rows of one id apart; null counts as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
 def require(df: DataFrame, *columns: str) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:
@@ -43,6 +50,23 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Rows of an Arrow batch: with texts of some KB, a few MB in a Python worker at once.
+BATCH_ROWS = 2_000
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """At most ``BATCH_ROWS`` rows in an Arrow batch of what runs inside; the session's setting is put back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    held = spark.conf.get(key)
+    if not 0 < int(held) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, held)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet beside the checkpoints, and read it back.
 
@@ -60,12 +84,31 @@ def stored(df: DataFrame) -> DataFrame:
         root = held.get()
     path = f"{root}/stored-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     where = sc._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(where)
+    _STORED.add(path)
     return spark.read.schema(schema).parquet(path)
 
 
+_STORED: set[str] = set()
+
+
+def stored_paths() -> set[str]:
+    """Folders that ``stored`` has written and nobody has dropped."""
+    return set(_STORED)
+
+
+def drop_stored(spark: SparkSession, paths: set[str]) -> None:
+    """Delete folders of ``stored`` that no DataFrame still in use reads."""
+    sc = spark.sparkContext
+    for path in paths & _STORED:
+        where = sc._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+        _STORED.discard(path)
+
+
 #: 32 MB, whatever the number of keys.
 MAX_FILTER_BITS = 1 << 28
 
@@ -101,15 +144,3 @@ def in_filter(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
         at = (keys.view(np.uint64) >> np.uint64(k)).astype(np.int64) % (bits - k) if k else keys % bits
         out &= (words[at >> 6] >> (at & 63)) & 1 == 1
     return out
-
-
-#: Rows of an Arrow batch: with texts of some KB, a few MB in a Python worker at once.
-BATCH_ROWS = 2_000
-
-
-def small_batches(df: DataFrame) -> DataFrame:
-    """``df`` itself; the session's Arrow batches get at most ``BATCH_ROWS`` rows from now on."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(df.sparkSession.conf.get(key)) <= BATCH_ROWS:
-        df.sparkSession.conf.set(key, str(BATCH_ROWS))
-    return df

@@ -2,85 +2,100 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import accumulate
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_filter, in_filter, require, small_batches, stored
+from .common import bit_filter, in_filter, require, row_tag, stored
 
 MIN_WORDS = 8
-
-
-def _signed(h: int) -> int:
-    return h - (1 << 63)
-
-
-class Line:
-    """The words of a line joined by single spaces, and where each begins."""
-
-    __slots__ = ("said", "at", "n")
-
-    def __init__(self, words: list[bytes]) -> None:
-        self.said = b" ".join(words)
-        self.n = len(words)
-        self.at = [0, *accumulate(len(w) + 1 for w in words)]
-
-    @property
-    def id(self) -> bytes:
-        return xxhash.xxh3_128_digest(self.said)
-
-    def without(self, p: int) -> bytes:
-        """The line less its word p."""
-        return self.said[: self.at[p]] + self.said[self.at[p + 1] :] if p + 1 < self.n else self.said[: max(self.at[p] - 1, 0)]
-
-
 REGIONS = 4
+#: Bytes of text that a task takes apart at once.
+CHUNK = 1 << 20
 
+_U = np.uint64
+_STEP = _U(0x9E3779B97F4A7C15)
+_BACK = _U(0xC2B2AE3D27D4EB4F)
 
-def _bases(n: int) -> dict[int, None]:
-    """Lengths whose cuts a line of n words is given; lines of n and n + 1 words share one."""
-    return dict.fromkeys(m if m < 16 else m // 8 * 8 for m in (n, n - 1))
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
+    return x ^ (x >> _U(31))
 
-def region_keys(line: Line) -> list[tuple[int, int, int]]:
-    """(key, from, to): hashes of a line without its words from..to-1.
 
-    A line of about ``base`` words is cut into regions; an edit of one word
-    lies in one of them, and leaves what is before and after it as it was.
-    """
-    out = []
-    for base in _bases(line.n):
-        for r in range(REGIONS):
-            first, last = base * r // REGIONS, line.n - base + base * (r + 1) // REGIONS
-            rest = line.said[: line.at[first]] + b"\0" + line.said[line.at[last] :]
-            out.append((_signed(xxhash.xxh3_64_intdigest(rest, base * REGIONS + r + 1)), first, last))
-    return out
+def _running(x: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(x, dtype=np.uint64)])
 
 
-def variants(line: Line, places: list[int]) -> list[int]:
-    """Two keys for each place: of the line without the word there.
+def _base(n: np.ndarray) -> np.ndarray:
+    """A length near n whose cuts a line of n words is given."""
+    return np.where(n < 16, n, n // 8 * 8)
 
-    The first one names the place, so lines that share it differ by a
-    substitution; the second does not, and meets the key of a whole line.
-    """
-    out = []
-    for p in places:
-        h = xxhash.xxh3_64_intdigest(line.without(p))
-        out += [_signed(h ^ _place_mark(p)), _signed(h)]
-    return out
 
+class Hashes:
+    """Sums of hashes of (word, place) over some lines.
 
-def _place_mark(p: int) -> int:
-    return (p + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
-
+    Any stretch of a line is the difference of two sums, so the key of a line
+    without a word, or without a region, takes a few steps whatever its length.
+    """
 
-def whole_key(line: Line) -> int:
-    return _signed(xxhash.xxh3_64_intdigest(line.said))
+    def __init__(self, lines: list[list[bytes]]) -> None:
+        self.n = np.array([len(x) for x in lines], dtype=np.int64)
+        self.end = np.cumsum(self.n)
+        self.start = self.end - self.n
+        total = int(self.n.sum())
+        self.words = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(lines)), np.uint64, total)
+        self.line = np.repeat(np.arange(len(lines)), self.n)
+        self.at = np.arange(total) - self.start[self.line]
+        self.front = _running(_mixed(self.words + self.at.astype(np.uint64) * _STEP))
+
+    def region_keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(line, key, from, to): hashes of the lines without their words from..to-1.
+
+        A line of about ``base`` words is cut into regions; an edit of one
+        word lies in one of them and leaves what is before and after it as it
+        was.  Lines of n and n + 1 words share a base.
+        """
+        back = _running(_mixed(self.words + (self.n[self.line] - 1 - self.at).astype(np.uint64) * _BACK))
+        one, two = _base(self.n), _base(self.n - 1)
+        more = np.flatnonzero(one != two)
+        line, base = np.concatenate([np.arange(len(one)), more]), np.concatenate([one, two[more]])
+        order = np.argsort(line, kind="stable")
+        line, base = np.repeat(line[order], REGIONS), np.repeat(base[order], REGIONS)
+        r = np.tile(np.arange(REGIONS), len(order))
+        first, last = base * r // REGIONS, self.n[line] - base + base * (r + 1) // REGIONS
+        s, e = self.start[line], self.end[line]
+        ahead, behind = self.front[s + first] - self.front[s], back[e] - back[s + last]
+        key = _mixed(_mixed(ahead + (base * REGIONS + r + 1).astype(np.uint64) * _STEP) + behind)
+        return line, key.view(np.int64), first, last
+
+    def variants(self, line: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(line, key, role) of the deletions in the given stretches, and of the whole lines.
+
+        Role 0 names the place of the deleted word, so lines that share it
+        differ by a substitution; role 1 does not, and meets the key of a
+        whole line (role 2).
+        """
+        total = len(self.words)
+        marks = np.zeros(total + 1, dtype=np.int64)
+        np.add.at(marks, self.start[line] + first, 1)
+        np.add.at(marks, self.start[line] + last, -1)
+        place = np.flatnonzero(np.cumsum(marks[:total]) > 0)
+        of = self.line[place]
+        moved = _running(_mixed(self.words + (self.at - 1).astype(np.uint64) * _STEP))
+        s, e = self.start[of], self.end[of]
+        rest = self.front[place] - self.front[s] + moved[e] - moved[place + 1]
+        whole = np.unique(of)
+        keys = [_mixed(_mixed(rest) + (place - s + 1).astype(np.uint64) * _BACK), _mixed(rest), _mixed(self.front[self.end[whole]] - self.front[self.start[whole]])]
+        roles = np.repeat([0, 1, 2], [len(k) for k in keys]).astype(np.int32)
+        return np.concatenate([of, of, whole]), np.concatenate(keys).view(np.int64), roles
 
 
 def within_one(a: list[bytes], b: list[bytes]) -> bool:
@@ -93,105 +108,144 @@ def within_one(a: list[bytes], b: list[bytes]) -> bool:
     return a[p + (len(a) == len(b)) :] == b[p + 1 :]
 
 
-def _each_line(pdf: pd.DataFrame) -> Iterator[tuple[int, int, list[bytes]]]:
-    """(row of the batch, line number, words) of every line that has words."""
-    for row, text in enumerate(pdf["text"].tolist()):
-        for number, line in enumerate((text or "").encode().split(b"\n")):
-            if words := line.split():
-                yield row, number, words
+class Lines:
+    """The lines with words of some texts: text, line number, words, and an id of 128 bits."""
+
+    def __init__(self, texts: list[tuple[int, bytes]]) -> None:
+        rows, numbers, self.words = [], [], []
+        for row, raw in texts:
+            for number, line in enumerate(raw.split(b"\n")):
+                if words := line.split():
+                    rows.append(row)
+                    numbers.append(number)
+                    self.words.append(words)
+        self.row, self.number = np.array(rows, dtype=np.int64), np.array(numbers, dtype=np.int32)
+        self.said = [b" ".join(w) for w in self.words]
+        self.ids = [xxhash.xxh3_128_digest(x) for x in self.said]
+        self.half = np.frombuffer(b"".join(self.ids), dtype=np.int64)[::2]
+
+
+def _scan(docs: DataFrame, each: Callable[[pa.RecordBatch, Lines], list], schema: str) -> DataFrame:
+    """The batches that ``each`` makes of the lines of every chunk of texts."""
+    names = [part.split()[0] for part in schema.split(", ")]
+
+    def scan(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            held, size = [], 0
+            texts = batch.column("text")
+            for row in range(len(texts)):
+                raw = (texts[row].as_py() or "").encode()
+                held.append((row, raw))
+                size += len(raw)
+                if size >= CHUNK or row + 1 == len(texts):
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in each(batch, Lines(held))], names=names)
+                    held, size = [], 0
+
+    return docs.mapInArrow(scan, schema)
 
 
 def line_table(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc, tag, line, id, keys) of every line with words; keys of those long enough for near copies."""
+    """(doc, tag, line, id, half, keys) of every line with words.
+
+    ``keys``: region keys of lines long enough for near copies, once for equal
+    lines of a chunk.
+    """
 
-    def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            rows, numbers, ids, keys = [], [], [], []
-            for row, number, words in _each_line(pdf):
-                rows.append(row)
-                numbers.append(number)
-                line = Line(words)
-                ids.append(line.id)
-                keys.append([k for k, _, _ in region_keys(line)] if line.n >= min_words - 1 else None)
-            at = np.array(rows, dtype=np.int64)
-            yield pd.DataFrame({"doc": pdf["doc"].astype("Int64").array.take(at), "tag": pdf["tag"].to_numpy(np.int64)[at], "line": numbers, "id": ids, "keys": keys})
+    def each(batch: pa.RecordBatch, lines: Lines) -> list:
+        once = dict(zip(reversed(lines.ids), range(len(lines.ids) - 1, -1, -1), strict=True))
+        long = np.array(sorted(k for k in once.values() if len(lines.words[k]) >= min_words - 1), dtype=np.int64)
+        line, key, _, _ = Hashes([lines.words[k] for k in long]).region_keys()
+        sizes = np.zeros(len(lines.ids), dtype=np.int64)
+        sizes[long] = np.bincount(line, minlength=len(long))
+        keys = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(key))
+        return [batch.column("doc").take(pa.array(lines.row)), batch.column("tag").take(pa.array(lines.row)), lines.number, lines.ids, lines.half, keys]
 
-    return stored(docs.mapInPandas(scan, "doc long, tag long, line int, id binary, keys array<long>"))
+    return stored(_scan(docs, each, "doc long, tag binary, line int, id binary, half long, keys array<long>"))
 
 
 def _place() -> Column:
     return F.struct("doc", "tag", "line")
 
 
+def _flagged(table: DataFrame, shared_keys) -> DataFrame:
+    """``half`` of the lines that share a region key with another line."""
+
+    def test(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            keys = batch.column("keys")
+            hit = _running(in_filter(shared_keys.value, keys.flatten().to_numpy()).astype(np.uint64))
+            ends = keys.offsets.to_numpy() - keys.offsets[0].as_py()
+            yield pa.RecordBatch.from_arrays([batch.column("half").filter(pa.array(hit[ends[1:]] > hit[ends[:-1]]))], names=["half"])
+
+    return table.select("half", "keys").mapInArrow(test, "half long").distinct()
+
+
+def _variants(docs: DataFrame, shared_keys, flagged, min_words: int) -> DataFrame:
+    """(doc, tag, line, key, role, id): the variants of flagged lines in the regions where a neighbour can differ."""
+
+    def each(batch: pa.RecordBatch, lines: Lines) -> list:
+        some = np.flatnonzero(in_filter(flagged.value, lines.half)) if len(lines.ids) else np.zeros(0, dtype=np.int64)
+        doc, tag = batch.column("doc").to_pylist(), batch.column("tag").to_pylist()
+        first: dict[bytes, tuple] = {}
+        for k in some.tolist():
+            if len(lines.words[k]) >= min_words - 1:
+                i = lines.row[k]
+                place = (doc[i] is not None, doc[i] or 0, tag[i], lines.number[k], k)
+                first[lines.ids[k]] = min(place, first.get(lines.ids[k], place))
+        some = np.array([x[-1] for x in first.values()], dtype=np.int64)
+        hashes = Hashes([lines.words[k] for k in some])
+        line, key, a, b = hashes.region_keys()
+        hit = in_filter(shared_keys.value, key)
+        line, key, role = hashes.variants(line[hit], a[hit], b[hit])
+        of = some[line]
+        ids = pa.array(lines.ids, pa.binary()).take(pa.array(of))
+        return [batch.column("doc").take(pa.array(lines.row[of])), batch.column("tag").take(pa.array(lines.row[of])), lines.number[of], key, role, ids]
+
+    return _scan(docs, each, "doc long, tag binary, line int, key long, role int, id binary")
+
+
 def near_lines(docs: DataFrame, table: DataFrame, min_words: int) -> DataFrame:
     """Line ids that an earlier line is one word edit away from."""
-    ends = table.select(F.explode("keys").alias("key"), "id")
-    shared = stored(ends.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a <> b").select("key"))
+    ends = table.select(F.explode("keys").alias("key"), "half")
+    shared = stored(ends.groupBy("key").agg(F.min("half").alias("a"), F.max("half").alias("b")).filter("a <> b").select("key"))
     shared_keys = bit_filter(shared, "key")
-
-    def neighbours(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for whole in parts:
-            for start in range(0, len(whole), 500):
-                pdf = whole.iloc[start : start + 500]
-                lines, keys = [], []
-                for row, number, words in _each_line(pdf):
-                    if len(words) >= min_words - 1:
-                        line = Line(words)
-                        lines.append((row, number, line, len(keys)))
-                        keys += region_keys(line)
-                hit = in_filter(shared_keys.value, np.array([k for k, _, _ in keys], dtype=np.int64))
-                some = np.concatenate([[0], np.cumsum(hit)]).tolist()
-                rows, numbers, ids, out, sizes = [], [], [], [], []
-                for row, number, line, at in lines:
-                    end = at + REGIONS * len(_bases(line.n))
-                    if some[at] < some[end]:
-                        places = sorted({p for i in range(at, end) if hit[i] for p in range(keys[i][1], keys[i][2])})
-                        out += [whole_key(line), *variants(line, places)]
-                        rows.append(row)
-                        numbers.append(number)
-                        ids.append(line.id)
-                        sizes.append(1 + 2 * len(places))
-                n = np.array(sizes, dtype=np.int64)
-                role = np.arange(len(out)) - np.repeat(np.cumsum(n) - n, n)
-                at = np.repeat(np.array(rows, dtype=np.int64), n)
-                yield pd.DataFrame({"doc": pdf["doc"].astype("Int64").array.take(at), "tag": pdf["tag"].to_numpy(np.int64)[at], "line": np.repeat(np.array(numbers, dtype=np.int64), n), "key": np.array(out, dtype=np.int64), "role": np.where(role == 0, 2, (role - 1) % 2), "id": np.repeat(np.array(ids, dtype=object), n)})
-
-    emitted = docs.mapInPandas(neighbours, "doc long, tag long, line int, key long, role int, id binary")
-    # one row for each line and variant, with the line's earliest place
-    lines = stored(emitted.groupBy("key", "role", "id").agg(F.min(_place()).alias("at")))
+    flagged = bit_filter(stored(_flagged(table, shared_keys)), "half")
+    lines = stored(_variants(docs, shared_keys, flagged, min_words).withColumn("at", _place()).drop("doc", "tag", "line"))
+    shared_keys.destroy()
+    flagged.destroy()
     groups = (
         lines.groupBy("key")
         .agg(*[F.min(F.when(F.col("role") == r, F.struct("at", "id"))).alias(f"m{r}") for r in range(3)], F.min("id").alias("a"), F.max("id").alias("b"))
         .filter("a <> b")
     )
     partner = F.when(F.col("role") == 0, F.col("m0")).when(F.col("role") == 1, F.col("m2")).otherwise(F.col("m1"))
-    pairs = lines.join(groups, "key").withColumn("p", partner).filter("p.at < at and p.id <> id")
-    pairs = stored(pairs.select("id", "at", F.col("p.id").alias("other"), F.col("p.at").alias("other_at")).distinct())
-    # Only documents that hold the earliest place of a line of a pair are read again.
-    lines_of = pairs.select(F.explode(F.array(F.struct("id", "at"), F.struct(F.col("other").alias("id"), F.col("other_at").alias("at")))).alias("x")).select("x.id", "x.at.doc").distinct()
-    homes = bit_filter(stored(lines_of.select(F.xxhash64("doc").alias("key")).distinct()), "key")
-
-    def texts(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            some = pdf[in_filter(homes.value, pdf["key"].to_numpy(np.int64))]
-            lines = [Line(words) for _, _, words in _each_line(some) if len(words) >= min_words - 1]
-            yield pd.DataFrame({"id": [x.id for x in lines], "words": [x.said for x in lines]})
-
-    said = docs.select("text", F.xxhash64("doc").alias("key")).mapInPandas(texts, "id binary, words binary")
-    said = stored(said.join(lines_of.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]))
+    pairs = lines.join(groups.hint("merge"), "key").withColumn("p", partner).filter("p.at < at and p.id <> id")
+    pairs = stored(pairs.select("id", F.col("p.id").alias("other")).distinct())
+    both_ends = stored(pairs.select(F.explode(F.array("id", "other")).alias("id")).distinct())
+    halves = table.join(both_ends.hint("merge"), "id", "left_semi").select("half").distinct()
+    wanted = bit_filter(stored(halves), "half")
+
+    def words(batch: pa.RecordBatch, lines: Lines) -> list:
+        hit = in_filter(wanted.value, lines.half).tolist() if len(lines.ids) else []
+        found = {i: s for i, s, h in zip(lines.ids, lines.said, hit, strict=True) if h}
+        return [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.binary())]
+
+    said = _scan(docs, words, "id binary, words binary")
+    said = stored(said.join(both_ends.hint("merge"), "id", "left_semi").dropDuplicates(["id"]))
+    wanted.destroy()
     both = pairs.join(said, "id").join(said.select(F.col("id").alias("other"), F.col("words").alias("other_words")), "other")
 
-    def verified(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            good = [min(len(a := x.split()), len(b := y.split())) >= min_words - 1 and max(len(a), len(b)) >= min_words and within_one(a, b) for x, y in zip(pdf["words"], pdf["other_words"], strict=True)]
-            yield pdf.loc[np.array(good, dtype=bool), ["id"]]
+    def verified(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            split = [[x.split() for x in batch.column(c).to_pylist()] for c in ("words", "other_words")]
+            good = [max(len(a), len(b)) >= min_words and within_one(a, b) for a, b in zip(*split, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("id").filter(pa.array(good, pa.bool_()))], names=["id"])
 
-    return both.select("id", "words", "other_words").mapInPandas(verified, "id binary").distinct()
+    return both.select("id", "words", "other_words").mapInArrow(verified, "id binary").distinct()
 
 
 def repeated_lines(docs: DataFrame, max_edits: int = 1, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc, tag, lines): the numbers of the lines to remove from a document."""
-
+    """(doc, tag, lines): the numbers of the lines to remove from a document, sorted."""
     lines = line_table(docs, min_words)
     first = lines.groupBy("id").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n"))
     if max_edits:
@@ -199,8 +253,21 @@ def repeated_lines(docs: DataFrame, max_edits: int = 1, min_words: int = MIN_WOR
     else:
         first = first.withColumn("near", F.lit(None).cast("boolean"))
     judged = first.filter("n > 1 or near").select("id", "first", F.coalesce("near", F.lit(False)).alias("near"))
-    gone = lines.drop("keys").join(judged.hint("merge"), "id").filter(F.col("near") | ~_place().eqNullSafe(F.col("first")))
-    return gone.groupBy("doc", "tag").agg(F.collect_set("line").alias("lines"))
+    gone = lines.select("id", "doc", "tag", "line").join(judged.hint("merge"), "id").filter(F.col("near") | ~_place().eqNullSafe(F.col("first")))
+    return gone.groupBy("doc", "tag").agg(F.sort_array(F.collect_set("line")).alias("lines"))
+
+
+def _without(text: pd.Series, gone: pd.Series) -> pd.Series:
+    """The texts less the lines of the given numbers."""
+    out = []
+    for t, numbers in zip(text.tolist(), gone.tolist(), strict=True):
+        if numbers is None:
+            out.append(t)
+            continue
+        lines = np.array(t.split("\n"), dtype=object)
+        lines[numbers] = None
+        out.append("\n".join([x for x in lines.tolist() if x is not None]))
+    return pd.Series(out)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = 1, min_words: int = MIN_WORDS) -> DataFrame:
@@ -209,11 +276,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Lines are compared by their words (runs without ASCII white space).  A line
     goes if an earlier one has the same words, or, with ``max_edits`` 1, if an
     earlier one is one inserted, deleted or substituted word away and the
-    longer of both has ``min_words`` words.  Earlier: smaller id, then smaller
-    line number; null ids come first.  Blank lines stay.  Adds ``n_lines``
-    (lines with words) and ``n_removed``; columns of these names are replaced.
-    Null texts stay null.  Rows of one id are told apart by a hash of their
-    texts; rows equal in both share their verdicts.
+    longer of both has ``min_words`` words: the bound is one word in eight,
+    none in shorter lines.  Earlier: smaller id, then smaller line number; null
+    ids come first.  Blank lines stay.  Adds ``n_lines`` (lines with words) and
+    ``n_removed``; columns of these names are replaced.  Ids are integers.
+    Null texts stay null.  Rows of one id are told apart by a 128-bit hash of
+    their texts; rows equal in both share their verdicts.
     """
     require(docs, id_col, text_col)
     if max_edits not in (0, 1):
@@ -221,15 +289,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if min_words < 4:
         raise ValueError("min_words must be 4 or more")
     kept = docs.drop("n_lines", "n_removed")
-    tag = F.hash(F.col(text_col)).cast("long")
-    keyed = small_batches(docs).select(F.col(id_col).cast("long").alias("doc"), tag.alias("tag"), F.col(text_col).alias("text"))
-    gone = repeated_lines(keyed, max_edits, min_words)
-    match = kept[id_col].cast("long").eqNullSafe(gone["doc"]) & (tag == gone["tag"])
-    joined = kept.join(gone, match, "left").drop("doc", "tag")
-    # only lines with words are ever in ``lines``
-    lines = F.split(F.col(text_col), "\n", -1)
-    left = F.filter(lines, lambda _, i: ~F.array_contains("lines", i))
+    keyed = docs.select(F.col(id_col).cast("long").alias("doc"), row_tag(F.col(text_col)).alias("tag"), F.col(text_col).alias("text"))
+    gone = repeated_lines(keyed, max_edits, min_words).toDF("_gone_doc", "_gone_tag", "_gone_lines")
+    match = kept[id_col].cast("long").eqNullSafe(F.col("_gone_doc")) & (row_tag(kept[text_col]) == F.col("_gone_tag"))
+    joined = kept.join(gone, match, "left")
+    lines, removed = F.split(F.col(text_col), "\n", -1), F.col("_gone_lines")
     n_lines = F.size(F.filter(lines, lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    text = F.when(F.col("lines").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
-    out = joined.withColumns({"n_lines": F.when(F.col(text_col).isNull(), 0).otherwise(n_lines).cast("long"), "n_removed": F.coalesce(F.size("lines"), F.lit(0)).cast("long"), text_col: text})
-    return out.drop("lines").select(*kept.columns, "n_lines", "n_removed")
+    # texts that stay as they are do not go through Python
+    text = F.when(removed.isNull(), F.col(text_col)).otherwise(F.pandas_udf(_without, "string")(F.when(removed.isNotNull(), F.col(text_col)), removed))
+    out = joined.withColumns({"n_lines": F.when(F.col(text_col).isNull(), 0).otherwise(n_lines).cast("long"), "n_removed": F.coalesce(F.size(removed), F.lit(0)).cast("long"), text_col: text})
+    return out.select(*kept.columns, "n_lines", "n_removed")

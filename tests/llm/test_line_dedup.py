@@ -1,4 +1,6 @@
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pulsegrid.llm import line_dedup
 
@@ -63,14 +65,32 @@ def test_null_ids_repeats_and_no_rows(spark):
 
 
 def test_one_edit_lies_in_a_shared_region():
-    words = [str(i) for i in range(40)]
+    words = [str(i).encode() for i in range(40)]
     for n in range(7, 30):
-        a = [w.encode() for w in words[:n]]
+        a = words[:n]
         for p in range(n + 1):
             longer, other = a[:p] + [b"x"] + a[p:], a[:p] + [b"x"] + a[p + 1 :]
             for b in (longer, *([other] if p < n else [])):
-                one, two = (line_dedup.region_keys(line_dedup.Line(x)) for x in (a, b))
-                long = [(x, y) for k, x, y in two if k in {k for k, *_ in one}]
-                assert line_dedup.Line(b).without(p) == b" ".join(b[:p] + b[p + 1 :])
-                assert any(x <= p < y for x, y in long), (n, p)
+                h = line_dedup.Hashes([a, b])
+                line, key, first, last = h.region_keys()
+                shared = np.isin(key, key[line == 0]) & (line == 1)
+                assert np.any((first[shared] <= p) & (p < last[shared])), (n, p)
                 assert line_dedup.within_one(a, b) and line_dedup.within_one(b, a)
+                one, keys, role = h.variants(np.array([0, 1]), np.array([0, 0]), np.array([n, len(b)]))
+                mine = {r: set(keys[(one == 0) & (role == r)].tolist()) for r in range(3)}
+                its = {r: set(keys[(one == 1) & (role == r)].tolist()) for r in range(3)}
+                assert (mine[2] & its[1]) if len(b) > n else (mine[0] & its[0])
+
+
+def test_a_line_of_a_million_words(spark):
+    words = [f"w{i}" for i in range(1_000_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:777_777] + ["new"] + words[777_777:])), (3, "\n".join(f"{k} of very many short lines" for k in range(20_000))), (4, "\n".join(f"{k // 2} of very many short lines" for k in range(20_000)))]
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (got[1].n_removed, got[2].n_removed, got[2].text, got[4].n_removed, got[4].text) == (0, 1, "", 20_000, "")
+
+
+def test_clashing_columns_and_ties(spark):
+    df = spark.createDataFrame([(1, "a b", 5, b"x"), (1, "a b", 5, b"x"), (2, "a b", 5, b"x")], "doc_id long, text string, doc int, tag binary")
+    got = line_dedup.dedup_lines(df.withColumns({"line": F.lit(1), "id": F.lit(2), "lines": F.lit(3)}))
+    assert got.columns == ["doc_id", "text", "doc", "tag", "line", "id", "lines", "n_lines", "n_removed"]
+    assert sorted((r.doc_id, r.text, r.doc, r.lines) for r in got.collect()) == [(1, "a b", 5, 3), (1, "a b", 5, 3), (2, "", 5, 3)]
