@@ -33,11 +33,15 @@ def parse_labels(text: Column) -> Column:
     return F.str_to_map(text, F.lit(","), F.lit("="))
 
 
+#: Fixed patterns: where a container's name stands in a label string, and what is cut from a pod's.
+CONTAINER_LABEL, POD_LABEL, POD_TAIL = "(?i)container=([^,]+)", "(?i)pod=([^,]+)", "-[a-f0-9]+$"
+
+
 def container_name(labels: Column) -> Column:
     """Value of ``container=`` (any case), else of ``pod=`` less one trailing hex part; else null."""
-    found = F.trim(F.regexp_extract(labels, "(?i)container=([^,]+)", 1))
-    pod = F.trim(F.regexp_extract(labels, "(?i)pod=([^,]+)", 1))
-    return F.when(found != "", found).when(pod != "", F.regexp_replace(pod, "-[a-f0-9]+$", ""))
+    found = F.trim(F.regexp_extract(labels, CONTAINER_LABEL, 1))
+    pod = F.trim(F.regexp_extract(labels, POD_LABEL, 1))
+    return F.when(found != "", found).when(pod != "", F.regexp_replace(pod, POD_TAIL, ""))
 
 
 def with_container_name(df: DataFrame, labels: str = "container_labels", strict: bool = True) -> DataFrame:

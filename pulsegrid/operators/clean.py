@@ -29,7 +29,7 @@ def convert_units(df: DataFrame, kind_of: dict[str, str] | None = None) -> DataF
     rows = df.withColumn("_kind", kind)
     top = rows.filter("_kind = 'cpu'").groupBy("metric_name").agg(F.max("value").alias("_top"))
     # one row for each CPU metric name
-    rows = rows.join(F.broadcast(top), "metric_name", "left")
+    rows = rows.join(top, "metric_name", "left")
     value = F.col("value")
     cpu = clip(F.when(F.col("_top") <= 1.0, value * 100).otherwise(value), F.lit(0.0), F.lit(100.0))
     converted = (

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..keys import TIME, require_columns
+from ..sources.io import write_frame
 from .clean import fill_unlimited
 
 
@@ -117,6 +118,18 @@ def correlation_summary(matrix: DataFrame) -> DataFrame:
     return r.agg(F.avg("r").alias("mean"), F.percentile("r", F.lit(0.5)).alias("median"), F.max("r").alias("max"), F.min("r").alias("min"))
 
 
+def write_square(matrix: DataFrame, path: str, names: list[str] | None = None) -> None:
+    """The square form as CSV with a header; undefined coefficients are empty."""
+    write_frame(square(matrix, names), path)
+
+
+def unpivoted(wide: DataFrame) -> DataFrame:
+    """(series_a, series_b, r) of the square form, each pair both ways and with itself."""
+    names = [c for c in wide.columns if c != "series"]
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("series_b"), F.col(f"`{c}`").cast("double").alias("r")) for c in names]))
+    return wide.select(F.col("series").alias("series_a"), rows.alias("c")).select("series_a", "c.series_b", "c.r")
+
+
 def square(matrix: DataFrame, names: list[str] | None = None) -> DataFrame:
     """The square form, one column a series, for few series."""
     turned = matrix.select(F.col("series_b").alias("series_a"), F.col("series_a").alias("series_b"), "r")

@@ -35,7 +35,7 @@ def worst_duplicates(df: DataFrame) -> DataFrame:
     """The rows of each metric's most repeated key."""
     worst = duplicate_profile(df).select("metric_name", F.col("worst_timestamp").alias(TIME), F.col("worst_container_id").alias("container_id"))
     # one key a metric
-    return df.join(F.broadcast(worst), ["metric_name", TIME, "container_id"], "left_semi")
+    return df.join(worst, ["metric_name", TIME, "container_id"], "left_semi")
 
 
 def deduplicate(df: DataFrame, strategy: dict[str, str] | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import calendar
 from ..keys import TIME, in_series
 
+#: The lags and the windows of the rolling features, in rows.
 LAGS = (1, 4, 12, 24)
 ROLLS = (4, 12, 24, 60)
 NOT_FEATURES = (TIME, "value", "container_name", "container_id", "metric_name")

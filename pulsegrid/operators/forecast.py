@@ -177,30 +177,22 @@ def order_grid(max_p: int = 3, max_d: int = 2, max_q: int = 3) -> list[tuple[int
 def search_orders(df: DataFrame, orders: list[tuple[int, int, int]] | None = None) -> DataFrame:
     """(series, p, d, q, aic): the order of least AIC; (1, 1, 1) where none fits.
 
-    Each series is gathered once into one row, which the grid multiplies, so
-    the fits of one series spread over tasks.
+    A series is gathered once, and its task tries every order on it.
     """
-    spark = df.sparkSession
-    grid = spark.createDataFrame(orders or order_grid(), "p int, d int, q int")
-    rows = df.groupBy(*SERIES).agg(F.array_sort(F.collect_list(F.struct(TIME, F.col("value").cast("double").alias("v")))).alias("s"))
-    rows = rows.select(*SERIES, F.transform("s", lambda x: x["v"]).alias("values"))
-
-    def fit(parts):
-        for pdf in parts:
-            found = []
-            for values, p, d, q in zip(pdf["values"], pdf["p"], pdf["d"], pdf["q"], strict=True):
-                try:
-                    found.append(Fitted(np.asarray(values, dtype=float), (p, d, q)).aic)
-                except (ValueError, np.linalg.LinAlgError):
-                    found.append(np.nan)
-            yield pdf.drop(columns="values").assign(aic=found)
-
-    # the grid is as large as the given orders
-    each = rows.crossJoin(F.broadcast(grid)).repartition(*SERIES, "p", "d", "q")
-    scored = each.mapInPandas(fit, "metric_name string, container_name string, p int, d int, q int, aic double")
-    good = F.when(~F.isnan("aic"), F.col("aic"))
-    best = scored.groupBy(*SERIES).agg(F.min_by(F.struct("p", "d", "q"), F.when(good.isNotNull(), F.struct(good, "p", "d", "q"))).alias("o"), F.min(good).alias("aic"))
-    return best.select(*SERIES, *[F.coalesce(f"o.{k}", F.lit(v)).alias(k) for k, v in zip("pdq", DEFAULT, strict=True)], "aic")
+    tried = sorted(orders or order_grid())
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        values, found = pdf["value"].to_numpy(float), []
+        for order in tried:
+            try:
+                found.append((Fitted(values, order).aic, order))
+            except (ValueError, np.linalg.LinAlgError):
+                continue
+        aic, order = min((f for f in found if not np.isnan(f[0])), default=(None, DEFAULT))
+        return pd.DataFrame([[*order, aic]], columns=["p", "d", "q", "aic"]).astype({"aic": float})
+
+    best = _per_series(df, one, "p int, d int, q int, aic double")
+    return best.withColumn("aic", F.nanvl("aic", F.lit(None).cast("double")))
 
 
 def forecast_seasonal_trend(df: DataFrame, steps: int, step_seconds: int = 15, **params) -> DataFrame:
@@ -226,11 +218,11 @@ def batch_score(df: DataFrame, models: dict[str, object], scalers: DataFrame, st
         raise ValueError("unknown metric: no model is given")
     chosen = df.filter(F.col("metric_name").isin(*models))
     stats = scalers.select(F.col("feature").alias("metric_name"), "center", "scale")
-    scaled = chosen.join(F.broadcast(stats), "metric_name").withColumn("value", (F.col("value") - F.col("center")) / F.col("scale"))
+    scaled = chosen.join(stats, "metric_name").withColumn("value", (F.col("value") - F.col("center")) / F.col("scale"))
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         metric = pdf["metric_name"].iat[0]
         return pd.DataFrame({"step": np.arange(1, steps + 1), "forecast": np.asarray(models[metric](pdf["value"].to_numpy(), steps), dtype=float)})
 
-    out = _per_series(scaled, one, "step int, forecast double").join(F.broadcast(stats), "metric_name")
+    out = _per_series(scaled, one, "step int, forecast double").join(stats, "metric_name")
     return out.select(*SERIES, "step", (F.col("forecast") * F.col("scale") + F.col("center")).alias("forecast"))

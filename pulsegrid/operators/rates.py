@@ -26,21 +26,23 @@ def counter_rate(df: DataFrame, seconds: int = 60) -> DataFrame:
 
     A drop means a reset, after which the new value counts in full.  Increases
     between samples of the range are divided by the time they cover; nothing
-    is extrapolated to the range's edges; one sample alone gives null.
+    is extrapolated to the range's edges; one sample alone gives null.  Samples
+    of one time stand in order of their event_id, if there is one, and value.
     """
     require_columns(df, TIME, "value")
     keys = [k for k in SERIES if k in df.columns]
-    w = in_series(df)
-    before, since = F.lag("value").over(w), F.lag(TIME).over(w)
+    w = in_series(df).orderBy(TIME, *(["event_id"] if "event_id" in df.columns else []), "value")
+    before = F.lag("value").over(w)
     grown = F.when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before)
     micros = micros_between(F.lit("1970-01-01").cast("timestamp_ntz"), F.col(TIME).cast("timestamp_ntz"))
-    rows = df.withColumns({"_grown": grown, "_us": micros, "_since": micros_between(F.lit("1970-01-01").cast("timestamp_ntz"), since.cast("timestamp_ntz"))})
+    rows = df.withColumns({"_grown": F.coalesce(grown, F.lit(0.0)), "_us": micros})
+    rows = rows.withColumn("_sum", F.sum("_grown").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     trailing = Window.partitionBy(*keys).orderBy("_us").rangeBetween(-seconds * 1_000_000, 0)
-    # the first increase of the range began before the range, and is left out
-    first = F.min("_us").over(trailing)
-    total, head = F.sum("_grown").over(trailing), F.min_by(F.coalesce("_grown", F.lit(0.0)), "_us").over(trailing)
-    covered = (F.col("_us") - first) / 1_000_000
-    return rows.withColumn("rate", F.when(covered > 0, (total - head) / covered)).select(*df.columns, "rate")
+    # the first increase of the range began before the range, and is left out;
+    # running totals never fall, so of equal times the first is the least
+    ends = rows.withColumn("_first", F.min(F.struct("_us", "_sum")).over(trailing)).withColumn("_last", F.max("_sum").over(trailing))
+    covered = (F.col("_us") - F.col("_first._us")) / 1_000_000
+    return ends.withColumn("rate", F.when(covered > 0, (F.col("_last") - F.col("_first._sum")) / covered)).select(*df.columns, "rate")
 
 
 def exported_metrics(df: DataFrame, seconds: int = 60) -> DataFrame:

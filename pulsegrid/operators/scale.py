@@ -54,6 +54,35 @@ def fit_target_scalers(windows: DataFrame, horizons: tuple[int, ...], method: st
     return reduce(DataFrame.unionByName, fits)
 
 
+def fit_input_scalers(windows: DataFrame, method: str = "standard") -> DataFrame:
+    """One row a feature, ``x_0``, ``x_1``, ..., over all rows of the training windows' inputs.
+
+    A row counts as often as windows hold it.  Plain windows have one feature.
+    """
+    if method not in METHODS:
+        raise ValueError(f"unknown method: {method}; one of {METHODS}")
+    rows = windows.select(F.explode("x").alias("r"))
+    nested = dict(windows.dtypes)["x"].startswith("array<array")
+    cells = rows.select(F.posexplode("r" if nested else F.array("r")).alias("i", "v"))
+    center, spread = _center_scale(F.col("v").cast("double"), method)
+    out = cells.groupBy("i").agg(center.alias("center"), spread.alias("scale"))
+    return out.select(F.concat(F.lit("x_"), "i").alias("feature"), "center", F.when(F.col("scale") == 0, 1.0).otherwise(F.col("scale")).alias("scale"))
+
+
+def apply_input_scaler(windows: DataFrame, scaler: DataFrame, inverse: bool = False) -> DataFrame:
+    """Scale ``x`` feature by feature, or scale it back; the scaler is one broadcast row of a cell a feature."""
+    place = F.regexp_extract("feature", r"^x_(\d+)$", 1)
+    one = scaler.filter(place != "").agg(F.array_sort(F.collect_list(F.struct(place.cast("int").alias("i"), "center", "scale"))).alias("_s"))
+    nested = dict(windows.dtypes)["x"].startswith("array<array")
+    missing = F.raise_error(F.lit("Scaler not fitted for all columns")).cast("struct<i:int,center:double,scale:double>")
+
+    def row(v: Column) -> Column:
+        cells = F.transform(v if nested else F.array(v), lambda cell, i: _scaled(cell, F.coalesce(F.get("_s", i), missing), inverse, False))
+        return cells if nested else cells[0]
+
+    return windows.crossJoin(F.broadcast(one)).withColumn("x", F.transform("x", row)).select(*windows.columns)
+
+
 def _stats(scaler: DataFrame, columns: list[str]) -> DataFrame:
     """The scaler as one row; raises if it was not fitted for a column."""
     picked = [F.max(F.when(F.col("feature") == c, F.struct("center", "scale"))).alias(f"_s{i}") for i, c in enumerate(columns)]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..keys import SERIES
+from .order import sums_before
 
 
 def check_ratios(train: float, validation: float, test: float) -> None:
@@ -18,7 +19,8 @@ def temporal_split(df: DataFrame, order: str, train: float = 0.7, validation: fl
 
     ``scope`` "series" splits every series by itself; "global" splits the rows
     as they stand in order of their series.  For the latter, counts a series
-    give its offset, so rows are never numbered by one task.
+    give its offset, summed range by range, so neither rows nor series are
+    ever numbered by one task.
     """
     check_ratios(train, validation, test)
     keys = [k for k in SERIES if k in df.columns]
@@ -28,8 +30,7 @@ def temporal_split(df: DataFrame, order: str, train: float = 0.7, validation: fl
         rows = rows.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
     elif scope == "global":
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
-        before = F.sum("_c").over(Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1))
-        offsets = counts.withColumn("_before", F.coalesce(before, F.lit(0))).withColumn("_n", F.sum("_c").over(Window.partitionBy()))
+        offsets = sums_before(counts, keys, F.col("_c")).withColumnRenamed("_total", "_n")
         rows = rows.join(offsets.drop("_c"), keys).withColumn("_place", F.col("_place") + F.col("_before")).drop("_before")
     else:
         raise ValueError("scope must be 'series' or 'global'")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import container_name
+from .order import sums_before
 
 
 def discover_containers(df: DataFrame) -> DataFrame:
@@ -20,12 +21,9 @@ def discover_containers(df: DataFrame) -> DataFrame:
 
 
 def build_vocabulary(df: DataFrame) -> DataFrame:
-    """(container_name, container_id): ids 0, 1, ... by name.
-
-    Only the distinct names, one row a container, are numbered in one window.
-    """
-    names = discover_containers(df)
-    return names.select("container_name", (F.row_number().over(Window.orderBy("container_name")) - 1).cast("int").alias("container_id"))
+    """(container_name, container_id): ids 0, 1, ... by name, counted range by range of the names."""
+    names = sums_before(discover_containers(df), ["container_name"], F.lit(1))
+    return names.select("container_name", F.col("_before").cast("int").alias("container_id"))
 
 
 def extend_vocabulary(vocabulary: DataFrame, df: DataFrame) -> DataFrame:
@@ -59,10 +57,14 @@ def restrict(df: DataFrame, chosen: DataFrame) -> DataFrame:
 
 
 def sample_containers(df: DataFrame, k: int, seed: int = 0, column: str = "container_name") -> DataFrame:
-    """k distinct containers, or all if there are fewer, in the order of a seeded hash."""
-    return df.select(column).distinct().orderBy(F.xxhash64(column, F.lit(seed)), column).limit(k)
+    """k distinct containers, or all if there are fewer, in the order of a seeded MD5."""
+    return df.select(column).distinct().orderBy(_drawn(seed, column), column).limit(k)
 
 
 def sample_rows(df: DataFrame, n: int, *keys: str, seed: int = 0) -> DataFrame:
-    """n rows in the order of a seeded hash of their keys, without replacement."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    """n rows in the order of a seeded MD5 of their keys, without replacement."""
+    return df.orderBy(_drawn(seed, *keys), *keys).limit(n)
+
+
+def _drawn(seed: int, *keys: str) -> Column:
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]))

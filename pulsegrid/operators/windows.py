@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..keys import SERIES, TIME, in_series, micros_between, require_columns
@@ -19,6 +19,19 @@ def numbered(df: DataFrame) -> DataFrame:
     return df.withColumn("row_no", F.row_number().over(in_series(df)) - 1).withColumn("n_rows", counts)
 
 
+def numbered_by_days(df: DataFrame) -> DataFrame:
+    """``numbered`` for long series: rows are numbered within a day, days start at the counts of the days before."""
+    keys = [k for k in SERIES if k in df.columns]
+    rows = df.withColumn("_day", F.date_trunc("DAY", TIME))
+    counts = rows.groupBy(*keys, "_day").agg(F.count(F.lit(1)).alias("_c"))
+    days = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*keys, "_day", F.coalesce(F.sum("_c").over(days), F.lit(0)).alias("_before"), F.sum("_c").over(Window.partitionBy(*keys)).alias("n_rows"))
+    ties = ["event_id"] if "event_id" in df.columns else []
+    place = F.row_number().over(Window.partitionBy(*keys, "_day").orderBy(TIME, *ties)) - 1
+    met = rows.withColumn("_place", place).join(starts, [*keys, "_day"])
+    return met.select(*df.columns, (F.col("_before") + F.col("_place")).alias("row_no"), "n_rows")
+
+
 def _anchors(window: int, horizons: tuple[int, ...], stride: int) -> Column:
     fits = F.col("row_no") + window + max(horizons) <= F.col("n_rows")
     return (F.col("row_no") % stride == 0) & fits
@@ -29,7 +42,8 @@ def sliding_windows(df: DataFrame, window: int = 240, horizons: tuple[int, ...]
     features), ``y_<h>`` (the next h targets), their first and last times, ``window_id``.
 
     Windows start at every ``stride``-th row of a series, as long as the
-    longest horizon fits; they never leave it.  Frames count rows, not time.
+    longest horizon fits; they never leave it.  Frames count rows, not time;
+    a null value keeps its place in the window as a null.
     Only the anchors' arrays are kept; use ``window_blocks`` where many features
     and long series make that too dear.
     """
@@ -37,16 +51,21 @@ def sliding_windows(df: DataFrame, window: int = 240, horizons: tuple[int, ...]
     w = in_series(df)
     keys = [k for k in SERIES if k in df.columns]
     cell = F.col(features[0]) if len(features) == 1 else F.array(*[F.col(c).cast("double") for c in features])
+
+    def in_frame(value: Column, frame: WindowSpec) -> Column:
+        # collect_list leaves nulls out; a struct of one is none
+        return F.transform(F.collect_list(F.struct(value.alias("v"))).over(frame), lambda x: x["v"])
+
     inside = w.rowsBetween(0, window - 1)
     out = {
         "window_start": F.col(TIME),
         "window_end": F.lead(TIME, window - 1).over(w),
-        "x": F.collect_list(cell).over(inside),
+        "x": in_frame(cell, inside),
     }
     for h in horizons:
         out[f"target_start_{h}"] = F.lead(TIME, window).over(w)
         out[f"target_end_{h}"] = F.lead(TIME, window + h - 1).over(w)
-        out[f"y_{h}"] = F.collect_list(F.col(target).cast("double")).over(w.rowsBetween(window, window + h - 1))
+        out[f"y_{h}"] = in_frame(F.col(target).cast("double"), w.rowsBetween(window, window + h - 1))
     rows = numbered(df).withColumns(out).filter(_anchors(window, horizons, stride))
     return rows.select(*keys, F.floor(F.col("row_no") / stride).cast("long").alias("window_id"), *out)
 
@@ -83,15 +102,16 @@ def without_gaps(windows: DataFrame, window: int, step: int) -> DataFrame:
 def window_blocks(df: DataFrame, window: int, horizons: tuple[int, ...], stride: int, features: tuple[str, ...], target: str = "value", block: int = 4096) -> DataFrame:
     """``sliding_windows`` for long series and many features.
 
-    A series is cut into blocks of ``block`` rows; the rows that windows of the
-    block before still need are copied once, so no task needs a whole series
-    and a row is moved twice at most (``block`` is at least a window's rows).
+    Rows are numbered day by day, and a series is cut into blocks of ``block``
+    rows; the rows that windows of the block before still need are copied
+    once, so no task needs a whole series (``block`` is at least a window's
+    rows).  Series are told apart by their key columns, which must not be null.
     """
     require_columns(df, TIME, target, *features)
     keys = [k for k in SERIES if k in df.columns]
     halo = window + max(horizons) - 1
     size = max(block, halo + 1)
-    rows = numbered(df).select(*keys, "row_no", "n_rows", TIME, F.array(*[F.col(c).cast("double") for c in features]).alias("_x"), F.col(target).cast("double").alias("_y"))
+    rows = numbered_by_days(df).select(*keys, "row_no", "n_rows", TIME, F.array(*[F.col(c).cast("double") for c in features]).alias("_x"), F.col(target).cast("double").alias("_y"))
     own = F.floor(F.col("row_no") / size).cast("long")
     before = F.when((F.col("row_no") % size < halo) & (F.col("row_no") >= size), F.array(own, own - 1)).otherwise(F.array(own))
     dealt = rows.withColumn("_block", F.explode(before))
@@ -107,10 +127,9 @@ def window_blocks(df: DataFrame, window: int, horizons: tuple[int, ...], stride:
         starts = np.arange(-(-first // stride) * stride, min(last, total - window - max(horizons) + 1), stride) - at[0]
         if not len(starts):
             return pd.DataFrame(columns=[s.split()[0] for s in schema.split(", ")])
-        x, y, ts = np.vstack(pdf["_x"].to_list()), pdf["_y"].to_numpy(), pdf[TIME].to_numpy()
-        views = np.lib.stride_tricks.sliding_window_view(x, window, axis=0)[starts].transpose(0, 2, 1)
+        x, y, ts = pdf["_x"].to_list(), [None if np.isnan(v) else v for v in pdf["_y"].to_numpy(float)], pdf[TIME].to_numpy()
         out = {k: pdf[k].iat[0] for k in keys}
-        out |= {"window_id": (starts + at[0]) // stride, "window_start": ts[starts], "window_end": ts[starts + window - 1], "x": [v.tolist() for v in views]}
+        out |= {"window_id": (starts + at[0]) // stride, "window_start": ts[starts], "window_end": ts[starts + window - 1], "x": [x[s : s + window] for s in starts]}
         out |= {f"y_{h}": [y[s + window : s + window + h] for s in starts] for h in horizons}
         return pd.DataFrame(out)
 

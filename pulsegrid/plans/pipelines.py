@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.labels import metric_of, select_containers, select_metric, with_container_name
-from ..keys import SERIES, TIME
+from ..functions.labels import label_selector, metric_of, select_containers, select_metric, with_container_name
+from ..keys import SERIES, TIME, micros_between
 from ..operators import clean, correlate, evaluate, explore, features, forecast, rates, scale, split, vocabulary, windows
 from ..sources import io
 
@@ -33,9 +33,10 @@ def prepare_container_metrics(df: DataFrame, metric: str, container: str | None
 
 
 def features_and_windows(df: DataFrame, window: int = 240, horizons: tuple[int, ...] = (60,), stride: int = 4, with_calendar: bool = True, with_lags: bool = True, with_rolling: bool = True, target: str = "value", in_blocks: bool = True) -> DataFrame:
-    """Features of a clean series, then windows over all of them."""
+    """Features of a clean series, then windows over all of them; raises where every series is too short for one."""
     table = features.add_features(df, with_calendar=with_calendar, with_lags=with_lags, with_rolling=with_rolling)
     columns = tuple(features.feature_columns(table))
+    windows.require_windows(table, window, horizons)
     cut = windows.window_blocks if in_blocks else windows.sliding_windows
     return cut(table, window, horizons, stride, columns, target)
 
@@ -52,10 +53,19 @@ def prepare_training_data(df: DataFrame, metric: str, containers: list[str] | No
     return split.temporal_split(vocabulary.add_container_ids(cut, names), "window_id", *ratios, scope), names
 
 
-def scale_training_data(data: DataFrame, horizons: tuple[int, ...], method: str = "standard") -> tuple[DataFrame, DataFrame]:
-    """(scaled windows, scalers): targets by one scaler a horizon, fitted on the training part."""
+def input_scalers(data: DataFrame, method: str = "standard") -> DataFrame:
+    """Scalers of the inputs, one a feature, fitted on the training part."""
+    return scale.fit_input_scalers(data.filter("split = 'train'"), method)
+
+
+def scale_training_data(data: DataFrame, horizons: tuple[int, ...], method: str = "standard", inputs: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(scaled windows, target scalers): inputs by ``input_scalers``, targets by one scaler a horizon.
+
+    All are fitted on the training part and applied to every part.
+    """
     scalers = scale.fit_target_scalers(data.filter("split = 'train'"), horizons, method)
-    return scale.apply_scaler(data, scalers, [f"y_{h}" for h in horizons]), scalers
+    out = scale.apply_scaler(data, scalers, [f"y_{h}" for h in horizons])
+    return (scale.apply_input_scaler(out, input_scalers(data, method)) if inputs else out), scalers
 
 
 def analyze_patterns(df: DataFrame, how: str = "sum", window: int = 20, deviations: float = 2.0) -> tuple[DataFrame, DataFrame]:
@@ -76,9 +86,33 @@ def export_metrics(raw: DataFrame, seconds: int = 60) -> DataFrame:
     return rates.exported_metrics(samples.withColumn("container_name", F.coalesce("container_name", "container_id")), seconds)
 
 
-def evaluate_forecasts(data: DataFrame, horizons: tuple[int, ...], order: tuple[int, int, int] = forecast.DEFAULT, scalers: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+def export_run(raw: DataFrame, path: str, stamp: str, container: str | None = None, namespace: str | None = None, hours: int = 1, seconds: int = 60, fmt: str = "csv") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Select series, export their metrics in files: (catalogue, counts by metric, rows by chunk of time).
+
+    Chunks of ``hours`` begin at the first sample; the last sample belongs to
+    the chunk that it ends.
+    """
+    fits = F.filter("data.result", lambda s: label_selector(s["metric"], container, namespace))
+    chosen = raw.withColumn("data", F.col("data").withField("result", fits))
+    found = export_metrics(chosen, seconds)
+    counts = io.write_exports(found, path, fmt)
+    bounds = found.agg(F.min(TIME).alias("start"), F.max(TIME).alias("end"))
+    chunks = io.time_chunks(bounds, hours)
+    # chunks are one row for some hours of the export
+    placed = found.join(F.broadcast(bounds), how="cross").withColumn("chunk_start", F.when(F.col(TIME) < F.col("end"), F.col("start") + F.make_dt_interval(hours=(F.floor(micros_between(F.col("start"), F.col(TIME)) / (hours * 3_600_000_000)) * hours).cast("int"))))
+    rows = placed.groupBy("chunk_start").agg(F.count(F.lit(1)).alias("n"))
+    last = rows.filter("chunk_start is null").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_last"))
+    by_chunk = chunks.join(rows, "chunk_start", "left").join(F.broadcast(last), how="cross").join(F.broadcast(bounds), how="cross")
+    n = F.coalesce("n", F.lit(0)) + F.when(F.col("chunk_end") == F.col("end"), F.col("n_last")).otherwise(0)
+    return io.metric_catalogue(found, stamp), counts, by_chunk.select("chunk_start", "chunk_end", n.alias("n_rows"))
+
+
+def evaluate_forecasts(data: DataFrame, horizons: tuple[int, ...], order: tuple[int, int, int] = forecast.DEFAULT, scalers: DataFrame | None = None, path: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(by horizon, degradation, by step) of a refit on each test window.
 
+    Scores by horizon include the directional accuracy, and are written as
+    JSON to ``path`` if one is given.
+
     Windows are dealt out evenly first, as fits take CPU and not data.
     """
     test = data.filter("split = 'test'").repartition(*SERIES, "window_id")
@@ -87,7 +121,10 @@ def evaluate_forecasts(data: DataFrame, horizons: tuple[int, ...], order: tuple[
         names = {f"{side}_{h}": f"y_{h}" for h in horizons for side in ("y", "pred")}
         scored = scale.apply_scaler(scored, scalers, list(names), inverse=True, names=names)
     paired = evaluate.pair_steps(scored, horizons)
-    by_horizon = evaluate.horizon_analysis(paired)
+    keys = (*SERIES, "horizon")
+    by_horizon = evaluate.horizon_analysis(paired).join(evaluate.directional_accuracy(paired, keys), list(keys), "left")
+    if path is not None:
+        io.write_results(by_horizon, path)
     return by_horizon, evaluate.degradation(by_horizon), evaluate.step_errors(paired)
 
 

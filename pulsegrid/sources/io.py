@@ -120,6 +120,10 @@ def write_results(results: DataFrame, path: str) -> None:
     results.write.mode("overwrite").json(path)
 
 
+def read_results(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).json(path)
+
+
 def write_state(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """A scaler (Parquet) or a vocabulary (JSON): small tables, one file."""
     df.coalesce(1).write.mode("overwrite").format(fmt).save(path)

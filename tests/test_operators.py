@@ -269,3 +269,65 @@ def test_training_data_end_to_end(spark):
     stats = scaled.filter("split = 'train'").select(F.explode("y_10").alias("v")).agg(F.avg("v"), F.stddev_pop("v")).first()
     assert stats[0] == pytest.approx(0, abs=1e-9) and stats[1] == pytest.approx(1)
     assert {r.feature for r in scalers.collect()} == {"y_10", "y_20"}
+
+
+def test_windows_keep_nulls_in_both_forms(spark):
+    values = [float(i) if i not in (3, 4, 9) else None for i in range(12)]
+    df = series(spark, values)
+    plain = windows.sliding_windows(df, 4, (2,), 2).orderBy("window_id").collect()
+    blocks = windows.window_blocks(df, 4, (2,), 2, ("value",), block=6).orderBy("window_id").collect()
+    assert [list(r.x) for r in plain] == [values[k : k + 4] for k in (0, 2, 4, 6)]
+    assert [list(r.y_2) for r in plain] == [values[k + 4 : k + 6] for k in (0, 2, 4, 6)]
+    assert [[c[0] for c in r.x] for r in blocks] == [list(r.x) for r in plain]
+    assert [list(r.y_2) for r in blocks] == [list(r.y_2) for r in plain]
+
+
+def test_rows_are_numbered_day_by_day(spark):
+    df = series(spark, range(500), step=1200).union(series(spark, range(3), "b", step=86_400)).repartition(5)
+    got = windows.numbered_by_days(df).collect()
+    assert all(r.row_no == r.value and r.n_rows == (500 if r.container_name == "a" else 3) for r in got)
+
+
+def test_too_short_series_raise_in_the_pipeline(spark):
+    df = series(spark, range(100))
+    with pytest.raises(ValueError, match="no series has"):
+        pipelines.features_and_windows(df, 240, (60,))
+    assert pipelines.features_and_windows(df, 20, (10,), with_lags=False, with_rolling=False).count() > 0
+
+
+def test_sums_along_an_order(spark):
+    from pulsegrid.operators.order import sums_before
+
+    rng = np.random.default_rng(3)
+    rows = [(f"n{x:03d}" if x % 7 else None, int(x), int(w)) for x, w in zip(rng.permutation(300), rng.integers(1, 9, 300))]
+    df = spark.createDataFrame(rows, "name string, k int, w int")
+    for blocks in (1, 16, 1000):
+        got = sorted(sums_before(df, ["name", "k"], F.col("w"), blocks).collect(), key=lambda r: (r["name"] is not None, r["name"] or "", r.k))
+        before = np.concatenate([[0], np.cumsum([r.w for r in got])])
+        assert [r._before for r in got] == before[:-1].tolist() and {r._total for r in got} == {before[-1]}
+    assert sums_before(df.limit(0), ["name"], F.col("w")).count() == 0
+
+
+def test_inputs_of_several_features_are_scaled_by_the_training_part(spark):
+    rows = [("m", "a", k, [[float(k + i), 5.0] for i in range(3)], [float(k)], "train" if k < 4 else "test") for k in range(6)]
+    data = spark.createDataFrame(rows, "metric_name string, container_name string, window_id long, x array<array<double>>, y_1 array<double>, split string")
+    scaled, targets = pipelines.scale_training_data(data, (1,))
+    scalers = pipelines.input_scalers(data)
+    seen = np.array([k + i for k in range(4) for i in range(3)], dtype=float)
+    stats = {r.feature: (r.center, r.scale) for r in scalers.collect()}
+    assert stats["x_0"] == pytest.approx((seen.mean(), seen.std())) and stats["x_1"] == (5.0, 1.0)
+    assert [r.feature for r in targets.collect()] == ["y_1"]
+    for r in scaled.collect():
+        assert np.allclose(r.x, [[(r.window_id + i - seen.mean()) / seen.std(), 0.0] for i in range(3)])
+    back = scale.apply_input_scaler(scaled, scalers, inverse=True)
+    assert all(np.allclose(r.x, rows[r.window_id][3]) for r in back.collect())
+
+
+def test_evaluation_adds_directions_and_writes_results(spark, tmp_path):
+    data = spark.createDataFrame([("m", "a", 0, [float(v % 5) for v in range(40)], [1.0, 2.0, 1.0], "test")], "metric_name string, container_name string, window_id long, x array<double>, y_3 array<double>, split string")
+    path = str(tmp_path / "results")
+    by_horizon, _, _ = pipelines.evaluate_forecasts(data, (3,), (1, 1, 0), path=path)
+    row = by_horizon.first()
+    assert 0 <= row.directional_accuracy <= 100 and row.horizon == 3
+    back = spark.read.json(path).first()
+    assert back.directional_accuracy == row.directional_accuracy and back.rmse == pytest.approx(row.rmse)
