@@ -9,7 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import require
+from .common import require, stored
 
 
 class Rule(NamedTuple):
@@ -116,26 +116,49 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...], id_col: str, text_col:
     return met.groupBy("id").agg(F.collect_set("kind").alias("rules"))
 
 
+#: Matches that are laid one after the other before they join the rest.
+STRETCH = 256
+_SPANS = "array<struct<start:int,end:int>>"
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)``, with the value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _spans(text: Column, rule: Rule) -> Column:
-    """Code-point spans of the rule's matches, by the lengths of matches and of what lies between."""
+    """Code-point spans of the rule's matches, by the lengths of matches and of what lies between.
+
+    Matches are added up in stretches of ``STRETCH``, so that a text of very
+    many matches does not copy all of them for each further one.
+    """
     pattern = F.lit(rule.pattern)
     zipped = F.arrays_zip(
         F.regexp_extract_all(text, pattern, F.lit(0)).alias("m"),
         F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("v"),
         F.split(text, rule.pattern, -1).alias("gap"),
     )
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
+
+    def start(at: Column, kind: str) -> Column:
+        return F.struct(at.alias("at"), F.array().cast(kind).alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["m"])
-        span = F.array(F.struct(start.alias("start"), end.alias("end")))
+        begin = acc["at"] + F.length(x["gap"])
+        end = begin + F.length(x["m"])
+        span = F.array(F.struct(begin.alias("start"), end.alias("end")))
         good = F.length(x["v"]) >= rule.least
         # the last gap has no match after it
         return F.when(x["m"].isNull(), acc).otherwise(F.struct(end.alias("at"), F.when(good, F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out")))
 
-    found = F.aggregate(zipped, empty, step, lambda acc: acc["out"])
-    return F.when(F.regexp_like(text, pattern), found).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+    def stretches(z: Column) -> Column:
+        def stretch(acc: Column, k: Column) -> Column:
+            some = F.aggregate(F.slice(z, k * STRETCH + 1, F.lit(STRETCH)), start(acc["at"], _SPANS), step)
+            return _let(some, lambda s: F.struct(s["at"].alias("at"), F.concat(acc["out"], F.array(s["out"])).alias("out")))
+
+        numbers = F.sequence(F.lit(0), F.floor((F.size(z) - 1) / STRETCH).cast("int"))
+        return F.aggregate(numbers, start(F.lit(0), f"array<{_SPANS}>"), stretch, lambda acc: F.flatten(acc["out"]))
+
+    return F.when(F.regexp_like(text, pattern), _let(zipped, stretches)).otherwise(F.array().cast(_SPANS))
 
 
 def _named(rank: int, rule: Rule) -> Column:
@@ -151,11 +174,13 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RU
     (start, rank of the kind, end, kind) in that order.
 
     Null texts count as empty.  Rows that share an id share the index's
-    candidates, which only adds texts to verify.  Spans of different kinds may
-    overlap; spans of one kind do not.
+    candidates, which only adds texts to verify; so do rows of null ids.  Spans
+    of different kinds may overlap; spans of one kind do not.  The candidates
+    are written first: Spark knows their size then and sends them to the texts
+    where they are few, so that only their own rules are tried on them.
     """
     require(docs, id_col, text_col)
-    cand = candidates(docs, rules, id_col, text_col)
+    cand = stored(candidates(docs, rules, id_col, text_col))
     rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     joined = rows.join(cand, rows[id_col].eqNullSafe(cand["id"]), "left")
     each = [_named(rank, rule) for rank, rule in enumerate(rules)]

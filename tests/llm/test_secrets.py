@@ -52,11 +52,27 @@ def test_no_rows(spark):
     assert secrets.scan_secrets(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_a_text_of_very_many_matches_and_null_ids(spark):
+    text = "".join(f"é token=abcdefgh{k} " for k in range(40_000))
+    got = secrets.scan_secrets(spark.createDataFrame([(None, text), (None, "AKIA" + "A" * 16), (1, text), (1, text)], "doc_id long, text string")).collect()
+    want = [(m.start(), m.end()) for m in BASE[0][1].finditer(text)]
+    assert [len(r.spans) for r in got if r.text != text] == [1]
+    assert sum(r.text == text for r in got) == 3
+    assert all([(s.start, s.end) for s in r.spans] == want for r in got if r.text == text)
+
+
 def test_query_on_the_small_table(spark):
+    import hashlib
+
     from pulsegrid.llm import queries
 
     sf = "/root/testdata/sf0.001"
+    more = [(r.kind, re.compile(r.pattern), r.group, r.least) for r in secrets.MORE_RULES]
     got = {r.doc_id: r for r in queries.op7_secrets(spark, sf).collect()}
     for d in spark.read.parquet(f"{sf}/documents.parquet").collect():
-        counts = [sum(len(m.group(g)) >= least for m in p.finditer(d.text or "")) for _, p, g, least in BASE]
-        assert [got[d.doc_id].n_assign, got[d.doc_id].n_access, got[d.doc_id].n_hex] == counts
+        spans = sorted((m.start(), k, m.end(), n) for k, (n, p, g, least) in enumerate(BASE + more) for m in p.finditer(d.text or "") if len(m.group(g)) >= least)
+        said = lambda some: ",".join(f"{n}:{a}:{b}" for a, _, b, n in some)
+        base = [s for s in spans if s[1] < len(BASE)]
+        row = got[d.doc_id]
+        assert [row.n_assign, row.n_access, row.n_hex] == [sum(s[1] == k for s in base) for k in range(3)]
+        assert (row.base_sha256, row.spans) == (hashlib.sha256(said(base).encode()).hexdigest(), said(spans))
