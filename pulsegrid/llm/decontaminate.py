@@ -3,23 +3,26 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import require, small_batches
+from .common import require
 
 #: Fixed pattern: words of a text as given; A-Z counts as a-z.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: UTF-8 bytes: A-Z lower-cased, what is no part of a word as a space.
 TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 WINDOW = 13
-BLOCK_BYTES = 32 << 20
+#: An automaton and its windows take up to about 80 times this in a worker.
+BLOCK_BYTES = 4 << 20
 
 ADDED = "n_words long, hits array<int>, items array<string>"
 
@@ -34,58 +37,81 @@ def joined(words: list[bytes]) -> str:
 
 
 class Matcher:
-    """Finds maximal runs of words that documents share with the items.
+    """Finds the windows that documents share with the items.
 
     The automaton holds each item's words once, in aligned blocks of
-    (window + 1) / 2 words: any run of ``window`` words covers a whole block,
-    so every run starts from a block's hit and is extended word by word.
+    (window + 1) / 2 words: any window covers a whole block, so a document's
+    windows are looked up, by 128-bit hashes, only around a block's hit.  An
+    item of fewer words than a window is a block and a window of its own.
     """
 
     def __init__(self, items: list[tuple[str, list[bytes]]], window: int) -> None:
+        self.size = (window + 1) // 2
         self.window = window
-        self.items = items
-        at: dict[str, list[tuple[int, int]]] = {}
-        for k, (_, words) in enumerate(self.items):
-            size = (window + 1) // 2 if len(words) >= window else len(words)
-            for start in range(0, len(words) - size + 1, size or 1):
-                if size:
-                    at.setdefault(joined(words[start : start + size]), []).append((k, start))
         self.automaton = ahocorasick.Automaton()
-        for key, places in at.items():
-            self.automaton.add_word(key, places)
-        self.ready = bool(at)
+        self.short: dict[str, set[str]] = {}
+        #: An item's name, or those of several items.
+        self.windows: dict[bytes, str | frozenset[str]] = {}
+        for name, words in items:
+            if len(words) < window:
+                if words:
+                    self.short.setdefault(joined(words), set()).add(name)
+                continue
+            for start in range(0, len(words) - self.size + 1, self.size):
+                self.automaton.add_word(joined(words[start : start + self.size]), self.size)
+            for start in range(len(words) - window + 1):
+                key = self._key(words[start : start + window])
+                if (held := self.windows.setdefault(key, name)) != name:
+                    self.windows[key] = (held if isinstance(held, frozenset) else frozenset([held])) | {name}
+        for key in self.short:
+            # where a short item is a block, too, both are looked up
+            self.automaton.add_word(key, -key.count(" ") + 1 if key not in self.automaton else 0)
+        self.ready = len(self.automaton) > 0
         if self.ready:
             self.automaton.make_automaton()
 
-    def runs(self, words: list[bytes]) -> list[tuple[int, int, int]]:
-        """(item, first word, word after the last) of the runs in a text's words."""
+    @staticmethod
+    def _key(words: list[bytes]) -> bytes:
+        return xxhash.xxh3_128_digest(b" ".join(words))
+
+    def runs(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
+        """(first word, word after the last) of the windows in a text's words, and the items they are of."""
+        spans: list[tuple[int, int]] = []
+        items: set[str] = set()
         if not self.ready:
-            return []
+            return spans, items
         norm = joined(words)
         hits = list(self.automaton.iter(norm))
         if not hits:
-            return []
+            return spans, items
         gaps = np.flatnonzero(np.frombuffer(norm.encode("utf-32-le"), dtype=np.uint32) == 32)
         ends = np.searchsorted(gaps, [e for e, _ in hits])
-        found, done = [], {}
-        for (_, places), after in zip(hits, ends.tolist(), strict=True):
-            for k, start in places:
-                own = self.items[k][1]
-                n = (self.window + 1) // 2 if len(own) >= self.window else len(own)
-                i, j = after - n, start
-                diagonal = (k, i - j)
-                if i < done.get(diagonal, -1):
-                    continue
-                a, b = i, i + n
-                while a > 0 and j > 0 and words[a - 1] == own[j - 1]:
-                    a, j = a - 1, j - 1
-                j = start + n
-                while b < len(words) and j < len(own) and words[b] == own[j]:
-                    b, j = b + 1, j + 1
-                done[diagonal] = b
-                if b - a >= min(self.window, len(own)):
-                    found.append((k, a, b))
-        return found
+        tried = 0
+        for (_, kind), after in zip(hits, ends.tolist(), strict=True):
+            if kind <= 0:
+                n = -kind or self.size
+                if found := self.short.get(joined(words[after - n : after])):
+                    spans.append((after - n, after))
+                    items |= found
+            if kind >= 0:
+                last = min(after - self.size, len(words) - self.window)
+                for i in range(max(tried, after - self.window, 0), last + 1):
+                    if (found := self.windows.get(self._key(words[i : i + self.window]))) is not None:
+                        spans.append((i, i + self.window))
+                        items |= {found} if isinstance(found, str) else found
+                tried = max(tried, last + 1)
+        return spans, items
+
+
+#: The automaton that a worker has built last, by the block it is of.
+_BUILT: dict[str, Matcher] = {}
+
+
+def _matcher(name: str, block: list[tuple[str, list[bytes]]], window: int) -> Matcher:
+    if name not in _BUILT:
+        _BUILT.clear()
+        _BUILT[name] = Matcher(block, window)
+    return _BUILT[name]
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[int]:
@@ -124,7 +150,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """
     require(docs, text_col)
     require(benchmark, item_col, item_text_col)
-    docs = small_batches(docs).drop("n_words", "hits", "items", "spans")
+    docs = docs.drop("n_words", "hits", "items", "spans")
     fields = T.StructType(docs.schema.fields + T._parse_datatype_string(ADDED).fields)
     spark = docs.sparkSession
     blocks = list(item_blocks(benchmark, item_col, item_text_col, block_bytes)) or [[]]
@@ -132,17 +158,17 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     for turn, block in enumerate(blocks):
         held = spark.sparkContext.broadcast(block)
 
-        def scan(parts: Iterator[pd.DataFrame], held=held, first=turn == 0) -> Iterator[pd.DataFrame]:
-            matcher = Matcher(held.value, window)
+        def scan(parts: Iterator[pd.DataFrame], held=held, name=uuid.uuid4().hex, first=turn == 0) -> Iterator[pd.DataFrame]:
+            matcher = _matcher(name, held.value, window)
             for pdf in parts:
                 n_words, hits, items = [], [], []
                 for k, text in enumerate(pdf[text_col].tolist()):
                     words = words_of(text)
                     n_words.append(len(words))
-                    runs = matcher.runs(words)
+                    runs, found = matcher.runs(words)
                     old = [] if first else list(pdf["hits"].iat[k])
-                    hits.append(_merged([(a, b) for _, a, b in runs] + list(zip(old[::2], old[1::2], strict=True))))
-                    items.append(sorted({matcher.items[i][0] for i, _, _ in runs} | set([] if first else pdf["items"].iat[k])))
+                    hits.append(_merged(runs + list(zip(old[::2], old[1::2], strict=True))))
+                    items.append(sorted(found | set([] if first else pdf["items"].iat[k])))
                 yield pdf.assign(n_words=n_words, hits=hits, items=items)[fields.names]
 
         out = out.mapInPandas(scan, fields)

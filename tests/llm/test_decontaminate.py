@@ -74,3 +74,16 @@ def test_empty_tables(spark):
     got = decontaminate.contamination(decontaminate.find_overlaps(docs, none)).first()
     assert (got.n_words, got.n_hit, got["items"], got.contaminated) == (2, 0, [], False)
     assert decontaminate.find_overlaps(docs.limit(0), spark.createDataFrame(ITEMS, "item_id long, text string")).count() == 0
+
+
+def test_repetitive_items_and_texts_take_linear_time():
+    import time
+
+    items = [("a", [b"go"] * 20_000), ("b", [b"go"] * 50), ("c", [b"go", b"to"] * 9), ("d", [b"go"] * 7)]
+    matcher = decontaminate.Matcher(items, 13)
+    began = time.time()
+    spans, found = matcher.runs([b"go"] * 20_000 + [b"to", b"go"] * 10)
+    assert time.time() - began < 10
+    assert found == {"a", "b", "c", "d"} and decontaminate._merged(spans) == [0, 20_020]
+    assert matcher.runs([b"go"] * 6) == ([], set())
+    assert matcher.runs([b"go"] * 8) == ([(0, 7), (1, 8)], {"d"})
