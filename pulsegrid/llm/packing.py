@@ -53,7 +53,9 @@ def optimal_boundaries(lengths: list[int], counts: list[int], n_buckets: int) ->
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_len: int = 2048) -> DataFrame:
     """Cut every document into pieces of at most ``max_len`` words, none dropped.
 
-    A document without words has no piece.
+    A document without words (null, empty, blank) has no piece.  Only the id
+    and the pieces' places and lengths are returned; documents that share an
+    id, or repeat, have pieces of their own.
     """
     n = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long")
     counted = docs.select(F.col(id_col).alias("doc_id"), n.alias("n")).filter("n > 0")
@@ -61,39 +63,45 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_
     return starts.select("doc_id", "piece", "start", F.least(F.col("n") - F.col("start"), F.lit(max_len)).cast("int").alias("n_tokens"))
 
 
-def pack(parts: DataFrame, n_buckets: int = 16, budget: int = 16_384, max_len: int = 2048, salts: int = 64) -> DataFrame:
+#: Rows of a bucket that one task numbers, on average.
+SLICE_ROWS = 100_000
+
+
+def pack(parts: DataFrame, n_buckets: int = 16, budget: int = 16_384, max_len: int = 2048, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Batches of pieces: ``parts`` plus ``bucket`` (padded length) and ``batch``.
 
     The histogram of the lengths 1..``max_len`` is counted over all rows; its
     ``max_len`` entries bound what the driver gets.  A bucket of bound b takes
-    ``budget // b`` pieces a batch.  Places inside a bucket come from counts of
-    ``salts`` slices of it, so no bucket is numbered by one task; every batch
-    of a bucket but its last is full.  Order in a bucket: slice, doc_id, piece.
-    Rows of length null or under 1 are not packed; longer ones raise.
+    ``budget // b`` pieces a batch.  Each bucket is cut into slices by hash, as
+    many as its count asks for, and places come from the counts of the slices,
+    so no bucket is numbered by one task; every batch of a bucket but its last
+    is full.  Order in a bucket: slice, doc_id, piece; equal ones in any order.
+    Rows of length null or under 1 are not packed; longer ones raise.  Columns
+    ``bucket`` and ``batch`` of the input are replaced, all others kept.
     """
     require(parts, "doc_id", "piece", "n_tokens")
     if budget < max_len:
         raise ValueError("the budget must hold one piece of max_len")
     spark = parts.sparkSession
-    parts = parts.filter("n_tokens >= 1")
+    parts = parts.drop("bucket", "batch").filter("n_tokens >= 1")
     longest = F.assert_true(F.col("n_tokens") <= max_len, F.lit("a piece is longer than max_len"))
     histogram = parts.filter(longest.isNull()).groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).orderBy("n_tokens").collect()
     bounds = optimal_boundaries([r.n_tokens for r in histogram], [r.n for r in histogram], n_buckets) or [max_len]
     bucket_of = [next(b for b in bounds if b >= min(k, bounds[-1])) for k in range(bounds[-1] + 1)]
-    bucket = F.element_at(F.array(*[F.lit(b) for b in bucket_of]), F.col("n_tokens") + 1)
-    salt = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int")
-    placed = parts.withColumn("bucket", bucket).withColumn("_salt", salt)
-    counts = placed.groupBy("bucket", "_salt").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy("bucket").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("bucket", "_salt", F.coalesce(before, F.lit(0)).alias("_before"))
-    firsts = spark.createDataFrame([(b, i) for i, b in enumerate(bounds)], "bucket int, bucket_no int")
-    place = F.row_number().over(Window.partitionBy("bucket", "_salt").orderBy("doc_id", "piece")) - 1
-    ranked = placed.withColumn("_place", place)
-    # offsets has n_buckets * salts rows at most
-    joined = ranked.join(F.broadcast(offsets), ["bucket", "_salt"]).join(F.broadcast(firsts), "bucket")
-    per_batch = F.floor(F.lit(budget) / F.col("bucket"))
-    number = F.floor((F.col("_before") + F.col("_place")) / per_batch).cast("long")
-    return joined.select(*parts.columns, "bucket", F.concat_ws("-", "bucket", number).alias("batch"))
+    rows_of = {b: sum(r.n for r in histogram if bucket_of[r.n_tokens] == b) for b in bounds}
+    slices_of = [max(4, -(-rows_of[b] // slice_rows)) for b in bucket_of]
+    length = F.col("_packed.n_tokens") + 1
+    named = parts.select(F.struct(*[F.col(f"`{c}`") for c in parts.columns]).alias("_packed"))
+    bucket = F.element_at(F.array(*[F.lit(b) for b in bucket_of]), length)
+    n_slices = F.element_at(F.array(*[F.lit(k) for k in slices_of]), length)
+    placed = named.withColumn("_bucket", bucket).withColumn("_slice", F.pmod(F.xxhash64("_packed.doc_id", "_packed.piece"), n_slices))
+    counts = placed.groupBy("_bucket", "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_bucket").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("_bucket", "_slice", F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_bucket", "_slice").orderBy("_packed.doc_id", "_packed.piece")) - 1
+    ranked = placed.withColumn("_place", place).join(offsets, ["_bucket", "_slice"])
+    number = F.floor((F.col("_before") + F.col("_place")) / F.floor(F.lit(budget) / F.col("_bucket"))).cast("long")
+    return ranked.select("_packed.*", F.col("_bucket").alias("bucket"), F.concat_ws("-", "_bucket", number).alias("batch"))
 
 
 def batches(packed: DataFrame) -> DataFrame:
