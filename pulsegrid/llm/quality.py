@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import require, small_batches, stored
+from .common import require, stored
 
 STATISTICS = (
     "log_bytes", "log_words", "word_bytes", "upper", "digit", "space", "newline", "stop", "comma", "bang", "bar",
@@ -55,7 +55,12 @@ def statistics(text: str | None) -> list[float]:
 
 
 def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Add ``stats`` (array<float>) for every whole text."""
+    """Put ``stats`` (array<float>) for every whole text in the text's place.
+
+    A column ``stats`` of the input is replaced; null and empty texts have
+    statistics of zeros.
+    """
+    docs = docs.drop("stats")
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != text_col]
 
     def measure(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -63,7 +68,7 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             yield pdf.drop(columns=text_col).assign(stats=[np.asarray(statistics(t), dtype=np.float32) for t in pdf[text_col].tolist()])
 
     require(docs, id_col, text_col)
-    return small_batches(docs).mapInPandas(measure, ", ".join([*kept, "stats array<float>"]))
+    return docs.mapInPandas(measure, ", ".join([*kept, "stats array<float>"]))
 
 
 class Model(NamedTuple):
@@ -178,7 +183,7 @@ def calibrated(model: Model, stats: np.ndarray) -> np.ndarray:
 
 
 def score_quality(measured: DataFrame, model: Model, score_col: str = "score") -> DataFrame:
-    """Replace ``stats`` by the score."""
+    """Replace ``stats``, and a column of the score's name, by the score: 0 to 1, ties and empty texts included."""
     held = measured.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -198,4 +203,4 @@ def keep_quality(docs: DataFrame, model: Model, text_col: str = "text", threshol
             if len(pdf):
                 yield pdf[calibrated(held.value, np.array([statistics(t) for t in pdf[text_col].tolist()], dtype=np.float32).astype(float)) >= threshold]
 
-    return small_batches(docs).mapInPandas(keep, docs.schema)
+    return docs.mapInPandas(keep, docs.schema)

@@ -62,6 +62,7 @@ def assign_shards(df: DataFrame, key: str, shards: list[str], size: int = TABLE_
 
 
 def write_shards(df: DataFrame, key: str, shards: list[str], path: str, files_per_shard: int = 1, size: int = TABLE_SIZE) -> None:
-    """Write the rows under ``path/shard=<name>/``, ``files_per_shard`` files each."""
-    placed = assign_shards(df, key, shards, size).withColumn("_file", F.pmod(F.col("slot"), F.lit(files_per_shard)))
-    placed.repartition(len(shards) * files_per_shard, "shard", "_file").drop("_file", "slot").write.partitionBy("shard").parquet(path)
+    """Write the rows under ``path/shard=<name>/``, ``files_per_shard`` files each; columns ``slot`` and ``shard`` are not written as data."""
+    placed = assign_shards(df, key, shards, size)
+    part = F.pmod(F.col("slot"), F.lit(files_per_shard))
+    placed.repartition(len(shards) * files_per_shard, "shard", part).drop("slot").write.partitionBy("shard").parquet(path)

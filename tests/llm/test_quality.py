@@ -54,3 +54,34 @@ def test_features_approximate_the_kernel():
     z = quality._fourier(x, np.zeros(x.shape[1]), np.ones(x.shape[1]), 1)[:, :-1]
     exact = np.exp(-((x[:, None] - x[None]) ** 2).sum(axis=2) / (2 * x.shape[1]))
     assert np.abs(z @ z.T - exact).mean() < 0.06
+
+
+def test_query_matches_plain_ridge_and_isotonic_fits(spark):
+    """The whole query against NumPy: moments, kernel features, one ridge solve over all rows, calibration by bins."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    stats = np.array([quality.statistics(d.text) for d in docs], dtype=np.float32).astype(float)
+    fold = np.array([binascii.crc32(str(d.doc_id).encode()) % 3 for d in docs])
+    y = np.array([labels.get(d.doc_id, -1) for d in docs], dtype=float)
+    fit, late = (y >= 0) & (fold == 0), (y >= 0) & (fold == 2)
+    mean, spread = stats[fit].mean(axis=0), stats[fit].std(axis=0)
+    rng = np.random.default_rng(7)
+    w, b = rng.standard_normal((stats.shape[1], 384)) / np.sqrt(stats.shape[1]), rng.uniform(0, 2 * np.pi, 384)
+    z = np.hstack([np.sqrt(2 / 384) * np.cos(np.clip((stats - mean) / np.where(spread > 0, spread, 1), -8, 8) @ w + b), np.ones((len(stats), 1))])
+    weights = np.linalg.solve(z[fit].T @ z[fit] + 1e-4 * fit.sum() * np.eye(385), z[fit].T @ y[fit])
+    raw = z @ weights
+    bins = np.round((np.clip(raw, -0.5, 1.5) + 0.5) / 2 * 1023).astype(int)
+    knots = np.unique(bins[late])
+    means = quality.isotonic(np.array([y[late][bins[late] == k].sum() for k in knots]), np.array([float((bins[late] == k).sum()) for k in knots]))
+    want = np.interp(raw, knots / 1023 * 2 - 0.5, means)
+    got = {r.doc_id: r.score for r in queries.op5_quality(spark, SF).collect()}
+    # sums in another order move a raw score a little, and a bin's border with it
+    assert np.mean(np.abs([got[d.doc_id] for d in docs] - want) < 1e-6) > 0.99
+
+
+def test_a_column_of_the_name_of_the_statistics(spark):
+    docs = spark.createDataFrame([(1, "a b", "mine", 3)], "doc_id long, text string, stats string, score int")
+    measured = quality.document_statistics(docs)
+    assert measured.columns == ["doc_id", "score", "stats"]
+    model = quality.fit_quality(measured, spark.createDataFrame([(1, 1)], "doc_id long, quality int"))
+    assert quality.keep_quality(docs, model).columns == docs.columns
