@@ -11,8 +11,8 @@ from . import decontaminate, exact_dedup, line_dedup, ngram_join, packing, quali
 from .common import stored, table
 
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
-#: Words of host names whose pages are listed.
-LISTED_HOSTS = "(bets|casino|pills|spam)"
+#: Keys of pages of less HTML than this are listed, as thin.
+THIN = 1_500
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,10 +21,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    pages = table(spark, sf_dir, "pages")
     host, path = url_filter.split_url(F.col("url"))
-    listed = pages.select(host.alias("host"), path.alias("path")).filter(F.col("host").rlike(LISTED_HOSTS)).select(F.concat("host", "path").alias("key"))
-    return url_filter.judge_urls(pages, listed).select("page_id", "host", "path", "rule", "verdict")
+    listed = pages.filter(F.length("html") < THIN).select(F.concat(host, path).alias("key"))
+    return url_filter.judge_urls(pages.select("page_id", "url"), listed).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,17 +87,18 @@ _RULES_SQL = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_filter.RULES)
 
 OP2_SQL = f"""
 WITH parts AS (
-  SELECT page_id, coalesce(CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END, '') AS rest FROM pages
+  SELECT page_id, coalesce(CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END, '') AS rest, length(html) < {THIN} AS thin FROM pages
 ), split AS (
-  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  SELECT page_id, thin, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts
 ), rules(v, h, p) AS (VALUES {_RULES_SQL}
+), listed AS (SELECT DISTINCT host || path AS key FROM split WHERE thin
 ), fit AS (
   SELECT page_id, host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS rule_verdict
   FROM split LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY ALL
 )
 SELECT page_id, host, path, rule,
-       coalesce(rule_verdict, CASE WHEN regexp_matches(host, '{LISTED_HOSTS}') THEN 'block' ELSE 'allow' END) AS verdict FROM fit
+       coalesce(rule_verdict, CASE WHEN host || path IN (SELECT key FROM listed) THEN 'block' ELSE 'allow' END) AS verdict FROM fit
 """
 
 OP3_SQL = """

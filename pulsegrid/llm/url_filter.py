@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -21,8 +22,8 @@ RULES = (
 )
 HASHES = 6
 BITS_PER_KEY = 9
+#: Bits of a cascade that are broadcast at once (32 MB).
 MAX_BITS = 1 << 28
-MAX_LEVELS = 24
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -96,23 +97,19 @@ def _passing(keys: DataFrame, words: np.ndarray, level: int, bits: int) -> DataF
     return checkpointed(keys.mapInPandas(passing, keys.schema))
 
 
-def build_cascade(universe: DataFrame, listed: DataFrame, max_bits: int = MAX_BITS) -> list[tuple[np.ndarray, int]] | None:
-    """Levels of the cascade over distinct (h1, h2) of ``universe``; None if it would pass ``max_bits``.
+def build_cascade(universe: DataFrame, listed: DataFrame) -> list[tuple[np.ndarray, int]]:
+    """Levels of the cascade over distinct (h1, h2) of ``universe``.
 
     Odd levels encode listed keys, even ones the false positives among the
     others; each level holds only what the level before got wrong, until a
-    level gets nothing wrong.
+    level gets nothing wrong.  No key is left to a join.
     """
     inside = checkpointed(listed.select("h1", "h2").distinct())
     outside = checkpointed(universe.select("h1", "h2").distinct().join(inside, ["h1", "h2"], "left_anti"))
     levels: list[tuple[np.ndarray, int]] = []
-    encode, other = inside, outside
-    total, n = 0, encode.count()
+    encode, other, n = inside, outside, inside.count()
     while n:
         bits = max(64, n * BITS_PER_KEY)
-        total += bits
-        if total > max_bits or len(levels) >= MAX_LEVELS:
-            return None
         words = _level(encode, len(levels) + 1, bits)
         wrong = _passing(other, words, len(levels) + 1, bits)
         levels.append((words, bits))
@@ -120,6 +117,15 @@ def build_cascade(universe: DataFrame, listed: DataFrame, max_bits: int = MAX_BI
     return levels
 
 
+def n_shares(n_listed: int, max_bits: int) -> int:
+    """Into how many shares keys are dealt by hash, so that the cascade of each keeps to ``max_bits``.
+
+    The false positives of a level are a few hundredths of the other keys;
+    the bits asked for leave room for 20 others to a listed key.
+    """
+    return -(-2 * n_listed * BITS_PER_KEY // max_bits) or 1
+
+
 def in_cascade(df: DataFrame, levels: list[tuple[np.ndarray, int]]) -> DataFrame:
     """Add ``listed`` to rows with h1, h2: the first level that misses a key decides."""
     held = df.sparkSession.sparkContext.broadcast(levels)
@@ -144,9 +150,11 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules=RULES, url_col: str =
     ``listed``: DataFrame of column ``key`` (host + path).  The longest fitting
     rule decides; without one the cascade blocks listed keys and allows the
     rest.  The key universe is that of ``pages``, for which the cascade is
-    exact.  It is broadcast only while it has ``max_bits`` or fewer; beyond
-    that a join with the list decides.  Null keys are the empty key; columns of
-    the added names are replaced.
+    exact.  Where the list asks for more than ``max_bits``, keys are dealt into
+    shares by hash and each share has a cascade of its own, so what is
+    broadcast at once stays bounded; pages are read once for each share.  Null
+    keys are the empty key; repeated pages share their verdicts; columns of the
+    added names are replaced.
     """
     require(pages, url_col)
     require(listed, "key")
@@ -154,12 +162,13 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules=RULES, url_col: str =
     host, path = split_url(F.col(url_col))
     rows = pages.drop(*added).withColumns({"host": host, "path": path})
     hashed = rows.select("*", *key_hashes(F.concat("host", "path")))
-    names = listed.select(*key_hashes(F.coalesce("key", F.lit("")))).distinct()
-    levels = build_cascade(hashed, names, max_bits)
-    if levels is None:
-        judged = hashed.join(names.withColumn("listed", F.lit(True)), ["h1", "h2"], "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
-    else:
-        judged = in_cascade(hashed, levels)
+    names = checkpointed(listed.select(*key_hashes(F.coalesce("key", F.lit("")))).distinct())
+    shares = n_shares(names.count(), max_bits)
+
+    def of(df: DataFrame, k: int) -> DataFrame:
+        return df if shares == 1 else df.filter(F.pmod("h1", F.lit(shares)) == k)
+
+    parts = [in_cascade(of(hashed, k), build_cascade(of(hashed, k), of(names, k))) for k in range(shares)]
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
     fallback = F.when(F.col("listed"), "block").otherwise("allow")
-    return judged.withColumns({"rule": rule, "verdict": F.coalesce(verdict, fallback)}).drop("h1", "h2")
+    return reduce(DataFrame.unionByName, parts).withColumns({"rule": rule, "verdict": F.coalesce(verdict, fallback)}).drop("h1", "h2")
