@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import require, small_batches, stored
+from .common import require, stored
 
 THRESHOLD = 200
 #: Contexts of one anchor string that a task sorts; beyond, windows are grouped by Spark.
@@ -290,14 +290,15 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     else in the corpus, overlapping or in the same text included; strings never
     cross texts.  ``spans``: maximal removed runs (byte offsets, end
     exclusive); ``kept``: the other bytes, as binary since a cut may fall
-    inside a character.  Null counts as empty.  Rows of one id are told apart
-    by a hash of their texts; rows equal in both are copies of each other.
+    inside a character.  Null counts as empty.  Ids are integers.  Rows of one
+    id, or of null ids, are told apart by a 64-bit hash of their texts; rows
+    equal in both are copies of each other.
     """
     require(docs, id_col, text_col)
     if threshold < 8:
         raise ValueError("threshold must be 8 bytes or more")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = small_batches(docs).select(F.col(id_col).cast("long").alias("doc"), F.hash(text).cast("long").alias("tag"), text.alias("text"))
+    keyed = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("tag"), text.alias("text"))
     spans = repeated_spans(keyed, threshold, most_contexts)
     per_doc = spans.groupBy("doc", "tag").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("found"))
     same = keyed["doc"].eqNullSafe(per_doc["doc"]) & (keyed["tag"] == per_doc["tag"])
