@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -44,16 +46,58 @@ def pairs(aligned: DataFrame) -> DataFrame:
     return left.join(right, TIME).filter("series_a < series_b")
 
 
-def pearson(aligned: DataFrame) -> DataFrame:
+#: Blocks that series are dealt into: a time's values of a block lie in one row.
+BLOCKS = 8
+
+
+def _vectors(aligned: DataFrame, blocks: int) -> DataFrame:
+    """(timestamp, block, names, values): what each series is off its mean, side by side in order of the names."""
+    means = aligned.groupBy("series").agg(F.avg("value").alias("_mean"))
+    off = aligned.join(means, "series").select("series", TIME, (F.col("value") - F.col("_mean")).alias("v"))
+    block = F.pmod(F.xxhash64("series"), F.lit(blocks)).cast("int").alias("block")
+    rows = off.groupBy(TIME, block).agg(F.array_sort(F.collect_list(F.struct("series", "v"))).alias("c"))
+    return rows.select(TIME, "block", F.col("c.series").alias("names"), F.col("c.v").alias("values"))
+
+
+def pearson(aligned: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     """(series_a, series_b, r); null where a series does not vary.
 
-    Sums of a pair are pre-aggregated before the shuffle.
+    Series are dealt into blocks.  For two blocks, a task sums the outer
+    products of their vectors over its times as one matrix product; only these
+    sums, one number a pair and task, are shuffled.  Every series has a value
+    at every time, as ``align`` leaves it; times where one has none are left
+    out for its pairs.
     """
-    out = pairs(aligned).groupBy("series_a", "series_b").agg(
-        F.stddev_pop("x").alias("_sx"), F.stddev_pop("y").alias("_sy"), F.covar_pop("x", "y").alias("_c")
-    )
-    varies = (F.col("_sx") > 0) & (F.col("_sy") > 0)
-    return out.select("series_a", "series_b", F.when(varies, F.try_divide(F.col("_c"), F.col("_sx") * F.col("_sy"))).alias("r"))
+    rows = _vectors(aligned, blocks)
+    other = rows.select(TIME, F.col("block").alias("other"), F.col("names").alias("others"), F.col("values").alias("w"))
+    met = rows.join(other, TIME).filter("block <= other").select("block", "other", "names", "others", "values", "w")
+
+    def sums(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple, list[np.ndarray]] = {}
+        for pdf in parts:
+            for _, g in pdf.groupby(["block", "other"]):
+                names = (tuple(g["names"].iat[0]), tuple(g["others"].iat[0]))
+                x, y = np.vstack(g["values"].to_list()).astype(float), np.vstack(g["w"].to_list()).astype(float)
+                u, v = ~np.isnan(x), ~np.isnan(y)
+                x, y, u, v = np.where(u, x, 0), np.where(v, y, 0), u.astype(float), v.astype(float)
+                new = [u.T @ v, x.T @ v, u.T @ y, x.T @ y, (x * x).T @ v, u.T @ (y * y)]
+                old = held.get(names)
+                held[names] = new if old is None else [a + b for a, b in zip(old, new, strict=True)]
+        for (names, others), all_sums in held.items():
+            i, j = np.nonzero(np.array(names, dtype=object)[:, None] != np.array(others, dtype=object)[None, :])
+            out = {"a": np.array(names, dtype=object)[i], "b": np.array(others, dtype=object)[j]}
+            yield pd.DataFrame(out | {f"s{k}": m[i, j] for k, m in enumerate(all_sums)})
+
+    found = met.mapInPandas(sums, "a string, b string, " + ", ".join(f"s{k} double" for k in range(6)))
+    # inside a block each pair comes both ways
+    found = found.select(F.least("a", "b").alias("series_a"), F.greatest("a", "b").alias("series_b"), "*", (F.col("a") < F.col("b")).alias("first"))
+    x, y = (F.when(F.col("first"), F.col(f"s{m}")).otherwise(F.col(f"s{n}")) for m, n in ((1, 2), (2, 1)))
+    xx, yy = (F.when(F.col("first"), F.col(f"s{m}")).otherwise(F.col(f"s{n}")) for m, n in ((4, 5), (5, 4)))
+    total = found.groupBy("series_a", "series_b").agg(F.sum("s0").alias("n"), F.sum(x).alias("x"), F.sum(y).alias("y"), F.sum("s3").alias("xy"), F.sum(xx).alias("xx"), F.sum(yy).alias("yy"))
+    covariance = F.col("xy") - F.col("x") * F.col("y") / F.col("n")
+    spread = [F.greatest(F.col(q) - F.col(m) * F.col(m) / F.col("n"), F.lit(0.0)) for q, m in (("xx", "x"), ("yy", "y"))]
+    varies = (spread[0] > 1e-12 * F.col("n")) & (spread[1] > 1e-12 * F.col("n"))
+    return total.select("series_a", "series_b", F.when(varies, F.try_divide(covariance, F.sqrt(spread[0]) * F.sqrt(spread[1]))).alias("r"))
 
 
 def spearman(aligned: DataFrame) -> DataFrame:
