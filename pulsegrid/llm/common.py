@@ -23,15 +23,26 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared folder named by ``spark.checkpoint.dir``.
+def _shared_root(spark: SparkSession) -> str:
+    """The shared folder: ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
-    Only where that setting is absent (tests, a laptop) is a temporary folder
-    of this machine used.
+    A temporary folder of this machine is taken where all runs on it (tests, a
+    laptop); a cluster without either raises.
     """
-    sc = df.sparkSession.sparkContext
-    if not sc.getConf().get("spark.checkpoint.dir", None) and not sc._jsc.sc().getCheckpointDir().isDefined():
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir", None)
+    if root:
+        return root
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-ckpt-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the shared folder."""
+    _shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -75,13 +86,7 @@ def stored(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        held = sc._jsc.sc().getCheckpointDir()
-        if not held.isDefined():
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-ckpt-"))
-            held = sc._jsc.sc().getCheckpointDir()
-        root = held.get()
+    root = _shared_root(spark)
     path = f"{root}/stored-{uuid.uuid4().hex}"
     schema = df.schema
     with small_batches(spark):
