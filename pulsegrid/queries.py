@@ -931,6 +931,15 @@ def _mean_forecast(values: np.ndarray, steps: int) -> np.ndarray:
     return np.full(steps, values.mean())
 
 
+@query(f"SELECT * FROM ({_SQL['m1_arima_110_growing']}) WHERE metric_name IN ('click', 'view') UNION ALL SELECT * FROM ({WITH_GROWING} SELECT metric_name, container_name, k::INTEGER AS step, {r('avg(value) AS forecast')} FROM grid, range(1, 7) t(k) WHERE metric_name = 'purchase' GROUP BY ALL)")
+def m6_batch_score_closed(spark, sf_dir):
+    """Models of closed form: scaling and scaling back leave their forecasts as they are."""
+    rows = growing_grid(spark, sf_dir)
+    q = rows.groupBy("metric_name").agg(F.avg("value").alias("center"), F.stddev_pop("value").alias("scale")).withColumnRenamed("metric_name", "feature")
+    by_difference = partial(forecast.arima, order=(1, 1, 0))
+    return rounded(forecast.batch_score(rows, {"click": by_difference, "view": by_difference, "purchase": _mean_forecast}, q, 6))
+
+
 # Streams ----------------------------------------------------------------------------------------
 
 

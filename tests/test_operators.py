@@ -331,3 +331,11 @@ def test_evaluation_adds_directions_and_writes_results(spark, tmp_path):
     assert 0 <= row.directional_accuracy <= 100 and row.horizon == 3
     back = spark.read.json(path).first()
     assert back.directional_accuracy == row.directional_accuracy and back.rmse == pytest.approx(row.rmse)
+
+
+def test_long_actuals_and_predictions_pair_by_step(spark):
+    key = "metric_name string, container_name string, window_id long, horizon int, step int"
+    actual = spark.createDataFrame([("m", "a", 0, 2, k, float(k)) for k in range(2)], f"{key}, y_true double")
+    predicted = spark.createDataFrame([("m", "a", 0, 2, k, k + 1.0) for k in range(3)], f"{key}, y_pred double")
+    paired = evaluate.pair_rows(actual, predicted)
+    assert paired.count() == 2 and evaluate.score(paired).first().mae == 1.0
