@@ -83,6 +83,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_sharding, op2_url_filter, op3_line_dedup, op4_ngram_join, op5_quality, op6_substring_dedup, op7_secrets, op8_exact_dedup, op9_packing, op10_decontamination)}
 
 
+#: The owner of each slot as two hexadecimal digits, slot after slot.
+_OWNERS = "".join(f"{k:02x}" for k in sharding.lookup_table(SHARDS))
+
+OP1_SQL = f"""
+WITH placed AS (
+  SELECT doc_id, coalesce(strlen(text), 0)::INTEGER AS n_bytes, (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT % {sharding.TABLE_SIZE})::INTEGER AS slot FROM documents
+)
+SELECT doc_id, n_bytes, slot, 'shard-' || lpad((('0x' || substr('{_OWNERS}', 2 * slot + 1, 2))::INTEGER)::VARCHAR, 3, '0') AS shard FROM placed
+"""
+
 _RULES_SQL = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_filter.RULES)
 
 OP2_SQL = f"""
@@ -139,6 +149,27 @@ WITH RECURSIVE words AS (
 SELECT doc_id, coalesce(n, 0) AS n_shingles, min(other) AS component_id FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY ALL
 """
 
+def _secret_sql(rank: int, rule: secrets.Rule) -> str:
+    """(doc_id, kind, rank, a, z) of one rule's matches: code points, by the lengths of matches and of what lies between."""
+    pattern = rule.pattern.replace("'", "''")
+    found = f"SELECT doc_id, regexp_extract_all(t, '{pattern}', 0) AS m, regexp_extract_all(t, '{pattern}', {rule.group}) AS v, string_split_regex(t, '{pattern}') AS gap FROM texts"
+    at = "list_sum(list_transform(gap[1 : i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1 : i - 1], lambda x: length(x))), 0)"
+    return f"SELECT doc_id, '{rule.kind}' AS kind, {rank} AS rank, ({at})::BIGINT AS a, ({at} + length(m[i]))::BIGINT AS z FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM ({found})) WHERE length(v[i]) >= {rule.least}"
+
+
+_BASE_KINDS = ", ".join(f"'{r.kind}'" for r in secrets.BASE_RULES)
+
+OP7_SQL = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents
+), spans AS ({" UNION ALL ".join(_secret_sql(k, r) for k, r in enumerate(secrets.BASE_RULES + secrets.MORE_RULES))}
+), said AS (
+  SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secrets.BASE_RULES)},
+         string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, rank) FILTER (kind IN ({_BASE_KINDS})) AS base, string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, rank) AS every
+  FROM spans GROUP BY doc_id
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secrets.BASE_RULES)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans FROM texts LEFT JOIN said USING (doc_id)
+"""
+
 OP8_SQL = """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept,
        sha256(coalesce(text, '')) AS text_sha256
@@ -167,4 +198,4 @@ FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": OP2_SQL, "op3_line_dedup": OP3_SQL, "op4_ngram_join": OP4_SQL, "op8_exact_dedup": OP8_SQL, "op10_decontamination": OP10_SQL}
+    return {"op1_sharding": OP1_SQL, "op2_url_filter": OP2_SQL, "op3_line_dedup": OP3_SQL, "op4_ngram_join": OP4_SQL, "op7_secrets": OP7_SQL, "op8_exact_dedup": OP8_SQL, "op10_decontamination": OP10_SQL}
