@@ -220,7 +220,11 @@ def near_lines(docs: DataFrame, table: DataFrame, min_words: int) -> DataFrame:
     )
     partner = F.when(F.col("role") == 0, F.col("m0")).when(F.col("role") == 1, F.col("m2")).otherwise(F.col("m1"))
     pairs = lines.join(groups.hint("merge"), "key").withColumn("p", partner).filter("p.at < at and p.id <> id")
-    pairs = stored(pairs.select("id", F.col("p.id").alias("other")).distinct())
+    pairs = pairs.select("id", F.col("p.id").alias("other")).distinct()
+    # the place of a copy is no reason to go: first places decide
+    firsts = stored(lines.filter("role = 2").groupBy("id").agg(F.min("at").alias("at")))
+    met = pairs.join(firsts, "id").join(firsts.select(F.col("id").alias("other"), F.col("at").alias("other_at")), "other")
+    pairs = stored(met.filter("other_at < at").select("id", "other"))
     both_ends = stored(pairs.select(F.explode(F.array("id", "other")).alias("id")).distinct())
     halves = table.join(both_ends.hint("merge"), "id", "left_semi").select("half").distinct()
     wanted = bit_filter(stored(halves), "half")

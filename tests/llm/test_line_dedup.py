@@ -54,6 +54,14 @@ def test_matches_brute_force(spark, max_edits):
     assert (got[4].n_lines, got[5].n_lines, got[1].n_lines, got[1].n_removed) == (0, 0, 3, 0)
 
 
+def test_a_later_copy_of_the_earliest_line(spark):
+    """The copy goes as a copy; the line itself stays, though a near line stands between the two."""
+    x = "m n o p q r s t u"
+    rows = [(1, x), (2, x[:-2]), (3, x), (4, "v " + x), (5, x[:-2]), (6, x + "\nfree")]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()}
+    assert got == brute(rows) == {1: x, 2: "", 3: "", 4: "", 5: "", 6: "free"}
+
+
 def test_null_ids_repeats_and_no_rows(spark):
     schema = "doc_id long, text string"
     got = line_dedup.dedup_lines(spark.createDataFrame([(None, "x y"), (1, "x y\nz"), (1, "other"), (2, "m"), (2, "m")], schema)).collect()
