@@ -149,6 +149,18 @@ WITH RECURSIVE words AS (
 SELECT doc_id, coalesce(n, 0) AS n_shingles, min(other) AS component_id FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY ALL
 """
 
+OP6_SQL = """
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (SELECT doc_id, unnest(range(0, greatest(len(h) // 2 - 199, 0))) AS i, unnest(list_transform(range(0, greatest(len(h) // 2 - 199, 0)), lambda i: md5_number(substr(h, 2 * i + 1, 400)))) AS k FROM b
+), again AS (SELECT k FROM w GROUP BY k HAVING count(*) > 1
+), hit AS (SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200, true)::INTEGER AS new FROM w SEMI JOIN again USING (k)
+), runs AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS z FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hit) GROUP BY doc_id, run
+), gaps AS (SELECT doc_id, a, coalesce(lag(z) OVER s, 0) AS from_, lead(a) OVER s IS NULL AS last, z FROM runs WINDOW s AS (PARTITION BY doc_id ORDER BY a)
+), cut AS (SELECT doc_id, count(*) AS n_spans, sum(z - a)::BIGINT AS n_removed, string_agg(substr(h, 2 * from_ + 1, 2 * (a - from_)) || CASE WHEN last THEN substr(h, 2 * z + 1) ELSE '' END, '' ORDER BY a) AS kept FROM gaps JOIN b USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM b LEFT JOIN cut USING (doc_id)
+"""
+
+
 def _secret_sql(rank: int, rule: secrets.Rule) -> str:
     """(doc_id, kind, rank, a, z) of one rule's matches: code points, by the lengths of matches and of what lies between."""
     pattern = rule.pattern.replace("'", "''")
@@ -198,4 +210,4 @@ FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_sharding": OP1_SQL, "op2_url_filter": OP2_SQL, "op3_line_dedup": OP3_SQL, "op4_ngram_join": OP4_SQL, "op7_secrets": OP7_SQL, "op8_exact_dedup": OP8_SQL, "op10_decontamination": OP10_SQL}
+    return {"op1_sharding": OP1_SQL, "op2_url_filter": OP2_SQL, "op3_line_dedup": OP3_SQL, "op4_ngram_join": OP4_SQL, "op6_substring_dedup": OP6_SQL, "op7_secrets": OP7_SQL, "op8_exact_dedup": OP8_SQL, "op10_decontamination": OP10_SQL}
