@@ -213,28 +213,59 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
 
 
-def class_sets(docs: DataFrame, rows: DataFrame, pairs: DataFrame, rarity: np.ndarray, width: int, percent: int) -> DataFrame:
-    """(class, tokens, prefixes) of the classes in the pairs, from one document of each.
+def _spread(tokens: np.ndarray, bits: int) -> np.ndarray:
+    """How many tokens fall on each of so many places, modulo 2, as packed bits."""
+    return np.packbits(np.bincount((_mixed(tokens, 5) & _U(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little")
+
+
+def _places(n: int) -> int:
+    return max(64, 1 << (n - 1).bit_length())
+
+
+def signature(tokens: np.ndarray, rarity: np.ndarray, percent: int) -> bytes:
+    """What stands for a set of n in the filters: n, its prefixes under the second and later orders in 32 bits a token, parities of n places or more."""
+    firsts = [(prefix(tokens, rarity, o, percent) >> _U(32)).astype(np.uint32) for o in range(1, ORDERS)]
+    return b"".join([len(tokens).to_bytes(8, "little"), *[x.tobytes() for x in firsts], _spread(tokens, _places(len(tokens))).tobytes()])
+
+
+def may_be_similar(x: bytes, y: bytes, percent: int) -> bool:
+    """Whether two signatures meet under every order and differ in few enough places.
 
-    ``prefixes`` are those of the second and later orders, one after the other.
+    Tokens that only one set has change the parity of their places, so sets
+    differ in as many tokens as places at least; folding keeps that true.
     """
+    n, m = (int.from_bytes(s[:8], "little") for s in (x, y))
+    least = -(-percent * (n + m) // (100 + percent))
+    if least > min(n, m):
+        return False
+    parts = []
+    for s, k in ((x, n), (y, m)):
+        size = 4 * (k - -(-percent * k // 100) + 1)
+        parts.append([np.frombuffer(s, np.uint32, size // 4, 8 + size * o) for o in range(ORDERS - 1)] + [np.frombuffer(s, np.uint8, offset=8 + size * (ORDERS - 1))])
+    if not all(_meet(p, q) for p, q in zip(parts[0][:-1], parts[1][:-1], strict=True)):
+        return False
+    width = min(len(p[-1]) for p in parts)
+    one, two = (np.bitwise_xor.reduce(p[-1].reshape(-1, width)) for p in parts)
+    return int(np.bitwise_count(one ^ two).sum()) <= n + m - 2 * least
+
+
+def class_sets(docs: DataFrame, rows: DataFrame, pairs: DataFrame, rarity: np.ndarray, width: int, percent: int) -> DataFrame:
+    """(class, tokens, signature) of the classes in the pairs, from one document of each."""
     sc = docs.sparkSession.sparkContext
-    classes = stored(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct())
-    one = rows.join(classes, "class").groupBy("class").agg(F.min("doc").alias("doc"))
+    classes = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    one = rows.join(classes.hint("merge"), "class").groupBy("class").agg(F.min("doc").alias("doc"))
     some = bit_filter(stored(one.select(F.xxhash64("doc").alias("key"))), "key")
     held = sc.broadcast(rarity)
 
     def emit(batch) -> pd.DataFrame:
-        firsts = [np.concatenate([prefix(t, held.value, o, percent) for o in range(1, ORDERS)]).tobytes() for t, _ in batch]
-        return pd.DataFrame({"class": [c for _, c in batch], "tokens": [t.tobytes() for t, _ in batch], "prefixes": firsts})
+        return pd.DataFrame({"class": [c for _, c in batch], "tokens": [t.tobytes() for t, _ in batch], "signature": [signature(t, held.value, percent) for t, _ in batch]})
 
     def chosen(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             yield pdf.loc[in_filter(some.value, pdf["key"].to_numpy(np.int64)), ["text"]]
 
     texts = docs.select("text", F.xxhash64("doc").alias("key")).mapInPandas(chosen, "text string")
-    sets = _sets(texts, width, emit, "class binary, tokens binary, prefixes binary")
-    out = stored(sets.join(classes, "class", "left_semi").dropDuplicates(["class"]))
+    out = stored(_sets(texts, width, emit, "class binary, tokens binary, signature binary").dropDuplicates(["class"]))
     some.destroy()
     held.destroy()
     return out
@@ -257,10 +288,6 @@ def _numbers(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, dtype=np.uint64)
 
 
-def _split(raw: bytes) -> list[np.ndarray]:
-    return np.split(_numbers(raw), ORDERS - 1)
-
-
 def _meet(a: np.ndarray, b: np.ndarray) -> int:
     both = np.sort(np.concatenate([a, b]))
     return int((both[1:] == both[:-1]).sum())
@@ -280,19 +307,18 @@ def linked(docs: DataFrame, rows: DataFrame, pairs: DataFrame, rarity: np.ndarra
     """The candidate pairs (a, b) that are similar enough.
 
     Candidates have met under the first order; those whose prefixes under
-    every other order meet, too, are left before whole sets are looked at.
+    every other order meet, too, and whose parities do not differ too much are
+    left before whole sets are looked at.
     """
 
-    def everywhere(x: bytes, y: bytes) -> bool:
-        return all(_meet(p, q) for p, q in zip(_split(x), _split(y), strict=True))
-
     def similar(x: bytes, y: bytes) -> bool:
         a, b = _numbers(x), _numbers(y)
         common = _meet(a, b)
         return 100 * common >= percent * (len(a) + len(b) - common)
 
     sets = class_sets(docs, rows, pairs, rarity, width, percent)
-    return _kept(_beside(_kept(_beside(pairs, sets, "prefixes"), everywhere), sets, "tokens"), similar)
+    left = _kept(_beside(pairs, sets, "signature"), lambda x, y: may_be_similar(x, y, percent))
+    return _kept(_beside(left, sets, "tokens"), similar)
 
 
 def links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:

@@ -83,6 +83,16 @@ def test_prefixes_of_similar_sets_meet():
         if 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b)):
             for order in range(ngram_join.ORDERS):
                 assert len(np.intersect1d(ngram_join.prefix(a, rarity, order, 80), ngram_join.prefix(b, rarity, order, 80)))
+            assert ngram_join.may_be_similar(ngram_join.signature(a, rarity, 80), ngram_join.signature(b, rarity, 80), 80)
+
+
+def test_signatures_of_unlike_sets_part():
+    rng = np.random.default_rng(1)
+    rarity = np.zeros(1 << ngram_join.SKETCH_BITS, dtype=np.uint8)
+    for n in (40, 500, 9000):
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[: n * 3 // 5], rng.integers(0, 1 << 63, n * 2 // 5, dtype=np.uint64)]))
+        assert not ngram_join.may_be_similar(ngram_join.signature(a, rarity, 80), ngram_join.signature(b, rarity, 80), 80)
 
 
 def test_components(spark):
