@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bit_filter, in_filter, require, stored
+from .common import bit_filter, in_filter, require, row_tag, stored
 from .components import connected_components
 
 WIDTH = 5
@@ -19,8 +19,6 @@ PERCENT = 80
 ORDERS = 3
 SKETCH_BITS = 20
 BLOCK = 4096
-#: Pairs of one class that meet its set in a task.
-PAIRS_A_TASK = 1_000
 
 _U = np.uint64
 _STEP = 0x9E3779B97F4A7C15
@@ -84,7 +82,7 @@ def _sets(docs: DataFrame, width: int, emit, schema: str) -> DataFrame:
 
 
 def measured(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
-    """(doc, class, n) of every text, and how often tokens fall in each cell of a sketch.
+    """(doc, tag, class, n) of every text, and how often tokens fall in each cell of a sketch.
 
     The sketch orders tokens by frequency over all texts in bounded space:
     4 bytes a cell, whatever the corpus' size.
@@ -104,24 +102,24 @@ def measured(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
                     seen.add(c)
                     # a set has few tokens of one cell
                     np.add.at(total, (tokens >> _U(64 - SKETCH_BITS)).astype(np.int64), 1)
-            yield pd.DataFrame({"doc": pdf["doc"].astype("Int64"), "class": classes, "n": sizes, "block": -1, "slot": 0, "sums": None})
+            yield pd.DataFrame({"doc": pdf["doc"].astype("Int64"), "tag": pdf["tag"], "class": classes, "n": sizes, "block": -1, "slot": 0, "sums": None})
         blocks = np.minimum(total, (1 << 32) - 1).astype(np.uint32).reshape(-1, BLOCK)
         some = np.flatnonzero(blocks.any(axis=1))
         slot = TaskContext.get().partitionId() % 64
-        yield pd.DataFrame({"doc": pd.array([None] * len(some), dtype="Int64"), "class": None, "n": 0, "block": some, "slot": slot, "sums": [blocks[i].tobytes() for i in some]})
+        yield pd.DataFrame({"doc": pd.array([None] * len(some), dtype="Int64"), "tag": None, "class": None, "n": 0, "block": some, "slot": slot, "sums": [blocks[i].tobytes() for i in some]})
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         sums = sum(np.frombuffer(x, dtype=np.uint32).astype(np.int64) for x in pdf["sums"])
         return pd.DataFrame({"block": [pdf["block"].iat[0]], "slot": [0], "sums": [np.minimum(sums, (1 << 32) - 1).astype(np.uint32).tobytes()]})
 
     schema = "block int, slot int, sums binary"
-    both = stored(docs.mapInPandas(scan, f"doc long, class binary, n long, {schema}"))
+    both = stored(docs.mapInPandas(scan, f"doc long, tag binary, class binary, n long, {schema}"))
     parts = both.filter("block >= 0").select("block", "slot", "sums")
     whole = parts.groupBy("block", "slot").applyInPandas(add, schema).groupBy("block").applyInPandas(add, schema)
     out = np.zeros((cells // BLOCK, BLOCK), dtype=np.int64)
     for r in whole.collect():
         out[r.block] = np.frombuffer(r.sums, dtype=np.uint32)
-    return both.filter("block < 0").select("doc", "class", "n"), out.ravel()
+    return both.filter("block < 0").select("doc", "tag", "class", "n"), out.ravel()
 
 
 def _rarity(counts: np.ndarray) -> np.ndarray:
@@ -274,14 +272,11 @@ def class_sets(docs: DataFrame, rows: DataFrame, pairs: DataFrame, rarity: np.nd
 def _beside(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
     """(a, b, x, y): the pairs with ``column`` of both classes.
 
-    A class of very many pairs meets them in several tasks: its row is copied
-    once for each ``PAIRS_A_TASK`` of them.
+    A class of very many pairs is a skewed key of the pairs' side only, which
+    adaptive execution splits: each class has one row on the other side.
     """
-    for end, other, name in (("a", "b", "x"), ("b", "a", "y")):
-        parts = pairs.groupBy(end).agg(F.ceil(F.count(F.lit(1)) / PAIRS_A_TASK).cast("int").alias("parts"))
-        spread = sets.select(F.col("class").alias(end), F.col(column).alias(name)).join(parts, end).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        pairs = pairs.join(parts, end).withColumn("part", F.pmod(F.xxhash64(other), F.col("parts")).cast("int")).drop("parts").join(spread.drop("parts"), [end, "part"]).drop("part")
-    return pairs.select("a", "b", "x", "y")
+    own = sets.select("class", column)
+    return pairs.join(own.toDF("a", "x").hint("merge"), "a").join(own.toDF("b", "y").hint("merge"), "b").select("a", "b", "x", "y")
 
 
 def _numbers(raw: bytes) -> np.ndarray:
@@ -343,6 +338,19 @@ def links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tuple[
     return rows, stored(connected_components(found.union(late)))
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    require(docs, id_col, text_col)
+    if not 0 < percent <= 100:
+        raise ValueError("percent must be 1 to 100")
+    return docs.select(F.col(id_col).cast("long").alias("doc"), row_tag(F.col(text_col)).alias("tag"), F.col(text_col).alias("text"))
+
+
+def _representatives(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(class, label, first): the row of the smallest id, then hash, of each class with words; null ids come last."""
+    first = F.min(F.struct(F.col("doc").isNull().alias("unknown"), "doc", "tag")).alias("first")
+    return _labelled(rows.filter("n > 0").groupBy("class").agg(first), labels)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """One row per input row: the id, ``n_shingles`` and ``component_id``.
 
@@ -357,18 +365,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts.  Components are exact; links inside them are not counted.
     Shingles are compared by 64-bit hashes, sets named by 128-bit ones.
     """
-    require(docs, id_col, text_col)
-    if not 0 < percent <= 100:
-        raise ValueError("percent must be 1 to 100")
-    keyed = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    return _components(*links(keyed, width, percent), F.col("doc").alias(id_col))
-
-
-def _components(rows: DataFrame, labels: DataFrame, *ids: Column) -> DataFrame:
-    least = rows.filter("n > 0").groupBy("class").agg(F.min("doc").alias("least"))
-    placed = _labelled(least, labels)
-    by_label = placed.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_class = placed.join(by_label, "label").select("class", "component_id")
+    rows, labels = links(_keyed(docs, id_col, text_col, percent), width, percent)
+    placed = _representatives(rows, labels)
+    by_label = placed.groupBy("label").agg(F.min("first").alias("first"))
+    of_class = placed.select("class", "label").join(by_label, "label").select("class", F.col("first.doc").alias("component_id"))
     out = rows.join(of_class.hint("merge"), "class", "left")
     component = F.when(F.col("n") == 0, F.col("doc")).otherwise(F.col("component_id"))
-    return out.select(*ids, F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return out.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, less all but one of each component of ``near_duplicates``.
+
+    The row of the smallest id stays (null ids come last), then of the
+    smallest hash of its text; rows are judged by id and text, so other texts
+    of one id stay.  Of rows equal in both, one stays, whichever.  Rows
+    without words all stay.
+    """
+    rows, labels = links(_keyed(docs, id_col, text_col, percent), width, percent)
+    first = _representatives(rows, labels).groupBy("label").agg(F.min("first").alias("first")).select("first.doc", "first.tag")
+    copies = rows.filter("n > 0").groupBy("doc", "tag").agg(F.count(F.lit(1)).alias("n"))
+    same = copies["doc"].eqNullSafe(first["doc"]) & (copies["tag"] == first["tag"])
+    chosen = stored(copies.join(first, same, "left_semi").toDF("_kept_doc", "_kept_tag", "_kept_n"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    blank = ~text.rlike(r"[^\x20\x09-\x0D]")
+    met = docs.filter(~blank).join(chosen, F.col(id_col).cast("long").eqNullSafe(F.col("_kept_doc")) & (row_tag(F.col(text_col)) == F.col("_kept_tag")))
+    out = met.filter("_kept_n = 1").select(*docs.columns).union(docs.filter(blank))
+    if chosen.filter("_kept_n > 1").isEmpty():
+        return out
+    return out.union(met.filter("_kept_n > 1").dropDuplicates(["_kept_doc", "_kept_tag"]).select(*docs.columns))

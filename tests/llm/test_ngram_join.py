@@ -3,6 +3,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pulsegrid.llm import ngram_join
 from pulsegrid.llm.components import connected_components
@@ -119,7 +120,7 @@ def test_a_large_group_of_near_copies_with_outliers(spark):
     for k in range(60):
         rows.append((5000 + k, changed(rng, rows[1 + int(rng.integers(250))][1].split(), int(rng.integers(1, 4)))))
     assert run(spark, rows) == brute(rows)
-    docs = spark.createDataFrame(rows, "doc long, text string")
+    docs = spark.createDataFrame([(i, b"", t) for i, t in rows], "doc long, tag binary, text string")
     found, counts = ngram_join.measured(docs, 5)
     rarity = ngram_join._rarity(counts)
     live = ngram_join.live_rows(docs, rarity, 5, 80)
@@ -127,3 +128,14 @@ def test_a_large_group_of_near_copies_with_outliers(spark):
     assert led.count() < 3 * len(rows)
     labels = connected_components(ngram_join.linked(docs, found, led, rarity, 5, 80))
     assert ngram_join._across(live, labels, 80).count() < 3 * len(rows)
+
+
+def test_keep_one_row_of_each_group(spark):
+    a, b, c = "a b c d e f g", "h i j k l m n", "o p q r s t u"
+    rows = [(3, b, 0), (5, a, 1), (5, b, 2), (7, c, 3), (7, c, 4), (None, b, 5), (None, "x y", 6), (None, "x y", 7), (8, "X  y", 8), (9, None, 9), (9, "", 10), (9, "", 11), (4, "\x0b ", 12), (None, "only null", 13)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, tag int").withColumns({"doc": F.lit(1), "class": F.lit(2), "n": F.lit(3)})
+    got = ngram_join.keep_one(df)
+    assert got.columns == df.columns
+    kept = {r.tag for r in got.collect()}
+    assert kept - {3, 4} == {0, 1, 8, 9, 10, 11, 12, 13} and len(kept & {3, 4}) == 1
+    assert ngram_join.keep_one(df.limit(0)).count() == 0
