@@ -247,36 +247,32 @@ def may_be_similar(x: bytes, y: bytes, percent: int) -> bool:
     return int(np.bitwise_count(one ^ two).sum()) <= n + m - 2 * least
 
 
-def class_sets(docs: DataFrame, rows: DataFrame, pairs: DataFrame, rarity: np.ndarray, width: int, percent: int) -> DataFrame:
-    """(class, tokens, signature) of the classes in the pairs, from one document of each."""
-    sc = docs.sparkSession.sparkContext
+def _of_classes(docs: DataFrame, rows: DataFrame, pairs: DataFrame, width: int, payload) -> DataFrame:
+    """(class, payload) of the classes in the pairs, ``payload(tokens)`` being taken from one document of each."""
     classes = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     one = rows.join(classes.hint("merge"), "class").groupBy("class").agg(F.min("doc").alias("doc"))
     some = bit_filter(stored(one.select(F.xxhash64("doc").alias("key"))), "key")
-    held = sc.broadcast(rarity)
 
     def emit(batch) -> pd.DataFrame:
-        return pd.DataFrame({"class": [c for _, c in batch], "tokens": [t.tobytes() for t, _ in batch], "signature": [signature(t, held.value, percent) for t, _ in batch]})
+        return pd.DataFrame({"class": [c for _, c in batch], "payload": [payload(t) for t, _ in batch]})
 
     def chosen(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             yield pdf.loc[in_filter(some.value, pdf["key"].to_numpy(np.int64)), ["text"]]
 
     texts = docs.select("text", F.xxhash64("doc").alias("key")).mapInPandas(chosen, "text string")
-    out = stored(_sets(texts, width, emit, "class binary, tokens binary, signature binary").dropDuplicates(["class"]))
+    out = stored(_sets(texts, width, emit, "class binary, payload binary").dropDuplicates(["class"]))
     some.destroy()
-    held.destroy()
     return out
 
 
-def _beside(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
-    """(a, b, x, y): the pairs with ``column`` of both classes.
+def _beside(pairs: DataFrame, of_class: DataFrame) -> DataFrame:
+    """(a, b, x, y): the pairs with the payloads of both classes.
 
     A class of very many pairs is a skewed key of the pairs' side only, which
     adaptive execution splits: each class has one row on the other side.
     """
-    own = sets.select("class", column)
-    return pairs.join(own.toDF("a", "x").hint("merge"), "a").join(own.toDF("b", "y").hint("merge"), "b").select("a", "b", "x", "y")
+    return pairs.join(of_class.toDF("a", "x").hint("merge"), "a").join(of_class.toDF("b", "y").hint("merge"), "b").select("a", "b", "x", "y")
 
 
 def _numbers(raw: bytes) -> np.ndarray:
@@ -311,9 +307,13 @@ def linked(docs: DataFrame, rows: DataFrame, pairs: DataFrame, rarity: np.ndarra
         common = _meet(a, b)
         return 100 * common >= percent * (len(a) + len(b) - common)
 
-    sets = class_sets(docs, rows, pairs, rarity, width, percent)
-    left = _kept(_beside(pairs, sets, "signature"), lambda x, y: may_be_similar(x, y, percent))
-    return _kept(_beside(left, sets, "tokens"), similar)
+    held = docs.sparkSession.sparkContext.broadcast(rarity)
+    signatures = _of_classes(docs, rows, pairs, width, lambda t: signature(t, held.value, percent))
+    left = _kept(_beside(pairs, signatures), lambda x, y: may_be_similar(x, y, percent))
+    held.destroy()
+    if left.isEmpty():
+        return left
+    return _kept(_beside(left, _of_classes(docs, rows, left, width, np.ndarray.tobytes)), similar)
 
 
 def links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
