@@ -10,26 +10,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.llm import decontaminate, line_dedup, ngram_join, packing, quality
-from pulsegrid.llm.common import stored, table
+from pulsegrid.llm.common import drop_stored, stored, stored_paths, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject; null and empty texts are scored, too."""
     measured = stored(quality.document_statistics(docs.select("doc_id", "text")))
     return quality.keep_quality(docs, quality.fit_quality(measured, table(spark, sf_dir, "labels")))
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that earlier ones have; every document stays, if with an empty text."""
-    left = line_dedup.dedup_lines(docs)
+    """Documents without the lines that earlier ones have.
+
+    A document of which every line goes is a copy and goes, too; blank and
+    null texts had no line to lose and stay.
+    """
+    left = line_dedup.dedup_lines(docs).filter("n_removed = 0 or n_removed < n_lines")
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest doc_id of each group of near copies."""
-    found = ngram_join.near_duplicates(docs)
-    others = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group of near copies, by rows: see ``keep_one`` for null and repeated ids."""
+    return ngram_join.keep_one(docs)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +60,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
+        before = stored_paths()
         docs = stage(spark, docs, sf_dir)
         if name != STAGES[-1][0]:
+            made = stored_paths() - before
             docs = stored(docs)
+            drop_stored(spark, made)
     return docs
