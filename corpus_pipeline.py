@@ -1,7 +1,9 @@
 """A corpus pipeline: quality, repeated lines, near copies, benchmarks, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns what the next one reads;
-all but the last keep the columns of ``documents``.
+all but the last keep the columns of ``documents``.  As an application the
+pipeline sets the session's Arrow batches to ``BATCH_ROWS`` rows: results of
+its stages are written by the caller, and texts can be long.
 """
 
 from __future__ import annotations
@@ -10,11 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.llm import decontaminate, line_dedup, ngram_join, packing, quality
-from pulsegrid.llm.common import drop_stored, stored, stored_paths, table
+from pulsegrid.llm.common import BATCH_ROWS, drop_stored, stored, stored_paths, table
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject; null and empty texts are scored, too."""
+    _small_batches(spark)
     measured = stored(quality.document_statistics(docs.select("doc_id", "text")))
     return quality.keep_quality(docs, quality.fit_quality(measured, table(spark, sf_dir, "labels")))
 
@@ -25,6 +32,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     A document of which every line goes is a copy and goes, too; blank and
     null texts had no line to lose and stay.
     """
+    _small_batches(spark)
     left = line_dedup.dedup_lines(docs).filter("n_removed = 0 or n_removed < n_lines")
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
@@ -36,6 +44,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words are benchmark passages."""
+    _small_batches(spark)
     found = decontaminate.contamination(decontaminate.find_overlaps(docs, table(spark, sf_dir, "benchmark")))
     return found.filter(~F.col("contaminated")).select(*docs.columns)
 
