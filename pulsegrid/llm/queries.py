@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, line_dedup, ngram_join, packing, quality, secrets, sharding, substring_dedup, url_filter
+from . import collocations, decontaminate, exact_dedup, line_dedup, ngram_join, packing, quality, secrets, sharding, substring_dedup, url_filter
 from .common import stored, table
 
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
@@ -79,8 +79,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_url_filter, op3_line_dedup, op4_ngram_join, op5_quality, op6_substring_dedup, op7_secrets, op8_exact_dedup, op9_packing, op10_decontamination)}
+    return {f.__name__: f for f in (op1_sharding, op2_url_filter, op3_line_dedup, op4_ngram_join, op5_quality, op6_substring_dedup, op7_secrets, op8_exact_dedup, op9_packing, op10_decontamination, op13_collocations)}
 
 
 #: The owner of each slot as two hexadecimal digits, slot after slot.
@@ -209,5 +213,28 @@ FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+OP13_SQL = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+), words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
+), totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang
+), phrases AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, range(1, 6) AS sizes(k) WHERE len(w) >= k) GROUP BY ALL HAVING count(*) >= 100
+), split AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM phrases WHERE k >= 2
+), cuts AS (
+  SELECT c.lang, c.phrase, cut_at, a, n, l.f AS l, r.f AS r, ((1000 * a::HUGEINT * n::HUGEINT) // (l.f::HUGEINT * r.f::HUGEINT))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut_at FROM split) c
+  JOIN phrases l ON l.lang = c.lang AND l.phrase = array_to_string(w[1 : cut_at], ' ') JOIN phrases r ON r.lang = c.lang AND r.phrase = array_to_string(w[cut_at + 1 :], ' ') JOIN totals t ON t.lang = c.lang
+), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut_at) = 1
+), inside AS (
+  SELECT lang, array_to_string(w[i : i + s - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, k - s + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS s FROM split)) GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM best LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a QUALIFY rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_sharding": OP1_SQL, "op2_url_filter": OP2_SQL, "op3_line_dedup": OP3_SQL, "op4_ngram_join": OP4_SQL, "op6_substring_dedup": OP6_SQL, "op7_secrets": OP7_SQL, "op8_exact_dedup": OP8_SQL, "op10_decontamination": OP10_SQL}
+    return {"op1_sharding": OP1_SQL, "op2_url_filter": OP2_SQL, "op3_line_dedup": OP3_SQL, "op4_ngram_join": OP4_SQL, "op6_substring_dedup": OP6_SQL, "op7_secrets": OP7_SQL, "op8_exact_dedup": OP8_SQL, "op10_decontamination": OP10_SQL, "op13_collocations": OP13_SQL}
