@@ -85,16 +85,21 @@ def stored(df: DataFrame) -> DataFrame:
     the folder goes when the application's file system is closed.
     """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    root = _shared_root(spark)
-    path = f"{root}/stored-{uuid.uuid4().hex}"
+    path = shared_path(spark)
     schema = df.schema
     with small_batches(spark):
         df.write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def shared_path(spark: SparkSession) -> str:
+    """A new path beside the checkpoints, for a folder that goes like those of ``stored``."""
+    sc = spark.sparkContext
+    path = f"{_shared_root(spark)}/stored-{uuid.uuid4().hex}"
     where = sc._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(where)
     _STORED.add(path)
-    return spark.read.schema(schema).parquet(path)
+    return path
 
 
 _STORED: set[str] = set()

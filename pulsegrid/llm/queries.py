@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collocations, decontaminate, exact_dedup, line_dedup, ngram_join, packing, quality, secrets, sharding, substring_dedup, url_filter
-from .common import stored, table
+from . import collocations, decontaminate, exact_dedup, lexical, line_dedup, ngram_join, packing, quality, secrets, sharding, substring_dedup, token_files, url_filter
+from .common import shared_path, stored, table
 
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
 #: Keys of pages of less HTML than this are listed, as thin.
@@ -79,12 +79,29 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark)
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_file())
+    # small rows are stored, so that decoding runs here, with small Arrow batches, and once
+    return stored(token_files.read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine_collocations(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_url_filter, op3_line_dedup, op4_ngram_join, op5_quality, op6_substring_dedup, op7_secrets, op8_exact_dedup, op9_packing, op10_decontamination, op13_collocations)}
+    return {f.__name__: f for f in (op1_sharding, op2_url_filter, op3_line_dedup, op4_ngram_join, op5_quality, op6_substring_dedup, op7_secrets, op8_exact_dedup, op9_packing, op10_decontamination, op11_lexical_search, op12_token_files, op13_collocations)}
 
 
 #: The owner of each slot as two hexadecimal digits, slot after slot.
@@ -213,6 +230,19 @@ FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+OP11_SQL = """
+WITH doc_terms AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents WHERE text IS NOT NULL
+), item_terms AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark
+), whole AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM doc_terms WHERE len(w) > 0
+), tfs AS (SELECT doc_id, len(w)::BIGINT AS n, term, count(*) AS tf FROM (SELECT doc_id, w, unnest(w) AS term FROM doc_terms) GROUP BY ALL
+), weights AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM tfs, whole GROUP BY term, n_docs
+), impacts AS (SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms)) AS impact FROM tfs, whole
+), scores AS (SELECT item_id, doc_id, sum(weight * impact)::BIGINT AS score FROM item_terms JOIN weights USING (term) JOIN impacts USING (term) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+
 OP13_SQL = """
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
@@ -237,4 +267,4 @@ FROM best LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * lo
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_sharding": OP1_SQL, "op2_url_filter": OP2_SQL, "op3_line_dedup": OP3_SQL, "op4_ngram_join": OP4_SQL, "op6_substring_dedup": OP6_SQL, "op7_secrets": OP7_SQL, "op8_exact_dedup": OP8_SQL, "op10_decontamination": OP10_SQL, "op13_collocations": OP13_SQL}
+    return {"op1_sharding": OP1_SQL, "op2_url_filter": OP2_SQL, "op3_line_dedup": OP3_SQL, "op4_ngram_join": OP4_SQL, "op6_substring_dedup": OP6_SQL, "op7_secrets": OP7_SQL, "op8_exact_dedup": OP8_SQL, "op10_decontamination": OP10_SQL, "op11_lexical_search": OP11_SQL, "op13_collocations": OP13_SQL}
