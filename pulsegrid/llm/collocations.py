@@ -37,72 +37,90 @@ def _slices(raws: list[bytes]) -> Iterator[tuple[bytes, bool]]:
         yield _END.join(held), True
 
 
-def _words(raws: list[bytes], longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(codes, words): words in order as codes into the distinct ones, -1 between pieces.
+def _words(raws: list[bytes], longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(codes, words, own): words in order as codes into the distinct ones, -1 between pieces.
 
-    The last words of a slice that a longest window could go beyond open the next one instead.
+    Windows start at the first ``own`` words.  The others, which a longest window of a slice could go
+    beyond, are only seen from there, and open the next slice.
     """
     late: list[bytes] = []
     for raw, whole in _slices(raws):
         found = late + raw.translate(_FOLD).replace(_END, b" " + _END + b" ").split()
-        late = []
-        if not whole:
-            keep = len(found)
-            while keep and len(found) - keep < longest - 1 and found[keep - 1] != _END:
-                keep -= 1
-            found, late = found[:keep], found[keep:]
-        if found:
+        own = len(found)
+        while not whole and own and len(found) - own < longest - 1 and found[own - 1] != _END:
+            own -= 1
+        late = found[own:]
+        if own:
             codes, words = pd.factorize(np.array(found, dtype=object))
-            yield np.where((words == _END)[codes], -1, codes), words
+            yield np.where((words == _END)[codes], -1, codes), words, own
 
 
-def _by_language(parts: Iterator[pd.DataFrame], longest: int) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
-    """(lang, codes, words, hashes of lang and word) of chunks of one language each."""
+def _by_language(parts: Iterator[pd.DataFrame], longest: int) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray, int]]:
+    """(lang, codes, words, hashes of lang and words in order, own) of chunks of one language each."""
     for pdf in parts:
         for lang, texts in pdf.groupby("lang")["text"]:
             salt = pd.util.hash_array(np.array([lang], dtype=object), categorize=False) * _MIX
-            for codes, words in _words([x.encode() for x in texts], longest):
-                yield lang, codes, words, (pd.util.hash_array(words, categorize=False) ^ salt) * _MIX
-
-
-def _frequent(texts: DataFrame, longest: int, least: int, count) -> DataFrame:
-    """(h): the hashes that ``count`` finds ``least`` times or more over all texts."""
+            for codes, words, own in _words([x.encode() for x in texts], longest):
+                yield lang, codes, words, ((pd.util.hash_array(words, categorize=False) ^ salt) * _MIX)[codes], own
+
+
+class _Frequent:
+    """Where phrases of 1, 2, ... words may be frequent, by a bit filter of hashed phrases for each size."""
+
+    def __init__(self, filters: list) -> None:
+        self.filters = filters
+
+    def marks(self, codes: np.ndarray, hashes: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """(places where phrases of each size known may be frequent; places of the next size, all whose
+        parts may be frequent, and its hashes)."""
+        out: list[np.ndarray] = []
+        open_, phrase = codes >= 0, hashes
+        for k, words in enumerate(self.filters):
+            some = open_.copy()
+            some[open_] = in_filter(words.value, phrase[open_].view(np.int64))
+            out.append(some)
+            open_ = some & np.append(some[1:], False)
+            phrase = (phrase * _MIX2) ^ (np.append(hashes[k + 1 :], np.zeros(min(k + 1, len(hashes)), dtype=np.uint64)) >> np.uint64(1))
+        return out, open_, phrase
+
+    def runs(self, codes: np.ndarray, hashes: np.ndarray, longest: int) -> np.ndarray:
+        """How many words from each place on may stand in a frequent phrase, ``longest`` at most."""
+        marks, _, _ = self.marks(codes, hashes)
+        out = np.zeros(len(codes), dtype=np.int64)
+        for k in range(longest):
+            if k < len(marks):
+                on = marks[k]
+            else:
+                ahead = k + 1 - len(marks)
+                on = on & np.append(marks[-1][ahead:], np.zeros(min(ahead, len(codes)), dtype=bool))
+            out += on
+        return out
+
+
+def _next_filter(texts: DataFrame, longest: int, least: int, known: _Frequent):
+    """The bit filter of the phrases one word longer than ``known`` has, of ``least`` occurrences or more."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, codes, _, hashes in _by_language(parts, longest):
-            h, n = count(codes, hashes)
+        for _, codes, _, hashes, own in _by_language(parts, longest):
+            _, open_, phrase = known.marks(codes, hashes)
+            h, n = np.unique(phrase[:own][open_[:own]], return_counts=True)
             yield pd.DataFrame({"h": h.view(np.int64), "n": n})
 
-    found = texts.mapInPandas(run, "h long, n long")
-    return stored(found.groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("h"))
-
-
-def _runs(codes: np.ndarray, word: np.ndarray, pair: np.ndarray, longest: int) -> np.ndarray:
-    """How many words from each place on may stand in a frequent phrase, ``longest`` at most."""
-    out = word.astype(np.int64)
-    joined = np.append(pair, False)
-    ahead = joined.copy()
-    for k in range(1, longest):
-        out += ahead
-        ahead = joined & np.append(ahead[1:], False)
-    return np.where(word, out, 0)
+    found = texts.mapInPandas(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return bit_filter(stored(found.filter(F.col("n") >= least).select("h")), "h")
 
 
-def _pair_hashes(codes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    return (hashes[codes[:-1]] * _MIX2) ^ (hashes[codes[1:]] >> np.uint64(1))
-
-
-def _rows_of(codes: np.ndarray, run: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct windows, a row of ``longest`` codes padded with -1 each, and their counts."""
-    places = np.flatnonzero(codes >= 0)
+def _rows_of(codes: np.ndarray, run: np.ndarray, own: int, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct windows of the first ``own`` places, a row of ``longest`` codes padded with -1 each, and their counts."""
+    places = np.flatnonzero(codes[:own] >= 0)
     group = codes[places] * 0
     base = len(codes) + 2
     for k in range(longest):  # windows are told apart column by column
         some = np.flatnonzero(run[places] > k)
-        value = np.full(len(places), -1)
-        value[some] = codes[places[some] + k]
         if not len(some):
             break
+        value = np.full(len(places), -1)
+        value[some] = codes[places[some] + k]
         _, group = np.unique(group * base + value + 1, return_inverse=True)
     _, first, n = np.unique(group, return_index=True, return_counts=True)
     at = places[first]
@@ -113,36 +131,22 @@ def _rows_of(codes: np.ndarray, run: np.ndarray, longest: int) -> tuple[np.ndarr
     return cells, n
 
 
-def longest_windows(texts: DataFrame, longest: int, least: int) -> DataFrame:
+def longest_windows(texts: DataFrame, longest: int, least: int, told_by: int = 3) -> DataFrame:
     """(lang, w1, ..., n): windows of ``longest`` words that start at every word, counted.
 
-    A window is padded with nulls from the end of its piece on, and from the first word or pair of
-    words on that occurs fewer than ``least`` times, since no frequent phrase goes beyond it.  Bit
-    filters of hashed words and pairs tell these; what they let through beyond that is only counted in vain.
+    A window is padded with nulls from the end of its piece on, and from where a phrase of up to
+    ``told_by`` words in it occurs fewer than ``least`` times, since no frequent phrase goes beyond it.
+    Bit filters of hashed phrases, one pass over the texts each, tell that; what they let through
+    beyond it is only counted in vain.
     """
-
-    def words(codes: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        n = np.bincount(codes[codes >= 0], minlength=len(hashes))
-        return hashes[n > 0], n[n > 0]
-
-    known = bit_filter(_frequent(texts, longest, least, words), "h")
-
-    def marked(codes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-        return in_filter(known.value, hashes.view(np.int64))[codes] & (codes >= 0)
-
-    def pairs(codes: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        word = marked(codes, hashes)
-        return np.unique(_pair_hashes(codes, hashes)[word[:-1] & word[1:]], return_counts=True)
-
-    paired = bit_filter(_frequent(texts, longest, least, pairs), "h")
+    known = _Frequent([])
+    for _ in range(min(told_by, longest)):
+        known = _Frequent([*known.filters, _next_filter(texts, longest, least, known)])
     names = [f"w{k + 1}" for k in range(longest)]
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for lang, codes, words, hashes in _by_language(parts, longest):
-            word = marked(codes, hashes)
-            pair = word[:-1] & word[1:]
-            pair[pair] = in_filter(paired.value, _pair_hashes(codes, hashes)[pair].view(np.int64))
-            cells, n = _rows_of(codes, _runs(codes, word, pair, longest), longest)
+        for lang, codes, words, hashes, own in _by_language(parts, longest):
+            cells, n = _rows_of(codes, known.runs(codes, hashes, longest), own, longest)
             used = np.unique(cells)
             said = np.full(len(words) + 1, None, dtype=object)
             for c in used[used >= 0].tolist():

@@ -19,8 +19,8 @@ from .common import require, small_batches, stored
 BLOCK_TERMS = 50_000
 #: Bytes of text that a task takes apart at once, and queries that it bounds at once.
 CHUNK, QUERIES = 1 << 21, 256
-#: Cells of a sketch for each distinct term, at least.
-CELLS = 4
+#: Rows of a sketch, and cells of a row for each distinct term, at least.
+ROWS, CELLS = 3, 4
 _KEPT = b"0123456789abcdefghijklmnopqrstuvwxyz"
 _FOLD = bytes(c if c >= 128 or c in _KEPT else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -36,6 +36,11 @@ def _hashes(terms: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def _cells(hashed: np.ndarray, row: int, width: int) -> np.ndarray:
+    """Where terms lie in a row of a sketch; ``width`` is a power of 2."""
+    return ((hashed >> np.uint64(20 * row)) & np.uint64(width - 1)).astype(np.int64)
+
+
 def _objects(values: list) -> np.ndarray:
     out = np.empty(len(values), dtype=object)
     out[:] = values
@@ -117,7 +122,7 @@ class _Scorer:
         return (1_000_000_000 * chunk.tf) // (1000 * chunk.tf + 8 * m[chunk.row])
 
     def _sketches(self, chunk: _Chunk, impact: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(texts, sketches): the greatest impact in each cell, texts of one sketch width at a time."""
+        """(texts, sketches of ``ROWS`` rows): the greatest impact in each cell, texts of one width at a time."""
         hashed = _hashes(chunk.terms)
         distinct = chunk.ends - chunk.starts
         width = 1 << np.ceil(np.log2(np.maximum(CELLS * distinct, 64))).astype(np.int64)
@@ -125,22 +130,26 @@ class _Scorer:
         for w in np.unique(width[distinct > 0]).tolist():
             rows = np.flatnonzero((width == w) & (distinct > 0))
             at = np.full(len(width), -1)
-            for some in np.array_split(rows, -(-len(rows) * w // (1 << 21))):
+            for some in np.array_split(rows, -(-len(rows) * w * ROWS // (1 << 21))):
                 at[:] = -1
                 at[some] = np.arange(len(some))
                 cells = rising[at[chunk.row[rising]] >= 0]
-                sketch = np.zeros((len(some), w))
-                # of several terms in a cell the last one, of the greatest impact, stays
-                sketch[at[chunk.row[cells]], (hashed[chunk.term[cells]] & np.uint64(w - 1)).astype(np.int64)] = impact[cells]
+                sketch = np.zeros((ROWS, len(some), w))
+                for r in range(ROWS):  # of several terms in a cell the last one, of the greatest impact, stays
+                    sketch[r][at[chunk.row[cells]], _cells(hashed[chunk.term[cells]], r, w)] = impact[cells]
                 yield some, sketch
 
+    def _bounds(self, sketch: np.ndarray) -> np.ndarray:
+        """No less than the impact of each query term in each text: the least of its cells in the rows."""
+        return reduce(np.minimum, [sketch[r][:, _cells(self.hash, r, sketch.shape[2])] for r in range(ROWS)])
+
     def add(self, docs: list, chunk: _Chunk) -> None:
         """Take a chunk: bound every text under every query, rescore the best bounds first."""
         impact = self._impacts(chunk)
         of = np.array([self.place.get(t, -1) for t in chunk.terms.tolist()], dtype=np.int64)
         exact: dict[int, np.ndarray] = {}
         for texts, sketch in self._sketches(chunk, impact):
-            seen = sketch[:, (self.hash & np.uint64(sketch.shape[1] - 1)).astype(np.int64)]
+            seen = self._bounds(sketch)
             for first in range(0, len(self.queries), QUERIES):
                 block = self.queries[first : first + QUERIES]
                 used = np.unique(np.concatenate(block))
@@ -205,9 +214,9 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
 
     A term's weight is floor(1000 ln((2 N + 2) / (2 df + 1))), its impact in a text of n terms
     (10^9 tf) div (1000 tf + 8 m) with m = 10 + (90 n N) div L; a score sums weight times impact over the
-    distinct terms of the query.  Every text's impacts fold into a sketch of the greatest impact a hashed
-    cell, at least ``CELLS`` cells a distinct term; cells looked up for all queries of a block bound all
-    scores, and texts are scored exactly from the highest bound down until no bound reaches the k-th best
+    distinct terms of the query.  Every text's impacts fold into a sketch, ``ROWS`` rows of the greatest impact
+    a hashed cell, at least ``CELLS`` cells a distinct term; cells looked up for all queries of a block
+    (the least of the rows) bound all scores, and texts are scored exactly from the highest bound down until no bound reaches the k-th best
     score of the task.  Tasks give k texts a query; the best of them are ranked, equal scores by id.
 
     Queries come in blocks of ``block_terms`` terms, each with two passes over the texts.  Null texts have
