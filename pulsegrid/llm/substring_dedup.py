@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -35,6 +36,17 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+def _named(raw: bytes) -> tuple[int, int]:
+    """A byte string's name: 96 bits of BLAKE2b, of which no texts can be made that share them."""
+    h = blake2b(raw, digest_size=12).digest()
+    return int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True)
+
+
+def _names(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    both = np.array([_named(r) for r in raws], dtype=np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1].astype(np.int32)
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
@@ -77,7 +89,10 @@ class Anchors:
             yield max(0, at - margin), min(n, at + CHUNK + margin), at, min(n, at + CHUNK)
 
     def find(self, raws: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
-        """(text, place, bytes before, bytes after, anchor hash, context hash) in arrays."""
+        """(text, place, bytes before, bytes after, anchor hash, context name) in arrays.
+
+        Anchor hashes only bring places together; contexts are named by their bytes.
+        """
         held: list[tuple[int, bytes, int, int, int]] = []
         size = 0
         for row, raw in enumerate(raws):
@@ -115,24 +130,26 @@ class Anchors:
         piece = np.searchsorted(ends, place, side="right")
         begin = (ends - sizes)[piece]
         lo, hi = np.maximum(begin, place - self.reach), np.minimum(ends[piece], place + t)
-        context = _mixed(((sums[hi] - sums[lo]) * self.up[lo]) ^ _mixed((place - lo).astype(np.uint64) * _U(1000) + (hi - place).astype(np.uint64)))
         own = place - begin + np.array([h[2] for h in held])[piece]
         keep = (own >= np.array([h[3] for h in held])[piece]) & (own < np.array([h[4] for h in held])[piece])
         row = np.array([h[0] for h in held])[piece]
-        return tuple(x[keep] for x in (row, own, place - lo, hi - place, grams[place].view(np.int64), context.view(np.int64)))
+        row, own, place, lo, hi = (x[keep] for x in (row, own, place, lo, hi))
+        raw = buf.tobytes()
+        names = _names([raw[a:b] + (c - a).to_bytes(4, "little") for a, b, c in zip(lo.tolist(), hi.tolist(), place.tolist(), strict=True)])
+        return row, own, place - lo, hi - place, grams[place].view(np.int64), *names
 
 
 def anchors(docs: DataFrame, threshold: int) -> DataFrame:
-    """(anchor, context, doc, tag, place, before, after) over all texts."""
+    """(anchor, context, check, doc, tag, place, before, after) over all texts; context and check name the bytes around."""
 
     def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         finder = Anchors(threshold)
         for pdf in parts:
             doc, tag = pdf["doc"].astype("Int64").array, pdf["tag"].to_numpy(np.int64)
-            for row, place, before, after, anchor, context in finder.find([(x or "").encode() for x in pdf["text"].tolist()]):
-                yield pd.DataFrame({"anchor": anchor, "context": context, "doc": doc.take(row), "tag": tag[row], "place": place, "before": before, "after": after})
+            for row, place, before, after, anchor, context, check in finder.find([(x or "").encode() for x in pdf["text"].tolist()]):
+                yield pd.DataFrame({"anchor": anchor, "context": context, "check": check, "doc": doc.take(row), "tag": tag[row], "place": place, "before": before, "after": after})
 
-    return docs.mapInPandas(scan, "anchor long, context long, doc long, tag long, place long, before int, after int")
+    return docs.mapInPandas(scan, "anchor long, context long, check int, doc long, tag long, place long, before int, after int")
 
 
 def _contexts(docs: DataFrame, edges: DataFrame, threshold: int) -> DataFrame:
@@ -171,7 +188,7 @@ class _Matrix:
         self.before = pdf["before"].to_numpy(np.int64)
         self.after = pdf["bytes"].map(len).to_numpy(np.int64) - self.before
         padded = [(bytes(self.reach - b) + raw).ljust(width, b"\0") for b, raw in zip(self.before.tolist(), pdf["bytes"], strict=True)]
-        cells = np.frombuffer(b"".join(padded), dtype=np.uint8).reshape(len(pdf), width)
+        self.cells = cells = np.frombuffer(b"".join(padded), dtype=np.uint8).reshape(len(pdf), width)
         self.up, down = _powers(width + 1)
         self.sums = np.zeros((len(pdf), width + 1), dtype=np.uint64)
         for at in range(0, len(pdf), 1000):
@@ -188,31 +205,64 @@ class _Matrix:
         return (self.sums[rows, b] - self.sums[rows, a]) * self.up[a]
 
 
+    def digit_bytes(self, rows: np.ndarray, d: int, j: int, digits: int) -> np.ndarray:
+        """The same digit as numbers that differ where its bytes do, by sorting them."""
+        a = self.reach - d + self.threshold * j // digits
+        b = self.reach - d + self.threshold * (j + 1) // digits
+        raw = np.ascontiguousarray(self.cells[rows, a:b])
+        return np.unique(raw.view(f"V{b - a}").ravel(), return_inverse=True)[1].astype(np.uint64)
+
+    def equal(self, rows: np.ndarray, others: np.ndarray, d: np.ndarray) -> bool:
+        """Whether the windows d bytes before the anchors have the same bytes, row by row."""
+        for at in range(0, len(rows), 2_000):
+            place = (self.reach - d[at : at + 2_000])[:, None] + np.arange(self.threshold)
+            if not np.array_equal(self.cells[rows[at : at + 2_000, None], place], self.cells[others[at : at + 2_000, None], place]):
+                return False
+        return True
+
+
 def _sorted_windows(pdf: pd.DataFrame, threshold: int) -> pd.DataFrame:
     """Spans of the windows that some other context of the same anchor also has.
 
     For each distance d from the anchor the suffixes are dealt into groups by
     their most significant digit, the groups by the next digit, and so on to
-    ``threshold`` bytes; groups of one are left at once.
+    ``threshold`` bytes; groups of one are left at once.  Digits are told apart
+    by hashes; the bytes of the windows that bound a span are compared after
+    it, and where some differ all digits are told apart by their bytes.
     """
     m = _Matrix(pdf, threshold)
     code = pd.factorize(pdf["anchor"])[0].astype(np.uint64)
-    far = np.full(len(pdf), -1)
-    near = np.full(len(pdf), -1)
-    for d in range(m.reach + 1):
-        rows = m.valid(d)
-        group = code[rows]
-        for j in range(DIGITS):
+    for hashed in (True, False):
+        near, far = np.full(len(pdf), -1), np.full(len(pdf), -1)
+        pair = np.zeros((2, len(pdf)), dtype=np.int64)
+        for d in range(m.reach + 1):
+            rows = m.valid(d)
+            group = code[rows]
+            for j in range(DIGITS):
+                if not len(rows):
+                    break
+                digit = _mixed(m.digit(rows, d, j, DIGITS)) if hashed else m.digit_bytes(rows, d, j, DIGITS)
+                whole = _mixed(group * _U(_BASE) + _U(1)) ^ digit if hashed else group * _U(len(pdf) + 1) + digit
+                _, group, count = np.unique(whole, return_inverse=True, return_counts=True)
+                keep = count[group] > 1
+                rows, group = rows[keep], group[keep].astype(np.uint64)
             if not len(rows):
-                break
-            _, group, count = np.unique(_mixed(group * _U(_BASE) + _U(1)) ^ _mixed(m.digit(rows, d, j, DIGITS)), return_inverse=True, return_counts=True)
-            keep = count[group] > 1
-            rows, group = rows[keep], group[keep].astype(np.uint64)
-        near[rows] = np.where(near[rows] < 0, d, near[rows])
-        far[rows] = d
-    hit = (far >= 0) & pdf["alone"].to_numpy(bool)
+                continue
+            # the first of a group stands for it, and the last one for the first
+            _, first, group = np.unique(group, return_index=True, return_inverse=True)
+            last = np.zeros(len(first), dtype=np.int64)
+            last[group] = np.arange(len(rows))
+            other = np.where(rows == rows[first][group], rows[last][group], rows[first][group])
+            new = near[rows] < 0
+            pair[0, rows[new]] = other[new]
+            pair[1, rows] = other
+            near[rows[new]] = d
+            far[rows] = d
+        hit = np.flatnonzero((far >= 0) & pdf["alone"].to_numpy(bool))
+        if not hashed or (m.equal(hit, pair[0, hit], near[hit]) and m.equal(hit, pair[1, hit], far[hit])):
+            break
     # all windows of a context hold its anchor, so their union is one span
-    out = pdf.loc[hit, ["doc", "tag"]]
+    out = pdf.iloc[hit][["doc", "tag"]]
     place = pdf["place"].to_numpy(np.int64)[hit]
     return out.assign(start=place - far[hit], end=place - near[hit] + threshold)
 
@@ -252,11 +302,12 @@ def _by_window(contexts: DataFrame, threshold: int) -> DataFrame:
                 for d in range(m.reach + 1):
                     if len(rows := m.valid(d)):
                         some = pdf.iloc[rows]
-                        hashes = [_mixed(m.digit(rows, d, 0, 2) ^ _U(5)).view(np.int64), _mixed(m.digit(rows, d, 1, 2)).view(np.int64)]
-                        yield pd.DataFrame({"anchor": some["anchor"], "d": d, "h1": hashes[0], "h2": hashes[1], "doc": some["doc"].astype("Int64"), "tag": some["tag"], "start": some["place"] - d, "alone": some["alone"]})
+                        at = m.reach - d
+                        h1, h2 = _names([m.cells[r, at : at + threshold].tobytes() for r in rows.tolist()])
+                        yield pd.DataFrame({"anchor": some["anchor"], "d": d, "h1": h1, "h2": h2, "doc": some["doc"].astype("Int64"), "tag": some["tag"], "start": some["place"] - d, "alone": some["alone"]})
 
     key = ["anchor", "d", "h1", "h2"]
-    rows = contexts.mapInPandas(windows, "anchor long, d int, h1 long, h2 long, doc long, tag long, start long, alone boolean")
+    rows = contexts.mapInPandas(windows, "anchor long, d int, h1 long, h2 int, doc long, tag long, start long, alone boolean")
     twice = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*key)
     hit = rows.filter("alone").join(twice, key).groupBy("doc", "tag", "anchor", (F.col("start") + F.col("d")).alias("place"))
     return hit.agg(F.min("start").alias("start"), (F.max("start") + threshold).alias("end")).select("doc", "tag", "start", "end")
@@ -268,9 +319,9 @@ def repeated_spans(docs: DataFrame, threshold: int, most_contexts: int = MOST_CO
     again = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
     open_ = stored(found.join(again.hint("merge"), "anchor"))
     # Whole contexts first: where one repeats, so do all its windows.
-    contexts = open_.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "tag", "place")).alias("one"))
+    contexts = open_.groupBy("anchor", "context", "check").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "tag", "place")).alias("one"))
     contexts = stored(contexts)
-    inside = open_.join(contexts.filter("n > 1").select("anchor", "context").hint("merge"), ["anchor", "context"])
+    inside = open_.join(contexts.filter("n > 1").select("anchor", "context", "check").hint("merge"), ["anchor", "context", "check"])
     inside = inside.select("doc", "tag", (F.col("place") - F.col("before")).alias("start"), (F.col("place") + F.col("after")).alias("end"))
     # What is left are contexts of their own, to be sorted with one of each other context.
     mixed = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n_contexts"), F.bool_or(F.col("n") == 1).alias("some")).filter("some and n_contexts > 1")

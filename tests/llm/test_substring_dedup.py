@@ -1,6 +1,7 @@
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from pulsegrid.llm import substring_dedup
@@ -70,3 +71,42 @@ def test_query_matches_brute_force(spark):
     got = {r.doc_id: r for r in queries.op6_substring_dedup(spark, sf).collect()}
     for i, n, spans, kept in brute(docs, 200):
         assert (got[i].n_bytes, got[i].n_removed, got[i].n_spans, got[i].kept_sha256) == (n, n - len(kept), len(spans), hashlib.sha256(kept).hexdigest())
+
+
+def _twins():
+    """Two different texts of 200 letters whose polynomial hashes modulo 2**64 agree for every odd base."""
+    a, b = "goor", "K1A9"
+    one = other = ""
+    for k in range(16):
+        odd = bin(k).count("1") % 2
+        one, other = one + (b if odd else a), other + (a if odd else b)
+    start = ("start of both texts, " * 7)[:136]
+    return start + one, start + other
+
+
+def test_unequal_texts_of_equal_polynomial_hash_stay(spark):
+    one, other = _twins()
+    assert len(one) == len(other) == 200 and one != other
+    for texts in ([one, other], [one + "x" * 9, other + "yy"], [one, other, one]):
+        rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        for most in (20_000, 1):
+            got = {r.doc_id: bytes(r.kept).decode() for r in substring_dedup.dedup_substrings(rows, most_contexts=most).collect()}
+            assert got == {k: "" if texts.count(t) > 1 else t for k, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("doubted", [False, True])
+def test_digits_by_hash_or_bytes_give_the_groups_of_equal_bytes(monkeypatch, doubted):
+    if doubted:
+        monkeypatch.setattr(substring_dedup._Matrix, "equal", lambda *_: False)
+    one, other = _twins()
+    base = "b" * 112
+    contexts = [base + one + other, base + other + one, base + one + one, "c" * 112 + one + other]
+    raws = [c.encode()[:312] for c in contexts]
+    frame = pd.DataFrame({"anchor": 1, "doc": range(4), "tag": 0, "place": 112, "alone": True, "before": 112, "bytes": raws})
+    got = substring_dedup._sorted_windows(frame, 200)
+    expect = []
+    for k, raw in enumerate(raws):
+        hits = [d for d in range(113) if any(raw[112 - d : 312 - d] == other[112 - d : 312 - d] for i, other in enumerate(raws) if i != k)]
+        if hits:
+            expect.append((k, 112 - max(hits), 312 - min(hits)))
+    assert sorted(zip(got["doc"].tolist(), got["start"].tolist(), got["end"].tolist())) == expect
