@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import product
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..keys import SERIES, TIME, require_columns
+from .lagsums import BLOCK, differences, lag_products, products_of
 
 DEFAULT, FALLBACK = (1, 1, 1), (1, 1, 0)
 
@@ -22,6 +24,46 @@ def _least_squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.linalg.lstsq(x, y, rcond=None)[0] if x.shape[1] else np.zeros(0)
 
 
+def _solved(g: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least-squares coefficients by normal equations; the shortest where columns depend on each other."""
+    if not len(b):
+        return np.zeros(0)
+    scale = np.sqrt(np.diag(g))
+    scale = np.where(scale > 0, scale, 1.0)
+    return np.linalg.pinv(g / np.outer(scale, scale), rcond=1e-13, hermitian=True) @ (b / scale) / scale
+
+
+class Shape:
+    """The lags of an order: of the regression, of the long autoregression before it, and the differences."""
+
+    def __init__(self, order: tuple[int, int, int], seasonal: tuple[int, int, int, int] = (0, 0, 0, 0)) -> None:
+        p, d, q = order
+        sp, sd, sq, s = seasonal
+        self.d, self.sd, self.s = d, sd if s else 0, s
+        self.ar = [*range(1, p + 1), *(k * s for k in range(1, sp + 1) if s)]
+        self.ma = [*range(1, q + 1), *(k * s for k in range(1, sq + 1) if s)]
+        self.longest = max([0, *self.ar, *self.ma])
+        self.long_ar = list(range(1, max(p, q) + 3)) if self.ma else []
+        self.start = self.longest + len(self.long_ar)
+        self.lost = d + self.sd * s
+        self.centered = self.lost == 0
+        self.least = len(self.ar) + len(self.ma) + 2
+
+    def differences(self) -> np.ndarray:
+        """(1 - B)^d (1 - B^s)^D by powers of B."""
+        out = np.ones(1)
+        for step, times in ((1, self.d), (self.s, self.sd)):
+            for _ in range(times):
+                out = np.convolve(out, np.concatenate([[1.0], np.zeros(step - 1), [-1.0]]))
+        return out
+
+    def differenced(self, values: np.ndarray) -> np.ndarray:
+        w = values
+        for _ in range(self.sd):
+            w = w[self.s :] - w[: -self.s]
+        return np.diff(w, self.d) if self.d else w
+
+
 class Fitted:
     """An ARMA regression of a differenced series, by two least-squares steps.
 
@@ -30,42 +72,66 @@ class Fitted:
     """
 
     def __init__(self, values: np.ndarray, order: tuple[int, int, int], seasonal: tuple[int, int, int, int] = (0, 0, 0, 0)) -> None:
-        p, d, q = order
-        sp, sd, sq, s = seasonal
-        self.values, self.d, self.sd, self.s = np.asarray(values, dtype=float), d, sd, s
-        w = self.values
-        for _ in range(sd if s else 0):
-            w = w[s:] - w[:-s]
-        for _ in range(d):
-            w = np.diff(w)
-        self.mean = w.mean() if d == 0 and sd == 0 and len(w) else 0.0
-        self.w = w = w - self.mean
-        self.ar = [*range(1, p + 1), *(k * s for k in range(1, sp + 1) if s)]
-        self.ma = [*range(1, q + 1), *(k * s for k in range(1, sq + 1) if s)]
-        longest = max([0, *self.ar, *self.ma])
-        long_ar = list(range(1, max(p, q) + 3)) if self.ma else []
-        start = longest + (len(long_ar) if self.ma else 0)
-        if len(w) - start < len(self.ar) + len(self.ma) + 2:
+        shape = Shape(order, seasonal)
+        values = np.asarray(values, dtype=float)
+        w = shape.differenced(values)
+        mean = w.mean() if shape.centered and len(w) else 0.0
+        w, first = w - mean, len(shape.long_ar)
+        if len(w) - shape.start < shape.least:
             raise ValueError("series too short for the order")
+        design = _lagged(w, shape.long_ar, first)
+        phi = _least_squares(design, w[first:])
         shocks = np.zeros(len(w))
-        if self.ma:
-            at = len(long_ar)
-            design = _lagged(w, long_ar, at)
-            shocks[at:] = w[at:] - design @ _least_squares(design, w[at:])
-        design = np.hstack([_lagged(w, self.ar, start), _lagged(shocks, self.ma, start)])
-        self.beta = _least_squares(design, w[start:])
-        residual = w[start:] - design @ self.beta
-        self.shocks = shocks
+        if shape.ma:
+            shocks[first:] = w[first:] - design @ phi
+        design = np.hstack([_lagged(w, shape.ar, shape.start), _lagged(shocks, shape.ma, shape.start)])
+        self._end(values, shape, mean, phi, _least_squares(design, w[shape.start :]))
+
+    @classmethod
+    def of_sums(cls, shape: Shape, lags: tuple[int, ...], products: np.ndarray, head: np.ndarray, tail: np.ndarray, center: float) -> Fitted:
+        """The same fit from a long series' lag products and its two ends.
+
+        ``products``: of the differenced series, over all places that have the lag ``shape.start``.  Both
+        regressions' normal equations are combinations of them, since their columns are combinations of
+        lags; the first one also counts the earlier places that it reaches, from the head.
+        """
+        place = {k: i for i, k in enumerate(lags)}
+
+        def columns(shifts: list[int], by: np.ndarray) -> np.ndarray:
+            out = np.zeros((len(lags), len(shifts)))
+            for j, shift in enumerate(shifts):
+                for k, c in enumerate(by):
+                    out[place[k + shift], j] += c
+            return out
+
+        own, phi, first = np.ones(1), np.zeros(0), len(shape.long_ar)
+        if shape.ma:
+            w = shape.differenced(head[: shape.lost + shape.start] - center)
+            early = _lagged(w, [0, *shape.long_ar], first) if len(w) > first else np.zeros((0, first + 1))
+            c = columns([0, *shape.long_ar], own)
+            g = c.T @ products @ c + early.T @ early
+            phi = _solved(g[1:, 1:], g[1:, 0])
+        c = np.hstack([columns([0, *shape.ar], own), columns(shape.ma, np.concatenate([[1.0], -phi]))])
+        g = c.T @ products @ c
+        out = cls.__new__(cls)
+        out._end(tail, shape, center if shape.centered else 0.0, phi, _solved(g[1:, 1:], g[1:, 0]))
+        return out
+
+    def _end(self, values: np.ndarray, shape: Shape, mean: float, phi: np.ndarray, beta: np.ndarray) -> None:
+        """Take the coefficients and the shocks that they leave over the given values."""
+        self.values, self.d, self.sd, self.s, self.ar, self.ma = values, shape.d, shape.sd, shape.s, shape.ar, shape.ma
+        self.mean, self.beta = mean, beta
+        self.w = w = shape.differenced(values) - mean
+        first, start = len(shape.long_ar), shape.start
+        self.shocks = np.zeros(len(w))
+        if shape.ma:
+            self.shocks[first:] = w[first:] - _lagged(w, shape.long_ar, first) @ phi
+        residual = w[start:] - np.hstack([_lagged(w, shape.ar, start), _lagged(self.shocks, shape.ma, start)]) @ beta
         self.shocks[start:] = residual
         self.variance = float(np.mean(residual**2)) if len(residual) else 0.0
-        self.n = len(residual)
-        if not np.all(np.isfinite(self.beta)):
+        if not np.all(np.isfinite(beta)):
             raise ValueError("no finite fit")
 
-    @property
-    def aic(self) -> float:
-        return self.n * np.log(max(self.variance, 1e-300)) + 2 * (len(self.beta) + 1)
-
     def forecast(self, steps: int) -> np.ndarray:
         w, e = self.w.tolist(), self.shocks.tolist()
         for _ in range(steps):
@@ -74,7 +140,7 @@ class Fitted:
             e.append(0.0)
         out = np.array(w[len(self.w) :]) + self.mean
         levels = [self.values]
-        for _ in range(self.sd if self.s else 0):
+        for _ in range(self.sd):
             levels.append(levels[-1][self.s :] - levels[-1][: -self.s])
         ordinary = [levels[-1]]
         for _ in range(self.d):
@@ -148,13 +214,29 @@ def _per_series(df: DataFrame, one, schema: str) -> DataFrame:
     return df.select(*SERIES, TIME, F.col("value").cast("double")).groupBy(*SERIES).applyInPandas(run, f"metric_name string, container_name string, {fields}")
 
 
-def forecast_series(df: DataFrame, steps: int, order: tuple[int, int, int] = DEFAULT, seasonal: tuple[int, int, int, int] = (0, 0, 0, 0)) -> DataFrame:
-    """(series, step, forecast): ARIMA of every series, one group a series."""
+def forecast_series(df: DataFrame, steps: int, order: tuple[int, int, int] = DEFAULT, seasonal: tuple[int, int, int, int] = (0, 0, 0, 0), block: int = BLOCK) -> DataFrame:
+    """(series, step, forecast): ARIMA of every series, however long.
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"step": np.arange(1, steps + 1), "forecast": arima(pdf["value"].to_numpy(), steps, order, seasonal)})
+    The regressions come from lag products, added up over blocks of ``block`` rows; after that a series
+    is one row with its two ends.  Series of fewer rows than these ends are fitted directly.
+    """
+    shape = Shape(order, seasonal)
+    shifts = {0, *shape.ar, *shape.ma, *shape.long_ar, *(a + b for a in shape.ma for b in shape.long_ar)}
+    lags = tuple(sorted(shifts | {shape.start}))
+    keep = shape.lost + shape.start + shape.longest + shape.least + 8
+    sums = lag_products(df, lags, keep, (tuple(shape.differences().tolist()),), block)
 
-    return _per_series(df, one, "step int, forecast double")
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            for r in pdf.itertuples(index=False):
+                head, tail = np.asarray(r.head, dtype=float), np.asarray(r.tail, dtype=float)
+                if r.n <= keep:
+                    out = arima(head, steps, order, seasonal)
+                else:
+                    out = Fitted.of_sums(shape, lags, np.asarray(r.products, dtype=float).reshape(len(lags), -1), head, tail, r.center).forecast(steps)
+                yield pd.DataFrame({"metric_name": r.metric_name, "container_name": r.container_name, "step": np.arange(1, steps + 1), "forecast": out})
+
+    return sums.mapInPandas(run, "metric_name string, container_name string, step int, forecast double")
 
 
 def forecast_ar1_differences(df: DataFrame, steps: int) -> DataFrame:
@@ -174,25 +256,141 @@ def order_grid(max_p: int = 3, max_d: int = 2, max_q: int = 3) -> list[tuple[int
     return list(product(range(max_p + 1), range(max_d + 1), range(max_q + 1)))
 
 
-def search_orders(df: DataFrame, orders: list[tuple[int, int, int]] | None = None) -> DataFrame:
-    """(series, p, d, q, aic): the order of least AIC; (1, 1, 1) where none fits.
+#: Lags that an order's prediction errors look back; all orders are compared on the rows that have them.
+MEMORY = 32
+CRITERIA = ("aic", "bic")
+
 
-    A series is gathered once, and its task tries every order on it.
+def _inverse(theta: np.ndarray, n: int) -> np.ndarray:
+    """The first n + 1 powers of 1 / (1 + theta_1 B + theta_2 B^2 + ...)."""
+    back, out = theta.tolist(), [1.0]
+    for _ in range(n if back else 0):
+        out.append(-sum(t * x for t, x in zip(back, reversed(out), strict=False)))
+    return np.array(out) if back else np.eye(1, n + 1)[0]
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The product of two power series, as far as the second one goes."""
+    return np.convolve(a, b)[: len(b)]
+
+
+def _delayed(a: np.ndarray, k: int) -> np.ndarray:
+    return np.concatenate([np.zeros(k), a[: len(a) - k]])
+
+
+def _invertible(theta: np.ndarray) -> bool:
+    return not len(theta) or bool(np.abs(np.roots(np.concatenate([[1.0], theta]))).max(initial=0.0) < 0.99)
+
+
+class Innovations:
+    """One-step prediction errors of orders, as sums over a series' lag products.
+
+    An order's error at t is a combination of the ``memory`` lags before it (the autoregressive form of
+    the model), so the sum of its squares is a quadratic form of the products, and Gauss-Newton steps
+    find the coefficients that make it least without another look at the series.  Every order counts the
+    same rows: a difference does not change the error of predicting the next value.
     """
-    tried = sorted(orders or order_grid())
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        values, found = pdf["value"].to_numpy(float), []
-        for order in tried:
-            try:
-                found.append((Fitted(values, order).aic, order))
-            except (ValueError, np.linalg.LinAlgError):
-                continue
-        aic, order = min((f for f in found if not np.isnan(f[0])), default=(None, DEFAULT))
-        return pd.DataFrame([[*order, aic]], columns=["p", "d", "q", "aic"]).astype({"aic": float})
-
-    best = _per_series(df, one, "p int, d int, q int, aic double")
-    return best.withColumn("aic", F.nanvl("aic", F.lit(None).cast("double")))
+    def __init__(self, products: list[np.ndarray], n: int) -> None:
+        """``products``: of the series, its first, second, ... difference, over ``n`` common rows."""
+        self.products, self.n, self.memory = products, n, len(products[0]) - 1
+
+    def variance(self, order: tuple[int, int, int]) -> tuple[float, np.ndarray]:
+        """(mean squared error, coefficients phi and theta) of an order at its least."""
+        p, d, q = order
+        k, g = p + q, self.products[d]
+
+        def series(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            inverse = _inverse(b[p:], self.memory)
+            return inverse, _times(np.concatenate([[1.0], -b[:p]]), inverse)
+
+        def moves(b: np.ndarray) -> np.ndarray:
+            inverse, pi = series(b)
+            again = _times(pi, inverse)
+            by = [_delayed(inverse, i) for i in range(1, p + 1)] + [_delayed(again, i) for i in range(1, q + 1)]
+            return -np.column_stack(by)
+
+        b = self._begin(order) if k else np.zeros(0)
+        c = series(b)[1]
+        least = float(c @ g @ c)
+        for _ in range(30 if k else 0):
+            j = moves(b)
+            step, left = -_solved(j.T @ g @ j, j.T @ g @ c), least
+            for _ in range(12):
+                new = b + step
+                if _invertible(new[p:]) and (total := float((made := series(new)[1]) @ g @ made)) < left:
+                    b, c, left = new, made, total
+                    break
+                step = step / 2
+            if left >= least * (1 - 1e-11):
+                break
+            least = left
+        return max(float(c @ g @ c), 0.0) / self.n, b
+
+    def _begin(self, order: tuple[int, int, int]) -> np.ndarray:
+        """Two least-squares steps, the shocks being those of a long autoregression."""
+        p, d, q = order
+        far = min(p + q + 4, self.memory - q)
+        lag = lambda power, shift: _delayed(np.concatenate([power, np.zeros(self.memory + 1 - len(power))]), shift)
+        shock = np.ones(1)
+        if q:
+            g = self.products[d][: far + 1, : far + 1]
+            shock = np.concatenate([[1.0], -_solved(g[1:, 1:], g[1:, 0])])
+        z = np.column_stack([lag(np.ones(1), i) for i in range(p + 1)] + [lag(shock, i) for i in range(1, q + 1)])
+        g = z.T @ self.products[d] @ z
+        b = _solved(g[1:, 1:], g[1:, 0])
+        while not _invertible(b[p:]):
+            b[p:] *= 0.9 ** np.arange(1, q + 1)
+        return b
+
+    def criterion(self, order: tuple[int, int, int], name: str = "aic") -> float:
+        """n log(variance) plus a price for each coefficient, the variance and, without differences, the mean."""
+        p, d, q = order
+        floor = 1e-18 * float(self.products[0][0, 0]) / self.n
+        price = 2.0 if name == "aic" else float(np.log(self.n))
+        return self.n * float(np.log(max(self.variance(order)[0], floor, 1e-300))) + price * (p + q + 1 + (d == 0))
+
+
+def best_order(found: Innovations, orders: list[tuple[int, int, int]], criterion: str = "aic") -> tuple[float | None, tuple[int, int, int]]:
+    """The order of the least criterion, of equal ones the smallest; (None, (1, 1, 1)) where none can be fitted."""
+    fitted = [(found.criterion(o, criterion), o) for o in sorted(orders) if found.n >= o[0] + o[2] + 3 and o[0] + o[2] < found.memory]
+    return min((f for f in fitted if np.isfinite(f[0])), default=(None, DEFAULT))
+
+
+def search_orders(df: DataFrame, orders: list[tuple[int, int, int]] | None = None, criterion: str = "aic", block: int = BLOCK) -> DataFrame:
+    """(series, p, d, q, aic or bic): the order of the least criterion; (1, 1, 1) where none fits.
+
+    Every order is judged by its one-step errors on the same rows, those that have ``MEMORY`` lags and
+    the greatest d, so unit and differences do not favour an order.  One pass adds up lag products in
+    blocks; the search itself sees one small matrix a series.  Series that are short for it look back
+    over a quarter of their rows.
+    """
+    if criterion not in CRITERIA:
+        raise ValueError(f"unknown criterion: {criterion}; one of {CRITERIA}")
+    tried = sorted(orders or order_grid())
+    most_d = max(o[1] for o in tried)
+    powers = [Shape((0, d, 0)).differences() for d in range(most_d + 1)]
+    lags = tuple(range(MEMORY + 1))
+    keep = 4 * MEMORY + most_d
+    sums = lag_products(df, lags, keep, tuple(tuple(p.tolist()) for p in powers), block)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            rows = []
+            for r in pdf.itertuples(index=False):
+                n, memory = int(r.n), MEMORY
+                if n <= keep:
+                    memory = max(1, min(MEMORY, n // 4))
+                    v = np.asarray(r.head, dtype=float) - r.center
+                    products = [products_of(differences(v, p), tuple(range(memory + 1)), memory + most_d - len(p) + 1) for p in powers]
+                else:
+                    products = list(np.asarray(r.products, dtype=float).reshape(len(powers), len(lags), -1))
+                found = Innovations(products, max(n - memory - most_d, 0))
+                value, order = best_order(found, tried, criterion) if found.n else (None, DEFAULT)
+                rows.append([r.metric_name, r.container_name, *order, value])
+            yield pd.DataFrame(rows, columns=["metric_name", "container_name", "p", "d", "q", criterion]).astype({criterion: "Float64"})
+
+    return sums.mapInPandas(run, f"metric_name string, container_name string, p int, d int, q int, {criterion} double")
 
 
 def forecast_seasonal_trend(df: DataFrame, steps: int, step_seconds: int = 15, **params) -> DataFrame:

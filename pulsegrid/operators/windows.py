@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -28,7 +29,9 @@ def numbered_by_days(df: DataFrame) -> DataFrame:
     starts = counts.select(*keys, "_day", F.coalesce(F.sum("_c").over(days), F.lit(0)).alias("_before"), F.sum("_c").over(Window.partitionBy(*keys)).alias("n_rows"))
     ties = ["event_id"] if "event_id" in df.columns else []
     place = F.row_number().over(Window.partitionBy(*keys, "_day").orderBy(TIME, *ties)) - 1
-    met = rows.withColumn("_place", place).join(starts, [*keys, "_day"])
+    other = starts.select("n_rows", "_before", *[F.col(k).alias(f"_at_{k}") for k in (*keys, "_day")])
+    same = [F.col(k).eqNullSafe(F.col(f"_at_{k}")) for k in (*keys, "_day")]
+    met = rows.withColumn("_place", place).join(other, reduce(Column.__and__, same))
     return met.select(*df.columns, (F.col("_before") + F.col("_place")).alias("row_no"), "n_rows")
 
 

@@ -889,6 +889,21 @@ def m3_order_search(spark, sf_dir):
     return rounded(forecast.search_orders(growing_grid(spark, sf_dir)))
 
 
+_K = "metric_name, container_name"
+
+
+@query(WITH_GROWING + f""", c AS (SELECT {_K}, value - avg(value) OVER k AS v, row_number() OVER (PARTITION BY {_K} ORDER BY timestamp) AS i, count(*) OVER k AS rows FROM grid WINDOW k AS (PARTITION BY {_K})
+), m AS (SELECT *, CASE WHEN rows <= 130 THEN greatest(1, least(32, rows // 4)) ELSE 32 END + 2 AS first, v - lag(v) OVER s AS w1, v - 2 * lag(v) OVER s + lag(v, 2) OVER s AS w2 FROM c WINDOW s AS (PARTITION BY {_K} ORDER BY i)
+), w AS ({" UNION ALL ".join(f"SELECT {_K}, i, rows - first AS n, first, {d} AS d, {w} AS w FROM m" for d, w in enumerate(("v", "w1", "w2")))}
+), u AS (SELECT *, lag(w) OVER (PARTITION BY {_K}, d ORDER BY i) AS u FROM w
+), sums AS (SELECT {_K}, d, n, sum(w * w) AS ww, sum(w * u) AS wu, sum(u * u) AS uu FROM u WHERE i > first GROUP BY ALL
+), tried AS ({" UNION ALL ".join(f"SELECT {_K}, {p} AS p, d, n * ln(({e}) / n) + 2 * ({p} + 1 + (d = 0)::INTEGER) AS aic FROM sums" for p, e in enumerate(("ww", "ww - wu * wu / uu")))})
+SELECT {_K}, p::INTEGER AS p, d::INTEGER AS d, 0::INTEGER AS q, {r('aic AS aic')} FROM tried QUALIFY row_number() OVER (PARTITION BY {_K} ORDER BY tried.aic, p, d) = 1""")
+def m3_order_search_closed(spark, sf_dir):
+    """The search among orders whose least errors have a closed form."""
+    return rounded(forecast.search_orders(growing_grid(spark, sf_dir), [(p, d, 0) for p in (0, 1) for d in (0, 1, 2)]))
+
+
 @query()
 def m4_seasonal_trend(spark, sf_dir):
     return rounded(forecast.forecast_seasonal_trend(growing_grid(spark, sf_dir), 6, HOUR))

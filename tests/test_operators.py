@@ -232,6 +232,39 @@ def test_order_search_prefers_the_true_order(spark):
     assert (short.p, short.d, short.q) == forecast.DEFAULT and short.aic is None
 
 
+@pytest.mark.parametrize("order,seasonal", [((1, 1, 1), (0, 0, 0, 0)), ((1, 1, 0), (0, 0, 0, 0)), ((2, 0, 2), (0, 0, 0, 0)), ((1, 0, 0), (1, 1, 0, 24)), ((0, 1, 1), (0, 1, 1, 6)), ((0, 0, 0), (0, 0, 0, 0))])
+def test_arima_of_a_series_over_many_blocks_is_that_of_the_whole(spark, order, seasonal):
+    rng, x = np.random.default_rng(4), [5.0]
+    for k in range(900):
+        x.append(0.7 * x[-1] + np.sin(k / 4) + rng.normal())
+    long, short = np.array(x) + 1e4, np.array(x[:9])
+    holes = [None if k % 50 == 3 else v for k, v in enumerate(long)]
+    df = series(spark, long, metric="long").union(series(spark, short, metric="short")).union(series(spark, holes, metric="holes")).union(series(spark, [2.0] * 400, metric="flat")).union(series(spark, [float("nan")], metric="none"))
+    df = df.withColumn("container_name", F.when(F.col("metric_name") == "holes", None).otherwise(F.col("container_name")))
+    found = forecast.forecast_series(df, 7, order, seasonal, block=100)
+    plan = found._jdf.queryExecution().toString()
+    assert "_block" in plan
+    got = found.toPandas().sort_values("step").groupby("metric_name")["forecast"].apply(list).to_dict()
+    want = {"long": long, "short": short, "holes": np.array([v for v in holes if v is not None]), "flat": np.full(400, 2.0)}
+    assert set(got) == set(want)
+    for name, values in want.items():
+        assert np.allclose(got[name], forecast.arima(values, 7, order, seasonal), rtol=1e-9, atol=1e-9), name
+
+
+def test_search_over_many_blocks_is_that_of_one(spark):
+    rng, x = np.random.default_rng(6), [0.0]
+    for _ in range(500):
+        x.append(0.6 * x[-1] + rng.normal())
+    df = series(spark, x, metric="a").union(series(spark, np.cumsum(x), metric="b")).union(series(spark, x[:60], metric="c")).union(series(spark, [3.0] * 300, metric="flat"))
+    orders = forecast.order_grid(1, 1, 1)
+    one, many = (sorted(tuple(r) for r in forecast.search_orders(df, orders, "bic", block=b).collect()) for b in (forecast.BLOCK, 60))
+    assert [r[:5] for r in one] == [r[:5] for r in many]
+    assert np.allclose([r[5] for r in one], [r[5] for r in many], rtol=1e-8)
+    assert [r[2:5] for r in one] == [(1, 0, 0), (1, 1, 0), (1, 0, 0), (0, 1, 0)]
+    with pytest.raises(ValueError):
+        forecast.search_orders(df, orders, "r2")
+
+
 def test_seasonal_trend_follows_a_daily_wave(spark):
     t = np.arange(24 * 10)
     y = 10 + 0.02 * t + 3 * np.sin(2 * np.pi * t / 24)

@@ -19,21 +19,83 @@ def events(spark, path, rows):
     return str(path)
 
 
+def least_errors(y, order, first):
+    """Mean squared one-step errors by a plain recursion over the values from ``first`` on, from 300 starts."""
+    p, d, q = order
+    w = np.diff(y - y.mean(), d)
+    best, rng = np.inf, np.random.default_rng(0)
+
+    def errors(b):
+        e = np.zeros(len(w))
+        for t in range(len(w)):
+            e[t] = w[t] - sum(b[i] * w[t - 1 - i] for i in range(min(p, t))) - sum(b[p + i] * e[t - 1 - i] for i in range(min(q, t)))
+        return float(np.mean(e[first - d :] ** 2))
+
+    point = np.zeros(p + q)
+    for scale in (0.3, 0.1, 0.03, 0.01, 0.003):
+        for _ in range(60):
+            new = point + scale * rng.normal(size=p + q)
+            if (q == 0 or np.abs(np.roots([1, *new[p:]])).max() < 0.99) and (v := errors(new)) < best:
+                best, point = v, new
+    return best
+
+
 def test_order_search_tries_all_48_orders(spark, tmp_path):
     rng, y = np.random.default_rng(5), [0.0, 0.0, 0.0]
     for _ in range(400):
         y.append(0.3 * y[-1] - 0.2 * y[-2] + 0.6 * y[-3] + rng.normal())
     y = np.round(y[3:], 6)
-    best = {}
-    for order in forecast.order_grid():
-        try:
-            best[order] = forecast.Fitted(y, order).aic
-        except (ValueError, np.linalg.LinAlgError):
-            continue
-    want = min(best, key=lambda o: (best[o], o))
-    assert len(forecast.order_grid()) == 48 and want not in forecast.order_grid(2, 1, 1)
+    assert len(forecast.order_grid()) == 48
     row = core.queries()["m3_order_search"](spark, events(spark, tmp_path / "t", [(h, 1, "click", v) for h, v in enumerate(y)])).first()
-    assert (row.p, row.d, row.q) == want and row.aic == pytest.approx(best[want], abs=1e-5)
+    # a plain regression on three lags, over the rows that all orders share
+    v, first = y - y.mean(), forecast.MEMORY + 2
+    lags = np.column_stack([v[first - k : len(v) - k] for k in (1, 2, 3)])
+    rest = v[first:] - lags @ np.linalg.lstsq(lags, v[first:], rcond=None)[0]
+    known = len(rest) * np.log(np.mean(rest**2)) + 2 * (3 + 1 + 1)
+    assert row.aic <= known + 1e-6 and row.p + row.q >= 3
+    found = forecast.Innovations(lag_matrices(y), len(y) - first)
+    assert found.criterion((3, 0, 0)) == pytest.approx(known, abs=1e-6)
+    assert row.aic == pytest.approx(min(found.criterion(o) for o in forecast.order_grid()), abs=1e-5)
+
+
+def lag_matrices(y, memory=forecast.MEMORY, most_d=2):
+    v, out = y - y.mean(), []
+    for d in range(most_d + 1):
+        w = np.diff(v, d)
+        rows = np.array([[w[t - d - k] for k in range(memory + 1)] for t in range(memory + most_d, len(y))])
+        out.append(rows.T @ rows)
+    return out
+
+
+@pytest.mark.parametrize("order", [(0, 0, 1), (1, 0, 1), (0, 1, 2), (1, 1, 0)])
+def test_errors_of_an_order_are_the_least_of_its_recursion(order):
+    rng = np.random.default_rng(8)
+    e = rng.normal(size=500)
+    y = e.copy()
+    for t in range(1, 500):
+        y[t] += 0.5 * y[t - 1] * (order[0] > 0) + 0.4 * e[t - 1] * (order[2] > 0)
+    y = np.cumsum(y) if order[1] else y
+    found = forecast.Innovations(lag_matrices(y), 500 - 34).variance(order)[0]
+    plain = least_errors(y, order, 34)
+    assert found <= plain * (1 + 1e-6) and found == pytest.approx(plain, rel=2e-3)
+
+
+@pytest.mark.parametrize("kind", ["ar", "ma", "walk"])
+def test_orders_are_found_whatever_the_unit(kind):
+    right = {"bic": 0, "aic": 0}
+    for seed in range(10):
+        rng = np.random.default_rng(seed)
+        e = rng.normal(size=700)
+        y = e.copy()
+        for t in range(1, 700):
+            y[t] += 0.6 * y[t - 1] if kind != "ma" else 0.5 * e[t - 1]
+        y = np.cumsum(y) if kind == "walk" else y
+        for name in right:
+            orders = [forecast.best_order(forecast.Innovations(lag_matrices(y * unit), 700 - 34), forecast.order_grid(2, 1, 2), name)[1] for unit in (1.0, 1000.0, 0.001)]
+            assert len(set(orders)) == 1
+            right[name] += orders[0] == {"ar": (1, 0, 0), "ma": (0, 0, 1), "walk": (1, 1, 0)}[kind]
+    # the price of two for each coefficient is known to take more of them than there are
+    assert right["bic"] >= 9 and right["aic"] >= 4
 
 
 def test_hourly_kendall_by_brute_force(spark, tmp_path):
