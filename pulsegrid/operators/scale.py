@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..keys import require_columns
+from .quantiles import quantiles
 
 METHODS = ("minmax", "standard", "robust")
 
@@ -23,13 +24,16 @@ def _center_scale(value: Column, method: str, weight: Column | None = None) -> t
         n = F.sum(F.when(value.isNotNull(), weight))
         mean = F.sum(value * weight) / n
         return mean, F.sqrt(F.greatest(F.sum(value * value * weight) / n - mean * mean, F.lit(0.0)))
-    if method == "robust":
-        share = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-        q = F.percentile(value, share) if weight is None else F.percentile(value, share, weight)
-        return q[1], q[2] - q[0]
     raise ValueError(f"unknown method: {method}; one of {METHODS}")
 
 
+def _robust(cells: DataFrame, weight: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by..., center, scale) of the column ``v``: median and spread of the quartiles, exact, in bounded memory."""
+    q = quantiles(cells, "v", (0.25, 0.5, 0.75), by, weight)
+    spread = F.col("q")[2] - F.col("q")[0]
+    return q.select(*by, F.col("q")[1].alias("center"), F.when(spread == 0, 1.0).otherwise(spread).alias("scale"))
+
+
 def fit_scaler(df: DataFrame, columns: list[str], method: str = "standard", weight: str | None = None) -> DataFrame:
     """(feature, center, scale) over the given rows, which should be the training rows only.
 
@@ -39,6 +43,10 @@ def fit_scaler(df: DataFrame, columns: list[str], method: str = "standard", weig
     require_columns(df, *columns)
     if method not in METHODS:
         raise ValueError(f"unknown method: {method}; one of {METHODS}")
+    if method == "robust":
+        fits = [_robust(df.select(F.col(c).cast("double").alias("v"), *([F.col(weight).alias("w")] if weight else [])), "w" if weight else None).withColumn("feature", F.lit(c)) for c in columns]
+        named = df.sparkSession.createDataFrame([(c,) for c in columns], "feature string")  # also those without a value
+        return named.join(reduce(DataFrame.unionByName, fits), "feature", "left").select("feature", "center", "scale")
     aggs = []
     for i, c in enumerate(columns):
         center, scale = _center_scale(F.col(c).cast("double"), method, F.col(weight).cast("long") if weight else None)
@@ -64,6 +72,8 @@ def fit_input_scalers(windows: DataFrame, method: str = "standard") -> DataFrame
     rows = windows.select(F.explode("x").alias("r"))
     nested = dict(windows.dtypes)["x"].startswith("array<array")
     cells = rows.select(F.posexplode("r" if nested else F.array("r")).alias("i", "v"))
+    if method == "robust":
+        return _robust(cells, by=("i",)).select(F.concat(F.lit("x_"), "i").alias("feature"), "center", "scale")
     center, spread = _center_scale(F.col("v").cast("double"), method)
     out = cells.groupBy("i").agg(center.alias("center"), spread.alias("scale"))
     return out.select(F.concat(F.lit("x_"), "i").alias("feature"), "center", F.when(F.col("scale") == 0, 1.0).otherwise(F.col("scale")).alias("scale"))
