@@ -980,6 +980,17 @@ def r2_live_rates(spark, sf_dir):
     return rounded(out)
 
 
+@query(WITH + f""", g AS (SELECT *, CASE WHEN value < lag(value) OVER s THEN value ELSE value - lag(value) OVER s END AS grown FROM dense WINDOW s AS (PARTITION BY metric_name, container_name ORDER BY timestamp, event_id)
+), t AS (SELECT event_id, timestamp, sum(grown) OVER f - coalesce(first_value(coalesce(grown, 0)) OVER f, 0) AS grew, epoch(timestamp - min(timestamp) OVER f) AS covered FROM g
+  WINDOW f AS (PARTITION BY metric_name, container_name ORDER BY timestamp RANGE BETWEEN INTERVAL 6 HOUR PRECEDING AND CURRENT ROW))
+SELECT event_id, {r('CASE WHEN covered > 0 THEN grew / covered END AS rate')} FROM t WHERE timestamp < (SELECT max(ts) - INTERVAL 1 MINUTE FROM events)""")
+def r2_live_counter_rates(spark, sf_dir):
+    """The rate of every closed sample, from state in the stream; every fall is a reset."""
+    source = live.read_samples(spark, sf_dir, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string", "events.parquet")
+    stream = source.select("event_id", F.col("event_type").alias("metric_name"), F.concat(F.lit("c"), F.col("user_id") % 4).alias("container_name"), F.col("ts").alias(TIME), "value")
+    return rounded(live.run_available(live.live_counter_rates(stream, 6 * HOUR), scratch(spark), scratch(spark)).select("event_id", "rate"))
+
+
 @query(WITH + f""", s AS (SELECT metric_name, container_name, avg(value) AS m, stddev_samp(value) AS d FROM binned GROUP BY ALL)
 SELECT metric_name, container_name, timestamp, {r('value')}, value > m + 2 * d AS spike, value < m - 2 * d AS dip FROM binned JOIN s USING (metric_name, container_name)
 {_closed('timestamp + INTERVAL 1 HOUR')} AND (value > m + 2 * d OR value < m - 2 * d)""")

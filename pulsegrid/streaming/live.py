@@ -7,8 +7,13 @@ has passed its end; windows newer than that stay open.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.scalars import no_nan
 from ..keys import SERIES, TIME
@@ -36,14 +41,89 @@ def live_resample(samples: DataFrame, step: str = "15 seconds", late: str = "1 m
 
 
 def live_rates(samples: DataFrame, window: str = "1 minute", slide: str = "15 seconds", late: str = "1 minute") -> DataFrame:
-    """Sliding windows: mean and greatest of gauges, and (max - min) / span for counters.
+    """Sliding windows: mean and greatest of gauges, and (max - min) / span of what only grows.
 
-    Resets of counters are not seen here; ``counter_rate`` handles them in batch.
+    Resets are not seen here; ``live_counter_rates`` sees them.
     """
     span = (F.unix_micros(F.max(TIME)) - F.unix_micros(F.min(TIME))) / 1e6
     return _by_window(samples, late, F.window(TIME, window, slide), mean=F.avg("value"), max=F.max("value"), rate=F.try_divide(F.max("value") - F.min("value"), span))
 
 
+class _Series:
+    """A counter's state: samples that wait for the watermark, and what the trailing range needs of closed ones.
+
+    ``waiting``: (micros, id, value); ``closed``: (micros, increase up to then), the first of each time
+    and the last one; ``last`` value and total increase so far.
+    """
+
+    SCHEMA = "wait_us array<long>, wait_id array<long>, wait_value array<double>, us array<long>, sums array<double>, last double, total double"
+
+    def __init__(self, held: tuple | None) -> None:
+        us, ids, values, closed, sums, self.last, self.total = held or ((), (), (), (), (), None, 0.0)
+        self.waiting = list(zip(us, ids, values, strict=True))
+        self.closed = list(zip(closed, sums, strict=True))
+
+    def held(self) -> tuple:
+        columns = list(zip(*self.waiting, strict=True)) or [(), (), ()]
+        closed = list(zip(*self.closed, strict=True)) or [(), ()]
+        return (*[list(c) for c in columns], *[list(c) for c in closed], self.last, self.total)
+
+    def close(self, before: int, span: int, idle: int) -> list[tuple]:
+        """(micros, id, value, rate) of the waiting samples before a time, in order."""
+        self.waiting.sort()
+        n = next((i for i, s in enumerate(self.waiting) if s[0] >= before), len(self.waiting))
+        ready, self.waiting, out, at = self.waiting[:n], self.waiting[n:], [], 0
+        while at < n:
+            now, same = ready[at][0], []
+            if self.closed and now - self.closed[-1][0] > idle:
+                self.closed, self.last = [], None
+            while at < n and ready[at][0] == now:
+                value = ready[at][2]
+                self.total += 0.0 if self.last is None else value if value < self.last else value - self.last
+                self.last = value
+                if not same:
+                    self.closed.append((now, self.total))
+                same.append(ready[at])
+                at += 1
+            self.closed = [c for c in self.closed if c[0] >= now - span]
+            covered = (now - self.closed[0][0]) / 1_000_000
+            rate = (self.total - self.closed[0][1]) / covered if covered > 0 else None
+            out += [(*s, rate) for s in same]
+        return out
+
+
+def live_counter_rates(samples: DataFrame, seconds: int = 60, late: str = "1 minute", forget: str = "1 day") -> DataFrame:
+    """(series, timestamp, event_id, value, rate): ``counter_rate`` of every sample, once the watermark has passed it.
+
+    Resets are seen; samples may come in any order within ``late``, later ones are dropped.  A series'
+    state is its samples of that time and of the trailing range, its last value and its total increase;
+    it stands in the stream's checkpoint, so a restart goes on where it was.  A series silent for
+    ``forget`` starts anew.  Samples of one time stand in order of their ``event_id``, if there is one,
+    and value.  Null values are left out; keys may be null.
+    """
+    tie = F.col("event_id").cast("long") if "event_id" in samples.columns else F.lit(0).cast("long")
+    rows = _timed(samples.withColumn("_id", tie), late).filter("value is not null").select(*SERIES, TIME, F.unix_micros(TIME).alias("_us"), "_id", "value")
+    span, idle = seconds * 1_000_000, int(pd.Timedelta(forget).total_seconds() * 1000)
+
+    def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        mine = _Series(state.get if state.exists else None)
+        for pdf in parts:
+            mine.waiting += zip(pdf["_us"].tolist(), pdf["_id"].fillna(-1).astype(np.int64).tolist(), pdf["value"].tolist(), strict=True)
+        mark = max(state.getCurrentWatermarkMs(), 0)
+        done = mine.close(mark * 1000, span, idle * 1000)
+        if state.hasTimedOut and not done and not mine.waiting:
+            state.remove()
+        else:
+            state.update(mine.held())
+            due = mine.waiting[0][0] // 1000 if mine.waiting else mine.closed[-1][0] // 1000 + idle
+            state.setTimeoutTimestamp(max(due, mark + 1))
+        if done:
+            yield pd.DataFrame(done, columns=["_us", "event_id", "value", "rate"]).assign(metric_name=key[0], container_name=key[1]).astype({"rate": "Float64"})
+
+    out = rows.groupBy(*SERIES).applyInPandasWithState(run, "metric_name string, container_name string, _us long, event_id long, value double, rate double", _Series.SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+    return out.select(*SERIES, F.timestamp_micros("_us").cast("timestamp_ntz").alias(TIME), "event_id", "value", "rate")
+
+
 def live_alerts(resampled: DataFrame, stats: DataFrame, deviations: float = 2.0) -> DataFrame:
     """Windows beyond mean ± ``deviations`` of their series' fitted (mean, std)."""
     joined = resampled.join(stats, list(SERIES))

@@ -1,10 +1,11 @@
 import datetime as dt
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pulsegrid.operators import scale, vocabulary
+from pulsegrid.operators import rates, scale, vocabulary
 from pulsegrid.sources import io
 from pulsegrid.streaming import live
 
@@ -76,3 +77,41 @@ def test_late_rows_are_left_out_of_closed_windows(spark, tmp_path):
     stats = spark.createDataFrame([("m", "a", 2.0, 1.0)], "metric_name string, container_name string, mean double, std double")
     alerts = live.live_alerts(out, stats).select(F.col("spike"), F.col("dip")).collect()
     assert [tuple(r) for r in alerts] == [(True, False)]
+
+
+def test_live_counter_rates_equal_batch_rates_over_restarts(spark, tmp_path):
+    schema = "event_id long, metric_name string, container_name string, timestamp timestamp_ntz, value double"
+    rng = np.random.default_rng(0)
+    rows, value, now = [], {"a": 5.0, "b": 0.0, None: 1.0}, 0.0
+    for k in range(240):
+        now += float(rng.choice([0, 3, 7, 15]))  # samples of one time, too
+        name = ("a", "b", None)[k % 3]
+        value[name] = float(rng.uniform(0, 3)) if rng.uniform() < 0.1 else value[name] + float(rng.uniform(0, 9))
+        rows.append((k, "m", name, T0 + dt.timedelta(seconds=now), value[name]))
+    shuffled = [r for i in range(0, 240, 8) for r in rng.permutation(np.array(rows[i : i + 8], dtype=object)).tolist()]  # late, but within a minute
+    dropped = (999, "m", "a", T0, 100.0)  # an hour late
+    batches = [shuffled[:80], shuffled[80:160], [*shuffled[160:], dropped]]
+    out = None
+    for batch in batches:  # each a run of its own, from the checkpoint
+        spark.createDataFrame([(int(i), m, c, t, float(v)) for i, m, c, t, v in batch], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = live.live_counter_rates(live.read_samples(spark, str(tmp_path / "in"), schema), 60, "3 minutes")
+        out = live.run_available(stream, str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    want = {r.event_id: r.rate for r in rates.counter_rate(spark.createDataFrame(rows, schema), 60).collect()}
+    mark = max(r[3] for r in rows) - dt.timedelta(minutes=3)
+    closed = {r[0] for r in rows if r[3] < mark}
+    got = {r.event_id: r.rate for r in out.collect()}
+    assert set(got) == closed and len(closed) > 150 and out.count() == len(closed)
+    assert all(got[k] == want[k] if want[k] is None else abs(got[k] - want[k]) < 1e-9 for k in closed)
+
+
+def test_silent_counters_are_forgotten(spark, tmp_path):
+    schema = "metric_name string, container_name string, timestamp timestamp_ntz, value double"
+    at = lambda s: T0 + dt.timedelta(seconds=s)
+    batches = [[("m", "a", at(0), 10.0), ("m", "b", at(0), 1.0)], [("m", "b", at(9000), 2.0)], [("m", "b", at(9100), 4.0), ("m", "a", at(9100), 30.0)], [("m", "a", at(9130), 33.0), ("m", "b", at(20_000), None), ("m", "b", at(20_001), 5.0)]]
+    out = None
+    for batch in batches:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = live.live_counter_rates(live.read_samples(spark, str(tmp_path / "in"), schema), 20_000, "1 second", "1 hour")
+        out = live.run_available(stream, str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    got = {(r.container_name, r.timestamp): r.rate for r in out.collect()}
+    assert got == {("a", at(0)): None, ("b", at(0)): None, ("b", at(9000)): None, ("a", at(9100)): None, ("b", at(9100)): 2 / 100, ("a", at(9130)): 3 / 30}
