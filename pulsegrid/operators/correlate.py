@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..keys import TIME, require_columns
@@ -132,17 +133,88 @@ def tau_b(x: np.ndarray, y: np.ndarray) -> float | None:
     return float((n0 - tx - ty + both - 2 * discordant) / np.sqrt(float(n0 - tx) * float(n0 - ty)))
 
 
-def kendall(aligned: DataFrame) -> DataFrame:
-    """tau-b of every pair: a pair of series is one group, of as many rows as there are times."""
+#: Times of a pair that a task puts in order at once, and the most ranges that its values are dealt into.
+PAIR_ROWS, PAIR_RANGES = 50_000, 500
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        r = tau_b(pdf["x"].to_numpy(float), pdf["y"].to_numpy(float))
-        return pd.DataFrame({"series_a": [pdf["series_a"].iat[0]], "series_b": [pdf["series_b"].iat[0]], "r": pd.array([r], dtype="Float64")})
 
-    return pairs(aligned).groupBy("series_a", "series_b").applyInPandas(one, "series_a string, series_b string, r double")
+def _agreement(x: np.ndarray, y: np.ndarray) -> int:
+    """Pairs of rows in the same order under x and y, less those in opposite order."""
+    n0 = len(x) * (len(x) - 1) // 2
+    return n0 - _tied(x) - _tied(y) + _tied(x, y) - 2 * _inversions(y[np.lexsort((y, x))])
+
+
+def _part(v: str, cuts: str, n: int) -> Column:
+    """Range of a value: 2 i between cuts i - 1 and i, 2 i + 1 at cut i itself (the first of equal ones)."""
+    cut = [F.col(cuts)[k] for k in range(n)]
+    below = reduce(Column.__add__, [(c < F.col(v)).cast("int") for c in cut])
+    return 2 * below + reduce(Column.__or__, [c == F.col(v) for c in cut]).cast("int")
+
+
+def _across(pdf: pd.DataFrame) -> int:
+    """Agreement of rows that differ in both ranges, from the counts of a two-dimensional histogram."""
+    h = np.zeros((int(pdf["pa"].max()) + 1, int(pdf["pb"].max()) + 1))
+    h[pdf["pa"], pdf["pb"]] = pdf["n"]
+    total = 0
+    later = np.zeros(h.shape[1])  # rows of all later ranges of x, by range of y
+    for row in h[::-1]:
+        above = np.concatenate([np.cumsum(later[::-1])[::-1][1:], [0.0]])
+        below = np.concatenate([[0.0], np.cumsum(later)[:-1]])
+        total += sum(int(c) * int(d) for c, d in zip(row, above - below, strict=True) if c)
+        later += row
+    return total
+
 
+def kendall(aligned: DataFrame, most_rows: int = PAIR_ROWS, most_ranges: int = PAIR_RANGES) -> DataFrame:
+    """tau-b of every pair of series; null where one side does not vary.
+
+    Up to ``most_rows`` times, a pair is one group.  Beyond, each series' values are dealt into ranges
+    between some of its quantiles, which are ranges of their own, so that many equal values need no
+    order.  Rows of a pair that differ in both ranges are compared by a histogram of two dimensions, rows
+    of one range of x in that range's task, rows of one range of y but different ones of x in the task
+    of that range; no task holds all times of a pair.
+    """
+    met = pairs(aligned).filter("x is not null and y is not null")
+    longest = aligned.groupBy("series").agg(F.count("value").alias("n")).agg(F.max("n").alias("n")).first().n or 0
+    schema = "series_a string, series_b string, r double"
+
+    def result(pdf: pd.DataFrame, r: float | None) -> pd.DataFrame:
+        return pd.DataFrame({"series_a": [pdf["series_a"].iat[0]], "series_b": [pdf["series_b"].iat[0]], "r": pd.array([r], dtype="Float64")})
 
-METHODS = {"pearson": pearson, "spearman": spearman, "kendall": kendall}
+    if longest <= most_rows:
+        return met.groupBy("series_a", "series_b").applyInPandas(lambda pdf: result(pdf, tau_b(pdf["x"].to_numpy(float), pdf["y"].to_numpy(float))), schema)
+    n_cuts = max(1, min(most_ranges, -(-longest // most_rows)) - 1)
+    shares = F.array(*[F.lit((k + 1) / (n_cuts + 1)) for k in range(n_cuts)])
+    cuts = aligned.groupBy("series").agg(F.percentile_approx("value", shares, F.lit(100 * n_cuts)).alias("cuts"))
+    dealt = aligned.filter("value is not null").join(cuts, "series").select("series", TIME, "value", _part("value", "cuts", n_cuts).alias("part"))
+    left = dealt.select(F.col("series").alias("series_a"), TIME, F.col("value").alias("x"), F.col("part").alias("pa"))
+    right = dealt.select(F.col("series").alias("series_b"), TIME, F.col("value").alias("y"), F.col("part").alias("pb"))
+    rows = left.join(right, TIME).filter("series_a < series_b")
+    key = ["series_a", "series_b"]
+
+    def in_range(own: str, other: str) -> DataFrame:
+        """Agreement and ties inside each range of ``own``; of the second side only rows that differ in the first."""
+
+        def one(pdf: pd.DataFrame) -> pd.DataFrame:
+            x, y = pdf["x"].to_numpy(float), pdf["y"].to_numpy(float)
+            found = _agreement(x, y)
+            if own == "pb":
+                found -= sum(_agreement(g["x"].to_numpy(float), g["y"].to_numpy(float)) for _, g in pdf.groupby(other))
+            return pd.DataFrame({"series_a": [pdf["series_a"].iat[0]], "series_b": [pdf["series_b"].iat[0]], "s": [found], "tied": [_tied(x if own == "pa" else y)]})
+
+        return rows.filter(F.col(own) % 2 == 0).groupBy(*key, own).applyInPandas(one, "series_a string, series_b string, s long, tied long")
+
+    # values that stand for themselves are tied with each other and need no order
+    alone = lambda own: rows.filter(F.col(own) % 2 == 1).groupBy(*key, own).agg(F.count(F.lit(1)).alias("c")).select(*key, F.lit(0).cast("long").alias("s"), F.expr("c * (c - 1) div 2").alias("tied"))
+    sides = [in_range(own, other).unionByName(alone(own)).select(*key, "s", *[(F.col("tied") if c == own else F.lit(0).cast("long")).alias(t) for c, t in (("pa", "tx"), ("pb", "ty"))], F.lit(0).cast("long").alias("n")) for own, other in (("pa", "pb"), ("pb", "pa"))]
+    counts = rows.groupBy(*key, "pa", "pb").agg(F.count(F.lit(1)).alias("n"))
+
+    def between(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"series_a": [pdf["series_a"].iat[0]], "series_b": [pdf["series_b"].iat[0]], "s": [_across(pdf)], "tx": [0], "ty": [0], "n": [int(pdf["n"].sum())]})
+
+    grid = counts.groupBy(*key).applyInPandas(between, "series_a string, series_b string, s long, tx long, ty long, n long")
+    total = reduce(DataFrame.unionByName, [*sides, grid]).groupBy(*key).agg(*[F.sum(c).alias(c) for c in ("s", "tx", "ty", "n")])
+    n0 = F.expr("n * (n - 1) div 2")
+    return total.select(*key, F.when((n0 > F.col("tx")) & (n0 > F.col("ty")), F.col("s") / F.sqrt((n0 - F.col("tx")).cast("double") * (n0 - F.col("ty")).cast("double"))).alias("r"))
 
 
 def correlation(aligned: DataFrame, method: str = "pearson") -> DataFrame:

@@ -265,6 +265,24 @@ def test_search_over_many_blocks_is_that_of_one(spark):
         forecast.search_orders(df, orders, "r2")
 
 
+@pytest.mark.parametrize("most_rows,ranges", [(10_000, 500), (40, 500), (7, 500), (40, 3)])
+def test_kendall_by_ranges_equals_all_pairs(spark, most_rows, ranges):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=220)
+    values = {"a": base, "b": np.round(base + rng.normal(size=220)), "c": np.where(rng.uniform(size=220) < 0.5, 1.0, rng.integers(0, 9, 220)), "d": -base, "flat": np.full(220, 2.0)}
+    rows = [(name, T0 + dt.timedelta(seconds=k), float(v)) for name, column in values.items() for k, v in enumerate(column)]
+    aligned = spark.createDataFrame(rows, "series string, timestamp timestamp_ntz, value double")
+    got = {(r.series_a, r.series_b): r.r for r in correlate.kendall(aligned, most_rows, ranges).collect()}
+    i, j = np.triu_indices(220, 1)
+    assert len(got) == 10
+    for (a, b), r in got.items():
+        x, y = (np.sign(values[n][i] - values[n][j]) for n in (a, b))
+        if "flat" in (a, b):
+            assert r is None
+        else:
+            assert abs(r - (x * y).sum() / np.sqrt(np.abs(x).sum() * np.abs(y).sum())) < 1e-12
+
+
 def test_seasonal_trend_follows_a_daily_wave(spark):
     t = np.arange(24 * 10)
     y = 10 + 0.02 * t + 3 * np.sin(2 * np.pi * t / 24)
