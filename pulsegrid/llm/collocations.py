@@ -17,7 +17,6 @@ CHUNK = 1 << 22
 _END = b"\xff"  # stands in no UTF-8 text
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + _END * 10)
 _CUT = re.compile(rb"[ \t.,;:!?\n-\r]")
-_ALONE = np.uint64(0x5851F42D4C957F2D)
 _MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -85,10 +84,7 @@ class _Frequent:
         return out, open_, phrase
 
     def runs(self, codes: np.ndarray, hashes: np.ndarray, longest: int) -> np.ndarray:
-        """How many words from each place on may stand in a frequent phrase, ``longest`` at most.
-
-        None from a frequent word on that is no part of a longer frequent phrase, since no cut asks for it.
-        """
+        """How many words from each place on may stand in a frequent phrase, itself at least, ``longest`` at most."""
         marks, _, _ = self.marks(codes, hashes)
         out = np.zeros(len(codes), dtype=np.int64)
         for k in range(longest):
@@ -98,26 +94,17 @@ class _Frequent:
                 ahead = k + 1 - len(marks)
                 on = on & np.append(marks[-1][ahead:], np.zeros(min(ahead, len(codes)), dtype=bool))
             out += on
-        lone = np.flatnonzero(out == 1)
-        out[lone] = in_filter(self.filters[-1].value, (hashes[lone] ^ _ALONE).view(np.int64))
-        return out
-
+        return np.maximum(out, codes >= 0)
 
-def _next_filter(texts: DataFrame, longest: int, least: int, known: _Frequent, last: bool):
-    """The bit filter of the phrases one word longer than ``known`` has, of ``least`` occurrences or more.
 
-    The last one also has the words of the longest phrases known, by hashes of their own.
-    """
+def _next_filter(texts: DataFrame, longest: int, least: int, known: _Frequent):
+    """The bit filter of the phrases one word longer than ``known`` has, of ``least`` occurrences or more."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, codes, _, hashes, own in _by_language(parts, longest):
-            marks, open_, phrase = known.marks(codes, hashes)
+            _, open_, phrase = known.marks(codes, hashes)
             h, n = np.unique(phrase[:own][open_[:own]], return_counts=True)
             yield pd.DataFrame({"h": h.view(np.int64), "n": n})
-            if last and marks:
-                at = np.flatnonzero(marks[-1])
-                used = np.unique(np.concatenate([hashes[at + k] for k in range(len(marks))]))
-                yield pd.DataFrame({"h": (used ^ _ALONE).view(np.int64), "n": least})
 
     found = texts.mapInPandas(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     return bit_filter(stored(found.filter(F.col("n") >= least).select("h")), "h")
@@ -147,15 +134,15 @@ def _rows_of(codes: np.ndarray, run: np.ndarray, own: int, longest: int) -> tupl
 def longest_windows(texts: DataFrame, longest: int, least: int, told_by: int = 3) -> DataFrame:
     """(lang, w1, ..., n): windows of ``longest`` words that start at every word, counted.
 
-    A window is padded with nulls from the end of its piece on, and from where a phrase of up to
-    ``told_by`` words in it occurs fewer than ``least`` times, since no frequent phrase goes beyond it.
+    A window holds its first word.  It is padded with nulls from the end of its piece on, and from where
+    a phrase of up to ``told_by`` words in it occurs fewer than ``least`` times, since no frequent phrase
+    goes beyond it.
     Bit filters of hashed phrases, one pass over the texts each, tell that; what they let through
     beyond it is only counted in vain.
     """
     known = _Frequent([])
-    sizes = max(min(told_by, longest), 2)
-    for k in range(sizes):
-        known = _Frequent([*known.filters, _next_filter(texts, longest, least, known, k == sizes - 1)])
+    for _ in range(min(told_by, longest)):
+        known = _Frequent([*known.filters, _next_filter(texts, longest, least, known)])
     names = [f"w{k + 1}" for k in range(longest)]
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
