@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import CPU
 from ..functions.scalars import clip, no_nan
-from ..keys import SERIES, TIME, add_micros, in_series, micros_between, require_columns
+from ..keys import SERIES, TIME, add_micros, in_series, micros_between, require_columns, same_keys, ties
 
 DAY = 86_400
 MIB = 1024.0 * 1024.0
@@ -92,10 +92,27 @@ def fill_limited(df: DataFrame, limit: int = 3) -> DataFrame:
 
 
 def fill_unlimited(df: DataFrame) -> DataFrame:
-    """Carry values forward, then backward, without a limit."""
-    w = in_series(df)
-    ahead = df.withColumn("value", F.last("value", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return ahead.withColumn("value", F.first("value", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    """Carry values forward, then backward, without a limit.
+
+    Days are filled on their own; what a day begins or ends with comes from one row a day of each series,
+    so no task goes through a whole series.
+    """
+    keys = [k for k in SERIES if k in df.columns]
+    order = F.struct(TIME, *ties(df))
+    rows = df.withColumn("_day", F.date_trunc("DAY", TIME))
+    there = F.when(F.col("value").isNotNull(), order)
+    ends = rows.groupBy(*keys, "_day").agg(F.min_by("value", there).alias("_first"), F.max_by("value", there).alias("_last"))
+    days = Window.partitionBy(*keys).orderBy("_day")
+    carried = ends.select(
+        *[F.col(k).alias(f"_at_{k}") for k in (*keys, "_day")],
+        F.last("_last", ignorenulls=True).over(days.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+        F.first("_first", ignorenulls=True).over(days.rowsBetween(1, Window.unboundedFollowing)).alias("_after"),
+    )
+    met = rows.join(carried, same_keys(keys + ["_day"], "_at_"))
+    day = Window.partitionBy(*keys, "_day").orderBy(TIME, *ties(df))
+    back = F.last("value", ignorenulls=True).over(day.rowsBetween(Window.unboundedPreceding, 0))
+    ahead = F.first("value", ignorenulls=True).over(day.rowsBetween(0, Window.unboundedFollowing))
+    return met.withColumn("_value", F.coalesce(back, "_before", ahead, "_after")).select(*[F.col("_value").alias(c) if c == "value" else c for c in df.columns])
 
 
 def regular_grid(df: DataFrame, step: int = 15, limit: int = 3) -> DataFrame:

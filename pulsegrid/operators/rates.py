@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..keys import SERIES, TIME, in_series, micros_between, require_columns
+from ..keys import SERIES, TIME, micros_between, require_columns, same_keys, ties
 
 #: Fixed names: exported metric -> (source metric, whether it is a counter).
 EXPORTED = {
@@ -28,21 +28,36 @@ def counter_rate(df: DataFrame, seconds: int = 60) -> DataFrame:
     between samples of the range are divided by the time they cover; nothing
     is extrapolated to the range's edges; one sample alone gives null.  Samples
     of one time stand in order of their event_id, if there is one, and value.
+
+    Days (or longer blocks, of ``seconds``) are worked on each by itself: one row a block hands on the last
+    value and the increase so far, and the samples in reach of the next block's range stand there, too.
     """
     require_columns(df, TIME, "value")
     keys = [k for k in SERIES if k in df.columns]
-    w = in_series(df).orderBy(TIME, *(["event_id"] if "event_id" in df.columns else []), "value")
-    before = F.lag("value").over(w)
-    grown = F.when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before)
+    size, reach = max(86_400, seconds) * 1_000_000, seconds * 1_000_000
     micros = micros_between(F.lit("1970-01-01").cast("timestamp_ntz"), F.col(TIME).cast("timestamp_ntz"))
-    rows = df.withColumns({"_grown": F.coalesce(grown, F.lit(0.0)), "_us": micros})
-    rows = rows.withColumn("_sum", F.sum("_grown").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    trailing = Window.partitionBy(*keys).orderBy("_us").rangeBetween(-seconds * 1_000_000, 0)
+    rows = df.withColumn("_us", micros).withColumn("_block", F.floor(F.col("_us") / size).cast("long"))
+    order = [TIME, *ties(df), "value"]
+    inside = Window.partitionBy(*keys, "_block").orderBy(*order)
+    grown = lambda before: F.coalesce(F.when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before), F.lit(0.0))
+    place = F.struct(*order)
+    ends = rows.withColumn("_own", grown(F.lag("value").over(inside))).groupBy(*keys, "_block")
+    ends = ends.agg(F.sum("_own").alias("_sum"), F.min_by(F.struct("value"), place).alias("_first"), F.max_by(F.struct("value"), place).alias("_last"))
+    blocks = Window.partitionBy(*keys).orderBy("_block")
+    linked = ends.withColumn("_before", F.lag("_last").over(blocks))
+    whole = F.col("_sum") + F.coalesce(F.when(F.col("_first.value") < F.col("_before.value"), F.col("_first.value")).otherwise(F.col("_first.value") - F.col("_before.value")), F.lit(0.0))
+    handed = linked.select(*[F.col(k).alias(f"_at_{k}") for k in (*keys, "_block")], "_before", F.coalesce(F.sum(whole).over(blocks.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("_sofar"))
+    met = rows.join(handed, same_keys([*keys, "_block"], "_at_"))
+    previous = F.when(F.row_number().over(inside) == 1, F.col("_before.value")).otherwise(F.lag("value").over(inside))
+    summed = met.withColumn("_own", grown(previous)).withColumn("_sum", F.col("_sofar") + F.sum("_own").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    near = F.when(F.col("_us") >= (F.col("_block") + 1) * size - reach, F.array(F.col("_block"), F.col("_block") + 1)).otherwise(F.array("_block"))
+    seen = summed.withColumn("_in", F.explode(near))
+    trailing = Window.partitionBy(*keys, "_in").orderBy("_us").rangeBetween(-reach, 0)
     # the first increase of the range began before the range, and is left out;
     # running totals never fall, so of equal times the first is the least
-    ends = rows.withColumn("_first", F.min(F.struct("_us", "_sum")).over(trailing)).withColumn("_last", F.max("_sum").over(trailing))
-    covered = (F.col("_us") - F.col("_first._us")) / 1_000_000
-    return ends.withColumn("rate", F.when(covered > 0, (F.col("_last") - F.col("_first._sum")) / covered)).select(*df.columns, "rate")
+    ends = seen.withColumn("_begin", F.min(F.struct("_us", "_sum")).over(trailing)).withColumn("_end", F.max("_sum").over(trailing)).filter("_in = _block")
+    covered = (F.col("_us") - F.col("_begin._us")) / 1_000_000
+    return ends.withColumn("rate", F.when(covered > 0, (F.col("_end") - F.col("_begin._sum")) / covered)).select(*df.columns, "rate")
 
 
 def exported_metrics(df: DataFrame, seconds: int = 60) -> DataFrame:

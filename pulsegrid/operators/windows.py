@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ..keys import SERIES, TIME, in_series, micros_between, require_columns
+from ..keys import SERIES, TIME, in_series, micros_between, require_columns, same_keys, ties
 
 
 def numbered(df: DataFrame) -> DataFrame:
@@ -27,11 +26,9 @@ def numbered_by_days(df: DataFrame) -> DataFrame:
     counts = rows.groupBy(*keys, "_day").agg(F.count(F.lit(1)).alias("_c"))
     days = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*keys, "_day", F.coalesce(F.sum("_c").over(days), F.lit(0)).alias("_before"), F.sum("_c").over(Window.partitionBy(*keys)).alias("n_rows"))
-    ties = ["event_id"] if "event_id" in df.columns else []
-    place = F.row_number().over(Window.partitionBy(*keys, "_day").orderBy(TIME, *ties)) - 1
+    place = F.row_number().over(Window.partitionBy(*keys, "_day").orderBy(TIME, *ties(df))) - 1
     other = starts.select("n_rows", "_before", *[F.col(k).alias(f"_at_{k}") for k in (*keys, "_day")])
-    same = [F.col(k).eqNullSafe(F.col(f"_at_{k}")) for k in (*keys, "_day")]
-    met = rows.withColumn("_place", place).join(other, reduce(Column.__and__, same))
+    met = rows.withColumn("_place", place).join(other, same_keys([*keys, "_day"], "_at_"))
     return met.select(*df.columns, (F.col("_before") + F.col("_place")).alias("row_no"), "n_rows")
 
 

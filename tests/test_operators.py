@@ -283,6 +283,48 @@ def test_kendall_by_ranges_equals_all_pairs(spark, most_rows, ranges):
             assert abs(r - (x * y).sum() / np.sqrt(np.abs(x).sum() * np.abs(y).sum())) < 1e-12
 
 
+def spread(spark, seed, n=400):
+    """Two series over some days, with gaps, equal times, nulls and resets."""
+    rng, rows = np.random.default_rng(seed), []
+    for name in ("a", None):
+        at, value = 0.0, 0.0
+        for k in range(n):
+            at += float(rng.choice([0, 40, 900, 1_000])) if k % 90 else 200_000.0
+            value = float(rng.integers(0, 5)) if rng.uniform() < 0.05 else value + float(rng.integers(0, 9))
+            rows.append(("m", name, T0 + dt.timedelta(seconds=at), None if rng.uniform() < 0.3 or k < 120 and name else value, k))
+    return spark.createDataFrame(rows, f"{SAMPLES}, event_id long")
+
+
+def test_fills_over_days_equal_fills_of_the_whole_series(spark):
+    df = spread(spark, 1)
+    got = clean.fill_unlimited(df)
+    pdf = df.toPandas().sort_values(["timestamp", "event_id"])
+    want = pdf.groupby("container_name", dropna=False)["value"].transform(lambda v: v.ffill().bfill())
+    want = dict(zip(zip(pdf["container_name"], pdf["event_id"]), want))
+    rows = got.collect()
+    assert len(rows) == 800 and got.columns == df.columns
+    assert all(r.value == want[r.container_name, r.event_id] for r in rows)
+
+
+@pytest.mark.parametrize("seconds", [60, 5_000, 86_400, 260_000])
+def test_rates_over_blocks_equal_rates_of_the_whole_series(spark, seconds):
+    df = spread(spark, 2).filter("value is not null")
+    got = {(r.container_name, r.event_id): r.rate for r in rates.counter_rate(df, seconds).collect()}
+    pdf, n = df.toPandas(), 0
+    for name, g in pdf.groupby("container_name", dropna=False):
+        g = g.sort_values(["timestamp", "event_id"])
+        t, v = ((g["timestamp"] - pd.Timestamp(T0)).dt.total_seconds()).to_numpy(), g["value"].to_numpy()
+        grown = np.concatenate([[0.0], np.where(v[1:] < v[:-1], v[1:], v[1:] - v[:-1])])
+        for i, event in enumerate(g["event_id"]):
+            inside = np.flatnonzero((t >= t[i] - seconds) & (t <= t[i]))
+            covered = t[i] - t[inside[0]]
+            want = grown[inside[1:]].sum() / covered if covered > 0 else None
+            r = got[None if pd.isna(name) else name, event]
+            assert r == want if want is None else abs(r - want) < 1e-9
+            n += 1
+    assert n == len(got)
+
+
 def test_seasonal_trend_follows_a_daily_wave(spark):
     t = np.arange(24 * 10)
     y = 10 + 0.02 * t + 3 * np.sin(2 * np.pi * t / 24)
