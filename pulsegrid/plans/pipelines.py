@@ -107,7 +107,7 @@ def export_run(raw: DataFrame, path: str, stamp: str, container: str | None = No
     return io.metric_catalogue(found, stamp), counts, by_chunk.select("chunk_start", "chunk_end", n.alias("n_rows"))
 
 
-def evaluate_forecasts(data: DataFrame, horizons: tuple[int, ...], order: tuple[int, int, int] = forecast.DEFAULT, scalers: DataFrame | None = None, path: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+def evaluate_forecasts(data: DataFrame, horizons: tuple[int, ...], order: tuple[int, int, int] = forecast.DEFAULT, scalers: DataFrame | None = None, path: str | None = None, seasonal: tuple[int, int, int, int] = (0, 0, 0, 0)) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(by horizon, degradation, by step) of a refit on each test window.
 
     Scores by horizon include the directional accuracy, and are written as
@@ -116,7 +116,7 @@ def evaluate_forecasts(data: DataFrame, horizons: tuple[int, ...], order: tuple[
     Windows are dealt out evenly first, as fits take CPU and not data.
     """
     test = data.filter("split = 'test'").repartition(*SERIES, "window_id")
-    scored = windows.per_window(test, forecast.arima, horizons, order=order)
+    scored = windows.per_window(test, forecast.arima, horizons, order=order, seasonal=seasonal)
     if scalers is not None:
         names = {f"{side}_{h}": f"y_{h}" for h in horizons for side in ("y", "pred")}
         scored = scale.apply_scaler(scored, scalers, list(names), inverse=True, names=names)

@@ -329,9 +329,7 @@ def s1_read_exports(spark, sf_dir):
     rows = samples(spark, sf_dir).select(TIME, "container_labels", "value", "container_id", F.concat(F.lit("container_"), "metric_name", F.lit("_usage_20240131_001604.csv")).alias("file"))
     # Spark names the files of a folder itself, so the folder bears the export's name
     rows.write.partitionBy("file").options(**io.CSV).csv(path)
-    read = spark.read.schema(io.SAMPLE).options(**io.CSV).option("recursiveFileLookup", True).csv(path)
-    name = io.metric_of_file(F.regexp_extract(F.input_file_name(), "file=([^/]+)", 1))
-    return rounded(read.withColumn("metric_name", name))
+    return rounded(io.read_exports(spark, path))
 
 
 @query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
@@ -847,7 +845,10 @@ def s11_matrix_csv_round_trip(spark, sf_dir):
     return rounded(correlate.unpivoted(io.read_frame(spark, path)))
 
 
-@query()
+_SERIES = [f"{kind}/c{k}" for kind in ("click", "error", "purchase", "signup", "view") for k in range(4)]
+
+
+@query(f"SELECT series_a AS series, {', '.join(f"""max(CASE WHEN series_b = '{name}' THEN r END) AS "{name}\"""" for name in _SERIES)} FROM ({_SQL['s11_matrix_csv_round_trip']}) GROUP BY 1")
 def s11_square_matrix(spark, sf_dir):
     return rounded(correlate.square(correlate.pearson(_aligned(spark, sf_dir))))
 
@@ -925,6 +926,24 @@ def e10_m5_rolling_origin(spark, sf_dir):
     return rounded(pipelines.evaluate_forecasts(data, OWN_HORIZONS, (1, 1, 0))[0].drop("directional_accuracy"))
 
 
+#: The last day again, for each test window; targets and inputs are scaled by the training part and back.
+_SEASONAL = f""", xs AS (SELECT avg(v) AS mx, stddev_pop(v) AS sx FROM (SELECT unnest(x) AS v FROM parted WHERE split = 'train')
+), ys AS ({" UNION ALL ".join(f"SELECT {h} AS horizon, avg(v) AS my, stddev_pop(v) AS sy FROM (SELECT unnest(y_{h}) AS v FROM parted WHERE split = 'train')" for h in OWN_HORIZONS)}
+), steps AS ({" UNION ALL ".join(f"SELECT metric_name, container_name, window_id, {h} AS horizon, i AS step, y_{h}[i + 1] AS y_true, x[{OWN_WINDOW - 23} + i % 24] AS v FROM parted, range(0, {h}) t(i) WHERE split = 'test'" for h in OWN_HORIZONS)}
+), moves AS (
+  SELECT *, y_true - ((v - mx) / sx * sy + my) AS e, sign(y_true - lag(y_true) OVER s) AS t, sign(v - lag(v) OVER s) AS p
+  FROM steps JOIN ys USING (horizon), xs WINDOW s AS (PARTITION BY metric_name, container_name, window_id, horizon ORDER BY step)
+)
+SELECT metric_name, container_name, horizon, count(*) AS n, {r(*SCORES)}, (horizon // 4)::INTEGER AS minutes, {r('100 * avg(CASE WHEN t = p THEN 1.0 WHEN t IS NOT NULL THEN 0.0 END) AS directional_accuracy')} FROM moves GROUP BY ALL"""
+
+
+@query(WITH_GROWING + _SEASONAL)
+def e10_scaled_directions(spark, sf_dir):
+    """Scores and directions of a seasonal model on scaled windows, scaled back once."""
+    data, scalers = pipelines.scale_training_data(split.temporal_split(own_windows(spark, sf_dir), "window_id"), OWN_HORIZONS)
+    return rounded(pipelines.evaluate_forecasts(data, OWN_HORIZONS, (0, 0, 0), scalers, seasonal=(0, 1, 0, 24))[0])
+
+
 @query(WITH_GROWING + _ROLLING)
 def s10_results_round_trip(spark, sf_dir):
     """The same scores as written to JSON and read back."""

@@ -19,14 +19,17 @@ SPLITS = ("train", "validation", "test")
 
 
 def metric_of_file(path: Column, short: bool = False) -> Column:
-    """File name less its last two ``_`` parts; ``short`` also drops ``container_``."""
-    name = F.regexp_extract(path, r"([^/]+?)_\d{8}_\d{6}\.csv$", 1)
+    """File name less its last two ``_`` parts; ``short`` also drops ``container_``.
+
+    A file inside a folder of such a name, as Spark writes them, has the folder's (after ``key=``, if there is one).
+    """
+    name = F.regexp_extract(path, r"([^/=]+?)_\d{8}_\d{6}\.csv(?:/[^/]+)?$", 1)
     return F.regexp_replace(name, "^container_", "") if short else name
 
 
 def read_exports(spark: SparkSession, path: str | list[str], short: bool = False) -> DataFrame:
-    """Samples of CSV exports; the metric's name comes from the file's."""
-    df = spark.read.schema(SAMPLE).options(**CSV).csv(path)
+    """Samples of CSV exports below a path; the metric's name comes from the file's."""
+    df = spark.read.schema(SAMPLE).options(**CSV).option("recursiveFileLookup", True).csv(path)
     return df.withColumn("metric_name", metric_of_file(F.input_file_name(), short))
 
 
