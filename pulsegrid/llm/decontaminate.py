@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import require
+from .common import drop_stored, require, stored, stored_paths
 
 #: Fixed pattern: words of a text as given; A-Z counts as a-z.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -124,16 +124,15 @@ def _merged(spans: list[tuple[int, int]]) -> list[int]:
     return out
 
 
-def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """The items in blocks of bounded bytes, so the automaton's size is bounded too."""
+def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[tuple[list[tuple[str, list[bytes]]], bool]]:
+    """The items in blocks of bounded bytes, so the automaton's size is bounded too, and whether more come."""
     rows = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    n = -(-total // block_bytes)
+    n = max(1, -(-total // block_bytes))
     for k in range(n):
         part = rows if n == 1 else rows.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
         block = sorted({(r.i, tuple(words_of(r.t))) for r in part.collect()})
-        if block:
-            yield [(i, list(w)) for i, w in block]
+        yield [(i, list(w)) for i, w in block], k < n - 1
 
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -144,18 +143,20 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
       sorted as strings; ``spans``: the runs in code points of the given text.
 
     An item of fewer words than ``window`` is one window; items and documents
-    without words hit nothing; null counts as empty; columns of the added names
-    are replaced.  Documents are scanned in place, without a shuffle, once for
-    each block of items (one block up to ``block_bytes`` of item text).
+    without words hit nothing; null counts as empty, a null item id as the id
+    ``""``; columns of the added names are replaced.  Documents are scanned in
+    place, without a shuffle, once for each block of items (one block up to
+    ``block_bytes`` of item text).  Blocks are taken one after the other: what
+    a block hits is stored before the next one is read and broadcast.
     """
     require(docs, text_col)
     require(benchmark, item_col, item_text_col)
     docs = docs.drop("n_words", "hits", "items", "spans")
     fields = T.StructType(docs.schema.fields + T._parse_datatype_string(ADDED).fields)
     spark = docs.sparkSession
-    blocks = list(item_blocks(benchmark, item_col, item_text_col, block_bytes)) or [[]]
-    out = docs
-    for turn, block in enumerate(blocks):
+    out, before = docs, set()
+    blocks = item_blocks(benchmark, item_col, item_text_col, block_bytes)
+    for turn, (block, more) in enumerate(blocks):
         held = spark.sparkContext.broadcast(block)
 
         def scan(parts: Iterator[pd.DataFrame], held=held, name=uuid.uuid4().hex, first=turn == 0) -> Iterator[pd.DataFrame]:
@@ -172,6 +173,12 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                 yield pdf.assign(n_words=n_words, hits=hits, items=items)[fields.names]
 
         out = out.mapInPandas(scan, fields)
+        if more:
+            known = stored_paths()
+            out = stored(out)
+            held.destroy()
+            drop_stored(spark, before)
+            before = stored_paths() - known
     return out.withColumn("spans", F.pandas_udf(original_spans, "array<struct<start:int,end:int>>")(text_col, "hits"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -117,13 +118,17 @@ def build_cascade(universe: DataFrame, listed: DataFrame) -> list[tuple[np.ndarr
     return levels
 
 
-def n_shares(n_listed: int, max_bits: int) -> int:
-    """Into how many shares keys are dealt by hash, so that the cascade of each keeps to ``max_bits``.
+#: More false positives among the others than a level of ``BITS_PER_KEY`` lets through.
+WRONG_SHARE = 0.04
 
-    The false positives of a level are a few hundredths of the other keys;
-    the bits asked for leave room for 20 others to a listed key.
+
+def n_shares(n_listed: int, n_others: int, max_bits: int) -> int:
+    """Into how many shares keys are dealt by hash, so that every level of each cascade keeps to ``max_bits``.
+
+    The first level holds the listed keys, the second the others that it gets wrong, a share of them; the
+    levels after these are smaller.  Twice the expected bits are asked for, since shares differ.
     """
-    return -(-2 * n_listed * BITS_PER_KEY // max_bits) or 1
+    return max(1, -(-2 * BITS_PER_KEY * max(n_listed, math.ceil(WRONG_SHARE * n_others)) // max_bits))
 
 
 def in_cascade(df: DataFrame, levels: list[tuple[np.ndarray, int]]) -> DataFrame:
@@ -150,8 +155,8 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules=RULES, url_col: str =
     ``listed``: DataFrame of column ``key`` (host + path).  The longest fitting
     rule decides; without one the cascade blocks listed keys and allows the
     rest.  The key universe is that of ``pages``, for which the cascade is
-    exact.  Where the list asks for more than ``max_bits``, keys are dealt into
-    shares by hash and each share has a cascade of its own, so what is
+    exact.  Where the list, or the other keys that a level gets wrong, ask for
+    more than ``max_bits``, keys are dealt into shares by hash and each share has a cascade of its own, so what is
     broadcast at once stays bounded; pages are read once for each share.  Null
     keys are the empty key; repeated pages share their verdicts; columns of the
     added names are replaced.
@@ -163,7 +168,9 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules=RULES, url_col: str =
     rows = pages.drop(*added).withColumns({"host": host, "path": path})
     hashed = rows.select("*", *key_hashes(F.concat("host", "path")))
     names = checkpointed(listed.select(*key_hashes(F.coalesce("key", F.lit("")))).distinct())
-    shares = n_shares(names.count(), max_bits)
+    # about so many, which the room of the shares allows for
+    n_keys = hashed.agg(F.approx_count_distinct("h1")).first()[0]
+    shares = n_shares(names.count(), n_keys, max_bits)
 
     def of(df: DataFrame, k: int) -> DataFrame:
         return df if shares == 1 else df.filter(F.pmod("h1", F.lit(shares)) == k)

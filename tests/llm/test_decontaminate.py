@@ -87,3 +87,20 @@ def test_repetitive_items_and_texts_take_linear_time():
     assert found == {"a", "b", "c", "d"} and decontaminate._merged(spans) == [0, 20_020]
     assert matcher.runs([b"go"] * 6) == ([], set())
     assert matcher.runs([b"go"] * 8) == ([(0, 7), (1, 8)], {"d"})
+
+
+def test_one_block_of_items_at_a_time(spark, monkeypatch):
+    from pyspark import Broadcast, SparkContext
+
+    live, most, read = set(), [], []
+    make, end = SparkContext.broadcast, Broadcast.destroy
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: (b := make(self, value), live.add(id(b)), most.append(len(live)), read.append(len(value)))[0])
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, blocking=False: (live.discard(id(self)), end(self, blocking))[1])
+    words = [f"w{k}" for k in range(400)]
+    items = spark.createDataFrame([(None if k == 3 else k, " ".join(words[20 * k : 20 * k + 20])) for k in range(20)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, " ".join(words[5:48])), (2, "x " + " ".join(words[60:80]) + " y"), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.find_overlaps(docs, items, block_bytes=300).collect()}
+    whole = {r.doc_id: r for r in decontaminate.find_overlaps(docs, items).collect()}
+    assert max(most[:-1]) == 1 and len(most) > 4 and max(read[:-1]) < 20
+    assert {d: (r.hits, r.items) for d, r in got.items()} == {d: (r.hits, r.items) for d, r in whole.items()}
+    assert whole[2].items == [""] and whole[1].items == ["0", "1"] and whole[3].hits == []

@@ -56,3 +56,15 @@ def test_empty_tables(spark):
     assert url_filter.judge_urls(pages, listed(spark, ["a"])).count() == 0
     one = spark.createDataFrame([(1, "http://a/b")], "page_id long, url string")
     assert url_filter.judge_urls(one, listed(spark, [])).first().verdict == "allow"
+
+
+def test_a_short_list_of_many_keys_keeps_to_its_bits(spark, monkeypatch):
+    sizes, plain = [], url_filter._level
+    monkeypatch.setattr(url_filter, "_level", lambda keys, level, bits: (sizes.append(bits), plain(keys, level, bits))[1])
+    pages = spark.range(200_000).select("id", F.concat(F.lit("http://h/"), "id").alias("url"))
+    some = spark.range(200).select(F.concat(F.lit("h/"), F.col("id") * 977).alias("key"))
+    got = url_filter.judge_urls(pages, some, max_bits=40_000).filter("verdict = 'block'").select("id").collect()
+    assert sorted(r.id for r in got) == [977 * k for k in range(200)]
+    # the list alone would be one share, whose second level takes 25,000 bits or so
+    assert url_filter.n_shares(200, 200_000, 40_000) == 4 and len(sizes) >= 8 and max(sizes) <= 40_000
+    assert sum(sizes[1::2]) > 10_000
