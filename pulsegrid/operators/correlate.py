@@ -47,8 +47,11 @@ def pairs(aligned: DataFrame) -> DataFrame:
     return left.join(right, TIME).filter("series_a < series_b")
 
 
-#: Blocks that series are dealt into: a time's values of a block lie in one row.
-BLOCKS = 8
+#: Series of a block, about: a time's values of a block lie in one row, and a task holds the sums of one
+#: pair of blocks at a time, six numbers for each pair of series: some 50 MB, however many series there are.
+WIDTH = 1_000
+#: Times of a matrix product.
+TIMES = 500
 
 
 def _vectors(aligned: DataFrame, blocks: int) -> DataFrame:
@@ -60,34 +63,51 @@ def _vectors(aligned: DataFrame, blocks: int) -> DataFrame:
     return rows.select(TIME, "block", F.col("c.series").alias("names"), F.col("c.v").alias("values"))
 
 
-def pearson(aligned: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+def pearson(aligned: DataFrame, width: int = WIDTH) -> DataFrame:
     """(series_a, series_b, r); null where a series does not vary.
 
-    Series are dealt into blocks.  For two blocks, a task sums the outer
-    products of their vectors over its times as one matrix product; only these
-    sums, one number a pair and task, are shuffled.  Every series has a value
-    at every time, as ``align`` leaves it; times where one has none are left
-    out for its pairs.
+    Series are dealt into blocks of about ``width`` (a job counts them when this
+    is called).  For two blocks, a task sums the outer products of their vectors
+    over its times as one matrix product, and hands on the sums when it comes to
+    the next two; only these sums, one number a pair and task, are shuffled.
+    Every series has a value at every time, as ``align`` leaves it; times where
+    one has none are left out for its pairs.
     """
+    blocks = max(1, -(-aligned.select("series").distinct().count() // width))
     rows = _vectors(aligned, blocks)
-    other = rows.select(TIME, F.col("block").alias("other"), F.col("names").alias("others"), F.col("values").alias("w"))
-    met = rows.join(other, TIME).filter("block <= other").select("block", "other", "names", "others", "values", "w")
+    if blocks == 1:
+        met = rows.select("block", F.col("block").alias("other"), "names", F.col("names").alias("others"), "values", F.col("values").alias("w"))
+    else:
+        other = rows.select(TIME, F.col("block").alias("other"), F.col("names").alias("others"), F.col("values").alias("w"))
+        dealt = int(aligned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # two blocks' times go to several tasks where there are fewer pairs of blocks than tasks
+        turns = max(1, dealt * 2 // (blocks * (blocks + 1)))
+        met = rows.join(other, TIME).filter("block <= other").repartition("block", "other", F.pmod(F.xxhash64(TIME), F.lit(turns))).sortWithinPartitions("block", "other")
+        met = met.select("block", "other", "names", "others", "values", "w")
 
     def sums(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[tuple, list[np.ndarray]] = {}
+        at, held = None, []
         for pdf in parts:
-            for _, g in pdf.groupby(["block", "other"]):
+            for key, g in pdf.groupby(["block", "other"], sort=True):
                 names = (tuple(g["names"].iat[0]), tuple(g["others"].iat[0]))
-                x, y = np.vstack(g["values"].to_list()).astype(float), np.vstack(g["w"].to_list()).astype(float)
-                u, v = ~np.isnan(x), ~np.isnan(y)
-                x, y, u, v = np.where(u, x, 0), np.where(v, y, 0), u.astype(float), v.astype(float)
-                new = [u.T @ v, x.T @ v, u.T @ y, x.T @ y, (x * x).T @ v, u.T @ (y * y)]
-                old = held.get(names)
-                held[names] = new if old is None else [a + b for a, b in zip(old, new, strict=True)]
-        for (names, others), all_sums in held.items():
-            i, j = np.nonzero(np.array(names, dtype=object)[:, None] != np.array(others, dtype=object)[None, :])
-            out = {"a": np.array(names, dtype=object)[i], "b": np.array(others, dtype=object)[j]}
-            yield pd.DataFrame(out | {f"s{k}": m[i, j] for k, m in enumerate(all_sums)})
+                if at is not None and (key, names) != at:
+                    yield said(at[1], held)
+                    held = []
+                for k in range(0, len(g), TIMES):
+                    some = g.iloc[k : k + TIMES]
+                    x, y = np.vstack(some["values"].to_list()).astype(float), np.vstack(some["w"].to_list()).astype(float)
+                    u, v = ~np.isnan(x), ~np.isnan(y)
+                    x, y, u, v = np.where(u, x, 0), np.where(v, y, 0), u.astype(float), v.astype(float)
+                    new = [u.T @ v, x.T @ v, u.T @ y, x.T @ y, (x * x).T @ v, u.T @ (y * y)]
+                    held = [a + b for a, b in zip(held, new, strict=True)] if held else new
+                at = (key, names)
+        if at is not None:
+            yield said(at[1], held)
+
+    def said(names: tuple[tuple, tuple], made: list[np.ndarray]) -> pd.DataFrame:
+        first, second = (np.array(n, dtype=object) for n in names)
+        i, j = np.nonzero(first[:, None] != second[None, :])
+        return pd.DataFrame({"a": first[i], "b": second[j]} | {f"s{k}": m[i, j] for k, m in enumerate(made)})
 
     found = met.mapInPandas(sums, "a string, b string, " + ", ".join(f"s{k} double" for k in range(6)))
     # inside a block each pair comes both ways

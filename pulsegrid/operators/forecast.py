@@ -10,8 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..keys import SERIES, TIME, require_columns
-from .lagsums import BLOCK, differences, lag_products, products_of
+from ..keys import SERIES, TIME, micros_between, require_columns, same_keys
+from .lagsums import BLOCK, block_sums, differences, lag_products, products_of
 
 DEFAULT, FALLBACK = (1, 1, 1), (1, 1, 0)
 
@@ -175,30 +175,48 @@ def arima(values: np.ndarray, steps: int, order: tuple[int, int, int] = DEFAULT,
     return fitted.forecast(steps)
 
 
-def seasonal_trend(values: np.ndarray, steps: int, step_seconds: int = 15, first_second: float = 0.0, daily: int = 4, weekly: int = 3, yearly: int = 0, changepoints: int = 25, prior: float = 0.05, level: float = 0.95) -> np.ndarray:
-    """(steps, 3): forecast, lower and upper bound of an additive model.
+class Trend:
+    """Columns and penalties of an additive model: a piecewise-linear trend, daily, weekly and yearly waves.
 
-    A ridge fit of a piecewise-linear trend, whose bends are damped by
-    ``prior``, and of daily, weekly and yearly waves; the interval is the
-    normal one of the residuals.
+    The bends of the trend are damped by ``prior``.
     """
+
+    def __init__(self, n: int, step_seconds: int, first_second: float, daily: int = 4, weekly: int = 3, yearly: int = 0, changepoints: int = 25, prior: float = 0.05, level: float = 0.95) -> None:
+        self.scale, self.step, self.first = max(n - 1, 1), step_seconds, first_second
+        self.bends = np.linspace(0, 0.8 * self.scale, changepoints + 2)[1:-1] if n > changepoints + 2 else np.zeros(0)
+        self.waves = [(k, period) for period, k_max in ((86_400, daily), (604_800, weekly), (31_557_600, yearly)) for k in range(1, k_max + 1)]
+        self.penalty = np.concatenate([[0, 1e-8], np.full(len(self.bends), 1 / prior), np.full(2 * len(self.waves), 1e-2)]) + 1e-9
+        self.z = {0.8: 1.2816, 0.9: 1.6449, 0.95: 1.96, 0.99: 2.5758}.get(level, 1.96)
+
+    def columns(self, t: np.ndarray) -> np.ndarray:
+        seconds = self.first + t * self.step
+        waves = [f(2 * np.pi * k * seconds / period) for k, period in self.waves for f in (np.sin, np.cos)]
+        return np.column_stack([np.ones(len(t)), t / self.scale, *[np.maximum(t - b, 0) / self.scale for b in self.bends], *waves])
+
+    def sums(self, t: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Products of all columns and y, as a vector; those of parts of a series add up."""
+        z = np.column_stack([self.columns(t), y])
+        return (z.T @ z).ravel()
+
+    def forecast(self, sums: np.ndarray, n: int, steps: int) -> np.ndarray:
+        """(steps, 3): the ridge fit of the sums, and the normal interval of its residuals."""
+        k = len(self.penalty)
+        g = np.asarray(sums, dtype=float).reshape(k + 1, k + 1)
+        beta = np.linalg.solve(g[:k, :k] + np.diag(self.penalty), g[:k, k])
+        off = np.append(-beta, 1.0)
+        rest = max(float(off @ g @ off) / n - float(g[0] @ off / n) ** 2, 0.0)
+        future = self.columns(np.arange(n, n + steps)) @ beta
+        spread = self.z * np.sqrt(rest)
+        return np.column_stack([future, future - spread, future + spread])
+
+
+def seasonal_trend(values: np.ndarray, steps: int, step_seconds: int = 15, first_second: float = 0.0, **params) -> np.ndarray:
+    """(steps, 3): forecast, lower and upper bound of an additive model (``Trend``) of one array."""
     y = np.asarray(values, dtype=float)
-    n = len(y)
-    if n == 0:
+    if not len(y):
         return np.full((steps, 3), np.nan)
-    t = np.arange(n + steps)
-    scale = max(n - 1, 1)
-    bends = np.linspace(0, 0.8 * scale, changepoints + 2)[1:-1] if n > changepoints + 2 else np.zeros(0)
-    seconds = first_second + t * step_seconds
-    waves = [f(2 * np.pi * k * seconds / period) for period, k_max in ((86_400, daily), (604_800, weekly), (31_557_600, yearly)) for k in range(1, k_max + 1) for f in (np.sin, np.cos)]
-    x = np.column_stack([np.ones(n + steps), t / scale, *[np.maximum(t - b, 0) / scale for b in bends], *waves])
-    penalty = np.concatenate([[0, 1e-8], np.full(len(bends), 1 / prior), np.full(len(waves), 1e-2)])
-    beta = np.linalg.solve(x[:n].T @ x[:n] + np.diag(penalty + 1e-9), x[:n].T @ y)
-    fit = x @ beta
-    z = {0.8: 1.2816, 0.9: 1.6449, 0.95: 1.96, 0.99: 2.5758}.get(level, 1.96)
-    spread = z * float(np.std(y - fit[:n]))
-    future = fit[n:]
-    return np.column_stack([future, future - spread, future + spread])
+    model, center = Trend(len(y), step_seconds, first_second, **params), y.mean()
+    return model.forecast(model.sums(np.arange(len(y)), y - center), len(y), steps) + center
 
 
 def _per_series(df: DataFrame, one, schema: str) -> DataFrame:
@@ -393,16 +411,49 @@ def search_orders(df: DataFrame, orders: list[tuple[int, int, int]] | None = Non
     return sums.mapInPandas(run, f"metric_name string, container_name string, p int, d int, q int, {criterion} double")
 
 
-def forecast_seasonal_trend(df: DataFrame, steps: int, step_seconds: int = 15, **params) -> DataFrame:
-    """(series, timestamp, forecast, lower, upper) on the grid that starts after a series' last time."""
+def forecast_seasonal_trend(df: DataFrame, steps: int, step_seconds: int = 15, block: int = BLOCK, **params) -> DataFrame:
+    """(series, timestamp, forecast, lower, upper) on the grid that starts after a series' last time.
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        first, last = pdf[TIME].iat[0], pdf[TIME].iat[-1]
-        out = seasonal_trend(pdf["value"].to_numpy(), steps, step_seconds, first.timestamp(), **params)
-        times = pd.date_range(last + pd.Timedelta(seconds=step_seconds), periods=steps, freq=f"{step_seconds}s")
-        return pd.DataFrame({TIME: times, "forecast": out[:, 0], "lower": out[:, 1], "upper": out[:, 2]})
+    The fit needs only products of its columns, which are added up over blocks of a series, however long;
+    one row a series is solved.  Rows without a value are left out, and the others are taken as following
+    each other at ``step_seconds``.
+    """
+    require_columns(df, *SERIES, TIME, "value")
+    time = dict(df.dtypes)[TIME]
+    there = df.filter("value is not null and not isnan(cast(value as double)) and abs(cast(value as double)) < double('inf')")
+    # the waves follow the clock: their phase at the first row is the same in every block
+    ends = there.groupBy(*[F.col(k).alias(f"_{k}") for k in SERIES]).agg(F.min(F.col(TIME)).alias("first"), F.max(F.col(TIME)).alias("last"))
+    micros = micros_between(F.lit("1970-01-01").cast(time), F.col("first"))
 
-    return _per_series(df, one, f"{TIME} <time>, forecast double, lower double, upper double")
+    def sums(at: np.ndarray, v: np.ndarray, n: int, center: float, start: int) -> np.ndarray:
+        # phases are put in when the series' first time is known
+        return Trend(n, step_seconds, 0.0, **params).sums(at, v - center)
+
+    found = block_sums(there, sums, "products", 0, block).join(ends.withColumn("second", micros / 1_000_000), same_keys(list(SERIES), "_"))
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            for r in pdf.itertuples(index=False):
+                turn = _turned(Trend(r.n, step_seconds, 0.0, **params), r.second)
+                g = np.asarray(r.products, dtype=float).reshape(len(turn) + 1, -1)
+                whole = np.eye(len(g))
+                whole[:-1, :-1] = turn
+                out = Trend(r.n, step_seconds, r.second, **params).forecast(whole @ g @ whole.T, r.n, steps) + r.center
+                times = pd.date_range(r.last + pd.Timedelta(seconds=step_seconds), periods=steps, freq=f"{step_seconds}s")
+                yield pd.DataFrame({"metric_name": r.metric_name, "container_name": r.container_name, TIME: times, "forecast": out[:, 0], "lower": out[:, 1], "upper": out[:, 2]})
+
+    chosen = found.select(*SERIES, "n", "center", "products", "second", "last")
+    return chosen.mapInPandas(run, f"metric_name string, container_name string, {TIME} {time}, forecast double, lower double, upper double")
+
+
+def _turned(model: Trend, second: float) -> np.ndarray:
+    """The model's columns for waves that start at ``second``, as combinations of those that start at 0."""
+    first = len(model.penalty) - 2 * len(model.waves)
+    out = np.eye(len(model.penalty))
+    for i, (k, period) in enumerate(model.waves):
+        a, j = 2 * np.pi * k * second / period, first + 2 * i
+        out[j : j + 2, j : j + 2] = [[np.cos(a), np.sin(a)], [-np.sin(a), np.cos(a)]]
+    return out
 
 
 def batch_score(df: DataFrame, models: dict[str, object], scalers: DataFrame, steps: int) -> DataFrame:

@@ -910,6 +910,15 @@ def m4_seasonal_trend(spark, sf_dir):
     return rounded(forecast.forecast_seasonal_trend(growing_grid(spark, sf_dir), 6, HOUR))
 
 
+@query(WITH_GROWING + f""", n AS (SELECT {_K}, timestamp, value, row_number() OVER (PARTITION BY {_K} ORDER BY timestamp) - 1 AS t FROM grid
+), f AS (SELECT {_K}, count(*) AS n, max(timestamp) AS last, regr_slope(value, t) AS b, regr_intercept(value, t) AS a, sqrt(regr_syy(value, t) * greatest(1 - regr_r2(value, t), 0) / count(*)) AS d FROM n GROUP BY ALL
+), s AS (SELECT *, a + b * (n - 1 + k) AS forecast FROM f, range(1, 7) h(k))
+SELECT {_K}, last + to_hours(k) AS timestamp, {r('s.forecast AS forecast', 's.forecast - 1.96 * d AS lower', 's.forecast + 1.96 * d AS upper')} FROM s""")
+def m4_trend(spark, sf_dir):
+    """The additive model without bends and waves: a line."""
+    return rounded(forecast.forecast_seasonal_trend(growing_grid(spark, sf_dir), 6, HOUR, daily=0, weekly=0, changepoints=0))
+
+
 #: Order (1, 1, 0) on each test window, in closed form.  Moves of a forecast that has settled are
 #: smaller than the errors of either engine, so their signs are left out here and tested in a19.
 _ROLLING = f""", tests AS (SELECT *, list_transform(range(2, {OWN_WINDOW} + 1), lambda i: x[i] - x[i - 1]) AS d FROM parted WHERE split = 'test'

@@ -265,6 +265,19 @@ def test_search_over_many_blocks_is_that_of_one(spark):
         forecast.search_orders(df, orders, "r2")
 
 
+@pytest.mark.parametrize("width", [2, 5, 500])
+def test_correlation_by_blocks_of_series_is_numpys(spark, width):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=60)
+    values = {f"s{k}": base * (k - 4) + rng.normal(size=60) for k in range(11)} | {"flat": np.full(60, 3.0)}
+    rows = [(name, T0 + dt.timedelta(seconds=k), float(v)) for name, column in values.items() for k, v in enumerate(column)]
+    aligned = spark.createDataFrame(rows, "series string, timestamp timestamp_ntz, value double")
+    got = {(r.series_a, r.series_b): r.r for r in correlate.pearson(aligned, width).collect()}
+    assert len(got) == 66
+    for (a, b), r in got.items():
+        assert r is None if "flat" in (a, b) else abs(r - np.corrcoef(values[a], values[b])[0, 1]) < 1e-9
+
+
 @pytest.mark.parametrize("most_rows,ranges", [(10_000, 500), (40, 500), (7, 500), (40, 3)])
 def test_kendall_by_ranges_equals_all_pairs(spark, most_rows, ranges):
     rng = np.random.default_rng(3)
@@ -334,6 +347,26 @@ def test_seasonal_trend_follows_a_daily_wave(spark):
     assert (got["lower"] <= got["forecast"]).all() and got["timestamp"].iat[0] == pd.Timestamp(T0) + pd.Timedelta(hours=240)
 
 
+@pytest.mark.parametrize("params", [{}, {"daily": 0, "weekly": 0, "changepoints": 0}, {"yearly": 2, "changepoints": 3, "level": 0.8}])
+def test_trends_over_many_blocks_are_those_of_the_whole(spark, params):
+    rng, t = np.random.default_rng(7), np.arange(24 * 12)
+    y = 1000 + 0.5 * t + 30 * np.sin(2 * np.pi * (t + 5) / 24) + rng.normal(size=len(t))
+    start = T0 + dt.timedelta(hours=7, minutes=13)
+    df = series(spark, y, metric="long", step=3600, start=start).union(series(spark, [4.0, None, 6.0], metric="short", step=3600, start=start))
+    got = forecast.forecast_seasonal_trend(df, 30, 3600, block=50, **params).toPandas().sort_values("timestamp")
+    second = (start - dt.datetime(1970, 1, 1)).total_seconds()
+    for metric, values in (("long", y), ("short", np.array([4.0, 6.0]))):
+        mine = got[got["metric_name"] == metric]
+        n = len(values)
+        model = forecast.Trend(n, 3600, second, **params)
+        x = model.columns(np.arange(n + 30))
+        beta = np.linalg.solve(x[:n].T @ x[:n] + np.diag(model.penalty), x[:n].T @ (values - values.mean()))
+        fit = x @ beta + values.mean()
+        spread = model.z * np.std(values - fit[:n])
+        assert np.allclose(mine["forecast"], fit[n:], rtol=1e-7)
+        assert np.allclose(mine["upper"] - mine["lower"], 2 * spread, rtol=1e-5, atol=1e-4)
+
+
 def test_scoring_by_metric(spark):
     df = series(spark, [1, 2, 3, 4], metric="x").union(series(spark, [5, 5], metric="y"))
     scalers = spark.createDataFrame([("x", 2.0, 0.5)], "feature string, center double, scale double")
