@@ -219,6 +219,18 @@ def seasonal_trend(values: np.ndarray, steps: int, step_seconds: int = 15, first
     return model.forecast(model.sums(np.arange(len(y)), y - center), len(y), steps) + center
 
 
+def _finite(df: DataFrame) -> DataFrame:
+    """Rows with a finite value; a series without one has no row left, and no forecast."""
+    require_columns(df, *SERIES, TIME, "value")
+    value = F.col("value").cast("double")
+    return df.filter(value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf")))
+
+
+def _short(df: DataFrame, block: int) -> bool:
+    """Whether no series has more rows than a block: then each is a group of its own, which is one shuffle."""
+    return (df.groupBy(*SERIES).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0) <= block
+
+
 def _per_series(df: DataFrame, one, schema: str) -> DataFrame:
     """``one(frame of a series in time order)`` for each series, as rows of its key and ``schema``."""
     require_columns(df, *SERIES, TIME, "value")
@@ -235,9 +247,17 @@ def _per_series(df: DataFrame, one, schema: str) -> DataFrame:
 def forecast_series(df: DataFrame, steps: int, order: tuple[int, int, int] = DEFAULT, seasonal: tuple[int, int, int, int] = (0, 0, 0, 0), block: int = BLOCK) -> DataFrame:
     """(series, step, forecast): ARIMA of every series, however long.
 
-    The regressions come from lag products, added up over blocks of ``block`` rows; after that a series
-    is one row with its two ends.  Series of fewer rows than these ends are fitted directly.
+    Where no series has more than ``block`` rows (a job counts them), each is fitted as it is.  Else the
+    regressions come from lag products, added up over blocks of so many rows; after that a series is one
+    row with its two ends, and those of fewer rows than these are fitted directly.
     """
+    df = _finite(df)
+    if _short(df, block):
+
+        def one(pdf: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({"step": np.arange(1, steps + 1), "forecast": arima(pdf["value"].to_numpy(), steps, order, seasonal)})
+
+        return _per_series(df, one, "step int, forecast double")
     shape = Shape(order, seasonal)
     shifts = {0, *shape.ar, *shape.ma, *shape.long_ar, *(a + b for a in shape.ma for b in shape.long_ar)}
     lags = tuple(sorted(shifts | {shape.start}))
@@ -379,9 +399,9 @@ def search_orders(df: DataFrame, orders: list[tuple[int, int, int]] | None = Non
     """(series, p, d, q, aic or bic): the order of the least criterion; (1, 1, 1) where none fits.
 
     Every order is judged by its one-step errors on the same rows, those that have ``MEMORY`` lags and
-    the greatest d, so unit and differences do not favour an order.  One pass adds up lag products in
-    blocks; the search itself sees one small matrix a series.  Series that are short for it look back
-    over a quarter of their rows.
+    the greatest d, so unit and differences do not favour an order.  The search sees lag products only,
+    one small matrix a series; where a series has more than ``block`` rows (a job counts them), they are
+    added up over blocks.  Series that are short for it look back over a quarter of their rows.
     """
     if criterion not in CRITERIA:
         raise ValueError(f"unknown criterion: {criterion}; one of {CRITERIA}")
@@ -390,37 +410,53 @@ def search_orders(df: DataFrame, orders: list[tuple[int, int, int]] | None = Non
     powers = [Shape((0, d, 0)).differences() for d in range(most_d + 1)]
     lags = tuple(range(MEMORY + 1))
     keep = 4 * MEMORY + most_d
+
+    def direct(values: np.ndarray) -> tuple[float | None, tuple[int, int, int]]:
+        n = len(values)
+        memory = MEMORY if n > keep else max(1, min(MEMORY, n // 4))
+        products = [products_of(differences(values - values.mean(), p), tuple(range(memory + 1)), memory + most_d - len(p) + 1) for p in powers]
+        left = n - memory - most_d
+        return best_order(Innovations(products, left), tried, criterion) if left > 0 else (None, DEFAULT)
+
+    def row(found: tuple[float | None, tuple[int, int, int]]) -> dict:
+        return {"p": found[1][0], "d": found[1][1], "q": found[1][2], criterion: pd.array([found[0]], dtype="Float64")}
+
+    fields = f"p int, d int, q int, {criterion} double"
+    df = _finite(df)
+    if _short(df, block):
+        return _per_series(df, lambda pdf: pd.DataFrame(row(direct(pdf["value"].to_numpy(float)))), fields)
     sums = lag_products(df, lags, keep, tuple(tuple(p.tolist()) for p in powers), block)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            rows = []
             for r in pdf.itertuples(index=False):
-                n, memory = int(r.n), MEMORY
-                if n <= keep:
-                    memory = max(1, min(MEMORY, n // 4))
-                    v = np.asarray(r.head, dtype=float) - r.center
-                    products = [products_of(differences(v, p), tuple(range(memory + 1)), memory + most_d - len(p) + 1) for p in powers]
+                if r.n <= keep:
+                    found = direct(np.asarray(r.head, dtype=float))
                 else:
                     products = list(np.asarray(r.products, dtype=float).reshape(len(powers), len(lags), -1))
-                found = Innovations(products, max(n - memory - most_d, 0))
-                value, order = best_order(found, tried, criterion) if found.n else (None, DEFAULT)
-                rows.append([r.metric_name, r.container_name, *order, value])
-            yield pd.DataFrame(rows, columns=["metric_name", "container_name", "p", "d", "q", criterion]).astype({criterion: "Float64"})
+                    found = best_order(Innovations(products, r.n - MEMORY - most_d), tried, criterion)
+                yield pd.DataFrame({"metric_name": [r.metric_name], "container_name": [r.container_name], **row(found)})
 
-    return sums.mapInPandas(run, f"metric_name string, container_name string, p int, d int, q int, {criterion} double")
+    return sums.mapInPandas(run, f"metric_name string, container_name string, {fields}")
 
 
 def forecast_seasonal_trend(df: DataFrame, steps: int, step_seconds: int = 15, block: int = BLOCK, **params) -> DataFrame:
     """(series, timestamp, forecast, lower, upper) on the grid that starts after a series' last time.
 
-    The fit needs only products of its columns, which are added up over blocks of a series, however long;
-    one row a series is solved.  Rows without a value are left out, and the others are taken as following
+    The fit needs only products of its columns; where a series has more than ``block`` rows (a job counts
+    them), they are added up over blocks, and one row a series is solved.  Rows without a value are left out, and the others are taken as following
     each other at ``step_seconds``.
     """
-    require_columns(df, *SERIES, TIME, "value")
+    there = _finite(df)
     time = dict(df.dtypes)[TIME]
-    there = df.filter("value is not null and not isnan(cast(value as double)) and abs(cast(value as double)) < double('inf')")
+    if _short(there, block):
+
+        def one(pdf: pd.DataFrame) -> pd.DataFrame:
+            out = seasonal_trend(pdf["value"].to_numpy(), steps, step_seconds, pdf[TIME].iat[0].timestamp(), **params)
+            times = pd.date_range(pdf[TIME].iat[-1] + pd.Timedelta(seconds=step_seconds), periods=steps, freq=f"{step_seconds}s")
+            return pd.DataFrame({TIME: times, "forecast": out[:, 0], "lower": out[:, 1], "upper": out[:, 2]})
+
+        return _per_series(there, one, f"{TIME} <time>, forecast double, lower double, upper double")
     # the waves follow the clock: their phase at the first row is the same in every block
     ends = there.groupBy(*[F.col(k).alias(f"_{k}") for k in SERIES]).agg(F.min(F.col(TIME)).alias("first"), F.max(F.col(TIME)).alias("last"))
     micros = micros_between(F.lit("1970-01-01").cast(time), F.col("first"))

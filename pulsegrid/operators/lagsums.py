@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..keys import SERIES, TIME, require_columns, same_keys
+from ..keys import SERIES, TIME, require_columns
 from .windows import numbered_by_days
 
 #: Rows of a block: what a task holds of a series.
@@ -57,9 +57,7 @@ def block_sums(df: DataFrame, sums, name: str, keep: int, block: int = BLOCK, re
     require_columns(df, *SERIES, TIME, "value")
     value = F.col("value").cast("double")
     found = df.withColumn("value", value).filter(F.col("value").isNotNull() & ~F.isnan("value") & (F.abs("value") < float("inf")))
-    rows = numbered_by_days(found).select(*SERIES, "row_no", "n_rows", "value")
-    means = found.groupBy(*[F.col(k).alias(f"_{k}") for k in SERIES]).agg(F.avg("value").alias("center"))
-    rows = rows.join(means, same_keys(list(SERIES), "_")).select(*SERIES, "row_no", "n_rows", "value", "center")
+    rows = numbered_by_days(found, "value").select(*SERIES, "row_no", "n_rows", "value", "center")
     own = F.floor(F.col("row_no") / block).cast("long")
     late = (F.col("row_no") % block >= block - reach) & (own < F.floor((F.col("n_rows") - 1) / block))
     dealt = rows.withColumn("_block", F.explode(F.when(late, F.array(own, own + 1)).otherwise(F.array(own))))

@@ -19,17 +19,22 @@ def numbered(df: DataFrame) -> DataFrame:
     return df.withColumn("row_no", F.row_number().over(in_series(df)) - 1).withColumn("n_rows", counts)
 
 
-def numbered_by_days(df: DataFrame) -> DataFrame:
-    """``numbered`` for long series: rows are numbered within a day, days start at the counts of the days before."""
+def numbered_by_days(df: DataFrame, mean_of: str | None = None) -> DataFrame:
+    """``numbered`` for long series: rows are numbered within a day, days start at the counts of the days before.
+
+    ``mean_of``: a column whose mean over the series is added as ``center``.
+    """
     keys = [k for k in SERIES if k in df.columns]
     rows = df.withColumn("_day", F.date_trunc("DAY", TIME))
-    counts = rows.groupBy(*keys, "_day").agg(F.count(F.lit(1)).alias("_c"))
+    more = {} if mean_of is None else {"center": F.sum(mean_of)}
+    counts = rows.groupBy(*keys, "_day").agg(F.count(F.lit(1)).alias("_c"), *[a.alias(c) for c, a in more.items()])
     days = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*keys, "_day", F.coalesce(F.sum("_c").over(days), F.lit(0)).alias("_before"), F.sum("_c").over(Window.partitionBy(*keys)).alias("n_rows"))
+    series = Window.partitionBy(*keys)
+    starts = counts.select(*keys, "_day", F.coalesce(F.sum("_c").over(days), F.lit(0)).alias("_before"), F.sum("_c").over(series).alias("n_rows"), *[(F.sum(c).over(series) / F.sum("_c").over(series)).alias(c) for c in more])
     place = F.row_number().over(Window.partitionBy(*keys, "_day").orderBy(TIME, *ties(df))) - 1
-    other = starts.select("n_rows", "_before", *[F.col(k).alias(f"_at_{k}") for k in (*keys, "_day")])
+    other = starts.select("n_rows", "_before", *more, *[F.col(k).alias(f"_at_{k}") for k in (*keys, "_day")])
     met = rows.withColumn("_place", place).join(other, same_keys([*keys, "_day"], "_at_"))
-    return met.select(*df.columns, (F.col("_before") + F.col("_place")).alias("row_no"), "n_rows")
+    return met.select(*df.columns, (F.col("_before") + F.col("_place")).alias("row_no"), "n_rows", *more)
 
 
 def _anchors(window: int, horizons: tuple[int, ...], stride: int) -> Column:

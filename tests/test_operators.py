@@ -243,7 +243,7 @@ def test_arima_of_a_series_over_many_blocks_is_that_of_the_whole(spark, order, s
     df = df.withColumn("container_name", F.when(F.col("metric_name") == "holes", None).otherwise(F.col("container_name")))
     found = forecast.forecast_series(df, 7, order, seasonal, block=100)
     plan = found._jdf.queryExecution().toString()
-    assert "_block" in plan
+    assert "_block" in plan and "_block" not in forecast.forecast_series(df, 7, order, seasonal)._jdf.queryExecution().toString()
     got = found.toPandas().sort_values("step").groupby("metric_name")["forecast"].apply(list).to_dict()
     want = {"long": long, "short": short, "holes": np.array([v for v in holes if v is not None]), "flat": np.full(400, 2.0)}
     assert set(got) == set(want)
