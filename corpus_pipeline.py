@@ -43,14 +43,22 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth of the words are benchmark passages."""
+    """Documents of which less than a twentieth of the words are benchmark passages.
+
+    Null and empty texts have no words and stay; repeated rows are judged each; an empty benchmark drops
+    nothing, an empty table stays empty; very long texts are scanned like others.
+    """
     _small_batches(spark)
     found = decontaminate.contamination(decontaminate.find_overlaps(docs, table(spark, sf_dir, "benchmark")))
     return found.filter(~F.col("contaminated")).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their length bucket and batch."""
+    """Pieces of the documents with their length bucket and batch.
+
+    Null, empty and blank texts have no piece; repeated rows and ids have pieces of their own; long texts
+    are several pieces; an empty table gives no rows.
+    """
     return packing.pack(stored(packing.pieces(docs)))
 
 
