@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..keys import SERIES, TIME, in_series, micros_between, require_columns, same_keys, ties
@@ -42,37 +42,37 @@ def _anchors(window: int, horizons: tuple[int, ...], stride: int) -> Column:
     return (F.col("row_no") % stride == 0) & fits
 
 
-def sliding_windows(df: DataFrame, window: int = 240, horizons: tuple[int, ...] = (20, 60, 120), stride: int = 4, features: tuple[str, ...] = ("value",), target: str = "value") -> DataFrame:
+def sliding_windows(df: DataFrame, window: int = 240, horizons: tuple[int, ...] = (20, 60, 120), stride: int = 4, features: tuple[str, ...] = ("value",), target: str = "value", block: int = 2048) -> DataFrame:
     """One row a window: ``x`` (window values; an array for each row if there are several
     features), ``y_<h>`` (the next h targets), their first and last times, ``window_id``.
 
     Windows start at every ``stride``-th row of a series, as long as the
     longest horizon fits; they never leave it.  Frames count rows, not time;
     a null value keeps its place in the window as a null.
-    Only the anchors' arrays are kept; use ``window_blocks`` where many features
-    and long series make that too dear.
+    Rows of a series are gathered in blocks of ``block`` rows and what its windows need of the next one,
+    and each window is cut out of its block, so arrays are made for the anchors only.
     """
     require_columns(df, TIME, target, *features)
-    w = in_series(df)
     keys = [k for k in SERIES if k in df.columns]
     cell = F.col(features[0]) if len(features) == 1 else F.array(*[F.col(c).cast("double") for c in features])
-
-    def in_frame(value: Column, frame: WindowSpec) -> Column:
-        # collect_list leaves nulls out; a struct of one is none
-        return F.transform(F.collect_list(F.struct(value.alias("v"))).over(frame), lambda x: x["v"])
-
-    inside = w.rowsBetween(0, window - 1)
-    out = {
-        "window_start": F.col(TIME),
-        "window_end": F.lead(TIME, window - 1).over(w),
-        "x": in_frame(cell, inside),
-    }
+    halo = window + max(horizons) - 1
+    size = max(block, halo + 1)
+    rows = numbered(df).select(*keys, "n_rows", F.struct("row_no", F.col(TIME).alias("t"), cell.alias("x"), F.col(target).cast("double").alias("y")).alias("_c"))
+    number = F.col("_c.row_no")
+    own = F.floor(number / size).cast("long")
+    shared = (number % size < halo) & (number >= size)
+    dealt = rows.withColumn("_block", F.explode(F.when(shared, F.array(own, own - 1)).otherwise(F.array(own))))
+    held = dealt.groupBy(*keys, "n_rows", "_block").agg(F.array_sort(F.collect_list("_c")).alias("_c"))
+    begin = F.col("_block") * size
+    first = F.ceil(begin / stride).cast("long") * stride
+    last = F.least(begin + size - 1, F.col("n_rows") - window - max(horizons))
+    starts = held.withColumn("_at", F.explode(F.when(first <= last, F.sequence(first, last, F.lit(stride).cast("long")))))
+    s = (F.col("_at") - begin).cast("int") + 1
+    times = lambda k: F.element_at("_c.t", s + k)
+    out = {"window_start": times(0), "window_end": times(window - 1), "x": F.slice("_c.x", s, window)}
     for h in horizons:
-        out[f"target_start_{h}"] = F.lead(TIME, window).over(w)
-        out[f"target_end_{h}"] = F.lead(TIME, window + h - 1).over(w)
-        out[f"y_{h}"] = in_frame(F.col(target).cast("double"), w.rowsBetween(window, window + h - 1))
-    rows = numbered(df).withColumns(out).filter(_anchors(window, horizons, stride))
-    return rows.select(*keys, F.floor(F.col("row_no") / stride).cast("long").alias("window_id"), *out)
+        out |= {f"target_start_{h}": times(window), f"target_end_{h}": times(window + h - 1), f"y_{h}": F.slice("_c.y", s + window, h)}
+    return starts.select(*keys, (F.col("_at") / stride).cast("long").alias("window_id"), *[c.alias(n) for n, c in out.items()])
 
 
 def window_index(df: DataFrame, window: int, horizons: tuple[int, ...], stride: int) -> DataFrame:
