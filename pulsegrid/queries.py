@@ -283,6 +283,16 @@ def s2_flatten_range_queries(spark, sf_dir):
     return io.flatten_range_queries(_range_queries(spark, sf_dir))
 
 
+@query("SELECT event_type AS metric_name, ts AS timestamp, 'pod=p-' || user_id AS container_labels, value, '/kubepods/u' || user_id AS container_id FROM events")
+def s2_read_range_files(spark, sf_dir):
+    """The results as JSON files, read in splits."""
+    path = scratch(spark)
+    rows = _range_queries(spark, sf_dir).withColumn("name", F.create_map(F.lit("__name__"), "metric_name"))
+    named = F.transform("data.result", lambda s: F.struct(F.map_concat("name", s["metric"]).alias("metric"), s["values"].alias("values")))
+    rows.select(F.struct(named.alias("result")).alias("data")).write.json(path)
+    return io.read_range_files(spark, path)
+
+
 @query("""SELECT event_type AS metric_name, '/x/' || event_type || '_' || strftime(max(date_trunc('second', ts)), '%Y%m%d_%H%M%S') || '.csv' AS path, max(date_trunc('second', ts))::TIMESTAMP AS stamp FROM events GROUP BY 1""")
 def s5_latest_files(spark, sf_dir):
     name = F.concat(F.lit("/x/"), "event_type", F.lit("_"), F.date_format("ts", "yyyyMMdd_HHmmss"), F.lit(".csv"))

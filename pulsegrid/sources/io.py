@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,6 +65,61 @@ def flatten_range_queries(raw: DataFrame, nan_as_null: bool = False) -> DataFram
     )
 
 
+#: Pieces of a range-query result between closing brackets: a sample, and the beginning of a series.
+_PAIR = r'\[\s*([-+0-9.eE]+)\s*,\s*"([^"\\]*)"\s*'
+_NEXT = rf"^\s*,\s*{_PAIR}$"
+_VALUES = r'"values"\s*:\s*\['
+_SAMPLE = rf"(?:^\s*,|{_VALUES})\s*{_PAIR}$"
+_BEGINS = r'"metric"\s*:\s*\{'
+_LABELS = r'\{[^"{}]*+(?:"(?:[^"\\]++|\\.)*+"[^"{}]*+)*+\}'
+_NUMBERS = rf'{_VALUES}\s*\[\s*[-+0-9.eE]+\s*,\s*[^"\s]'
+_HEADER = rf'"metric"\s*:\s*({_LABELS})\s*,\s*{_VALUES}\s*(?:{_PAIR}(?:\]|$)|\]|$)'
+
+
+def read_range_files(spark: SparkSession, path: str | list[str], metric: str | None = None, nan_as_null: bool = False) -> DataFrame:
+    """``read_range_queries`` for files of any size, one or more results a file.
+
+    Files are read as text that ends at each closing bracket, so Spark cuts them into splits wherever it
+    likes, inside a series, too.  A piece is a sample, or belongs to what stands between samples: the
+    labels of the next series.  Series are numbered by their beginnings, within a split and after those of
+    the file's splits before, and samples meet their labels by that number; only labels are gathered.
+
+    ``metric`` names all samples; without it the label ``__name__`` does.  In a series ``metric`` must come
+    before ``values``, and values are pairs of a number and a string, as range queries write them; another
+    order raises.  Results of other kinds and series without values have no rows, nor have empty files.
+    """
+    raw = spark.read.option("lineSep", "]").option("recursiveFileLookup", True).text(path)
+    pieces = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("place"), F.col("value").alias("piece"))
+    begins = F.col("piece").rlike(_BEGINS).cast("long")
+    totals = pieces.groupBy("file", "start").agg(F.sum(begins).alias("n"))
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    bases = totals.select(F.col("file").alias("_file"), F.col("start").alias("_start"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    so_far = Window.partitionBy("file", "start").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+
+    def numbered(rows: DataFrame) -> DataFrame:
+        met = rows.withColumn("_n", F.sum("begins").over(so_far)).join(bases, (F.col("file") == F.col("_file")) & (F.col("start") == F.col("_start")))
+        return met.withColumn("series", F.col("base") + F.col("_n"))
+
+    between = numbered(pieces.filter(~F.col("piece").rlike(_NEXT)).withColumn("begins", begins))
+    texts = between.groupBy("file", "series").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "place", "piece"))), lambda p: p["piece"]), "]").alias("text"))
+    found = F.when(F.col("text").rlike(_HEADER), F.regexp_extract("text", _HEADER, 1))
+    astray = F.regexp_count("text", F.lit(_VALUES)) > F.when(found.isNotNull(), 1).otherwise(0)
+    checked = F.when(astray, F.raise_error(F.concat(F.lit("values without their metric in "), F.col("file")))).otherwise(found)
+    known = texts.select(F.col("file").alias("_file"), F.col("series").alias("_of"), F.from_json(checked.cast("string"), "map<string,string>").alias("labels")).filter("labels is not null")
+    # what a split needs of a piece: its sample, or that a series begins
+    t = F.when(F.col("piece").rlike(_NUMBERS), F.raise_error(F.concat(F.lit("values that are no strings in "), F.col("file"))).cast("string")).otherwise(F.regexp_extract("piece", _SAMPLE, 1))
+    needed = pieces.select("file", "start", "place", begins.alias("begins"), t.alias("t"), F.regexp_extract("piece", _SAMPLE, 2).alias("v")).filter("begins > 0 or t <> ''")
+    samples = numbered(needed).filter("t <> ''").select("file", "series", "t", "v")
+    met = samples.join(known, (F.col("file") == F.col("_file")) & (F.col("series") == F.col("_of")))
+    return met.select(
+        epoch_timestamp(F.col("t").cast("double")).alias(TIME),
+        compress_labels(F.col("labels")).alias("container_labels"),
+        sample_value(F.col("v"), nan_as_null).alias("value"),
+        F.coalesce(F.col("labels")["id"], F.lit("")).alias("container_id"),
+        (F.lit(metric) if metric is not None else F.col("labels")["__name__"]).alias("metric_name"),
+    )
+
+
 def metric_catalogue(samples: DataFrame, stamp: str) -> DataFrame:
     """Sorted distinct metric names with the time of discovery."""
     return samples.select("metric_name").distinct().orderBy("metric_name").withColumn("discovery_timestamp", F.lit(stamp))

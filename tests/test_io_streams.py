@@ -19,6 +19,33 @@ def test_range_query_files(spark, tmp_path):
     assert got == [(T0, "a=1,b=2", 1.5, "/k", "m"), (T0, "pod=p", 0.0, "", "m"), (T0 + dt.timedelta(seconds=15.5), "a=1,b=2", 0.0, "/k", "m")]
 
 
+def test_range_files_in_splits(spark, tmp_path):
+    """Splits fall inside series, samples and labels; rows are those of the reader that takes files whole."""
+    odd = ["plain", "a]b", "x],[1,\"2\"]", "]]", 'q"]}', "\\]", '"metric":{"a":"b"},"values":[[1,"2"', "é]ü", ""]
+    for f in range(3):
+        series = [{"metric": {"__name__": "m", "id": f"/{f}", "k": v}, "values": [[1704067200 + 15 * i + f / 4, ["1.5", "NaN", "-2e3", "+Inf"][i % 4]] for i in range(n)]} for n, v in zip((5, 40, 1, 0, 3, 2, 9, 4, 2), odd)]
+        doc = {"status": "success", "data": {"resultType": "matrix", "result": series}, "warnings": ["x]", "y"]}
+        (tmp_path / f"{f}.json").write_text(json.dumps(doc, indent=f or None, ensure_ascii=f == 1))
+    (tmp_path / "vector.json").write_text(json.dumps({"data": {"resultType": "vector", "result": [{"metric": {"a": "b"}, "value": [1, "2"]}]}}))
+    (tmp_path / "error.json").write_text('{"status": "error", "error": "no"}')
+    (tmp_path / "empty.json").write_text("")
+    want = sorted(map(str, io.read_range_queries(spark, str(tmp_path), "m").collect()))
+    assert len(want) == 3 * 66
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (old, "1000b", "97b"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            assert sorted(map(str, io.read_range_files(spark, str(tmp_path)).collect())) == want
+            assert sorted(map(str, io.read_range_files(spark, str(tmp_path), "m").collect())) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    for bad in ('{"data":{"result":[{"values":[[1,"2"]],"metric":{"a":"b"}}]}}', '{"data":{"result":[{"metric":{"a":"b"},"values":[[1,2]]}]}}'):
+        (tmp_path / "bad").mkdir(exist_ok=True)
+        (tmp_path / "bad" / "r.json").write_text(bad)
+        with pytest.raises(Exception, match="values (without their metric|that are no strings) in"):
+            io.read_range_files(spark, str(tmp_path / "bad")).collect()
+
+
 def test_exports_and_latest_files(spark, tmp_path):
     names = ["container_cpu_rate_20251224_001604.csv", "container_cpu_rate_20251219_062204.csv", "container_network_transmit_rate_20251219_063035.csv", "notes.csv"]
     for n in names:
