@@ -175,6 +175,43 @@ def arima(values: np.ndarray, steps: int, order: tuple[int, int, int] = DEFAULT,
     return fitted.forecast(steps)
 
 
+def arima_windows(x: np.ndarray, steps: int, order: tuple[int, int, int] = DEFAULT, seasonal: tuple[int, int, int, int] = (0, 0, 0, 0)) -> np.ndarray:
+    """``arima`` of every row of ``x``: (rows, steps).
+
+    Rows of an order without shocks and seasons are fitted together: their lag products are sums over the
+    matrix, and the small systems are solved at once.  Other orders, and rows with gaps, go one by one.
+    """
+    x = np.asarray(x, dtype=float)
+    shape = Shape(order, seasonal)
+    together = not shape.ma and not shape.sd and len(shape.ar) == order[0] and x.shape[1] - shape.lost - shape.start >= shape.least
+    whole = np.isfinite(x).all(axis=1) & together
+    out = np.empty((len(x), steps))
+    for i in np.flatnonzero(~whole):
+        out[i] = arima(x[i], steps, order, seasonal)
+    if not whole.any():
+        return out
+    v = x[whole]
+    w = np.diff(v, shape.d, axis=1) if shape.d else v
+    mean = w.mean(axis=1, keepdims=True) if shape.centered else np.zeros((len(w), 1))
+    w, p = w - mean, order[0]
+    lags = [w[:, p - k : w.shape[1] - k] for k in range(p + 1)]
+    g = np.array([[np.einsum("ij,ij->i", a, b) for b in lags] for a in lags]).transpose(2, 0, 1)
+    scale = np.sqrt(np.einsum("ijj->ij", g[:, 1:, 1:]))
+    scale = np.where(scale > 0, scale, 1.0)
+    inverse = np.linalg.pinv(g[:, 1:, 1:] / (scale[:, :, None] * scale[:, None, :]), rcond=1e-13, hermitian=True)
+    beta = np.einsum("ijk,ik->ij", inverse, g[:, 1:, 0] / scale) / scale
+    past = w[:, w.shape[1] - p :]
+    made = np.empty((len(w), steps))
+    for i in range(steps):
+        made[:, i] = np.einsum("ij,ij->i", beta, past[:, ::-1])
+        past = np.concatenate([past[:, 1:], made[:, i : i + 1]], axis=1) if p else past
+    made += mean
+    for d in range(shape.d - 1, -1, -1):
+        made = np.diff(v, d, axis=1)[:, -1:] + np.cumsum(made, axis=1)
+    out[whole] = made
+    return out
+
+
 class Trend:
     """Columns and penalties of an additive model: a piecewise-linear trend, daily, weekly and yearly waves.
 

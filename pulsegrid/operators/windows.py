@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,6 +111,7 @@ def window_blocks(df: DataFrame, window: int, horizons: tuple[int, ...], stride:
     rows; the rows that windows of the block before still need are copied
     once, so no task needs a whole series (``block`` is at least a window's
     rows).  Series are told apart by their key columns, which must not be null.
+    Windows are taken out of a block's Arrow arrays by row numbers; no value becomes a Python object.
     """
     require_columns(df, TIME, target, *features)
     keys = [k for k in SERIES if k in df.columns]
@@ -124,21 +125,21 @@ def window_blocks(df: DataFrame, window: int, horizons: tuple[int, ...], stride:
     time = types[TIME]
     schema = ", ".join([f"{k} {types[k]}" for k in keys] + ["window_id long", f"window_start {time}", f"window_end {time}", "x array<array<double>>"] + [f"y_{h} array<double>" for h in horizons])
 
-    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("row_no")
-        first, last = int(pdf["_block"].iat[0]) * size, (int(pdf["_block"].iat[0]) + 1) * size
-        at = pdf["row_no"].to_numpy()
-        total = int(pdf["n_rows"].iat[0])
-        starts = np.arange(-(-first // stride) * stride, min(last, total - window - max(horizons) + 1), stride) - at[0]
-        if not len(starts):
-            return pd.DataFrame(columns=[s.split()[0] for s in schema.split(", ")])
-        x, y, ts = pdf["_x"].to_list(), [None if np.isnan(v) else v for v in pdf["_y"].to_numpy(float)], pdf[TIME].to_numpy()
-        out = {k: pdf[k].iat[0] for k in keys}
-        out |= {"window_id": (starts + at[0]) // stride, "window_start": ts[starts], "window_end": ts[starts + window - 1], "x": [x[s : s + window] for s in starts]}
-        out |= {f"y_{h}": [y[s + window : s + window + h] for s in starts] for h in horizons}
-        return pd.DataFrame(out)
+    def cut(table: pa.Table) -> pa.Table:
+        table = table.sort_by("row_no").combine_chunks()
+        first = table["_block"][0].as_py() * size
+        at, total = table["row_no"][0].as_py(), table["n_rows"][0].as_py()
+        starts = np.arange(-(-first // stride) * stride, min(first + size, total - window - max(horizons) + 1), stride) - at
 
-    return dealt.groupBy(*keys, "_block").applyInPandas(cut, schema)
+        def lists(column: str, begin: int, width: int) -> pa.Array:
+            rows = (starts[:, None] + np.arange(begin, begin + width)).ravel()
+            return pa.ListArray.from_arrays(pa.array(np.arange(len(starts) + 1) * width, pa.int32()), table[column].combine_chunks().take(pa.array(rows)))
+
+        out = {k: table[k].take(pa.array(np.zeros(len(starts), dtype=np.int64))) for k in keys}
+        out |= {"window_id": pa.array((starts + at) // stride, pa.int64()), "window_start": table[TIME].take(pa.array(starts)), "window_end": table[TIME].take(pa.array(starts + window - 1))}
+        return pa.table(out | {"x": lists("_x", 0, window)} | {f"y_{h}": lists("_y", window, h) for h in horizons})
+
+    return dealt.groupBy(*keys, "_block").applyInArrow(cut, schema)
 
 
 def last_states(windows: DataFrame) -> DataFrame:
@@ -146,16 +147,30 @@ def last_states(windows: DataFrame) -> DataFrame:
     return windows.withColumn("last_state", F.element_at("x", -1)).drop("x")
 
 
-def per_window(windows: DataFrame, forecast, horizons: tuple[int, ...], **params) -> DataFrame:
+def per_window(windows: DataFrame, forecast, horizons: tuple[int, ...], many: bool = False, **params) -> DataFrame:
     """Fit ``forecast(values, steps, **params)`` on every window, in place; add ``pred_<h>``.
 
+    With ``many`` it takes a batch of windows, a row each of a matrix, and gives a row of steps for each.
     Shorter horizons are the beginning of the longest one's forecast.
     """
     fields = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in windows.schema.fields] + [f"pred_{h} array<double>" for h in horizons])
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            full = [np.asarray(forecast(np.asarray(x, dtype=float), max(horizons), **params)) for x in pdf["x"]]
-            yield pdf.assign(**{f"pred_{h}": [p[:h] for p in full] for h in horizons})
-
-    return windows.mapInPandas(run, fields)
+    steps = max(horizons)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            if not batch.num_rows:
+                continue
+            x = batch.column("x")
+            lengths = x.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            flat = x.flatten().to_numpy(zero_copy_only=False).astype(float)
+            if many and (lengths == lengths[0]).all():
+                full = np.asarray(forecast(flat.reshape(len(lengths), -1), steps, **params), dtype=float)
+            else:
+                cut = np.split(flat, np.cumsum(lengths)[:-1])
+                full = np.stack([np.asarray(forecast(v[None], steps, **params)[0] if many else forecast(v, steps, **params), dtype=float) for v in cut])
+            for h in horizons:
+                offsets = pa.array(np.arange(len(full) + 1) * h, pa.int32())
+                batch = batch.append_column(f"pred_{h}", pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(full[:, :h]).ravel())))
+            yield batch
+
+    return windows.mapInArrow(run, fields)

@@ -116,7 +116,7 @@ def evaluate_forecasts(data: DataFrame, horizons: tuple[int, ...], order: tuple[
     Windows are dealt out evenly first, as fits take CPU and not data.
     """
     test = data.filter("split = 'test'").repartition(*SERIES, "window_id")
-    scored = windows.per_window(test, forecast.arima, horizons, order=order, seasonal=seasonal)
+    scored = windows.per_window(test, forecast.arima_windows, horizons, many=True, order=order, seasonal=seasonal)
     if scalers is not None:
         names = {f"{side}_{h}": f"y_{h}" for h in horizons for side in ("y", "pred")}
         scored = scale.apply_scaler(scored, scalers, list(names), inverse=True, names=names)

@@ -465,3 +465,23 @@ def test_long_actuals_and_predictions_pair_by_step(spark):
     predicted = spark.createDataFrame([("m", "a", 0, 2, k, k + 1.0) for k in range(3)], f"{key}, y_pred double")
     paired = evaluate.pair_rows(actual, predicted)
     assert paired.count() == 2 and evaluate.score(paired).first().mae == 1.0
+
+
+@pytest.mark.parametrize("order", [(1, 1, 0), (2, 0, 0), (3, 2, 0), (0, 1, 0), (0, 0, 0), (1, 1, 1)])
+def test_windows_fitted_together_as_one_by_one(order):
+    rng = np.random.default_rng(3)
+    x = np.vstack([rng.normal(size=(6, 60)).cumsum(axis=1) * 1e3 + 5e4, np.full((1, 60), 7.0), np.arange(60.0)[None], rng.normal(size=(1, 60))])
+    x[2, 9] = np.nan
+    want = np.stack([forecast.arima(v, 12, order) for v in x])
+    assert np.allclose(forecast.arima_windows(x, 12, order), want, rtol=1e-9, atol=1e-9)
+    short = x[:, :3]
+    assert np.allclose(forecast.arima_windows(short, 2, order), np.stack([forecast.arima(v, 2, order) for v in short]))
+    assert forecast.arima_windows(x[:0], 4, order).shape == (0, 4)
+
+
+def test_per_window_in_batches_of_any_lengths(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0, 4.0, 8.0, 16.0, 32.0]), (2, [3.0, 1.0]), (3, [])], "i int, x array<double>")
+    for many, fit in ((True, forecast.arima_windows), (False, forecast.arima)):
+        got = {r.i: r for r in windows.per_window(df.coalesce(1), fit, (1, 3), many=many, order=(1, 1, 0)).collect()}
+        assert got[1].pred_3 == pytest.approx([64, 128, 256]) and got[1].pred_1 == pytest.approx([64])
+        assert got[2].pred_3 == [1.0] * 3 and np.isnan(got[3].pred_1).all()
