@@ -2,23 +2,33 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LEAST = 1e-10
 
 
-def pair_steps(windows: DataFrame, horizons: tuple[int, ...], keys: tuple[str, ...] = ("metric_name", "container_name", "window_id")) -> DataFrame:
-    """Arrays ``y_<h>`` and ``pred_<h>`` as rows (keys, horizon, step, y_true, y_pred), in place."""
+def pair_steps(windows: DataFrame, horizons: tuple[int, ...], keys: tuple[str, ...] = ("metric_name", "container_name", "window_id"), directions: bool = False) -> DataFrame:
+    """Arrays ``y_<h>`` and ``pred_<h>`` as rows (keys, horizon, step, y_true, y_pred), in place.
+
+    All horizons come out of one pass, so what made the windows runs once.  ``directions`` adds
+    ``same_direction``: 1 where both moved alike since the step before, else 0, null at first steps.
+    """
+
+    def one(h: int) -> Column:
+        y, p = F.col(f"y_{h}"), F.col(f"pred_{h}")
+
+        def step(r: Column, i: Column) -> Column:
+            fields = [F.lit(h).alias("horizon"), i.alias("step"), r["y"].alias("y_true"), r["p"].alias("y_pred")]
+            if directions:
+                moved, foretold = F.signum(r["y"] - F.get(y, i - 1)), F.signum(r["p"] - F.get(p, i - 1))
+                fields.append(F.when(moved.isNotNull(), F.when(moved == foretold, 1.0).otherwise(0.0)).alias("same_direction"))
+            return F.struct(*fields)
 
-    def one(h: int) -> DataFrame:
-        zipped = F.arrays_zip(F.col(f"y_{h}").alias("y"), F.col(f"pred_{h}").alias("p"))
-        rows = windows.select(*keys, F.posexplode(zipped).alias("step", "r"))
-        return rows.select(*keys, F.lit(h).alias("horizon"), "step", F.col("r.y").alias("y_true"), F.col("r.p").alias("y_pred"))
+        return F.transform(F.arrays_zip(y.alias("y"), p.alias("p")), step)
 
-    return reduce(DataFrame.unionByName, map(one, horizons))
+    rows = F.flatten(F.array_compact(F.array(*map(one, horizons))))
+    return windows.select(*keys, F.inline(rows))
 
 
 def pair_rows(actual: DataFrame, predicted: DataFrame) -> DataFrame:
@@ -50,8 +60,10 @@ def directional_accuracy(predictions: DataFrame, by: tuple[str, ...] = ("metric_
 
 
 def horizon_analysis(predictions: DataFrame, by: tuple[str, ...] = ("metric_name", "container_name"), per_minute: int = 4) -> DataFrame:
-    """Scores of each horizon, with the horizon in minutes."""
-    return score(predictions, (*by, "horizon")).withColumn("minutes", F.floor(F.col("horizon") / per_minute).cast("int"))
+    """Scores of each horizon, with the horizon in minutes; ``directional_accuracy``, too, of rows with ``same_direction``."""
+    more = {"directional_accuracy": 100.0 * F.avg("same_direction")} if "same_direction" in predictions.columns else {}
+    scores = predictions.groupBy(*by, "horizon").agg(*[c.alias(n) for n, c in (_scores() | more).items()])
+    return scores.withColumn("minutes", F.floor(F.col("horizon") / per_minute).cast("int"))
 
 
 def degradation(by_horizon: DataFrame, by: tuple[str, ...] = ("metric_name", "container_name")) -> DataFrame:

@@ -120,9 +120,8 @@ def evaluate_forecasts(data: DataFrame, horizons: tuple[int, ...], order: tuple[
     if scalers is not None:
         names = {f"{side}_{h}": f"y_{h}" for h in horizons for side in ("y", "pred")}
         scored = scale.apply_scaler(scored, scalers, list(names), inverse=True, names=names)
-    paired = evaluate.pair_steps(scored, horizons)
-    keys = (*SERIES, "horizon")
-    by_horizon = evaluate.horizon_analysis(paired).join(evaluate.directional_accuracy(paired, keys), list(keys), "left")
+    paired = evaluate.pair_steps(scored, horizons, directions=True)
+    by_horizon = evaluate.horizon_analysis(paired)
     if path is not None:
         io.write_results(by_horizon, path)
     return by_horizon, evaluate.degradation(by_horizon), evaluate.step_errors(paired)

@@ -289,7 +289,9 @@ def s2_read_range_files(spark, sf_dir):
     path = scratch(spark)
     rows = _range_queries(spark, sf_dir).withColumn("name", F.create_map(F.lit("__name__"), "metric_name"))
     named = F.transform("data.result", lambda s: F.struct(F.map_concat("name", s["metric"]).alias("metric"), s["values"].alias("values")))
-    rows.select(F.struct(named.alias("result")).alias("data")).write.json(path)
+    text = F.to_json(F.struct(F.struct(named.alias("result")).alias("data")))
+    # times are numbers in such files, values strings
+    rows.select(F.regexp_replace(text, r'\["([^"]*)",', "[$1,").alias("value")).write.text(path)
     return io.read_range_files(spark, path)
 
 

@@ -72,7 +72,7 @@ _VALUES = r'"values"\s*:\s*\['
 _SAMPLE = rf"(?:^\s*,|{_VALUES})\s*{_PAIR}$"
 _BEGINS = r'"metric"\s*:\s*\{'
 _LABELS = r'\{[^"{}]*+(?:"(?:[^"\\]++|\\.)*+"[^"{}]*+)*+\}'
-_NUMBERS = rf'{_VALUES}\s*\[\s*[-+0-9.eE]+\s*,\s*[^"\s]'
+_NO_PAIR = rf'{_VALUES}\s*\[(?!\s*[-+0-9.eE]+\s*,\s*")'
 _HEADER = rf'"metric"\s*:\s*({_LABELS})\s*,\s*{_VALUES}\s*(?:{_PAIR}(?:\]|$)|\]|$)'
 
 
@@ -107,7 +107,7 @@ def read_range_files(spark: SparkSession, path: str | list[str], metric: str | N
     checked = F.when(astray, F.raise_error(F.concat(F.lit("values without their metric in "), F.col("file")))).otherwise(found)
     known = texts.select(F.col("file").alias("_file"), F.col("series").alias("_of"), F.from_json(checked.cast("string"), "map<string,string>").alias("labels")).filter("labels is not null")
     # what a split needs of a piece: its sample, or that a series begins
-    t = F.when(F.col("piece").rlike(_NUMBERS), F.raise_error(F.concat(F.lit("values that are no strings in "), F.col("file"))).cast("string")).otherwise(F.regexp_extract("piece", _SAMPLE, 1))
+    t = F.when(F.col("piece").rlike(_NO_PAIR), F.raise_error(F.concat(F.lit("values that are no pairs of a number and a string in "), F.col("file"))).cast("string")).otherwise(F.regexp_extract("piece", _SAMPLE, 1))
     needed = pieces.select("file", "start", "place", begins.alias("begins"), t.alias("t"), F.regexp_extract("piece", _SAMPLE, 2).alias("v")).filter("begins > 0 or t <> ''")
     samples = numbered(needed).filter("t <> ''").select("file", "series", "t", "v")
     met = samples.join(known, (F.col("file") == F.col("_file")) & (F.col("series") == F.col("_of")))

@@ -39,10 +39,10 @@ def test_range_files_in_splits(spark, tmp_path):
             assert sorted(map(str, io.read_range_files(spark, str(tmp_path), "m").collect())) == want
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    for bad in ('{"data":{"result":[{"values":[[1,"2"]],"metric":{"a":"b"}}]}}', '{"data":{"result":[{"metric":{"a":"b"},"values":[[1,2]]}]}}'):
+    for bad in ('{"data":{"result":[{"values":[[1,"2"]],"metric":{"a":"b"}}]}}', '{"data":{"result":[{"metric":{"a":"b"},"values":[[1,2]]}]}}', '{"data":{"result":[{"metric":{},"values":[["1","2"]]}]}}'):
         (tmp_path / "bad").mkdir(exist_ok=True)
         (tmp_path / "bad" / "r.json").write_text(bad)
-        with pytest.raises(Exception, match="values (without their metric|that are no strings) in"):
+        with pytest.raises(Exception, match="values (without their metric|that are no pairs of a number and a string) in"):
             io.read_range_files(spark, str(tmp_path / "bad")).collect()
 
 
