@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..keys import TIME, require_columns
 from ..sources.io import write_frame
 from .clean import fill_unlimited
+from .order import sums_before
 
 
 def named_series(df: DataFrame) -> DataFrame:
@@ -73,34 +74,47 @@ def pearson(aligned: DataFrame, width: int = WIDTH) -> DataFrame:
     Every series has a value at every time, as ``align`` leaves it; times where
     one has none are left out for its pairs.
     """
-    blocks = max(1, -(-aligned.select("series").distinct().count() // width))
-    rows = _vectors(aligned, blocks)
+    blocks = _blocks(aligned, width)
+    stack = lambda g, values: np.vstack(g[values].to_list()).astype(float)
+    return _products(_vectors(aligned, blocks), TIME, ("values",), blocks, stack, TIMES)
+
+
+def _blocks(series: DataFrame, width: int) -> int:
+    return max(1, -(-series.select("series").distinct().count() // width))
+
+
+def _products(rows: DataFrame, key: str, parts_of: tuple[str, ...], blocks: int, matrix, step: int) -> DataFrame:
+    """(series_a, series_b, r) from rows (key, block, names and ``parts_of``).
+
+    ``matrix(rows, *columns)`` makes a matrix of times by series out of up to ``step`` rows of a block.
+    """
+    twin = {c: f"other_{c}" for c in parts_of}
     if blocks == 1:
-        met = rows.select("block", F.col("block").alias("other"), "names", F.col("names").alias("others"), "values", F.col("values").alias("w"))
+        met = rows.select("block", F.col("block").alias("other"), "names", F.col("names").alias("others"), *parts_of, *[F.col(c).alias(t) for c, t in twin.items()])
     else:
-        other = rows.select(TIME, F.col("block").alias("other"), F.col("names").alias("others"), F.col("values").alias("w"))
-        dealt = int(aligned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        other = rows.select(key, F.col("block").alias("other"), F.col("names").alias("others"), *[F.col(c).alias(t) for c, t in twin.items()])
+        dealt = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         # two blocks' times go to several tasks where there are fewer pairs of blocks than tasks
         turns = max(1, dealt * 2 // (blocks * (blocks + 1)))
-        met = rows.join(other, TIME).filter("block <= other").repartition("block", "other", F.pmod(F.xxhash64(TIME), F.lit(turns))).sortWithinPartitions("block", "other")
-        met = met.select("block", "other", "names", "others", "values", "w")
+        met = rows.join(other, key).filter("block <= other").repartition("block", "other", F.pmod(F.xxhash64(key), F.lit(turns))).sortWithinPartitions("block", "other")
+        met = met.select("block", "other", "names", "others", *parts_of, *twin.values())
 
     def sums(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, held = None, []
         for pdf in parts:
-            for key, g in pdf.groupby(["block", "other"], sort=True):
+            for pair, g in pdf.groupby(["block", "other"], sort=True):
                 names = (tuple(g["names"].iat[0]), tuple(g["others"].iat[0]))
-                if at is not None and (key, names) != at:
+                if at is not None and (pair, names) != at:
                     yield said(at[1], held)
                     held = []
-                for k in range(0, len(g), TIMES):
-                    some = g.iloc[k : k + TIMES]
-                    x, y = np.vstack(some["values"].to_list()).astype(float), np.vstack(some["w"].to_list()).astype(float)
+                for k in range(0, len(g), step):
+                    some = g.iloc[k : k + step]
+                    x, y = matrix(some, *parts_of), matrix(some, *twin.values())
                     u, v = ~np.isnan(x), ~np.isnan(y)
                     x, y, u, v = np.where(u, x, 0), np.where(v, y, 0), u.astype(float), v.astype(float)
                     new = [u.T @ v, x.T @ v, u.T @ y, x.T @ y, (x * x).T @ v, u.T @ (y * y)]
                     held = [a + b for a, b in zip(held, new, strict=True)] if held else new
-                at = (key, names)
+                at = (pair, names)
         if at is not None:
             yield said(at[1], held)
 
@@ -115,8 +129,8 @@ def pearson(aligned: DataFrame, width: int = WIDTH) -> DataFrame:
     x, y = (F.when(F.col("first"), F.col(f"s{m}")).otherwise(F.col(f"s{n}")) for m, n in ((1, 2), (2, 1)))
     xx, yy = (F.when(F.col("first"), F.col(f"s{m}")).otherwise(F.col(f"s{n}")) for m, n in ((4, 5), (5, 4)))
     total = found.groupBy("series_a", "series_b").agg(F.sum("s0").alias("n"), F.sum(x).alias("x"), F.sum(y).alias("y"), F.sum("s3").alias("xy"), F.sum(xx).alias("xx"), F.sum(yy).alias("yy"))
-    covariance = F.col("xy") - F.col("x") * F.col("y") / F.col("n")
-    spread = [F.greatest(F.col(q) - F.col(m) * F.col(m) / F.col("n"), F.lit(0.0)) for q, m in (("xx", "x"), ("yy", "y"))]
+    covariance = F.col("xy") - F.try_divide(F.col("x") * F.col("y"), "n")
+    spread = [F.greatest(F.col(q) - F.try_divide(F.col(m) * F.col(m), "n"), F.lit(0.0)) for q, m in (("xx", "x"), ("yy", "y"))]
     varies = (spread[0] > 1e-12 * F.col("n")) & (spread[1] > 1e-12 * F.col("n"))
     return total.select("series_a", "series_b", F.when(varies, F.try_divide(covariance, F.sqrt(spread[0]) * F.sqrt(spread[1]))).alias("r"))
 
@@ -125,6 +139,74 @@ def spearman(aligned: DataFrame) -> DataFrame:
     return pearson(ranked(aligned))
 
 
+def runs(series: DataFrame) -> DataFrame:
+    """(series, at, n, total, value): what ``align`` makes, told by its runs instead of its cells.
+
+    All ``total`` distinct times are numbered, range by range; a sample holds from its time's number
+    (the first one from 0) for ``n`` times, up to the series' next sample.  So there are as many rows
+    as samples, whatever the number of series.  A series without any value is one run of null.
+    """
+    require_columns(series, "series", TIME, "value")
+    one = series.groupBy("series", TIME).agg(F.avg("value").alias("value"))
+    times = sums_before(one.select(TIME).distinct(), [TIME], F.lit(1))
+    placed = one.join(times, TIME).select("series", F.col("_before").cast("long").alias("at"), F.col("_total").cast("long").alias("total"), "value")
+    found = placed.groupBy("series").agg(F.min("at").alias("_first"), F.count("value").alias("_known")).withColumnRenamed("series", "_series")
+    kept = placed.join(found, F.col("series") == F.col("_series")).filter("value is not null or (_known = 0 and at = _first)")
+    w = Window.partitionBy("series").orderBy("at")
+    begun = kept.select("series", F.when(F.row_number().over(w) == 1, 0).otherwise(F.col("at")).cast("long").alias("at"), F.lead("at").over(w).alias("_next"), "total", "value")
+    return begun.select("series", "at", (F.coalesce("_next", "total") - F.col("at")).alias("n"), "total", "value")
+
+
+def ranked_runs(found: DataFrame) -> DataFrame:
+    """``ranked`` for runs: average ranks of values within their series, each counted for its ``n`` times."""
+    sizes = found.groupBy("series", "value").agg(F.sum("n").alias("c"))
+    smaller = F.coalesce(F.sum("c").over(Window.partitionBy("series").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranks = sizes.select(F.col("series").alias("_series"), F.col("value").alias("_value"), (smaller + (F.col("c") + 1) / 2.0).alias("rank"))
+    met = found.join(ranks, (F.col("series") == F.col("_series")) & F.col("value").eqNullSafe(F.col("_value")))
+    return met.select("series", "at", "n", "total", F.col("rank").alias("value"))
+
+
+def pearson_of_runs(found: DataFrame, width: int = WIDTH, times: int = TIMES) -> DataFrame:
+    """``pearson`` of what ``align`` would make, without a row for every series and time.
+
+    Times are cut into chunks of ``times``; a chunk holds the samples in it and, from each series, one
+    value with which it begins.  A task spreads a chunk's runs over its times as a matrix of ``times`` by
+    some ``width`` series, and adds up products as ``pearson`` does.
+    """
+    blocks = _blocks(found, width)
+    means = found.groupBy("series").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("_mean")).withColumnRenamed("series", "_series")
+    off = found.join(means, F.col("series") == F.col("_series")).withColumn("v", F.col("value") - F.col("_mean"))
+    first, last = F.ceil(F.col("at") / times).cast("long"), F.floor((F.col("at") + F.col("n") - 1) / times).cast("long")
+    begins = F.when(first <= last, F.transform(F.sequence(first, last), lambda c: c * times)).otherwise(F.array().cast("array<bigint>"))
+    own = F.when(F.col("at") % times > 0, F.array("at")).otherwise(F.array().cast("array<bigint>"))
+    block = F.pmod(F.xxhash64("series"), F.lit(blocks)).cast("int").alias("block")
+    cells = off.select("series", block, "total", "v", F.explode(F.concat(own, begins)).alias("at")).withColumn("chunk", F.floor(F.col("at") / times).cast("long"))
+    # one shuffle: both groupings find their rows together
+    dealt = cells.repartition("chunk", "block").groupBy("chunk", "block", "total", "series").agg(F.array_sort(F.collect_list(F.struct((F.col("at") - F.col("chunk") * times).cast("int").alias("at"), "v"))).alias("c"))
+    rows = dealt.groupBy("chunk", "block", "total").agg(F.array_sort(F.collect_list(F.struct("series", "c"))).alias("s"))
+    long = F.least(F.lit(times).cast("long"), F.col("total") - F.col("chunk") * times).cast("int")
+    rows = rows.select("chunk", "block", F.col("s.series").alias("names"), long.alias("long"), F.transform("s.c", F.size).alias("counts"), F.flatten("s.c").getField("at").alias("starts"), F.flatten("s.c").getField("v").alias("values"))
+
+    def spread(g: pd.DataFrame, long: str, counts: str, starts: str, values: str) -> np.ndarray:
+        n, at = int(g[long].iat[0]), np.asarray(g[starts].iat[0], dtype=int)
+        ends = np.append(at[1:], n)
+        ends[np.cumsum(g[counts].iat[0]) - 1] = n
+        return np.repeat(np.asarray(g[values].iat[0], dtype=float), ends - at).reshape(-1, n).T
+
+    return _products(rows, "chunk", ("long", "counts", "starts", "values"), blocks, spread, 1)
+
+
+def correlation_of_samples(series: DataFrame, method: str = "pearson", width: int = WIDTH) -> DataFrame:
+    """``correlation`` of aligned series, from their samples as they are.
+
+    Pearson and Spearman go by runs; Kendall, which compares all times of a pair, aligns first.
+    """
+    if method not in ("pearson", "spearman"):
+        return correlation(align(series), method)
+    found = runs(series)
+    return pearson_of_runs(found if method == "pearson" else ranked_runs(found), width)
+
+
 def _inversions(y: np.ndarray) -> int:
     """Pairs i < j with y[i] > y[j], by merging sorted halves."""
     total, width, y = 0, 1, y.copy()

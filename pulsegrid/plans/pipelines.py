@@ -76,7 +76,7 @@ def analyze_patterns(df: DataFrame, how: str = "sum", window: int = 20, deviatio
 
 def analyze_correlations(series: DataFrame, method: str = "pearson", threshold: float = 0.7) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(coefficients, strong pairs, summary) of aligned series."""
-    matrix = correlate.correlation(correlate.align(series), method)
+    matrix = correlate.correlation_of_samples(series, method)
     return matrix, correlate.high_correlations(matrix, threshold), correlate.correlation_summary(matrix)
 
 

@@ -807,6 +807,17 @@ def a13_pearson(spark, sf_dir):
     return rounded(correlate.pearson(_aligned(spark, sf_dir)))
 
 
+@query(WITH_GROWING + ALIGN + f"SELECT series_a, series_b, {r('r')} FROM ({_corr('aligned')})")
+def a13_pearson_of_runs(spark, sf_dir):
+    """The same coefficients without aligned rows."""
+    return rounded(correlate.correlation_of_samples(correlate.named_series(clean.resample(growing(spark, sf_dir), HOUR))))
+
+
+@query(WITH_GROWING + ALIGN + f"SELECT series_a, series_b, {r('r')} FROM ({_corr('ranks')})")
+def a14_spearman_of_runs(spark, sf_dir):
+    return rounded(correlate.correlation_of_samples(correlate.named_series(clean.resample(growing(spark, sf_dir), HOUR)), "spearman"))
+
+
 @query(WITH_GROWING + ALIGN + f"SELECT series_a, series_b, {r('r')} FROM ({_corr('aligned')})")
 def a13_pearson_growing(spark, sf_dir):
     """The pairs grow with the square of the series, as the matrix does."""

@@ -485,3 +485,20 @@ def test_per_window_in_batches_of_any_lengths(spark):
         got = {r.i: r for r in windows.per_window(df.coalesce(1), fit, (1, 3), many=many, order=(1, 1, 0)).collect()}
         assert got[1].pred_3 == pytest.approx([64, 128, 256]) and got[1].pred_1 == pytest.approx([64])
         assert got[2].pred_3 == [1.0] * 3 and np.isnan(got[3].pred_1).all()
+
+
+@pytest.mark.parametrize("width,times", [(1000, 500), (3, 4), (2, 500), (1000, 1)])
+def test_correlation_of_runs_is_that_of_aligned_rows(spark, width, times):
+    rng = np.random.default_rng(8)
+    rows = [(f"s{i}", T0 + dt.timedelta(seconds=int(t)), None if v < 0.1 else float(round(v * 6))) for i in range(7) for t, v in zip(rng.integers(0, 60, 12 + 5 * i), rng.random(12 + 5 * i))]
+    rows += [("flat", T0 + dt.timedelta(seconds=3), 2.0), ("none", T0 + dt.timedelta(seconds=90), None), ("none", T0, None), ("late", T0 + dt.timedelta(seconds=70), 1.0), ("late", T0 + dt.timedelta(seconds=80), 5.0)]
+    df = spark.createDataFrame(rows, "series string, timestamp timestamp_ntz, value double").repartition(5)
+    aligned, found = correlate.align(df), correlate.runs(df)
+    assert found.groupBy("series").agg(F.sum("n").alias("n")).select("n").distinct().collect() == [(aligned.select("timestamp").distinct().count(),)]
+    for want, got in ((correlate.pearson(aligned), found), (correlate.spearman(aligned), correlate.ranked_runs(found))):
+        want = {(r.series_a, r.series_b): r.r for r in want.collect()}
+        got = {(r.series_a, r.series_b): r.r for r in correlate.pearson_of_runs(got, width, times).collect()}
+        assert got.keys() == want.keys() and len(got) == 45
+        for pair, r in want.items():
+            assert (r is None) == (got[pair] is None) and (r is None or got[pair] == pytest.approx(r, abs=1e-9)), pair
+    assert correlate.correlation_of_samples(df.limit(0)).count() == 0
