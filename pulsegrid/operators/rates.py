@@ -50,14 +50,21 @@ def counter_rate(df: DataFrame, seconds: int = 60) -> DataFrame:
     met = rows.join(handed, same_keys([*keys, "_block"], "_at_"))
     previous = F.when(F.row_number().over(inside) == 1, F.col("_before.value")).otherwise(F.lag("value").over(inside))
     summed = met.withColumn("_own", grown(previous)).withColumn("_sum", F.col("_sofar") + F.sum("_own").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-    near = F.when(F.col("_us") >= (F.col("_block") + 1) * size - reach, F.array(F.col("_block"), F.col("_block") + 1)).otherwise(F.array("_block"))
-    seen = summed.withColumn("_in", F.explode(near))
-    trailing = Window.partitionBy(*keys, "_in").orderBy("_us").rangeBetween(-reach, 0)
-    # the first increase of the range began before the range, and is left out;
-    # running totals never fall, so of equal times the first is the least
-    ends = seen.withColumn("_begin", F.min(F.struct("_us", "_sum")).over(trailing)).withColumn("_end", F.max("_sum").over(trailing)).filter("_in = _block")
+    # running totals never fall, so of equal times the last is the greatest
+    ended = summed.withColumn("_end", F.max("_sum").over(Window.partitionBy(*keys, "_block").orderBy(TIME).rangeBetween(Window.unboundedPreceding, 0)))
+    # backwards in time, each range's beginning is a mark, and the last sample before the mark is the range's first one;
+    # so a sample is looked at once, however many ranges it is in
+    at = lambda block, us, mark: F.struct(block.alias("_in"), us.alias("_at"), F.lit(mark).alias("_mark"))
+    block, us = F.col("_block"), F.col("_us")
+    places = [at(block, us, False), at(block, us - reach, True)]
+    near = F.when(us >= (block + 1) * size - reach, F.array(*places, at(block + 1, us, False))).otherwise(F.array(*places))
+    seen = ended.withColumn("_p", F.explode(near))
+    backwards = Window.partitionBy(*keys, "_p._in").orderBy(F.desc("_p._at"), "_p._mark", F.desc("_sum"))
+    sample = F.when(~F.col("_p._mark"), F.struct("_us", "_sum"))
+    # the first increase of the range began before the range, and is left out
+    begun = seen.withColumn("_begin", F.last(sample, ignorenulls=True).over(backwards.rowsBetween(Window.unboundedPreceding, 0))).filter("_p._mark")
     covered = (F.col("_us") - F.col("_begin._us")) / 1_000_000
-    return ends.withColumn("rate", F.when(covered > 0, (F.col("_end") - F.col("_begin._sum")) / covered)).select(*df.columns, "rate")
+    return begun.withColumn("rate", F.when(covered > 0, (F.col("_end") - F.col("_begin._sum")) / covered)).select(*df.columns, "rate")
 
 
 def exported_metrics(df: DataFrame, seconds: int = 60) -> DataFrame:

@@ -502,3 +502,9 @@ def test_correlation_of_runs_is_that_of_aligned_rows(spark, width, times):
         for pair, r in want.items():
             assert (r is None) == (got[pair] is None) and (r is None or got[pair] == pytest.approx(r, abs=1e-9)), pair
     assert correlate.correlation_of_samples(df.limit(0)).count() == 0
+
+
+def test_a_rate_looks_at_a_sample_once_however_long_its_range_is(spark):
+    # a bounded frame by time goes through all samples of the range for each sample
+    plan = rates.counter_rate(series(spark, range(5)), 3_600)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RangeFrame, -" not in plan and "specifiedwindowframe(RangeFrame, unboundedpreceding$(), currentrow$())" in plan
