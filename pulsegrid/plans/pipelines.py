@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import label_selector, metric_of, select_containers, select_metric, with_container_name
+from ..functions.scalars import settled
 from ..keys import SERIES, TIME, micros_between
 from ..operators import clean, correlate, evaluate, explore, features, forecast, rates, scale, split, vocabulary, windows
 from ..sources import io
@@ -58,14 +59,20 @@ def input_scalers(data: DataFrame, method: str = "standard") -> DataFrame:
     return scale.fit_input_scalers(data.filter("split = 'train'"), method)
 
 
-def scale_training_data(data: DataFrame, horizons: tuple[int, ...], method: str = "standard", inputs: bool = True) -> tuple[DataFrame, DataFrame]:
+def scale_training_data(data: DataFrame, horizons: tuple[int, ...], method: str = "standard", inputs: bool = True, keep: bool = False, digits: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(scaled windows, target scalers): inputs by ``input_scalers``, targets by one scaler a horizon.
 
-    All are fitted on the training part and applied to every part.
+    All are fitted on the training part and applied to every part.  ``keep`` adds the targets as they
+    were, ``true_<h>``; ``digits`` rounds the scalers, which then don't depend on the order of sums.
     """
-    scalers = scale.fit_target_scalers(data.filter("split = 'train'"), horizons, method)
-    out = scale.apply_scaler(data, scalers, [f"y_{h}" for h in horizons])
-    return (scale.apply_input_scaler(out, input_scalers(data, method)) if inputs else out), scalers
+
+    def rounded(scaler: DataFrame) -> DataFrame:
+        return scaler if digits is None else scaler.withColumns({c: settled(F.col(c), digits) for c in ("center", "scale")})
+
+    scalers = rounded(scale.fit_target_scalers(data.filter("split = 'train'"), horizons, method))
+    kept = data.withColumns({f"true_{h}": F.col(f"y_{h}") for h in horizons}) if keep else data
+    out = scale.apply_scaler(kept, scalers, [f"y_{h}" for h in horizons])
+    return (scale.apply_input_scaler(out, rounded(input_scalers(data, method))) if inputs else out), scalers
 
 
 def analyze_patterns(df: DataFrame, how: str = "sum", window: int = 20, deviations: float = 2.0) -> tuple[DataFrame, DataFrame]:
@@ -111,7 +118,8 @@ def evaluate_forecasts(data: DataFrame, horizons: tuple[int, ...], order: tuple[
     """(by horizon, degradation, by step) of a refit on each test window.
 
     Scores by horizon include the directional accuracy, and are written as
-    JSON to ``path`` if one is given.
+    JSON to ``path`` if one is given.  Forecasts of scaled windows are scaled back; so are their targets,
+    but for those kept as ``true_<h>``, which scaling and scaling back would leave a little off.
 
     Windows are dealt out evenly first, as fits take CPU and not data.
     """
@@ -119,7 +127,9 @@ def evaluate_forecasts(data: DataFrame, horizons: tuple[int, ...], order: tuple[
     scored = windows.per_window(test, forecast.arima_windows, horizons, many=True, order=order, seasonal=seasonal)
     if scalers is not None:
         names = {f"{side}_{h}": f"y_{h}" for h in horizons for side in ("y", "pred")}
-        scored = scale.apply_scaler(scored, scalers, list(names), inverse=True, names=names)
+        kept = {f"y_{h}": F.col(f"true_{h}") for h in horizons if f"true_{h}" in data.columns}
+        back = [c for c in names if c not in kept]
+        scored = scale.apply_scaler(scored, scalers, back, inverse=True, names=names).withColumns(kept)
     paired = evaluate.pair_steps(scored, horizons, directions=True)
     by_horizon = evaluate.horizon_analysis(paired)
     if path is not None:

@@ -4,9 +4,11 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pulsegrid import queries as core
 from pulsegrid.operators import forecast
+from pulsegrid.plans import pipelines
 
 T0 = dt.datetime(2024, 1, 1)
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -117,3 +119,26 @@ def test_export_takes_all_event_types(spark, tmp_path):
     # a counter's first sample has no rate; the others rise by 10 an hour
     rate = (4, pytest.approx(4 * 10 / 3600, abs=1e-6))
     assert got == {"container_memory_usage": (5, 100.0), **{f"container_{k}_rate": rate for k in ("cpu", "fs_reads", "network_receive", "fs_writes")}}
+
+
+def test_ties_of_rounding_are_not_left_to_the_order_of_a_sum(spark):
+    import duckdb
+
+    half = 48.2384375  # a mean of 32 values of two digits
+    values = [half, float(np.nextafter(half, 0)), float(np.nextafter(half, 99)), half - 1e-8, -half]
+    got = [r.v for r in spark.createDataFrame([(v,) for v in values], "v double").select(core.settled(F.col("v"), 6).alias("v")).collect()]
+    assert got == [48.238438, 48.238438, 48.238438, 48.238437, -48.238437]
+    assert [duckdb.execute(f"select {core.settled_sql('?::DOUBLE', 6)}", [v]).fetchall()[0][0] for v in values] == got
+
+
+def test_targets_are_scored_as_they_were(spark):
+    rng = np.random.default_rng(3)
+    rows = [("m", "c", k, "train" if k < 8 else "test", rng.uniform(0, 900, 48).round(2).tolist(), [0.01, 812.3, 0.07, 0.33]) for k in range(10)]
+    data = spark.createDataFrame(rows, "metric_name string, container_name string, window_id long, split string, x array<double>, y_4 array<double>")
+    scaled, scalers = pipelines.scale_training_data(data, (4,), keep=True)
+    assert [r.true_4 for r in scaled.collect()] == [r[-1] for r in rows]
+    by_horizon = pipelines.evaluate_forecasts(scaled, (4,), (0, 0, 0), scalers, seasonal=(0, 1, 0, 24))[0].first()
+    assert by_horizon.n == 8 and by_horizon.directional_accuracy is not None
+    shifted = scaled.withColumn("y_4", F.transform("y_4", lambda v: v + 5.0))  # scaled targets do not matter
+    again = pipelines.evaluate_forecasts(shifted, (4,), (0, 0, 0), scalers, seasonal=(0, 1, 0, 24))[0].first()
+    assert again == by_horizon
