@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,87 +48,69 @@ def pairs(aligned: DataFrame) -> DataFrame:
     return left.join(right, TIME).filter("series_a < series_b")
 
 
-#: Series of a block, about: a time's values of a block lie in one row, and a task holds the sums of one
-#: pair of blocks at a time, six numbers for each pair of series: some 50 MB, however many series there are.
-WIDTH = 1_000
-#: Times of a matrix product.
-TIMES = 500
+#: Series of a block, about, and times of a chunk: a row holds the values of a block over a chunk, 8 MB, and a
+#: group two of them, however many series and times there are.
+WIDTH, TIMES = 500, 2_000
 
 
-def _vectors(aligned: DataFrame, blocks: int) -> DataFrame:
-    """(timestamp, block, names, values): what each series is off its mean, side by side in order of the names."""
+def _vectors(aligned: DataFrame, blocks: int, chunks: int) -> DataFrame:
+    """(chunk, block, names, values): what each series is off its mean, a time after the other, series in order of the names."""
     means = aligned.groupBy("series").agg(F.avg("value").alias("_mean"))
     off = aligned.join(means, "series").select("series", TIME, (F.col("value") - F.col("_mean")).alias("v"))
     block = F.pmod(F.xxhash64("series"), F.lit(blocks)).cast("int").alias("block")
-    rows = off.groupBy(TIME, block).agg(F.array_sort(F.collect_list(F.struct("series", "v"))).alias("c"))
-    return rows.select(TIME, "block", F.col("c.series").alias("names"), F.col("c.v").alias("values"))
+    chunk = F.pmod(F.xxhash64(TIME), F.lit(chunks)).cast("long").alias("chunk")
+    rows = off.groupBy(TIME, chunk, block).agg(F.array_sort(F.collect_list(F.struct("series", "v"))).alias("c"))
+    whole = rows.groupBy("chunk", "block").agg(F.first("c.series").alias("names"), F.array_sort(F.collect_list(F.struct(TIME, F.col("c.v").alias("v")))).alias("t"))
+    return whole.select("chunk", "block", "names", F.flatten("t.v").alias("values"))
 
 
-def pearson(aligned: DataFrame, width: int = WIDTH) -> DataFrame:
+def pearson(aligned: DataFrame, width: int = WIDTH, times: int = TIMES) -> DataFrame:
     """(series_a, series_b, r); null where a series does not vary.
 
-    Series are dealt into blocks of about ``width`` (a job counts them when this
-    is called).  For two blocks, a task sums the outer products of their vectors
-    over its times as one matrix product, and hands on the sums when it comes to
-    the next two; only these sums, one number a pair and task, are shuffled.
+    Series are dealt into blocks of about ``width``, times into chunks of about ``times`` (a job counts them
+    when this is called).  Two blocks of a chunk are a group, whose sums of products are one matrix product;
+    only where there are several chunks are these sums, one row a pair and chunk, shuffled.
     Every series has a value at every time, as ``align`` leaves it; times where
     one has none are left out for its pairs.
     """
-    blocks = _blocks(aligned, width)
-    stack = lambda g, values: np.vstack(g[values].to_list()).astype(float)
-    return _products(_vectors(aligned, blocks), TIME, ("values",), blocks, stack, TIMES)
+    blocks, chunks = (_parts(aligned, c, n) for c, n in (("series", width), (TIME, times)))
 
+    def stack(rows: pa.Table, k: int, n: int) -> np.ndarray:
+        return rows["values"][k].values.to_numpy(zero_copy_only=False).astype(float).reshape(-1, n)
 
-def _blocks(series: DataFrame, width: int) -> int:
-    return max(1, -(-series.select("series").distinct().count() // width))
+    return _products(_vectors(aligned, blocks, chunks), blocks, chunks, stack)
 
 
-def _products(rows: DataFrame, key: str, parts_of: tuple[str, ...], blocks: int, matrix, step: int) -> DataFrame:
-    """(series_a, series_b, r) from rows (key, block, names and ``parts_of``).
+def _parts(rows: DataFrame, column: str, size: int) -> int:
+    return max(1, -(-rows.select(column).distinct().count() // size))
 
-    ``matrix(rows, *columns)`` makes a matrix of times by series out of up to ``step`` rows of a block.
+
+def _products(rows: DataFrame, blocks: int, chunks: int, matrix) -> DataFrame:
+    """(series_a, series_b, r) from one row for each chunk and block: names, and what ``matrix`` needs.
+
+    ``matrix(rows, k, series)`` makes a matrix of times by series out of row k.
     """
-    twin = {c: f"other_{c}" for c in parts_of}
-    if blocks == 1:
-        met = rows.select("block", F.col("block").alias("other"), "names", F.col("names").alias("others"), *parts_of, *[F.col(c).alias(t) for c, t in twin.items()])
-    else:
-        other = rows.select(key, F.col("block").alias("other"), F.col("names").alias("others"), *[F.col(c).alias(t) for c, t in twin.items()])
-        dealt = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        # two blocks' times go to several tasks where there are fewer pairs of blocks than tasks
-        turns = max(1, dealt * 2 // (blocks * (blocks + 1)))
-        met = rows.join(other, key).filter("block <= other").repartition("block", "other", F.pmod(F.xxhash64(key), F.lit(turns))).sortWithinPartitions("block", "other")
-        met = met.select("block", "other", "names", "others", *parts_of, *twin.values())
-
-    def sums(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, held = None, []
-        for pdf in parts:
-            for pair, g in pdf.groupby(["block", "other"], sort=True):
-                names = (tuple(g["names"].iat[0]), tuple(g["others"].iat[0]))
-                if at is not None and (pair, names) != at:
-                    yield said(at[1], held)
-                    held = []
-                for k in range(0, len(g), step):
-                    some = g.iloc[k : k + step]
-                    x, y = matrix(some, *parts_of), matrix(some, *twin.values())
-                    u, v = ~np.isnan(x), ~np.isnan(y)
-                    x, y, u, v = np.where(u, x, 0), np.where(v, y, 0), u.astype(float), v.astype(float)
-                    new = [u.T @ v, x.T @ v, u.T @ y, x.T @ y, (x * x).T @ v, u.T @ (y * y)]
-                    held = [a + b for a, b in zip(held, new, strict=True)] if held else new
-                at = (pair, names)
-        if at is not None:
-            yield said(at[1], held)
-
-    def said(names: tuple[tuple, tuple], made: list[np.ndarray]) -> pd.DataFrame:
-        first, second = (np.array(n, dtype=object) for n in names)
-        i, j = np.nonzero(first[:, None] != second[None, :])
-        return pd.DataFrame({"a": first[i], "b": second[j]} | {f"s{k}": m[i, j] for k, m in enumerate(made)})
-
-    found = met.mapInPandas(sums, "a string, b string, " + ", ".join(f"s{k} double" for k in range(6)))
-    # inside a block each pair comes both ways
+    # each row goes to all pairs of its block; a group is two rows, or one for a block with itself
+    of = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_of")
+    met = rows.select("*", of).withColumns({"_one": F.least("block", "_of"), "_two": F.greatest("block", "_of")}).drop("_of")
+
+    def sums(g: pa.Table) -> pa.Table:
+        order = np.argsort(g["block"].to_numpy())
+        names = [g["names"][int(k)].values for k in (order[0], order[-1])]
+        made = [matrix(g, int(k), len(n)) for k, n in zip(order, names, strict=False)]
+        x, y = made[0], made[-1]
+        u, v = ~np.isnan(x), ~np.isnan(y)
+        x, y, u, v = np.where(u, x, 0), np.where(v, y, 0), u.astype(float), v.astype(float)
+        new = [u.T @ v, x.T @ v, u.T @ y, x.T @ y, (x * x).T @ v, u.T @ (y * y)]
+        i, j = np.nonzero(np.triu(np.ones(new[0].shape, dtype=bool), 1) if len(order) == 1 else np.ones(new[0].shape, dtype=bool))
+        return pa.table({"a": names[0].take(pa.array(i)), "b": names[1].take(pa.array(j))} | {f"s{k}": m[i, j] for k, m in enumerate(new)})
+
+    found = met.groupBy("_one", "_two", "chunk").applyInArrow(sums, "a string, b string, " + ", ".join(f"s{k} double" for k in range(6)))
     found = found.select(F.least("a", "b").alias("series_a"), F.greatest("a", "b").alias("series_b"), "*", (F.col("a") < F.col("b")).alias("first"))
     x, y = (F.when(F.col("first"), F.col(f"s{m}")).otherwise(F.col(f"s{n}")) for m, n in ((1, 2), (2, 1)))
     xx, yy = (F.when(F.col("first"), F.col(f"s{m}")).otherwise(F.col(f"s{n}")) for m, n in ((4, 5), (5, 4)))
-    total = found.groupBy("series_a", "series_b").agg(F.sum("s0").alias("n"), F.sum(x).alias("x"), F.sum(y).alias("y"), F.sum("s3").alias("xy"), F.sum(xx).alias("xx"), F.sum(yy).alias("yy"))
+    cells = found.select("series_a", "series_b", F.col("s0").alias("n"), x.alias("x"), y.alias("y"), F.col("s3").alias("xy"), xx.alias("xx"), yy.alias("yy"))
+    total = cells if chunks == 1 else cells.groupBy("series_a", "series_b").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xy", "xx", "yy")])
     covariance = F.col("xy") - F.try_divide(F.col("x") * F.col("y"), "n")
     spread = [F.greatest(F.col(q) - F.try_divide(F.col(m) * F.col(m), "n"), F.lit(0.0)) for q, m in (("xx", "x"), ("yy", "y"))]
     varies = (spread[0] > 1e-12 * F.col("n")) & (spread[1] > 1e-12 * F.col("n"))
@@ -170,10 +152,10 @@ def pearson_of_runs(found: DataFrame, width: int = WIDTH, times: int = TIMES) ->
     """``pearson`` of what ``align`` would make, without a row for every series and time.
 
     Times are cut into chunks of ``times``; a chunk holds the samples in it and, from each series, one
-    value with which it begins.  A task spreads a chunk's runs over its times as a matrix of ``times`` by
-    some ``width`` series, and adds up products as ``pearson`` does.
+    value with which it begins.  A group spreads a chunk's runs over its times as a matrix of ``times`` by
+    some ``width`` series, and sums products as ``pearson`` does.
     """
-    blocks = _blocks(found, width)
+    blocks, chunks = _parts(found, "series", width), max(1, -(-(found.agg(F.max("total")).first()[0] or 0) // times))
     means = found.groupBy("series").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("_mean")).withColumnRenamed("series", "_series")
     off = found.join(means, F.col("series") == F.col("_series")).withColumn("v", F.col("value") - F.col("_mean"))
     first, last = F.ceil(F.col("at") / times).cast("long"), F.floor((F.col("at") + F.col("n") - 1) / times).cast("long")
@@ -187,13 +169,13 @@ def pearson_of_runs(found: DataFrame, width: int = WIDTH, times: int = TIMES) ->
     long = F.least(F.lit(times).cast("long"), F.col("total") - F.col("chunk") * times).cast("int")
     rows = rows.select("chunk", "block", F.col("s.series").alias("names"), long.alias("long"), F.transform("s.c", F.size).alias("counts"), F.flatten("s.c").getField("at").alias("starts"), F.flatten("s.c").getField("v").alias("values"))
 
-    def spread(g: pd.DataFrame, long: str, counts: str, starts: str, values: str) -> np.ndarray:
-        n, at = int(g[long].iat[0]), np.asarray(g[starts].iat[0], dtype=int)
+    def spread(g: pa.Table, k: int, series: int) -> np.ndarray:
+        n, at = g["long"][k].as_py(), g["starts"][k].values.to_numpy()
         ends = np.append(at[1:], n)
-        ends[np.cumsum(g[counts].iat[0]) - 1] = n
-        return np.repeat(np.asarray(g[values].iat[0], dtype=float), ends - at).reshape(-1, n).T
+        ends[np.cumsum(g["counts"][k].values.to_numpy()) - 1] = n
+        return np.repeat(g["values"][k].values.to_numpy(zero_copy_only=False).astype(float), ends - at).reshape(series, n).T
 
-    return _products(rows, "chunk", ("long", "counts", "starts", "values"), blocks, spread, 1)
+    return _products(rows, blocks, chunks, spread)
 
 
 def correlation_of_samples(series: DataFrame, method: str = "pearson", width: int = WIDTH) -> DataFrame:

@@ -508,3 +508,15 @@ def test_a_rate_looks_at_a_sample_once_however_long_its_range_is(spark):
     # a bounded frame by time goes through all samples of the range for each sample
     plan = rates.counter_rate(series(spark, range(5)), 3_600)._jdf.queryExecution().optimizedPlan().toString()
     assert "RangeFrame, -" not in plan and "specifiedwindowframe(RangeFrame, unboundedpreceding$(), currentrow$())" in plan
+
+
+def test_a_correlation_group_holds_two_blocks_of_a_chunk(spark):
+    rng = np.random.default_rng(6)
+    rows = [(f"s{k}", T0 + dt.timedelta(hours=h), float(v)) for k in range(40) for h, v in enumerate(rng.normal(size=90))]
+    df = spark.createDataFrame(rows, "series string, timestamp timestamp_ntz, value double")
+    want = {(r.series_a, r.series_b): r.r for r in correlate.pearson(df).collect()}
+    plan = correlate.pearson(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInPandas" not in plan and "FlatMapGroupsInArrow [_one" in plan.replace("#", " #")
+    for width, times in ((7, 90), (7, 20), (40, 13)):
+        got = {(r.series_a, r.series_b): r.r for r in correlate.pearson(df, width, times).collect()}
+        assert got.keys() == want.keys() and len(got) == 780 and all(abs(got[k] - want[k]) < 1e-12 for k in got)
