@@ -57,39 +57,45 @@ class _Series:
     """
 
     SCHEMA = "wait_us array<long>, wait_id array<long>, wait_value array<double>, us array<long>, sums array<double>, last double, total double"
+    KINDS = (np.int64, np.int64, float, np.int64, float)
 
     def __init__(self, held: tuple | None) -> None:
-        us, ids, values, closed, sums, self.last, self.total = held or ((), (), (), (), (), None, 0.0)
-        self.waiting = list(zip(us, ids, values, strict=True))
-        self.closed = list(zip(closed, sums, strict=True))
+        *columns, self.last, self.total = held or ((), (), (), (), (), None, 0.0)
+        columns = [np.asarray(c, dtype=k) for c, k in zip(columns, self.KINDS, strict=True)]
+        self.waiting, self.closed = columns[:3], columns[3:]
 
     def held(self) -> tuple:
-        columns = list(zip(*self.waiting, strict=True)) or [(), (), ()]
-        closed = list(zip(*self.closed, strict=True)) or [(), ()]
-        return (*[list(c) for c in columns], *[list(c) for c in closed], self.last, self.total)
-
-    def close(self, before: int, span: int, idle: int) -> list[tuple]:
-        """(micros, id, value, rate) of the waiting samples before a time, in order."""
-        self.waiting.sort()
-        n = next((i for i, s in enumerate(self.waiting) if s[0] >= before), len(self.waiting))
-        ready, self.waiting, out, at = self.waiting[:n], self.waiting[n:], [], 0
-        while at < n:
-            now, same = ready[at][0], []
-            if self.closed and now - self.closed[-1][0] > idle:
-                self.closed, self.last = [], None
-            while at < n and ready[at][0] == now:
-                value = ready[at][2]
-                self.total += 0.0 if self.last is None else value if value < self.last else value - self.last
-                self.last = value
-                if not same:
-                    self.closed.append((now, self.total))
-                same.append(ready[at])
-                at += 1
-            self.closed = [c for c in self.closed if c[0] >= now - span]
-            covered = (now - self.closed[0][0]) / 1_000_000
-            rate = (self.total - self.closed[0][1]) / covered if covered > 0 else None
-            out += [(*s, rate) for s in same]
-        return out
+        return (*[c.tolist() for c in (*self.waiting, *self.closed)], self.last, self.total)
+
+    def add(self, *columns: np.ndarray) -> None:
+        self.waiting = [np.concatenate([a, b]) for a, b in zip(self.waiting, columns, strict=True)]
+
+    def close(self, before: int, span: int, idle: int) -> dict[str, np.ndarray]:
+        """(_us, event_id, value, rate) of the waiting samples before a time, in order; each is looked at once."""
+        self.waiting = [c[np.lexsort(self.waiting[::-1])] for c in self.waiting]
+        n = int(np.searchsorted(self.waiting[0], before))
+        us, ids, value = (c[:n] for c in self.waiting)
+        self.waiting = [c[n:] for c in self.waiting]
+        if not n:
+            return {"_us": us, "event_id": ids, "value": value, "rate": value}
+        held_us, held_sums = self.closed
+        # a silence begins anew: nothing before it is in reach or grown from
+        anew = np.diff(us, prepend=held_us[-1] if len(held_us) else us[0]) > idle
+        past = np.concatenate([[value[0] if self.last is None else self.last], value[:-1]])
+        grown = np.where(anew, 0.0, np.where(value < past, value, value - past))
+        if self.last is None:
+            grown[0] = 0.0
+        sums = np.cumsum(np.concatenate([[self.total], grown]))[1:]
+        first = np.flatnonzero(np.diff(us, prepend=us[0] - 1))
+        of = np.cumsum(np.diff(us, prepend=us[0] - 1) > 0) - 1
+        times, totals = np.concatenate([held_us, us[first]]), np.concatenate([held_sums, sums[first]])
+        own = len(held_us) + np.arange(len(first))
+        begin = np.maximum(np.searchsorted(times, us[first] - span), np.maximum.accumulate(np.where(anew[first], own, 0)))
+        covered = (us[first] - times[begin]) / 1_000_000
+        ends = sums[np.append(first[1:], n) - 1]
+        rate = np.divide(ends - totals[begin], covered, out=np.full(len(first), np.nan), where=covered > 0)
+        self.closed, self.last, self.total = [times[begin[-1] :], totals[begin[-1] :]], float(value[-1]), float(sums[-1])
+        return {"_us": us, "event_id": ids, "value": value, "rate": rate[of]}
 
 
 def live_counter_rates(samples: DataFrame, seconds: int = 60, late: str = "1 minute", forget: str = "1 day") -> DataFrame:
@@ -108,17 +114,18 @@ def live_counter_rates(samples: DataFrame, seconds: int = 60, late: str = "1 min
     def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         mine = _Series(state.get if state.exists else None)
         for pdf in parts:
-            mine.waiting += zip(pdf["_us"].tolist(), pdf["_id"].fillna(-1).astype(np.int64).tolist(), pdf["value"].tolist(), strict=True)
+            mine.add(pdf["_us"].to_numpy(np.int64), pdf["_id"].fillna(-1).to_numpy(np.int64), pdf["value"].to_numpy(float))
         mark = max(state.getCurrentWatermarkMs(), 0)
         done = mine.close(mark * 1000, span, idle * 1000)
-        if state.hasTimedOut and not done and not mine.waiting:
+        waiting, closed = mine.waiting[0], mine.closed[0]
+        if state.hasTimedOut and not len(done["_us"]) and not len(waiting):
             state.remove()
         else:
             state.update(mine.held())
-            due = mine.waiting[0][0] // 1000 if mine.waiting else mine.closed[-1][0] // 1000 + idle
+            due = int(waiting[0]) // 1000 if len(waiting) else int(closed[-1]) // 1000 + idle
             state.setTimeoutTimestamp(max(due, mark + 1))
-        if done:
-            yield pd.DataFrame(done, columns=["_us", "event_id", "value", "rate"]).assign(metric_name=key[0], container_name=key[1]).astype({"rate": "Float64"})
+        if len(done["_us"]):
+            yield pd.DataFrame(done).astype({"rate": "Float64"}).assign(metric_name=key[0], container_name=key[1])
 
     out = rows.groupBy(*SERIES).applyInPandasWithState(run, "metric_name string, container_name string, _us long, event_id long, value double, rate double", _Series.SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
     return out.select(*SERIES, F.timestamp_micros("_us").cast("timestamp_ntz").alias(TIME), "event_id", "value", "rate")

@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 import json
 
 import numpy as np
@@ -142,3 +143,12 @@ def test_silent_counters_are_forgotten(spark, tmp_path):
         out = live.run_available(stream, str(tmp_path / "out"), str(tmp_path / "ckpt"))
     got = {(r.container_name, r.timestamp): r.rate for r in out.collect()}
     assert got == {("a", at(0)): None, ("b", at(0)): None, ("b", at(9000)): None, ("a", at(9100)): None, ("b", at(9100)): 2 / 100, ("a", at(9130)): 3 / 30}
+
+
+def test_closing_samples_takes_time_in_proportion_to_them():
+    n, began = 60_000, time.monotonic()
+    held = live._Series(None)
+    held.add(np.arange(n) * 1_000_000, np.zeros(n, dtype=np.int64), np.arange(n, dtype=float) * 2)
+    out = held.close(n * 1_000_000, n * 1_000_000, 10**12)
+    assert len(out["_us"]) == n and np.isnan(out["rate"][0]) and np.allclose(out["rate"][1:], 2.0)
+    assert time.monotonic() - began < 5
