@@ -181,7 +181,10 @@ def _flagged(table: DataFrame, shared_keys) -> DataFrame:
 
 
 def _variants(docs: DataFrame, shared_keys, flagged, min_words: int) -> DataFrame:
-    """(doc, tag, line, key, role, id): the variants of flagged lines in the regions where a neighbour can differ."""
+    """(doc, tag, line, key, role, id, words): the variants of flagged lines in the regions where a neighbour can differ.
+
+    The words stand beside whole lines (role 2) only.
+    """
 
     def each(batch: pa.RecordBatch, lines: Lines) -> list:
         some = np.flatnonzero(in_filter(flagged.value, lines.half)) if len(lines.ids) else np.zeros(0, dtype=np.int64)
@@ -199,9 +202,10 @@ def _variants(docs: DataFrame, shared_keys, flagged, min_words: int) -> DataFram
         line, key, role = hashes.variants(line[hit], a[hit], b[hit])
         of = some[line]
         ids = pa.array(lines.ids, pa.binary()).take(pa.array(of))
-        return [batch.column("doc").take(pa.array(lines.row[of])), batch.column("tag").take(pa.array(lines.row[of])), lines.number[of], key, role, ids]
+        said = pa.array(lines.said, pa.binary()).take(pa.array(np.where(role == 2, of, 0), mask=role != 2))
+        return [batch.column("doc").take(pa.array(lines.row[of])), batch.column("tag").take(pa.array(lines.row[of])), lines.number[of], key, role, ids, said]
 
-    return _scan(docs, each, "doc long, tag binary, line int, key long, role int, id binary")
+    return _scan(docs, each, "doc long, tag binary, line int, key long, role int, id binary, words binary")
 
 
 def near_lines(docs: DataFrame, table: DataFrame, min_words: int) -> DataFrame:
@@ -219,24 +223,16 @@ def near_lines(docs: DataFrame, table: DataFrame, min_words: int) -> DataFrame:
         .filter("a <> b")
     )
     partner = F.when(F.col("role") == 0, F.col("m0")).when(F.col("role") == 1, F.col("m2")).otherwise(F.col("m1"))
-    pairs = lines.join(groups.hint("merge"), "key").withColumn("p", partner).filter("p.at < at and p.id <> id")
+    pairs = lines.drop("words").join(groups.hint("merge"), "key").withColumn("p", partner).filter("p.at < at and p.id <> id")
     pairs = pairs.select("id", F.col("p.id").alias("other")).distinct()
     # the place of a copy is no reason to go: first places decide
     firsts = stored(lines.filter("role = 2").groupBy("id").agg(F.min("at").alias("at")))
     met = pairs.join(firsts, "id").join(firsts.select(F.col("id").alias("other"), F.col("at").alias("other_at")), "other")
     pairs = stored(met.filter("other_at < at").select("id", "other"))
     both_ends = stored(pairs.select(F.explode(F.array("id", "other")).alias("id")).distinct())
-    halves = table.join(both_ends.hint("merge"), "id", "left_semi").select("half").distinct()
-    wanted = bit_filter(stored(halves), "half")
-
-    def words(batch: pa.RecordBatch, lines: Lines) -> list:
-        hit = in_filter(wanted.value, lines.half).tolist() if len(lines.ids) else []
-        found = {i: s for i, s, h in zip(lines.ids, lines.said, hit, strict=True) if h}
-        return [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.binary())]
-
-    said = _scan(docs, words, "id binary, words binary")
-    said = stored(said.join(both_ends.hint("merge"), "id", "left_semi").dropDuplicates(["id"]))
-    wanted.destroy()
+    # both ends of a pair are whole lines of the table of variants, so the texts need not be read again
+    said = lines.filter("role = 2").select("id", "words").join(both_ends.hint("merge"), "id", "left_semi")
+    said = stored(said.dropDuplicates(["id"]))
     both = pairs.join(said, "id").join(said.select(F.col("id").alias("other"), F.col("words").alias("other_words")), "other")
 
     def verified(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

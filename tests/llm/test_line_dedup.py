@@ -102,3 +102,11 @@ def test_clashing_columns_and_ties(spark):
     got = line_dedup.dedup_lines(df.withColumns({"line": F.lit(1), "id": F.lit(2), "lines": F.lit(3)}))
     assert got.columns == ["doc_id", "text", "doc", "tag", "line", "id", "lines", "n_lines", "n_removed"]
     assert sorted((r.doc_id, r.text, r.doc, r.lines) for r in got.collect()) == [(1, "a b", 5, 3), (1, "a b", 5, 3), (2, "", 5, 3)]
+
+
+def test_texts_are_read_twice_for_near_lines(spark, monkeypatch):
+    scans, scan = [], line_dedup._scan
+    monkeypatch.setattr(line_dedup, "_scan", lambda docs, each, schema: scans.append(schema) or scan(docs, each, schema))
+    docs = spark.createDataFrame([(1, "a b c d e f g h i"), (2, "a b c d x f g h i"), (3, "other words")], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(docs).collect()}
+    assert got == {1: 0, 2: 1, 3: 0} and len(scans) == 2
