@@ -6,12 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bit_filter, in_filter, require, row_tag, stored
+from .common import bit_filter, drop_stored, in_filter, require, row_tag, stored, stored_paths
 from .components import connected_components
 
 WIDTH = 5
@@ -26,27 +27,55 @@ _STEP = 0x9E3779B97F4A7C15
 
 def _mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
     x = x + _U((seed * _STEP) & ((1 << 64) - 1))
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
+    x ^= x >> _U(30)
+    x *= _U(0xBF58476D1CE4E5B9)
+    x ^= x >> _U(27)
+    x *= _U(0x94D049BB133111EB)
+    x ^= x >> _U(31)
+    return x
+
+
+#: The bytes of an 8-byte number that a word of 0 to 8 bytes fills.
+_FILLED = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """64-bit hashes of the words of a text: eight bytes after eight, each mixed with what came before.
+
+    Words of one length, eight bytes at most, never share a hash.
+    """
+    at_ends = np.frombuffer(b" " + raw + b" ", dtype=np.uint8)
+    space = (at_ends == 0x20) | (at_ends - np.uint8(0x09) < np.uint8(5))
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    at, end = np.ascontiguousarray(edges[::2]), edges[1::2]
+    left = end - at
+    eights = np.ndarray(len(raw), dtype="<u8", buffer=raw + bytes(8), strides=(1,))
+    out = _mixed((eights[at] & _FILLED.take(left, mode="clip")) + left.astype(np.uint64) * _U(_STEP))
+    more = np.flatnonzero(left > 8)
+    at, left = at[more] + 8, left[more] - 8
+    while len(more):
+        out[more] = _mixed((eights[at] & _FILLED.take(left, mode="clip")) ^ out[more], 1)
+        longer = np.flatnonzero(left > 8)
+        more, at, left = more[longer], at[longer] + 8, left[longer] - 8
+    return out
 
 
 def shingles(text: str | None, width: int) -> np.ndarray:
     """64-bit hashes of the distinct shingles of a text, sorted.
 
-    Each word has its own xxh3 hash, and a shingle mixes those of its words in
+    Each word has its own hash, and a shingle mixes those of its words in
     turn, so hashes follow no algebra of the letters.
     """
-    words = (text or "").encode().lower().split()
-    if not words:
+    each = word_hashes((text or "").encode().lower())
+    if not len(each):
         return np.zeros(0, dtype=np.uint64)
-    each = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    w = min(width, len(words))
-    n = len(words) - w + 1
+    w = min(width, len(each))
+    n = len(each) - w + 1
     out = np.full(n, w, dtype=np.uint64)
     for k in range(w):
         out = _mixed(out + each[k : k + n], k + 1)
-    return np.unique(out)
+    out.sort()
+    return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
 def class_of(tokens: np.ndarray) -> bytes:
@@ -81,6 +110,16 @@ def _sets(docs: DataFrame, width: int, emit, schema: str) -> DataFrame:
     return docs.mapInPandas(scan, schema)
 
 
+def _chosen(docs: DataFrame, some, *columns: str) -> DataFrame:
+    """The texts of the rows whose hash of the columns is in a filter."""
+
+    def chosen(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            yield batch.select(["text"]).filter(pa.array(in_filter(some.value, batch.column("key").to_numpy())))
+
+    return docs.select("text", F.xxhash64(*columns).alias("key")).mapInArrow(chosen, "text string")
+
+
 def measured(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
     """(doc, tag, class, n) of every text, and how often tokens fall in each cell of a sketch.
 
@@ -147,35 +186,50 @@ def _may_link(n: str, i: str, m: str, j: str, percent: int) -> str:
     return f"{100 + percent}L * least({n} - {i}, {m} - {j}) >= {percent}L * ({n} + {m})"
 
 
-def live_rows(docs: DataFrame, rarity: np.ndarray, width: int, percent: int) -> DataFrame:
-    """(token, class, n, i): prefix tokens, and their places, under the first order that two classes share at least."""
+def prefixes(docs: DataFrame, rows: DataFrame, rarity: np.ndarray, width: int, percent: int) -> DataFrame:
+    """(class, n, tokens): the prefix of every class under the first order, in that order, taken from one text of each.
+
+    Other copies are not taken apart again, but for the few that a filter of the chosen rows lets through.
+    """
+    one = rows.filter("n > 0").groupBy("class").agg(F.min(F.struct("doc", "tag")).alias("one"))
+    some = bit_filter(stored(one.select(F.xxhash64("one.doc", "one.tag").alias("key"))), "key")
     held = docs.sparkSession.sparkContext.broadcast(rarity)
 
-    def first(batch) -> pd.DataFrame:
-        parts = [prefix(t, held.value, 0, percent) for t, _ in batch]
-        half = np.array([_half(c) for _, c in batch], dtype=np.int64)
-        return pd.DataFrame({"token": np.concatenate(parts).view(np.int64), "half": np.repeat(half, [len(p) for p in parts])})
+    def emit(batch) -> pd.DataFrame:
+        return pd.DataFrame({"class": [c for _, c in batch], "n": [len(t) for t, _ in batch], "tokens": [prefix(t, held.value, 0, percent).view(np.int64) for t, _ in batch]})
+
+    out = stored(_sets(_chosen(docs, some, "doc", "tag"), width, emit, "class binary, n int, tokens array<long>"))
+    some.destroy()
+    held.destroy()
+    return out
+
+
+def live_rows(docs: DataFrame, rarity: np.ndarray, width: int, percent: int, rows: DataFrame | None = None) -> DataFrame:
+    """(token, class, n, i): prefix tokens, and their places, under the first order that two classes share at least.
 
-    tokens = _sets(docs, width, first, "token long, half long")
-    shared = stored(tokens.groupBy("token").agg(F.min("half").alias("a"), F.max("half").alias("b")).filter("a <> b").select("token"))
+    ``rows``: those of ``measured``, if they are at hand.
+    """
+    rows = measured(docs, width)[0] if rows is None else rows
+    before = stored_paths()
+    found = prefixes(docs, rows, rarity, width, percent)
+    # a class that came twice only lets through tokens that meet no other class
+    shared = stored(found.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("token"))
+    made = stored_paths() - before
     some = bit_filter(shared, "token")
 
-    def again(batch) -> pd.DataFrame:
-        tokens, classes, sizes, places, counts = [], [], [], [], []
-        for t, c in batch:
-            p = prefix(t, held.value, 0, percent)
-            at = np.flatnonzero(in_filter(some.value, p.view(np.int64)))
-            tokens.append(p[at].view(np.int64))
-            places.append(at)
-            classes.append(c)
-            sizes.append(len(t))
-            counts.append(len(at))
-        return pd.DataFrame({"token": np.concatenate(tokens), "class": np.repeat(np.array(classes, dtype=object), counts), "n": np.repeat(sizes, counts), "i": np.concatenate(places)})
-
-    rows = _sets(docs, width, again, "token long, class binary, n int, i int").distinct()
-    out = stored(rows.join(shared, "token"))
+    def places(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            tokens = batch.column("tokens")
+            flat, ends = tokens.flatten().to_numpy(), np.cumsum(tokens.value_lengths().to_numpy())
+            at = np.flatnonzero(in_filter(some.value, flat))
+            of = np.searchsorted(ends, at, side="right")
+            i = at - np.concatenate([[0], ends])[of]
+            yield pa.RecordBatch.from_arrays([pa.array(flat[at]), batch.column("class").take(pa.array(of)), batch.column("n").take(pa.array(of)), pa.array(i.astype(np.int32))], names=["token", "class", "n", "i"])
+
+    live = found.mapInArrow(places, "token long, class binary, n int, i int").distinct()
+    out = stored(live.join(shared, "token"))
     some.destroy()
-    held.destroy()
+    drop_stored(docs.sparkSession, made)
     return out
 
 
@@ -256,12 +310,7 @@ def _of_classes(docs: DataFrame, rows: DataFrame, pairs: DataFrame, width: int,
     def emit(batch) -> pd.DataFrame:
         return pd.DataFrame({"class": [c for _, c in batch], "payload": [payload(t) for t, _ in batch]})
 
-    def chosen(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            yield pdf.loc[in_filter(some.value, pdf["key"].to_numpy(np.int64)), ["text"]]
-
-    texts = docs.select("text", F.xxhash64("doc").alias("key")).mapInPandas(chosen, "text string")
-    out = stored(_sets(texts, width, emit, "class binary, payload binary").dropDuplicates(["class"]))
+    out = stored(_sets(_chosen(docs, some, "doc"), width, emit, "class binary, payload binary").dropDuplicates(["class"]))
     some.destroy()
     return out
 
@@ -327,7 +376,7 @@ def links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tuple[
     """
     rows, counts = measured(docs, width)
     rarity = _rarity(counts)
-    live = live_rows(docs, rarity, width, percent)
+    live = live_rows(docs, rarity, width, percent, rows)
     led = stored(_to_leaders(live, percent))
     found = linked(docs, rows, led, rarity, width, percent)
     labels = stored(connected_components(found))

@@ -139,3 +139,23 @@ def test_keep_one_row_of_each_group(spark):
     kept = {r.tag for r in got.collect()}
     assert kept - {3, 4} == {0, 1, 8, 9, 10, 11, 12, 13} and len(kept & {3, 4}) == 1
     assert ngram_join.keep_one(df.limit(0)).count() == 0
+
+
+def test_texts_are_taken_apart_once_for_prefixes(spark, monkeypatch):
+    scans, sets = [], ngram_join._sets
+    monkeypatch.setattr(ngram_join, "_sets", lambda docs, width, emit, schema: scans.append(schema) or sets(docs, width, emit, schema))
+    rows = [(1, "a b c d e f g h i j k l m n o"), (2, "a b c d e f g h i j k l m n p"), (3, "a b c d e f g h i j k l m n o"), (4, "other words")]
+    assert run(spark, rows) == brute(rows)
+    assert sum("token" in s for s in scans) == 1
+
+
+def test_word_hashes_tell_words_apart():
+    rng = np.random.default_rng(3)
+    texts = [b"", b" ", b"\x0b\x1c", b"a", b" a\x00  a\x00\x00\ta", "é \x85 x".encode()]
+    texts += [bytes(rng.choice(list(b"ab\x00\xc3 \n"), int(rng.integers(1, 400)), p=[0.4, 0.4, 0.05, 0.05, 0.05, 0.05]).tolist()) for _ in range(300)]
+    seen = {}
+    for t in texts:
+        words, hashes = t.split(), ngram_join.word_hashes(t).tolist()
+        assert len(words) == len(hashes)
+        assert all(seen.setdefault(w, h) == h for w, h in zip(words, hashes, strict=True))
+    assert len(seen) == len(set(seen.values())) > 1000
