@@ -354,7 +354,14 @@ def _delayed(a: np.ndarray, k: int) -> np.ndarray:
 
 
 def _invertible(theta: np.ndarray) -> bool:
-    return not len(theta) or bool(np.abs(np.roots(np.concatenate([[1.0], theta]))).max(initial=0.0) < 0.99)
+    """Whether every root of z^q + theta_1 z^(q-1) + ... is below 0.99, by Schur and Cohn's recursion on its scaled coefficients."""
+    a = [t / 0.99**k for k, t in enumerate(theta.tolist(), 1)]
+    while a:
+        last = a.pop()
+        if not abs(last) < 1:
+            return False
+        a = [(x - last * y) / (1 - last * last) for x, y in zip(a, reversed(a), strict=True)]
+    return True
 
 
 class Innovations:
@@ -379,22 +386,24 @@ class Innovations:
             inverse = _inverse(b[p:], self.memory)
             return inverse, _times(np.concatenate([[1.0], -b[:p]]), inverse)
 
-        def moves(b: np.ndarray) -> np.ndarray:
-            inverse, pi = series(b)
+        def moves(inverse: np.ndarray, pi: np.ndarray) -> np.ndarray:
             again = _times(pi, inverse)
             by = [_delayed(inverse, i) for i in range(1, p + 1)] + [_delayed(again, i) for i in range(1, q + 1)]
             return -np.column_stack(by)
 
         b = self._begin(order) if k else np.zeros(0)
-        c = series(b)[1]
+        inverse, c = series(b)
         least = float(c @ g @ c)
         for _ in range(30 if k else 0):
-            j = moves(b)
-            step, left = -_solved(j.T @ g @ j, j.T @ g @ c), least
+            j = moves(inverse, c)
+            slope = j.T @ g @ c
+            step, left = -_solved(j.T @ g @ j, slope), least
+            if -float(step @ slope) <= 1e-13 * least:  # halves of a step that promises nothing need no trial
+                break
             for _ in range(12):
                 new = b + step
-                if _invertible(new[p:]) and (total := float((made := series(new)[1]) @ g @ made)) < left:
-                    b, c, left = new, made, total
+                if _invertible(new[p:]) and (total := float((made := series(new))[1] @ g @ made[1])) < left:
+                    b, (inverse, c), left = new, made, total
                     break
                 step = step / 2
             if left >= least * (1 - 1e-11):

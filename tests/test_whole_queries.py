@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsegrid import queries as core
-from pulsegrid.operators import forecast
+from pulsegrid.operators import forecast, lagsums
 from pulsegrid.plans import pipelines
 
 T0 = dt.datetime(2024, 1, 1)
@@ -142,3 +142,16 @@ def test_targets_are_scored_as_they_were(spark):
     shifted = scaled.withColumn("y_4", F.transform("y_4", lambda v: v + 5.0))  # scaled targets do not matter
     again = pipelines.evaluate_forecasts(shifted, (4,), (0, 0, 0), scalers, seasonal=(0, 1, 0, 24))[0].first()
     assert again == by_horizon
+
+
+def test_order_search_tries_no_step_that_promises_nothing(monkeypatch):
+    """Without shocks, least squares are the end of it; the criteria of all orders are those of a long search."""
+    calls, inverse = [], forecast._inverse
+    monkeypatch.setattr(forecast, "_inverse", lambda *a: calls.append(a) or inverse(*a))
+    v = np.random.default_rng(4).normal(size=500)
+    lags = tuple(range(forecast.MEMORY + 1))
+    found = forecast.Innovations([lagsums.products_of(np.diff(v, d), lags, forecast.MEMORY + 2 - d) for d in range(3)], 500 - forecast.MEMORY - 2)
+    found.variance((2, 0, 0))
+    assert len(calls) == 1
+    for theta in ([], [0.98], [0.995], [-0.995], [1.2, 0.5], [1.2, 0.1], [0.1, 0.2, 0.98], [3.0, 3.0, 0.9]):
+        assert forecast._invertible(np.array(theta)) == bool(np.abs(np.roots([1.0, *theta])).max(initial=0.0) < 0.99)
