@@ -113,11 +113,16 @@ def window_blocks(df: DataFrame, window: int, horizons: tuple[int, ...], stride:
     rows).  Series are told apart by their key columns, which must not be null.
     Windows are taken out of a block's Arrow arrays by row numbers; no value becomes a Python object.
     """
-    require_columns(df, TIME, target, *features)
+    return numbered_window_blocks(numbered_by_days(df), window, horizons, stride, features, target, block)
+
+
+def numbered_window_blocks(df: DataFrame, window: int, horizons: tuple[int, ...], stride: int, features: tuple[str, ...], target: str = "value", block: int = 4096) -> DataFrame:
+    """``window_blocks`` of rows that have ``row_no`` and ``n_rows`` already."""
+    require_columns(df, TIME, "row_no", "n_rows", target, *features)
     keys = [k for k in SERIES if k in df.columns]
     halo = window + max(horizons) - 1
     size = max(block, halo + 1)
-    rows = numbered_by_days(df).select(*keys, "row_no", "n_rows", TIME, F.array(*[F.col(c).cast("double") for c in features]).alias("_x"), F.col(target).cast("double").alias("_y"))
+    rows = df.select(*keys, "row_no", "n_rows", TIME, F.array(*[F.col(c).cast("double") for c in features]).alias("_x"), F.col(target).cast("double").alias("_y"))
     own = F.floor(F.col("row_no") / size).cast("long")
     before = F.when((F.col("row_no") % size < halo) & (F.col("row_no") >= size), F.array(own, own - 1)).otherwise(F.array(own))
     dealt = rows.withColumn("_block", F.explode(before))

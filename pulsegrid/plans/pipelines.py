@@ -34,12 +34,21 @@ def prepare_container_metrics(df: DataFrame, metric: str, container: str | None
 
 
 def features_and_windows(df: DataFrame, window: int = 240, horizons: tuple[int, ...] = (60,), stride: int = 4, with_calendar: bool = True, with_lags: bool = True, with_rolling: bool = True, target: str = "value", in_blocks: bool = True) -> DataFrame:
-    """Features of a clean series, then windows over all of them; raises where every series is too short for one."""
+    """Features of a clean series, then windows over all of them; raises where every series is too short for one.
+
+    The features' windows go through whole series in time order already, so their rows are numbered there
+    (``numbered``); counting them by days first would make all features once more.  A job looks for one
+    series that is long enough.
+    """
     table = features.add_features(df, with_calendar=with_calendar, with_lags=with_lags, with_rolling=with_rolling)
     columns = tuple(features.feature_columns(table))
-    windows.require_windows(table, window, horizons)
-    cut = windows.window_blocks if in_blocks else windows.sliding_windows
-    return cut(table, window, horizons, stride, columns, target)
+    if not in_blocks:
+        windows.require_windows(table, window, horizons)
+        return windows.sliding_windows(table, window, horizons, stride, columns, target)
+    rows = windows.numbered(table)
+    if rows.filter(F.col("n_rows") >= window + max(horizons)).isEmpty():
+        raise ValueError(f"no series has the {window + max(horizons)} rows that a window needs")
+    return windows.numbered_window_blocks(rows, window, horizons, stride, columns, target)
 
 
 def multi_horizon_windows(df: DataFrame, window: int = 240, horizons: tuple[int, ...] = (20, 60, 120), stride: int = 4, **families: bool) -> DataFrame:

@@ -155,3 +155,13 @@ def test_order_search_tries_no_step_that_promises_nothing(monkeypatch):
     assert len(calls) == 1
     for theta in ([], [0.98], [0.995], [-0.995], [1.2, 0.5], [1.2, 0.1], [0.1, 0.2, 0.98], [3.0, 3.0, 0.9]):
         assert forecast._invertible(np.array(theta)) == bool(np.abs(np.roots([1.0, *theta])).max(initial=0.0) < 0.99)
+
+
+def test_features_are_made_once_for_windows(spark):
+    rows = [("cpu", c, T0 + dt.timedelta(hours=h), float(h % 7)) for c, n in (("a", 130), ("b", 40)) for h in range(n)]
+    df = spark.createDataFrame(rows, "metric_name string, container_name string, timestamp timestamp_ntz, value double")
+    out = pipelines.features_and_windows(df, 20, (10,), 4)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.container_name, r.window_id) for r in out.collect()} == {("a", k) for k in range(20)}
+    with pytest.raises(ValueError):
+        pipelines.features_and_windows(df.filter("container_name = 'b'"), 20, (10,), 4)
