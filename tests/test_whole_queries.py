@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -165,3 +166,16 @@ def test_features_are_made_once_for_windows(spark):
     assert {(r.container_name, r.window_id) for r in out.collect()} == {("a", k) for k in range(20)}
     with pytest.raises(ValueError):
         pipelines.features_and_windows(df.filter("container_name = 'b'"), 20, (10,), 4)
+
+
+def test_a_range_that_begins_with_equal_times_leaves_out_the_first_by_event_id(spark, tmp_path):
+    rows = [(h // 5, 4 * (h % 5), "click", (h * h) % 37) for h in range(400)]
+    path = events(spark, tmp_path, rows)
+    got = {r.event_id: r.rate for r in core.queries()["a24_counter_rate"](spark, path).collect()}
+    # the query's SQL leaves the first of equal times to chance; here it is named
+    named = core.oracle_sql()["a24_counter_rate"].replace("first_value(coalesce(grown, 0))", "first_value(coalesce(grown, 0) ORDER BY timestamp, event_id)")
+    assert "ORDER BY timestamp, event_id) OVER f" in named
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{path}/events.parquet/*.parquet'")
+    want = dict(con.execute(named).fetchall())
+    assert len(got) == 400 and got == want and sum(r is None for r in got.values()) == 5
